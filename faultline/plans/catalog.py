@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faultline.plans import q_core  # noqa: F401  (registers queries)
+from faultline.plans import q_core, q_features  # noqa: F401  (register queries)
 from faultline.plans.registry import ORACLES, QUERIES
 from faultline.session import ensure_checkpoint_dir
 
