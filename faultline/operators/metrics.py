@@ -100,7 +100,8 @@ def evaluation_report(df: DataFrame, label: str = "label", score: str = "score")
     pts = _points(df, label, score)
     f1 = 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + F.lit(F1_EPS))
     pts = pts.withColumn("f1", f1)
-    area_pos = F.sum(F.col("pos") / F.col("P") * (F.col("precision") + F.col("_pprev")) / 2)
+    dr = F.when(F.col("P") == 0, F.lit(0.0)).otherwise(F.col("pos") / F.col("P"))  # recall step
+    area_pos = F.sum(dr * (F.col("precision") + F.col("_pprev")) / 2)
     top = F.max_by("precision", "threshold")  # point with the highest threshold
     best = F.max_by(F.struct("threshold", "f1", "tps", "fps", "P"),
                     F.struct(F.col("f1"), (-F.col("threshold")).alias("t")))
