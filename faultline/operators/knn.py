@@ -45,7 +45,7 @@ COMPONENT_FEATURES = ("volt", "rotate", "pressure", "vibration", "temperature_c"
 N_NEIGHBORS = 5
 DIST_DIGITS = 9
 
-_CAND_SCHEMA = "_tid long, _task int, _did long, _dq double, _val double, _lab string"
+_CAND_SCHEMA = "_tid long, _task int, _did long, _dq double, _val double, _lab int"
 
 
 # ---------------------------------------------------------------- numpy cell solver
@@ -86,13 +86,18 @@ def _topk(dq: np.ndarray, k: int):
     return r[keep], c[keep], v[keep]
 
 
+_EMPTY = pd.DataFrame({"_tid": np.empty(0, np.int64), "_task": np.empty(0, np.int32),
+                       "_did": np.empty(0, np.int64), "_dq": np.empty(0), "_val": np.empty(0),
+                       "_lab": np.empty(0, np.int32)})
+
+
 def _cell_solver(n_feat: int, k: int, nan_aware: bool, impute_idx: list[int] | None, chunk: int = 256):
     fcols = [f"_f{j}" for j in range(n_feat)]
     gcols = [f"_g{j}" for j in range(n_feat)]
 
     def solve(tp: pd.DataFrame, dp: pd.DataFrame) -> pd.DataFrame:
         if tp.empty or dp.empty:
-            return pd.DataFrame({c: [] for c in ["_tid", "_task", "_did", "_dq", "_val", "_lab"]})
+            return _EMPTY.copy()
         dp = dp.sort_values("_did", kind="stable")
         tx = tp[fcols].to_numpy(dtype=float, na_value=np.nan)
         dx = dp[gcols].to_numpy(dtype=float, na_value=np.nan)
@@ -101,7 +106,7 @@ def _cell_solver(n_feat: int, k: int, nan_aware: bool, impute_idx: list[int] | N
         if impute_idx is not None:
             raws = [dp[f"_r{i}"].to_numpy(dtype=float, na_value=np.nan) for i in range(len(impute_idx))]
         else:
-            labs = dp["_lab"].to_numpy(dtype=object)
+            labs = dp["_lab"].to_numpy(dtype=np.int32)
         parts = []
         for s in range(0, len(tx), chunk):
             t = tx[s:s + chunk]
@@ -122,16 +127,14 @@ def _cell_solver(n_feat: int, k: int, nan_aware: bool, impute_idx: list[int] | N
                     continue
                 didx = cols[c]
                 parts.append(pd.DataFrame({
-                    "_tid": tids[s + rows[r]], "_task": ti, "_did": dids[didx], "_dq": v,
-                    "_val": raws[ti][didx] if impute_idx is not None else np.nan,
-                    "_lab": None if impute_idx is not None else labs[didx],
+                    "_tid": tids[s + rows[r]].astype(np.int64), "_task": np.full(len(r), ti, np.int32),
+                    "_did": dids[didx].astype(np.int64), "_dq": v.astype(np.float64),
+                    "_val": raws[ti][didx] if impute_idx is not None else np.full(len(r), np.nan),
+                    "_lab": np.full(len(r), -1, np.int32) if impute_idx is not None else labs[didx],
                 }))
         if not parts:
-            return pd.DataFrame({c: [] for c in ["_tid", "_task", "_did", "_dq", "_val", "_lab"]})
-        out = pd.concat(parts, ignore_index=True)
-        out["_task"] = out["_task"].astype("int32")
-        out["_lab"] = out["_lab"].astype(object)
-        return out
+            return _EMPTY.copy()
+        return pd.concat(parts, ignore_index=True)
 
     return solve
 
@@ -284,8 +287,12 @@ def knn_classify_component(df: DataFrame, *, feature_cols=COMPONENT_FEATURES, la
     exprs, names = _encode(df, nums, cats)
     n = len(names)
     fcols = [f"_f{j}" for j in range(n)]
+    classes = fit_categories(df, [label])[label]  # sorted, size-guarded
+    cls_arr = F.array(*[F.lit(c) for c in classes]) if classes else F.array().cast("array<string>")
     enc = df.select(F.col(rid).alias("_id"), *[e.alias(f) for e, f in zip(exprs, fcols)],
-                    F.col(label).alias("_lab"), F.col(err).isNotNull().alias("_err"))
+                    (F.array_position(cls_arr, F.col(label)) - 1).cast("int").alias("_lab"),
+                    F.col(err).isNotNull().alias("_err"))
+    enc = enc.withColumn("_lab", F.when(F.col("_lab") >= 0, F.col("_lab")))
     # fill NULL features with the unscaled imputation rule over all rows
     enc = knn_impute(enc, columns=fcols, categorical=(), k=k, id_col="_id", scale=False, block_rows=block_rows)
     enc = apply_scaler(enc, scaler_params(fit_scaler(enc, fcols))).checkpoint()
@@ -299,9 +306,10 @@ def knn_classify_component(df: DataFrame, *, feature_cols=COMPONENT_FEATURES, la
         return res.drop("_rowid") if rid == "_rowid" else res
     cand = knn_candidates(targets, donors, n_feat=n, k=k, nan_aware=False, block_rows=block_rows, n_targets=nt)
     votes = cand.groupBy("_tid", "_lab").agg(F.count(F.lit(1)).alias("_v"))
-    # most votes, then the smallest class name
+    # most votes, then the smallest class name (codes follow the sorted class names)
     pred = votes.groupBy("_tid").agg(
-        F.min_by("_lab", F.struct((-F.col("_v")).alias("nv"), F.col("_lab").alias("lab"))).alias("_pred"))
+        F.min_by("_lab", F.struct((-F.col("_v")).alias("nv"), F.col("_lab").alias("lab"))).alias("_code"))
+    pred = pred.select("_tid", F.element_at(cls_arr, F.col("_code") + 1).alias("_pred"))
     solved = targets.join(pred, "_tid")
     back = (targets_all.alias("a").join(solved.alias("b"), _null_safe_on("a", "b", fcols))
             .select(F.col("a._id").alias("_pid"), F.col("b._pred")))

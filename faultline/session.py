@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +50,7 @@ def build_session(
             except Exception:  # static conf of an already running session
                 pass
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -75,3 +77,30 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), name)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``faultline`` importable in every Python worker (pandas UDFs refer to it).
+
+    The package is zipped once per application into the shared checkpoint
+    folder and added with ``addPyFile``, which distributes it to all executors.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(ensure_checkpoint_dir(spark), f"faultline-{app}.zip")
+    if "://" not in target or target.startswith("file:"):
+        path = target.replace("file:", "", 1) if target.startswith("file:") else target
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for root, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+        spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
