@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from faultline.functions.names import resolve_column
 from faultline.operators.segmented import keyed_row_windows
+from faultline.session import materialize
 
 # Fixed values of the feature stage.
 ONE_HOT_COLUMNS = ("model", "errorid", "comp_failure")
@@ -30,13 +31,32 @@ def fit_categories(df: DataFrame, columns, max_categories: int = 1000) -> dict[s
     Raises when a column has more than ``max_categories`` values: thousands of
     dummy columns are a schema error, not a feature.
     """
-    out = {}
-    for c in columns:
-        vals = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct()
-                .orderBy(c).limit(max_categories + 1).collect()]
+    columns = list(columns)
+    if not columns:
+        return {}
+    if len(columns) == 1:
+        c = columns[0]
+        pairs = df.select(F.lit(0).alias("i"), F.col(c).alias("v")).where(F.col("v").isNotNull())
+    else:  # one pass for all columns: (column index, value) pairs, values as strings
+        pairs = df.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)
+        ])).alias("p")).select("p.*").where(F.col("v").isNotNull())
+    limit = len(columns) * (max_categories + 1)
+    rows = pairs.distinct().limit(limit).collect()  # bounded by the guard
+    types = dict(df.dtypes)
+    out = {c: [] for c in columns}
+    for r in rows:
+        c = columns[r["i"]]
+        v = r["v"]
+        if isinstance(v, str) and types[c] in ("int", "bigint", "smallint", "tinyint"):
+            v = int(v)
+        elif isinstance(v, str) and types[c] in ("double", "float"):
+            v = float(v)
+        out[c].append(v)
+    for c, vals in out.items():
         if len(vals) > max_categories:
             raise ValueError(f"column {c} has more than {max_categories} categories")
-        out[c] = vals
+        vals.sort()  # natural order of the column type
     return out
 
 
@@ -55,7 +75,7 @@ def apply_one_hot(df: DataFrame, cats: dict[str, list], drop_first: bool = False
     dummies = []
     for c, vals in cats.items():
         for v in (vals[1:] if drop_first else vals):
-            dummies.append(F.when(F.col(c) == F.lit(v), 1).otherwise(0).alias(f"{c}_{v}"))
+            dummies.append(F.when(F.col(c).cast("string") == F.lit(str(v)), 1).otherwise(0).alias(f"{c}_{v}"))
     return df.select(*keep, *dummies)
 
 
@@ -165,6 +185,7 @@ def engineer_features(df: DataFrame, *, key: str = "machine_id", order_cols=("da
     nums = [c for c in numeric if c in df.columns]
     feat = rolling_and_lag(df, nums, key=key, order_cols=order_cols, window=window, lag=lag,
                            skew_safe=skew_safe)
+    feat = materialize(feat, "features")  # fitted and applied from one computed copy
     eng = nums + roll_columns(nums, window, lag)
     params = fit_scaler(feat if fit_filter is None else feat.filter(fit_filter), eng)
     out = apply_scaler(feat, scaler_params(params))

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from faultline.functions.names import resolve_column
 from faultline.operators.clean import add_failed_flag, error_column
 from faultline.operators.features import apply_scaler, fit_categories, fit_scaler, scaler_params
+from faultline.session import materialize
 
 # Fixed values that must equal the reference behaviour.
 DEFAULT_SENSORS = ("temperature_c", "vibration_level_mm_per_s", "load_percentage", "operating_hours", "age")
@@ -187,17 +188,18 @@ def _null_safe_on(left: str, right: str, cols: list[str]) -> Column:
 def _with_id(df: DataFrame, id_col: str | None) -> tuple[DataFrame, str]:
     if id_col and id_col in df.columns:
         return df, id_col
-    return df.withColumn("_rowid", F.monotonically_increasing_id()).checkpoint(), "_rowid"
+    return materialize(df.withColumn("_rowid", F.monotonically_increasing_id()), "with-row-id"), "_rowid"
 
 
-def _encode(df: DataFrame, numeric: list[str], categorical: list[str], max_categories: int = 1000):
+def _encode(df: DataFrame, numeric: list[str], categorical: list[str], max_categories: int = 1000,
+            fitted: dict | None = None):
     """Numeric columns + drop-first dummies (NULL category -> all zero), as doubles."""
     exprs, names = [F.col(c).cast("double") for c in numeric], list(numeric)
     if categorical:
-        cats = fit_categories(df, categorical, max_categories)
+        cats = fitted if fitted is not None else fit_categories(df, categorical, max_categories)
         for c in categorical:
             for v in cats[c][1:]:
-                exprs.append(F.when(F.col(c) == F.lit(v), 1.0).otherwise(0.0))
+                exprs.append(F.when(F.col(c).cast("string") == F.lit(str(v)), 1.0).otherwise(0.0))
                 names.append(f"{c}_{v}")
     return exprs, names
 
@@ -225,8 +227,13 @@ def knn_impute(df: DataFrame, *, columns=DEFAULT_SENSORS, categorical=DEFAULT_CA
     fcols = [f"_f{j}" for j in range(n)]
     enc = df.select(F.col(rid).alias("_id"), *[e.alias(f) for e, f in zip(exprs, fcols)],
                     *[F.col(c).cast("double").alias(f"_r{i}") for i, c in enumerate(sensors)])
+    # one pass: scaler statistics of the features and the fallback means of the targets
+    stats = enc.agg(*[F.avg(f).alias(f"_a{j}") for j, f in enumerate(fcols)],
+                    *[F.stddev_pop(f).alias(f"_s{j}") for j, f in enumerate(fcols)],
+                    *[F.avg(f"_r{i}").alias(f"_m{i}") for i in range(len(sensors))]).first()
+    means = stats
     if scale:
-        enc = apply_scaler(enc, scaler_params(fit_scaler(enc, fcols)))
+        enc = apply_scaler(enc, {f: (stats[f"_a{j}"], stats[f"_s{j}"]) for j, f in enumerate(fcols)})
     any_missing = F.lit(False)
     for i in range(len(sensors)):
         any_missing = any_missing | F.col(f"_r{i}").isNull()
@@ -234,7 +241,7 @@ def knn_impute(df: DataFrame, *, columns=DEFAULT_SENSORS, categorical=DEFAULT_CA
     for i in range(len(sensors)):
         any_present = any_present | F.col(f"_r{i}").isNotNull()
 
-    enc = enc.checkpoint()
+    enc = materialize(enc, "knn-impute-input")
     targets_all = enc.filter(any_missing).select("_id", *fcols)
     targets = targets_all.groupBy(*fcols).agg(F.min("_id").alias("_tid"))
     donors = _dedup_donors(enc.filter(any_present).select(F.col("_id").alias("_did"), *fcols,
@@ -246,7 +253,6 @@ def knn_impute(df: DataFrame, *, columns=DEFAULT_SENSORS, categorical=DEFAULT_CA
                           impute_idx=list(range(len(sensors))), block_rows=block_rows, n_targets=nt)
     est = cand.groupBy("_tid").agg(*[
         F.avg(F.when(F.col("_task") == i, F.col("_val"))).alias(f"_e{i}") for i in range(len(sensors))])
-    means = enc.agg(*[F.avg(f"_r{i}").alias(f"_m{i}") for i in range(len(sensors))]).first()
     solved = targets.join(est, "_tid", "left")
     back = (targets_all.alias("a").join(solved.alias("b"), _null_safe_on("a", "b", fcols))
             .select(F.col("a._id").alias("_bid"), *[F.col(f"b._e{i}") for i in range(len(sensors))]))
@@ -284,10 +290,11 @@ def knn_classify_component(df: DataFrame, *, feature_cols=COMPONENT_FEATURES, la
     df, rid = _with_id(df, id_col)
     cats = [c for c in feats if c == "model"]
     nums = [c for c in feats if c not in cats]
-    exprs, names = _encode(df, nums, cats)
+    fitted = fit_categories(df, cats + [label])  # one pass for the dummies and the class list
+    exprs, names = _encode(df, nums, cats, fitted=fitted)
     n = len(names)
     fcols = [f"_f{j}" for j in range(n)]
-    classes = fit_categories(df, [label])[label]  # sorted, size-guarded
+    classes = fitted[label]  # sorted, size-guarded
     cls_arr = F.array(*[F.lit(c) for c in classes]) if classes else F.array().cast("array<string>")
     enc = df.select(F.col(rid).alias("_id"), *[e.alias(f) for e, f in zip(exprs, fcols)],
                     (F.array_position(cls_arr, F.col(label)) - 1).cast("int").alias("_lab"),
@@ -295,7 +302,7 @@ def knn_classify_component(df: DataFrame, *, feature_cols=COMPONENT_FEATURES, la
     enc = enc.withColumn("_lab", F.when(F.col("_lab") >= 0, F.col("_lab")))
     # fill NULL features with the unscaled imputation rule over all rows
     enc = knn_impute(enc, columns=fcols, categorical=(), k=k, id_col="_id", scale=False, block_rows=block_rows)
-    enc = apply_scaler(enc, scaler_params(fit_scaler(enc, fcols))).checkpoint()
+    enc = materialize(apply_scaler(enc, scaler_params(fit_scaler(enc, fcols))), "knn-vote-input")
     targets_all = enc.filter(F.col("_lab").isNull() & F.col("_err")).select("_id", *fcols)
     targets = targets_all.groupBy(*fcols).agg(F.min("_id").alias("_tid"))
     donors = _dedup_donors(enc.filter(F.col("_lab").isNotNull())

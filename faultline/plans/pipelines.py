@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 
 from faultline.operators import clean
 from faultline.operators.knn import knn_classify_component, knn_impute
+from faultline.session import materialize
 
 
 def clean_table(df: DataFrame, *, drop_duplicates: bool = True, impute: bool = True,
@@ -15,9 +16,14 @@ def clean_table(df: DataFrame, *, drop_duplicates: bool = True, impute: bool = T
     if drop_duplicates:
         df = clean.drop_exact_duplicates(df)
     df = clean.sanitize_physical(df)
+    if impute or engineer_target:
+        # the KNN stages read their input several times (fits, counts, join back)
+        df = materialize(df, "clean-input")
     if impute:
         df = knn_impute(df, id_col=id_col, block_rows=block_rows)
     if engineer_target:
+        if impute:
+            df = materialize(df, "imputed")
         df = clean.merge_failure_component(df)
         df = knn_classify_component(df, id_col=id_col, block_rows=block_rows)
     return clean.round_precision(df)
@@ -51,8 +57,7 @@ def run_batch_pipeline(spark, raw_folder: str, out_dir: str, *, fmt: str = "parq
         save_params(params, f"{out_dir}/numerical_feature_scaler")
         paths.update(combined=f"{out_dir}/combined", cleaned=f"{out_dir}/cleaned",
                      model_dataset=f"{out_dir}/model_dataset")
-    if "maintenance" in {k.split("_")[-1] for k in prepared} or any("maintenance" in k for k in prepared):
-        name = next(k for k in prepared if "maintenance" in k)
+    for name in [k for k in prepared if "maintenance" in k]:  # the second (non-PdM) sensor table
         maint = clean_table(prepared[name], engineer_target=False, id_col="__none__", block_rows=block_rows)
         write_table(maint, f"{out_dir}/cleaned_maintenance", fmt)
         paths["cleaned_maintenance"] = f"{out_dir}/cleaned_maintenance"

@@ -104,3 +104,16 @@ def ship_package(spark: SparkSession) -> None:
                         z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
         spark.sparkContext.addPyFile(path)
     _SHIPPED.add(app)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor recomputes from here, not from the
+    sources) and lets later passes read only the columns they need.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_root(spark), "stages", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
