@@ -172,6 +172,128 @@ def knn_candidates(targets: DataFrame, donors: DataFrame, *, n_feat: int, k: int
     return cand.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k)
 
 
+# ---------------------------------------------------------------- pruned (slab) search
+
+_MARGIN = 2 * 10.0 ** -DIST_DIGITS  # covers the 9-digit rounding of distances
+
+
+def _solve_visits(visits: DataFrame, dslab: DataFrame, solver, block_rows: int) -> DataFrame:
+    """Cogroup target visits with the donors of the visited (coordinate, slab).
+
+    Dense slabs are split into donor sub-blocks and busy slabs into target
+    sub-blocks, both sized from small per-slab count tables, so every cell
+    holds about ``block_rows`` rows per side.
+    """
+    kj = ["_j", "_s"]
+    dm = dslab.groupBy(*kj).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("_m"))
+    tm = visits.groupBy(*kj).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("_mt"))
+    v = (visits.join(dm, kj)  # visits of empty slabs drop out here
+         .join(tm, kj)
+         .withColumn("_ds", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
+         .withColumn("_ts", F.pmod(F.xxhash64("_tid"), F.col("_mt")).cast("int"))
+         .drop("_m", "_mt"))
+    d = (dslab.join(dm, kj).join(tm, kj)
+         .withColumn("_ds", F.pmod(F.xxhash64("_did"), F.col("_m")).cast("int"))
+         .withColumn("_ts", F.explode(F.sequence(F.lit(0), F.col("_mt") - 1)))
+         .drop("_m", "_mt"))
+    cell = ["_j", "_s", "_ds", "_ts"]
+    return v.groupBy(*cell).cogroup(d.groupBy(*cell)).applyInPandas(solver, _CAND_SCHEMA)
+
+
+def knn_candidates_pruned(targets: DataFrame, donors: DataFrame, *, n_feat: int, k: int, nan_aware: bool,
+                          impute_idx: list[int] | None = None, block_rows: int = 4096) -> DataFrame:
+    """J5 with exact pruning; same output as :func:`knn_candidates`.
+
+    Every target prunes on one coordinate ``j`` it has (the best-covered one).
+    Donors are cut into equal-width slabs of ``j`` (donors without ``j`` form a
+    slab of their own that is always searched). Phase 1 searches the home slab
+    and gives each target an upper bound ``ub`` (its k-th distance, per task).
+    Any donor whose ``j`` differs by more than ``ub`` is farther than ``ub``
+    (the distance over co-present coordinates is at least that gap), so phase
+    2 only visits the slabs within ``ub``. Targets with no upper bound (fewer
+    than k in reach) visit every slab.
+    """
+    fcols = [f"_f{j}" for j in range(n_feat)]
+    gcols = [f"_g{j}" for j in range(n_feat)]
+    donors = donors.select(*[F.col(c).alias("_g" + c[2:]) if c.startswith("_f") else F.col(c)
+                             for c in donors.columns])
+    st = donors.agg(*[F.count(g).alias(f"c{j}") for j, g in enumerate(gcols)],
+                    *[F.min(g).alias(f"lo{j}") for j, g in enumerate(gcols)],
+                    *[F.max(g).alias(f"hi{j}") for j, g in enumerate(gcols)]).first()
+    pref = [j for j in sorted(range(n_feat), key=lambda j: (-st[f"c{j}"], j)) if st[f"c{j}"] > 0]
+    if not pref:
+        return knn_candidates(targets, donors.select(*[F.col(c).alias("_f" + c[2:]) if c.startswith("_g")
+                                                       else F.col(c) for c in donors.columns]),
+                              n_feat=n_feat, k=k, nan_aware=nan_aware, impute_idx=impute_idx,
+                              block_rows=block_rows)
+    geo = {}
+    for j in pref:
+        lo, hi, cnt = float(st[f"lo{j}"]), float(st[f"hi{j}"]), int(st[f"c{j}"])
+        slabs = max(1, math.ceil(cnt / block_rows))
+        width = (hi - lo) / slabs if hi > lo else 1.0
+        geo[j] = (lo, width, slabs)
+
+    def arr(vals, cast="double"):
+        return F.array(*[F.lit(v).cast(cast) for v in vals])
+    jn = list(range(n_feat))
+    lo_a = arr([geo.get(j, (0.0, 1.0, 1))[0] for j in jn])
+    w_a = arr([geo.get(j, (0.0, 1.0, 1))[1] for j in jn])
+    n_a = arr([geo.get(j, (0.0, 1.0, 1))[2] for j in jn], "int")
+
+    def slab_of(x, j):
+        lo, w, ns = (F.element_at(lo_a, j + 1), F.element_at(w_a, j + 1), F.element_at(n_a, j + 1))
+        return F.least(F.greatest(F.floor((x - lo) / w), F.lit(0)), ns - 1).cast("int")
+
+    # target: pruning coordinate, its value and home slab
+    jt = F.coalesce(*[F.when(F.col(f"_f{j}").isNotNull(), F.lit(j)) for j in pref])
+    t = targets.withColumn("_j", jt).filter(F.col("_j").isNotNull())  # no coordinate: nothing in reach
+    xj = F.element_at(F.array(*[F.col(c) for c in fcols]), F.col("_j") + 1)
+    t = t.withColumn("_x", xj).withColumn("_home", slab_of(F.col("_x"), F.col("_j")))
+    used = [r[0] for r in t.select("_j").distinct().collect()]  # at most n_feat values
+    # donors copied once per used coordinate: into its slab, or slab -1 when it lacks that coordinate
+    dslab = donors.select("*", F.explode(F.array(*[
+        F.struct(F.lit(j).alias("_j"),
+                 F.when(F.col(f"_g{j}").isNull(), F.lit(-1)).otherwise(slab_of(F.col(f"_g{j}"), F.lit(j)))
+                 .alias("_s")) for j in used])).alias("_js")).select("*", "_js._j", "_js._s").drop("_js")
+    dslab = materialize(dslab, "knn-slabs")
+    solver = _cell_solver(n_feat, k, nan_aware, impute_idx)
+    base = ["_tid", *fcols]
+    v1 = t.select(*base, "_j", F.explode(F.array(F.col("_home"), F.lit(-1))).alias("_s"))
+    cand1 = materialize(_solve_visits(v1, dslab, solver, block_rows), "knn-phase1")
+    # upper bound per target: k-th distance of every task it needs (NULL = none / fewer than k)
+    w = Window.partitionBy("_tid", "_task").orderBy("_dq", "_did")
+    kth = (cand1.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == k)
+           .groupBy("_tid").agg(F.count(F.lit(1)).alias("_nt"), F.max("_dq").alias("_ub")))
+    if impute_idx is None:
+        need = F.lit(1)
+    else:
+        need = sum((F.col(f"_f{j}").isNull().cast("int") for j in impute_idx), F.lit(0))
+    t2 = t.withColumn("_need", need).join(kth, "_tid", "left")
+    ub = F.when(F.col("_nt") == F.col("_need"), F.col("_ub") + F.lit(_MARGIN))
+    ns = F.element_at(n_a, F.col("_j") + 1)
+    lo_i = F.when(ub.isNull(), F.lit(0)).otherwise(slab_of(F.col("_x") - ub, F.col("_j")))
+    hi_i = F.when(ub.isNull(), ns - 1).otherwise(slab_of(F.col("_x") + ub, F.col("_j")))
+    v2 = (t2.select(*base, "_j", "_home", F.explode(F.sequence(lo_i, hi_i)).alias("_s"))
+          .filter(F.col("_s") != F.col("_home")).drop("_home"))
+    cand2 = _solve_visits(v2, dslab, solver, block_rows)
+    cand = cand1.unionByName(cand2)
+    wr = Window.partitionBy("_tid", "_task").orderBy("_dq", "_did")
+    return cand.withColumn("_rank", F.row_number().over(wr)).filter(F.col("_rank") <= k)
+
+
+GRID_MAX_PAIRS = 2 * 10 ** 8  # below this many target x donor pairs the plain grid is cheaper
+
+
+def _pick_search(method: str, n_targets: int, donors: DataFrame):
+    """``grid`` (all pairs, fewest jobs), ``pruned`` (slab pruning) or ``auto`` by size."""
+    if method == "grid":
+        return knn_candidates
+    if method == "pruned":
+        return knn_candidates_pruned
+    n_donors = donors.count()
+    return knn_candidates if n_targets * n_donors <= GRID_MAX_PAIRS else knn_candidates_pruned
+
+
 def _dedup_donors(donors: DataFrame, fcols: list[str], k: int) -> DataFrame:
     """Of identical donor vectors only the k smallest ids can be among the k nearest."""
     w = Window.partitionBy(*fcols).orderBy("_did")
@@ -208,7 +330,7 @@ def _encode(df: DataFrame, numeric: list[str], categorical: list[str], max_categ
 
 def knn_impute(df: DataFrame, *, columns=DEFAULT_SENSORS, categorical=DEFAULT_CATEGORICAL,
                k: int = N_NEIGHBORS, id_col: str | None = "seq", scale: bool = True,
-               block_rows: int = 4096) -> DataFrame:
+               block_rows: int = 4096, method: str = "auto") -> DataFrame:
     """M4: fill NULLs of ``columns`` with the mean of the k nearest rows that have a value.
 
     Distance: nan-aware Euclidean over the (standard-scaled unless ``scale=False``)
@@ -249,8 +371,9 @@ def knn_impute(df: DataFrame, *, columns=DEFAULT_SENSORS, categorical=DEFAULT_CA
     nt = targets.count()
     if nt == 0:
         return df.drop("_rowid") if rid == "_rowid" else df
-    cand = knn_candidates(targets, donors, n_feat=n, k=k, nan_aware=True,
-                          impute_idx=list(range(len(sensors))), block_rows=block_rows, n_targets=nt)
+    search = _pick_search(method, nt, donors)
+    cand = search(targets, donors, n_feat=n, k=k, nan_aware=True,
+                  impute_idx=list(range(len(sensors))), block_rows=block_rows)
     est = cand.groupBy("_tid").agg(*[
         F.avg(F.when(F.col("_task") == i, F.col("_val"))).alias(f"_e{i}") for i in range(len(sensors))])
     solved = targets.join(est, "_tid", "left")
@@ -271,7 +394,7 @@ def knn_impute(df: DataFrame, *, columns=DEFAULT_SENSORS, categorical=DEFAULT_CA
 
 def knn_classify_component(df: DataFrame, *, feature_cols=COMPONENT_FEATURES, label: str = "comp_failure",
                            k: int = N_NEIGHBORS, id_col: str | None = "seq",
-                           block_rows: int = 4096) -> DataFrame:
+                           block_rows: int = 4096, method: str = "auto") -> DataFrame:
     """M5: predict the failure component of unresolved errors from the known ones.
 
     Targets: label NULL and an error logged (P8); donors: label known. Features:
@@ -301,7 +424,8 @@ def knn_classify_component(df: DataFrame, *, feature_cols=COMPONENT_FEATURES, la
                     F.col(err).isNotNull().alias("_err"))
     enc = enc.withColumn("_lab", F.when(F.col("_lab") >= 0, F.col("_lab")))
     # fill NULL features with the unscaled imputation rule over all rows
-    enc = knn_impute(enc, columns=fcols, categorical=(), k=k, id_col="_id", scale=False, block_rows=block_rows)
+    enc = knn_impute(enc, columns=fcols, categorical=(), k=k, id_col="_id", scale=False, block_rows=block_rows,
+                     method=method)
     enc = materialize(apply_scaler(enc, scaler_params(fit_scaler(enc, fcols))), "knn-vote-input")
     targets_all = enc.filter(F.col("_lab").isNull() & F.col("_err")).select("_id", *fcols)
     targets = targets_all.groupBy(*fcols).agg(F.min("_id").alias("_tid"))
@@ -311,7 +435,8 @@ def knn_classify_component(df: DataFrame, *, feature_cols=COMPONENT_FEATURES, la
     if nt == 0 or donors.limit(1).count() == 0:
         res = add_failed_flag(df)
         return res.drop("_rowid") if rid == "_rowid" else res
-    cand = knn_candidates(targets, donors, n_feat=n, k=k, nan_aware=False, block_rows=block_rows, n_targets=nt)
+    search = _pick_search(method, nt, donors)
+    cand = search(targets, donors, n_feat=n, k=k, nan_aware=False, block_rows=block_rows)
     votes = cand.groupBy("_tid", "_lab").agg(F.count(F.lit(1)).alias("_v"))
     # most votes, then the smallest class name (codes follow the sorted class names)
     pred = votes.groupBy("_tid").agg(

@@ -77,3 +77,19 @@ def test_component_vote_ties_and_brute_force(spark):
         votes = pd.Series([labels[d] for d in near]).value_counts()
         best = sorted(votes[votes == votes.max()].index)[0]
         assert k3[t + 1] == best
+
+
+def test_pruned_equals_grid_on_random_data_with_gaps(spark):
+    rng = np.random.default_rng(11)
+    n = 900
+    x = rng.normal(size=(n, 3)) * [1.0, 5.0, 0.2]
+    x[rng.random((n, 3)) < 0.15] = np.nan
+    x[:40, 0] = 2.0  # a hot value
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "seq long, temperature_c double, load_percentage double, operating_hours double")
+    a = knn_impute(df, block_rows=64, method="pruned").orderBy("seq").toPandas()
+    b = knn_impute(df, block_rows=64, method="grid").orderBy("seq").toPandas()
+    np.testing.assert_allclose(a.drop(columns="seq").to_numpy(float), b.drop(columns="seq").to_numpy(float))
+    want = brute_impute(df.toPandas(), ["temperature_c", "load_percentage", "operating_hours"],
+                        np.arange(n))
+    np.testing.assert_allclose(a.drop(columns="seq").to_numpy(float), want, rtol=1e-9, atol=1e-9)
