@@ -200,67 +200,104 @@ def _solve_visits(visits: DataFrame, dslab: DataFrame, solver, block_rows: int)
     return v.groupBy(*cell).cogroup(d.groupBy(*cell)).applyInPandas(solver, _CAND_SCHEMA)
 
 
+SLAB_ROWS = 512  # donors per slab: thinner slabs -> less work per visit, a few more visits
+MAX_PATTERNS = 256  # presence patterns handled by the pruned search (more -> grid search)
+
+
+def _presence(cols: list[str]) -> Column:
+    return sum((F.when(F.col(c).isNotNull(), F.lit(1 << j)).otherwise(F.lit(0)) for j, c in enumerate(cols)),
+               F.lit(0))
+
+
 def knn_candidates_pruned(targets: DataFrame, donors: DataFrame, *, n_feat: int, k: int, nan_aware: bool,
-                          impute_idx: list[int] | None = None, block_rows: int = 4096) -> DataFrame:
+                          impute_idx: list[int] | None = None, block_rows: int = 4096,
+                          slab_rows: int | None = None) -> DataFrame:
     """J5 with exact pruning; same output as :func:`knn_candidates`.
 
-    Every target prunes on one coordinate ``j`` it has (the best-covered one).
-    Donors are cut into equal-width slabs of ``j`` (donors without ``j`` form a
-    slab of their own that is always searched). Phase 1 searches the home slab
-    and gives each target an upper bound ``ub`` (its k-th distance, per task).
-    Any donor whose ``j`` differs by more than ``ub`` is farther than ``ub``
-    (the distance over co-present coordinates is at least that gap), so phase
-    2 only visits the slabs within ``ub``. Targets with no upper bound (fewer
-    than k in reach) visit every slab.
+    Donors are grouped by presence pattern ``q`` (which coordinates they
+    have), targets by pattern ``p``. For a (p, q) pair the distance only uses
+    coordinates in both, so the pair is pruned on ``j`` = the best-covered
+    coordinate of ``p & q`` (no common coordinate: no distance, nothing to do).
+    Donors of ``q`` are cut into equal-width slabs of ``j``. Phase 1 searches
+    each target's home slab in every donor group and gives an upper bound
+    ``ub`` (its k-th distance, per task). A donor whose ``j`` differs by more
+    than ``ub`` is farther than ``ub`` (the distance over co-present
+    coordinates is at least that gap), so phase 2 visits only the slabs within
+    ``ub``; targets without a bound (fewer than k in reach) visit all slabs.
     """
     fcols = [f"_f{j}" for j in range(n_feat)]
     gcols = [f"_g{j}" for j in range(n_feat)]
     donors = donors.select(*[F.col(c).alias("_g" + c[2:]) if c.startswith("_f") else F.col(c)
-                             for c in donors.columns])
-    st = donors.agg(*[F.count(g).alias(f"c{j}") for j, g in enumerate(gcols)],
-                    *[F.min(g).alias(f"lo{j}") for j, g in enumerate(gcols)],
-                    *[F.max(g).alias(f"hi{j}") for j, g in enumerate(gcols)]).first()
-    pref = [j for j in sorted(range(n_feat), key=lambda j: (-st[f"c{j}"], j)) if st[f"c{j}"] > 0]
-    if not pref:
-        return knn_candidates(targets, donors.select(*[F.col(c).alias("_f" + c[2:]) if c.startswith("_g")
-                                                       else F.col(c) for c in donors.columns]),
-                              n_feat=n_feat, k=k, nan_aware=nan_aware, impute_idx=impute_idx,
-                              block_rows=block_rows)
+                             for c in donors.columns]).withColumn("_q", _presence(gcols))
+    targets = targets.withColumn("_p", _presence(fcols)).filter(F.col("_p") > 0)
+    qstats = donors.groupBy("_q").agg(F.count(F.lit(1)).alias("_n"),
+                                      *[F.min(g).alias(f"lo{j}") for j, g in enumerate(gcols)],
+                                      *[F.max(g).alias(f"hi{j}") for j, g in enumerate(gcols)]).collect()
+    pats = [r[0] for r in targets.select("_p").distinct().limit(MAX_PATTERNS + 1).collect()]
+    if len(qstats) > MAX_PATTERNS or len(pats) > MAX_PATTERNS:
+        back = donors.drop("_q").select(*[F.col(c).alias("_f" + c[2:]) if c.startswith("_g") else F.col(c)
+                                          for c in donors.drop("_q").columns])
+        return knn_candidates(targets.drop("_p"), back, n_feat=n_feat, k=k, nan_aware=nan_aware,
+                              impute_idx=impute_idx, block_rows=block_rows)
+    cover = [sum(r["_n"] for r in qstats if r["_q"] >> j & 1) for j in range(n_feat)]
+    pref = sorted(range(n_feat), key=lambda j: (-cover[j], j))
+    # slab geometry per (q, j), keyed by q * n_feat + j
     geo = {}
-    for j in pref:
-        lo, hi, cnt = float(st[f"lo{j}"]), float(st[f"hi{j}"]), int(st[f"c{j}"])
-        slabs = max(1, math.ceil(cnt / block_rows))
-        width = (hi - lo) / slabs if hi > lo else 1.0
-        geo[j] = (lo, width, slabs)
-
-    def arr(vals, cast="double"):
-        return F.array(*[F.lit(v).cast(cast) for v in vals])
-    jn = list(range(n_feat))
-    lo_a = arr([geo.get(j, (0.0, 1.0, 1))[0] for j in jn])
-    w_a = arr([geo.get(j, (0.0, 1.0, 1))[1] for j in jn])
-    n_a = arr([geo.get(j, (0.0, 1.0, 1))[2] for j in jn], "int")
-
-    def slab_of(x, j):
-        lo, w, ns = (F.element_at(lo_a, j + 1), F.element_at(w_a, j + 1), F.element_at(n_a, j + 1))
+    for r in qstats:
+        q = r["_q"]
+        for j in range(n_feat):
+            if q >> j & 1:
+                lo, hi = float(r[f"lo{j}"]), float(r[f"hi{j}"])
+                slabs = max(1, math.ceil(r["_n"] / (slab_rows or SLAB_ROWS)))
+                geo[q * n_feat + j] = (lo, (hi - lo) / slabs if hi > lo else 1.0, slabs)
+    # pruning coordinate of each (target pattern, donor pattern) pair
+    pair_j = {}
+    for p in pats:
+        for r in qstats:
+            common = [j for j in pref if (p & r["_q"]) >> j & 1]
+            if common:
+                pair_j[(p, r["_q"])] = common[0]
+    used_keys = sorted({q * n_feat + j for (p, q), j in pair_j.items()})
+    if not used_keys:
+        return targets.sparkSession.createDataFrame([], _CAND_SCHEMA + ", _rank int")
+
+    def gmap(idx):
+        return F.create_map(*[x for key in used_keys for x in (F.lit(key), F.lit(geo[key][idx]))])
+    lo_m, w_m, n_m = gmap(0), gmap(1), gmap(2)
+
+    def slab_of(x, key):
+        lo, w, ns = F.element_at(lo_m, key), F.element_at(w_m, key), F.element_at(n_m, key)
         return F.least(F.greatest(F.floor((x - lo) / w), F.lit(0)), ns - 1).cast("int")
 
-    # target: pruning coordinate, its value and home slab
-    jt = F.coalesce(*[F.when(F.col(f"_f{j}").isNotNull(), F.lit(j)) for j in pref])
-    t = targets.withColumn("_j", jt).filter(F.col("_j").isNotNull())  # no coordinate: nothing in reach
-    xj = F.element_at(F.array(*[F.col(c) for c in fcols]), F.col("_j") + 1)
-    t = t.withColumn("_x", xj).withColumn("_home", slab_of(F.col("_x"), F.col("_j")))
-    used = [r[0] for r in t.select("_j").distinct().collect()]  # at most n_feat values
-    # donors copied once per used coordinate: into its slab, or slab -1 when it lacks that coordinate
-    dslab = donors.select("*", F.explode(F.array(*[
-        F.struct(F.lit(j).alias("_j"),
-                 F.when(F.col(f"_g{j}").isNull(), F.lit(-1)).otherwise(slab_of(F.col(f"_g{j}"), F.lit(j)))
-                 .alias("_s")) for j in used])).alias("_js")).select("*", "_js._j", "_js._s").drop("_js")
+    # donors: one copy per pruning coordinate some target pattern uses with their group
+    keys_of_q = {}
+    for (p, q), j in pair_j.items():
+        keys_of_q.setdefault(q, set()).add(j)
+    key_arr = F.lit(None).cast("array<int>")
+    for q, js in keys_of_q.items():
+        key_arr = F.when(F.col("_q") == q, F.array(*[F.lit(j) for j in sorted(js)])).otherwise(key_arr)
+    dslab = (donors.withColumn("_jj", F.explode(key_arr))
+             .withColumn("_j", F.col("_q") * n_feat + F.col("_jj"))
+             .withColumn("_s", slab_of(F.element_at(F.array(*[F.col(g) for g in gcols]), F.col("_jj") + 1),
+                                       F.col("_j")))
+             .drop("_jj", "_q"))
     dslab = materialize(dslab, "knn-slabs")
+    # targets: the donor groups each can reach; phase 1 searches the home slab of every
+    # group (a 1-D slab is thin in one coordinate only, so one group's slab gives a loose bound)
+    visit_arr = F.lit(None).cast("array<int>")
+    for p in pats:
+        ks = [q * n_feat + j for (pp, q), j in pair_j.items() if pp == p]
+        if ks:
+            visit_arr = F.when(F.col("_p") == p, F.array(*[F.lit(x) for x in sorted(ks)])).otherwise(visit_arr)
+    xs = F.array(*[F.col(c) for c in fcols])
+    t = (targets.withColumn("_j", F.explode(visit_arr))
+         .withColumn("_x", F.element_at(xs, F.pmod(F.col("_j"), F.lit(n_feat)) + 1))
+         .withColumn("_home", slab_of(F.col("_x"), F.col("_j"))))
     solver = _cell_solver(n_feat, k, nan_aware, impute_idx)
     base = ["_tid", *fcols]
-    v1 = t.select(*base, "_j", F.explode(F.array(F.col("_home"), F.lit(-1))).alias("_s"))
+    v1 = t.select(*base, "_j", F.col("_home").alias("_s"))
     cand1 = materialize(_solve_visits(v1, dslab, solver, block_rows), "knn-phase1")
-    # upper bound per target: k-th distance of every task it needs (NULL = none / fewer than k)
+    # upper bound per target: k-th distance of every task it needs (NULL = fewer than k in reach)
     w = Window.partitionBy("_tid", "_task").orderBy("_dq", "_did")
     kth = (cand1.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == k)
            .groupBy("_tid").agg(F.count(F.lit(1)).alias("_nt"), F.max("_dq").alias("_ub")))
@@ -270,11 +307,11 @@ def knn_candidates_pruned(targets: DataFrame, donors: DataFrame, *, n_feat: int,
         need = sum((F.col(f"_f{j}").isNull().cast("int") for j in impute_idx), F.lit(0))
     t2 = t.withColumn("_need", need).join(kth, "_tid", "left")
     ub = F.when(F.col("_nt") == F.col("_need"), F.col("_ub") + F.lit(_MARGIN))
-    ns = F.element_at(n_a, F.col("_j") + 1)
+    ns = F.element_at(n_m, F.col("_j"))
     lo_i = F.when(ub.isNull(), F.lit(0)).otherwise(slab_of(F.col("_x") - ub, F.col("_j")))
     hi_i = F.when(ub.isNull(), ns - 1).otherwise(slab_of(F.col("_x") + ub, F.col("_j")))
     v2 = (t2.select(*base, "_j", "_home", F.explode(F.sequence(lo_i, hi_i)).alias("_s"))
-          .filter(F.col("_s") != F.col("_home")).drop("_home"))
+          .filter(F.col("_s") != F.col("_home")).drop("_home"))  # home slabs were phase 1
     cand2 = _solve_visits(v2, dslab, solver, block_rows)
     cand = cand1.unionByName(cand2)
     wr = Window.partitionBy("_tid", "_task").orderBy("_dq", "_did")

@@ -23,6 +23,9 @@ BASE_CONF = {
 }
 
 
+LOCAL_DRIVER_MEMORY = "8g"
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "faultline",
@@ -37,6 +40,8 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = LOCAL_DRIVER_MEMORY  # local mode: the driver JVM runs every task
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
