@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.functions.numeric import NUMERIC_PREFIX
+from faultline.session import broadcast_if_small
 
 # Fixed values that must equal the reference behaviour.
 INDEX_WEIGHTS = {"temperature": 0.5, "pressure": 0.3, "sensor_value": 0.2}
@@ -185,7 +186,7 @@ def balanced_sample(df: DataFrame, *, label: str = "label", key: str, n: int | N
     everything = Window.partitionBy()  # over the per-class table
     counts = counts.select(label, "_cn", F.count(F.lit(1)).over(everything).alias("_k"),
                            F.sum("_cn").over(everything).alias("_tot"))
-    j = df.join(F.broadcast(counts), label)
+    j = df.join(broadcast_if_small(counts), label)  # one row per class
     total = F.col("_tot") if n is None else F.lit(int(n))
     e = total / (F.col("_k") * F.col("_cn"))
     u = split_hash(key, seed) / F.lit(float(16 ** 7))

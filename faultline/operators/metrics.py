@@ -19,6 +19,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from faultline.session import broadcast_if_small
+
 F1_EPS = 1e-10  # fixed value: added to p + r in the F1 denominator
 DEFAULT_THRESHOLD = 0.5  # fixed value: threshold when the best point has none
 ALERT_TEXT = "ALERT: FAILURE IMMINENT"  # fixed values of the alert projection
@@ -38,7 +40,7 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 def with_class_weight(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Join the inverse-frequency weight of each row's class (the class table is tiny)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    return df.join(broadcast_if_small(w), label, "left")  # one row per class
 
 
 def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

@@ -122,3 +122,16 @@ def materialize(df, name: str = "stage"):
     path = os.path.join(checkpoint_root(spark), "stages", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+BROADCAST_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+
+    Larger tables are left to Spark: a sort-merge join, or a broadcast that
+    AQE chooses from the real size at run time.
+    """
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
