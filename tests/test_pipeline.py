@@ -32,3 +32,22 @@ def test_batch_pipeline_from_raw_csv(spark, tmpdir_path):
     assert maint.count() <= 300 and maint.filter("load_percentage > 100 OR temperature_c > 150").count() == 0
     assert maint.filter("temperature_c IS NULL OR operating_hours IS NULL").count() == 0
     assert os.path.exists(os.path.join(tmpdir_path, "out", "ingested", "machine_maintenance_dataset_ingested"))
+
+
+def test_event_and_failure_model_pipelines(spark, tmpdir_path):
+    from faultline.plans.inputs import labelled
+    from faultline.plans.pipelines import train_and_evaluate, train_event_model
+    from faultline.plans.q_events import processed
+    model, report = train_event_model(spark, processed(spark, "/root/testdata/sf0.01"))
+    rep = {r.label: r for r in report.collect()}
+    assert rep["accuracy"].f1 > 0.8 and rep["accuracy"].support > 1000
+    row, saved = train_and_evaluate(spark, labelled(spark, SF001), os.path.join(tmpdir_path, "m"), length=4,
+                                    min_f1=0.0)
+    assert 0.0 <= row["pr_auc"] <= 1.0 and saved
+    assert os.path.exists(os.path.join(tmpdir_path, "m", "classifier"))
+
+
+def test_csv_sink(spark, tmpdir_path):
+    from faultline.sources.sinks import write_table
+    write_table(spark.range(3), os.path.join(tmpdir_path, "c"), fmt="csv")
+    assert spark.read.option("header", True).csv(os.path.join(tmpdir_path, "c")).count() == 3
