@@ -52,22 +52,39 @@ _CAND_SCHEMA = "_tid long, _task int, _did long, _dq double, _val double, _lab i
 # ---------------------------------------------------------------- numpy cell solver
 
 def _distances(tx: np.ndarray, dx: np.ndarray, nan_aware: bool) -> np.ndarray:
-    """(t x d) distances. ``nan_aware``: sqrt(n / present * sum over co-present (a-b)^2)."""
+    """(t x d) distances. ``nan_aware``: sqrt(n / present * sum over co-present (a-b)^2).
+
+    Coordinates are added in index order with in-place buffers; a pair missing a
+    coordinate contributes an exact 0 (values are zero-filled and masked).
+    """
     n = tx.shape[1]
-    acc = np.zeros((tx.shape[0], dx.shape[0]))
+    shape = (tx.shape[0], dx.shape[0])
+    acc = np.zeros(shape)
+    buf = np.empty(shape)
     if not nan_aware:
         for j in range(n):
-            diff = tx[:, j, None] - dx[None, :, j]
-            acc += diff * diff
-        return np.sqrt(acc)
-    cnt = np.zeros_like(acc)
+            np.subtract(tx[:, j, None], dx[None, :, j], out=buf)
+            buf *= buf
+            acc += buf
+        return np.sqrt(acc, out=acc)
+    tm, dm = ~np.isnan(tx), ~np.isnan(dx)
+    t0, d0 = np.where(tm, tx, 0.0), np.where(dm, dx, 0.0)
+    cnt = np.zeros(shape)
+    mask = np.empty(shape)
     for j in range(n):
-        diff = tx[:, j, None] - dx[None, :, j]
-        ok = ~np.isnan(diff)
-        acc += np.where(ok, diff * diff, 0.0)
-        cnt += ok
+        np.subtract(t0[:, j, None], d0[None, :, j], out=buf)
+        if tm[:, j].all() and dm[:, j].all():
+            cnt += 1.0
+        else:
+            np.multiply(tm[:, j, None], dm[None, :, j], out=mask)
+            buf *= mask
+            cnt += mask
+        buf *= buf
+        acc += buf
     with np.errstate(invalid="ignore", divide="ignore"):
-        dist = np.sqrt(acc * n / cnt)
+        acc *= n
+        acc /= cnt
+        dist = np.sqrt(acc, out=acc)
     dist[cnt == 0] = np.nan
     return dist
 
@@ -87,6 +104,8 @@ def _topk(dq: np.ndarray, k: int):
     return r[keep], c[keep], v[keep]
 
 
+CHUNK_ELEMENTS = 262_144  # distances computed at once (2 MB buffers stay in cache)
+
 _EMPTY = pd.DataFrame({"_tid": np.empty(0, np.int64), "_task": np.empty(0, np.int32),
                        "_did": np.empty(0, np.int64), "_dq": np.empty(0), "_val": np.empty(0),
                        "_lab": np.empty(0, np.int32)})
@@ -108,9 +127,10 @@ def _cell_solver(n_feat: int, k: int, nan_aware: bool, impute_idx: list[int] | N
             raws = [dp[f"_r{i}"].to_numpy(dtype=float, na_value=np.nan) for i in range(len(impute_idx))]
         else:
             labs = dp["_lab"].to_numpy(dtype=np.int32)
-        parts = []
-        for s in range(0, len(tx), chunk):
-            t = tx[s:s + chunk]
+        cols = {"_tid": [], "_task": [], "_did": [], "_dq": [], "_val": [], "_lab": []}
+        step = max(chunk, min(8192, CHUNK_ELEMENTS // max(1, len(dx))))  # ~CHUNK_ELEMENTS distances at once
+        for s in range(0, len(tx), step):
+            t = tx[s:s + step]
             dq = np.round(_distances(t, dx, nan_aware), DIST_DIGITS)
             dq[np.isnan(dq)] = np.inf
             if impute_idx is None:
@@ -119,23 +139,24 @@ def _cell_solver(n_feat: int, k: int, nan_aware: bool, impute_idx: list[int] | N
                 tasks = []
                 for ti, j in enumerate(impute_idx):
                     rows = np.nonzero(np.isnan(t[:, j]))[0]
-                    cols = np.nonzero(~np.isnan(raws[ti]))[0]
-                    if len(rows) and len(cols):
-                        tasks.append((ti, rows, cols))
-            for ti, rows, cols in tasks:
-                r, c, v = _topk(dq[np.ix_(rows, cols)], k)
+                    cols_ok = np.nonzero(~np.isnan(raws[ti]))[0]
+                    if len(rows) and len(cols_ok):
+                        tasks.append((ti, rows, cols_ok))
+            for ti, rows, cols_ok in tasks:
+                sub = dq if len(rows) == len(t) and len(cols_ok) == len(dx) else dq[np.ix_(rows, cols_ok)]
+                r, c, v = _topk(sub, k)
                 if not len(r):
                     continue
-                didx = cols[c]
-                parts.append(pd.DataFrame({
-                    "_tid": tids[s + rows[r]].astype(np.int64), "_task": np.full(len(r), ti, np.int32),
-                    "_did": dids[didx].astype(np.int64), "_dq": v.astype(np.float64),
-                    "_val": raws[ti][didx] if impute_idx is not None else np.full(len(r), np.nan),
-                    "_lab": np.full(len(r), -1, np.int32) if impute_idx is not None else labs[didx],
-                }))
-        if not parts:
+                didx = cols_ok[c]
+                cols["_tid"].append(tids[s + rows[r]].astype(np.int64))
+                cols["_task"].append(np.full(len(r), ti, np.int32))
+                cols["_did"].append(dids[didx].astype(np.int64))
+                cols["_dq"].append(v.astype(np.float64))
+                cols["_val"].append(raws[ti][didx] if impute_idx is not None else np.full(len(r), np.nan))
+                cols["_lab"].append(np.full(len(r), -1, np.int32) if impute_idx is not None else labs[didx])
+        if not cols["_tid"]:
             return _EMPTY.copy()
-        return pd.concat(parts, ignore_index=True)
+        return pd.DataFrame({name: np.concatenate(parts) for name, parts in cols.items()})
 
     return solve
 

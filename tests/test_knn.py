@@ -93,3 +93,20 @@ def test_pruned_equals_grid_on_random_data_with_gaps(spark):
     want = brute_impute(df.toPandas(), ["temperature_c", "load_percentage", "operating_hours"],
                         np.arange(n))
     np.testing.assert_allclose(a.drop(columns="seq").to_numpy(float), want, rtol=1e-9, atol=1e-9)
+
+
+def test_pruned_vote_equals_grid(spark):
+    rng = np.random.default_rng(5)
+    n = 700
+    rows = []
+    for i in range(n):
+        v = rng.normal(size=3)
+        lab = None if i % 3 == 0 else f"comp{int(abs(v[0]) * 2) % 4 + 1}"
+        err = "e1" if lab is None and i % 2 == 0 else None
+        rows.append((i, float(v[0]), float(v[1] * 3), float(v[2]), lab, err))
+    df = spark.createDataFrame(rows, "seq long, volt double, rotate double, pressure double, "
+                                     "comp_failure string, errorid string")
+    a = knn_classify_component(df, block_rows=64, method="pruned").orderBy("seq").collect()
+    b = knn_classify_component(df, block_rows=64, method="grid").orderBy("seq").collect()
+    assert a == b
+    assert sum(r.comp_failure is None for r in a) == sum(1 for r in rows if r[4] is None and r[5] is None)
