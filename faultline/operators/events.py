@@ -21,6 +21,7 @@ ENVELOPE_ID_PREFIX = "evt_"
 SPLIT_SEED = 42
 TRAIN_FRACTION_TENTHS = 8  # 80/20
 FEATURE_COLUMNS = ("temperature", "pressure", "sensor_value", "calculated_index", "detection_count")
+COPY_CHUNK = 100_000  # copies of one row expanded by one task in the balanced sample
 
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("eventId", T.StringType()),
@@ -106,7 +107,8 @@ def detections_per_image(detections: DataFrame, image_col: str = "image_path",
 
     Counted per (image, class) first -- a partial aggregate, so an image with
     very many detections is reduced map-side to one row per class -- and the
-    list is expanded from the (bounded) class counts.
+    list is expanded from the class counts. The list length is the number of
+    detections of one image, which the detector bounds (a few hundred boxes).
     """
     per_class = detections.groupBy(image_col, class_col).agg(F.count(F.lit(1)).alias("_n"))
     grouped = per_class.groupBy(image_col).agg(
@@ -190,8 +192,17 @@ def balanced_sample(df: DataFrame, *, label: str = "label", key: str, n: int | N
     total = F.col("_tot") if n is None else F.lit(int(n))
     e = total / (F.col("_k") * F.col("_cn"))
     u = split_hash(key, seed) / F.lit(float(16 ** 7))
-    copies = (F.floor(e) + F.when(u < e - F.floor(e), 1).otherwise(0)).cast("int")
-    return (j.withColumn("_copies", copies)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.col("_copies"), F.lit(1)))))
-            .filter(F.col("_copies") >= F.col("_copy"))
-            .drop("_cn", "_k", "_tot", "_copies"))
+    copies = (F.floor(e) + F.when(u < e - F.floor(e), 1).otherwise(0)).cast("long")
+    j = j.withColumn("_copies", copies).drop("_cn", "_k", "_tot")
+    # a row of a very rare class can owe millions of copies: such rows are cut into
+    # chunks of COPY_CHUNK copies that are spread over tasks before they are expanded
+    light = j.filter(F.col("_copies") <= COPY_CHUNK)
+    heavy = (j.filter(F.col("_copies") > COPY_CHUNK)
+             .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPY_CHUNK))))
+             .repartition(F.col(key), F.col("_chunk")))
+    heavy = heavy.withColumn("_copy", F.explode(F.sequence(
+        F.col("_chunk") * COPY_CHUNK + 1, F.least(F.col("_copies"), (F.col("_chunk") + 1) * COPY_CHUNK))))
+    light = (light.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.col("_copies"), F.lit(1)))))
+             .filter(F.col("_copies") >= F.col("_copy")))
+    cols = [c for c in light.columns if c != "_copies"]
+    return light.select(*cols).unionByName(heavy.select(*cols)).withColumn("_copy", F.col("_copy").cast("int"))

@@ -94,3 +94,13 @@ def test_stream_upsert_replay(spark, tmpdir_path):
              read_table(spark, os.path.join(tmpdir_path, "t2")).collect()}
     assert again == {k: (v.temperature, v.detection_count) for k, v in snap.items()}
     assert spark.read.json(os.path.join(table, "_quarantine")).count() == 1
+
+
+def test_balanced_sample_heavy_rows(spark, monkeypatch):
+    monkeypatch.setattr(EV, "COPY_CHUNK", 7)
+    df = spark.range(60).select(F.concat(F.lit("evt_"), F.col("id").cast("string")).alias("event_id"),
+                                (F.col("id") == 0).cast("int").alias("label"))
+    s = EV.balanced_sample(df, key="event_id")
+    rare = s.filter("label = 1").collect()
+    assert len(rare) == 30 and sorted(r._copy for r in rare) == list(range(1, 31))
+    assert s.filter("label = 0").count() in range(20, 40)
