@@ -65,9 +65,11 @@ SELECT concat('evt_', CAST(event_id - CASE WHEN event_id % 10 = 1 THEN 1 ELSE 0
             ELSE concat('img_', CAST(event_id % 60 AS {S})) END AS image_path
 FROM events
 """,
+    # detected objects: the small parts (about 10% of part, so it grows with the
+    # scale factor); images img_50..img_59 get no detection
     "detections": """
 SELECT concat('img_', CAST(p_partkey % 50 AS {S})) AS image_path, p_type AS class_name
-FROM part WHERE p_partkey < 120
+FROM part WHERE p_size <= 5
 """,
     "scores": """
 SELECT event_id AS id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label,
