@@ -99,3 +99,24 @@ def test_sequences_match_plain(spark):
     a = sequences(df, length=4).select("seq", "ts").orderBy("seq").collect()
     b = sequences(df, length=4, skew_safe=False).select("seq", "ts").orderBy("seq").collect()
     assert a == b and len(a) == (5 - 3) + (40 - 3) + (23 - 3)
+
+
+def test_hot_machine_is_split_across_tasks(spark):
+    """One machine with a third of all rows: its window work lands in many tasks."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep the planned partitions visible
+    try:
+        hot = [(0, dt.datetime(2024, 1, 1) + dt.timedelta(hours=6 * i), i, float(i % 17)) for i in range(1200)]
+        cold = [(m, dt.datetime(2024, 1, 1) + dt.timedelta(days=d), 10_000 + m * 100 + d, 1.0)
+                for m in range(1, 25) for d in range(100)]
+        df = spark.createDataFrame(hot + cold, "machine_id long, datetime timestamp_ntz, seq long, volt double")
+        def parts(skew_safe):
+            rows = (FE.rolling_and_lag(df, ["volt"], skew_safe=skew_safe)
+                    .withColumn("pid", F.spark_partition_id()).collect())  # whole result, then count here
+            return ({r.pid for r in rows if r.machine_id == 0},
+                    sorted((r.seq, r.volt_roll_mean_3, r.volt_lag_1) for r in rows))
+        hot_safe, a = parts(True)
+        hot_plain, b = parts(False)
+        assert len(hot_plain) == 1 and len(hot_safe) >= 4
+        assert a == b
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
