@@ -343,13 +343,16 @@ GRID_MAX_PAIRS = 2 * 10 ** 8  # below this many target x donor pairs the plain g
 
 
 def _pick_search(method: str, n_targets: int, donors: DataFrame):
-    """``grid`` (all pairs, fewest jobs), ``pruned`` (slab pruning) or ``auto`` by size."""
-    if method == "grid":
-        return knn_candidates
+    """``grid`` (all pairs, fewest jobs), ``pruned`` (slab pruning) or ``auto`` by size.
+
+    Returns the search function with the donor count bound where it was needed.
+    """
     if method == "pruned":
         return knn_candidates_pruned
     n_donors = donors.count()
-    return knn_candidates if n_targets * n_donors <= GRID_MAX_PAIRS else knn_candidates_pruned
+    if method == "grid" or n_targets * n_donors <= GRID_MAX_PAIRS:
+        return lambda *a, **kw: knn_candidates(*a, n_targets=n_targets, n_donors=n_donors, **kw)
+    return knn_candidates_pruned
 
 
 def _dedup_donors(donors: DataFrame, fcols: list[str], k: int) -> DataFrame:
@@ -408,9 +411,15 @@ def knn_impute(df: DataFrame, *, columns=DEFAULT_SENSORS, categorical=DEFAULT_CA
     enc = df.select(F.col(rid).alias("_id"), *[e.alias(f) for e, f in zip(exprs, fcols)],
                     *[F.col(c).cast("double").alias(f"_r{i}") for i, c in enumerate(sensors)])
     # one pass: scaler statistics of the features and the fallback means of the targets
+    any_null = F.lit(False)
+    for i in range(len(sensors)):
+        any_null = any_null | F.col(f"_r{i}").isNull()
     stats = enc.agg(*[F.avg(f).alias(f"_a{j}") for j, f in enumerate(fcols)],
                     *[F.stddev_pop(f).alias(f"_s{j}") for j, f in enumerate(fcols)],
-                    *[F.avg(f"_r{i}").alias(f"_m{i}") for i in range(len(sensors))]).first()
+                    *[F.avg(f"_r{i}").alias(f"_m{i}") for i in range(len(sensors))],
+                    F.sum(any_null.cast("long")).alias("_missing")).first()
+    if not stats["_missing"]:  # nothing to impute (the reference skips the step too)
+        return df.drop("_rowid") if rid == "_rowid" else df
     means = stats
     if scale:
         enc = apply_scaler(enc, {f: (stats[f"_a{j}"], stats[f"_s{j}"]) for j, f in enumerate(fcols)})
@@ -490,7 +499,7 @@ def knn_classify_component(df: DataFrame, *, feature_cols=COMPONENT_FEATURES, la
     donors = _dedup_donors(enc.filter(F.col("_lab").isNotNull())
                            .select(F.col("_id").alias("_did"), *fcols, "_lab"), fcols, k)
     nt = targets.count()
-    if nt == 0 or donors.limit(1).count() == 0:
+    if nt == 0:  # no donors -> no candidates -> labels stay unknown, same as skipping
         res = add_failed_flag(df)
         return res.drop("_rowid") if rid == "_rowid" else res
     search = _pick_search(method, nt, donors)
