@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.functions.numeric import NUMERIC_PREFIX
-from faultline.session import broadcast_if_small
 
 # Fixed values that must equal the reference behaviour.
 INDEX_WEIGHTS = {"temperature": 0.5, "pressure": 0.3, "sensor_value": 0.2}
@@ -22,6 +21,7 @@ SPLIT_SEED = 42
 TRAIN_FRACTION_TENTHS = 8  # 80/20
 FEATURE_COLUMNS = ("temperature", "pressure", "sensor_value", "calculated_index", "detection_count")
 COPY_CHUNK = 100_000  # copies of one row expanded by one task in the balanced sample
+MAX_CLASSES = 10_000
 
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("eventId", T.StringType()),
@@ -181,28 +181,33 @@ def balanced_sample(df: DataFrame, *, label: str = "label", key: str, n: int | N
     Each row is repeated floor(e) times plus once more when its hash fraction u
     is below frac(e), where e = n / (classes * class size) is its expected count.
     Classes are balanced and ``n`` is met in expectation; repeatable for any
-    partitioning. The class-size table is tiny and broadcast.
+    partitioning. The class sizes (one number per class) are fitted on the
+    driver and applied as literals.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_cn"))
-    from pyspark.sql import Window
-    everything = Window.partitionBy()  # over the per-class table
-    counts = counts.select(label, "_cn", F.count(F.lit(1)).over(everything).alias("_k"),
-                           F.sum("_cn").over(everything).alias("_tot"))
-    j = df.join(broadcast_if_small(counts), label)  # one row per class
-    total = F.col("_tot") if n is None else F.lit(int(n))
-    e = total / (F.col("_k") * F.col("_cn"))
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_cn")).limit(MAX_CLASSES + 1).collect()
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
+    total = sum(r["_cn"] for r in counts) if n is None else int(n)
+    # expected copies of one row of each class (fitted values, one per class)
+    expect = {r[label]: total / (len(counts) * r["_cn"]) for r in counts}
+    e = F.element_at(F.create_map(*[x for c, v in expect.items() if c is not None
+                                    for x in (F.lit(c), F.lit(float(v)))]), F.col(label))
+    if None in expect:
+        e = F.when(F.col(label).isNull(), F.lit(float(expect[None]))).otherwise(e)
     u = split_hash(key, seed) / F.lit(float(16 ** 7))
     copies = (F.floor(e) + F.when(u < e - F.floor(e), 1).otherwise(0)).cast("long")
-    j = j.withColumn("_copies", copies).drop("_cn", "_k", "_tot")
+    j = df.withColumn("_copies", copies)
+    light = (j.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.col("_copies"), F.lit(1)))))
+             .filter(F.col("_copies") >= F.col("_copy")))
+    cols = [c for c in light.columns if c != "_copies"]
+    if max(expect.values(), default=0) < COPY_CHUNK:
+        return light.select(*cols).withColumn("_copy", F.col("_copy").cast("int"))
     # a row of a very rare class can owe millions of copies: such rows are cut into
     # chunks of COPY_CHUNK copies that are spread over tasks before they are expanded
-    light = j.filter(F.col("_copies") <= COPY_CHUNK)
+    light = light.filter(F.col("_copies") <= COPY_CHUNK)
     heavy = (j.filter(F.col("_copies") > COPY_CHUNK)
              .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPY_CHUNK))))
              .repartition(F.col(key), F.col("_chunk")))
     heavy = heavy.withColumn("_copy", F.explode(F.sequence(
         F.col("_chunk") * COPY_CHUNK + 1, F.least(F.col("_copies"), (F.col("_chunk") + 1) * COPY_CHUNK))))
-    light = (light.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.col("_copies"), F.lit(1)))))
-             .filter(F.col("_copies") >= F.col("_copy")))
-    cols = [c for c in light.columns if c != "_copies"]
     return light.select(*cols).unionByName(heavy.select(*cols)).withColumn("_copy", F.col("_copy").cast("int"))
