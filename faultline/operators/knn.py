@@ -271,10 +271,15 @@ def knn_candidates_pruned(targets: DataFrame, donors: DataFrame, *, n_feat: int,
                 lo, hi = float(r[f"lo{j}"]), float(r[f"hi{j}"])
                 slabs = max(1, math.ceil(r["_n"] / (slab_rows or SLAB_ROWS)))
                 geo[q * n_feat + j] = (lo, (hi - lo) / slabs if hi > lo else 1.0, slabs)
-    # pruning coordinate of each (target pattern, donor pattern) pair
+    # pruning coordinate of each (target pattern, donor pattern) pair; a donor group
+    # that has none of the columns a target must impute cannot serve it and is skipped
+    need_bits = sum(1 << j for j in (impute_idx or []))
     pair_j = {}
     for p in pats:
+        need = need_bits & ~p
         for r in qstats:
+            if impute_idx is not None and not r["_q"] & need:
+                continue
             common = [j for j in pref if (p & r["_q"]) >> j & 1]
             if common:
                 pair_j[(p, r["_q"])] = common[0]
