@@ -26,25 +26,36 @@ from faultline.operators.events import latest_per_key
 DEFAULT_BUCKETS = 64
 
 
-def _manifests(spark: SparkSession, table_path: str) -> DataFrame | None:
-    path = os.path.join(table_path, "_manifests")
-    try:
-        return spark.read.schema("bucket int, version long, b long").json(path)
-    except Exception:  # noqa: BLE001  (no commit yet)
-        return None
+def _committed_ids(table_path: str) -> list[int]:
+    """Batch ids with a complete manifest (folder ``b=<id>`` holding ``_SUCCESS``).
+
+    Only names are listed (``pyarrow.fs``: local, HDFS or object stores), so
+    finding the latest commit does not read old manifests.
+    """
+    from pyarrow import fs as pafs
+    root = os.path.join(table_path, "_manifests")
+    filesystem, path = (pafs.FileSystem.from_uri(root) if "://" in root
+                        else (pafs.LocalFileSystem(), os.path.abspath(root)))
+    if filesystem.get_file_info(path).type == pafs.FileType.NotFound:
+        return []
+    ids = []
+    for info in filesystem.get_file_info(pafs.FileSelector(path, recursive=False)):
+        name = os.path.basename(info.path)
+        if info.type == pafs.FileType.Directory and name.startswith("b="):
+            done = filesystem.get_file_info(f"{info.path}/_SUCCESS")
+            if done.type == pafs.FileType.File:
+                ids.append(int(name[2:]))
+    return sorted(ids)
 
 
 def _committed_manifest(spark: SparkSession, table_path: str, before: int | None = None):
     """(batch id, {bucket: version}) of the newest commit, optionally older than ``before``."""
-    m = _manifests(spark, table_path)
-    if m is None:
-        return None, {}
-    if before is not None:
-        m = m.filter(F.col("b") < before)
-    last = m.agg(F.max("b")).first()[0]
-    if last is None:
+    ids = [i for i in _committed_ids(table_path) if before is None or i < before]
+    if not ids:
         return None, {}
-    rows = m.filter(F.col("b") == last).select("bucket", "version").collect()  # <= n_buckets rows
+    last = ids[-1]
+    rows = (spark.read.schema("bucket int, version long")
+            .json(os.path.join(table_path, "_manifests", f"b={last}")).collect())  # <= n_buckets rows
     return last, {r["bucket"]: r["version"] for r in rows}
 
 
