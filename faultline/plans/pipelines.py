@@ -29,6 +29,14 @@ def clean_table(df: DataFrame, *, drop_duplicates: bool = True, impute: bool = T
     return clean.round_precision(df)
 
 
+def _read_stage(spark, path: str, fmt: str):
+    """Read a written stage back (typed: parquet keeps types; CSV infers them and re-parses datetime)."""
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    from faultline.operators.clean import parse_datetime
+    return parse_datetime(spark.read.option("header", True).option("inferSchema", True).format(fmt).load(path))
+
+
 def run_batch_pipeline(spark, raw_folder: str, out_dir: str, *, fmt: str = "parquet", block_rows: int = 4096):
     """Ingest -> combine -> clean (with target engineering) -> engineer -> write.
 
@@ -47,12 +55,10 @@ def run_batch_pipeline(spark, raw_folder: str, out_dir: str, *, fmt: str = "parq
     combined = combine(prepared)
     if combined is not None:
         write_table(combined, f"{out_dir}/combined", fmt)
-        combined = spark.read.format(fmt).option("header", True).load(f"{out_dir}/combined") \
-            if fmt != "parquet" else spark.read.parquet(f"{out_dir}/combined")
+        combined = _read_stage(spark, f"{out_dir}/combined", fmt)
         cleaned = clean_table(combined, engineer_target=True, block_rows=block_rows)
         write_table(cleaned, f"{out_dir}/cleaned", fmt)
-        model_table, params = engineer_features(spark.read.parquet(f"{out_dir}/cleaned") if fmt == "parquet"
-                                                else cleaned)
+        model_table, params = engineer_features(_read_stage(spark, f"{out_dir}/cleaned", fmt))
         write_table(model_table, f"{out_dir}/model_dataset", fmt)
         save_params(params, f"{out_dir}/numerical_feature_scaler")
         paths.update(combined=f"{out_dir}/combined", cleaned=f"{out_dir}/cleaned",

@@ -51,3 +51,14 @@ def test_csv_sink(spark, tmpdir_path):
     from faultline.sources.sinks import write_table
     write_table(spark.range(3), os.path.join(tmpdir_path, "c"), fmt="csv")
     assert spark.read.option("header", True).csv(os.path.join(tmpdir_path, "c")).count() == 3
+
+
+def test_batch_pipeline_csv_output(spark, tmpdir_path):
+    raw = os.path.join(tmpdir_path, "raw")
+    os.makedirs(raw)
+    for role, df in role_tables(spark, SF001).items():
+        df.toPandas().to_csv(os.path.join(raw, role + ".csv"), index=False)
+    out = run_batch_pipeline(spark, raw, os.path.join(tmpdir_path, "out"), fmt="csv", block_rows=128)
+    cleaned = spark.read.option("header", True).csv(out["cleaned"])
+    assert cleaned.count() == 265 and "comp_failure" in cleaned.columns
+    assert spark.read.option("header", True).csv(out["model_dataset"]).count() == 265
