@@ -118,9 +118,14 @@ def detections_per_image(detections: DataFrame, image_col: str = "image_path",
     return grouped.select(image_col, expand.alias("detected_objects"), "detection_count")
 
 
-def attach_detections(events: DataFrame, detections: DataFrame, image_col: str = "image_path") -> DataFrame:
-    """Events LEFT JOIN per-image detections; no image or no detection -> [] and 0."""
-    per = detections_per_image(detections, image_col)
+def attach_detections(events: DataFrame, detections: DataFrame | None = None, image_col: str = "image_path",
+                      per_image: DataFrame | None = None) -> DataFrame:
+    """Events LEFT JOIN per-image detections; no image or no detection -> [] and 0.
+
+    ``per_image`` (the output of :func:`detections_per_image`) can be passed
+    instead of raw detections, e.g. computed once for a whole stream.
+    """
+    per = per_image if per_image is not None else detections_per_image(detections, image_col)
     out = events.join(per, image_col, "left")
     empty = F.array().cast("array<string>")
     return out.select(*events.columns,
@@ -130,10 +135,11 @@ def attach_detections(events: DataFrame, detections: DataFrame, image_col: str =
                       .otherwise(F.coalesce(F.col("detection_count"), F.lit(0))).alias("detection_count"))
 
 
-def process_events(events: DataFrame, detections: DataFrame) -> DataFrame:
+def process_events(events: DataFrame, detections: DataFrame | None = None,
+                   per_image: DataFrame | None = None) -> DataFrame:
     """T2 (stateless part): health index + detections, in the processed-events layout."""
     e = events.withColumn("calculated_index", health_index())
-    e = attach_detections(e, detections)
+    e = attach_detections(e, detections, per_image=per_image)
     extra = [c for c in e.columns if c not in PROCESSED_COLUMNS]
     return e.select(*PROCESSED_COLUMNS, *extra)
 

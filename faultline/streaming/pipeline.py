@@ -8,8 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.operators.events import PROCESSED_COLUMNS, parse_envelopes, process_events
-from faultline.session import checkpoint_root
+from faultline.operators.events import PROCESSED_COLUMNS, detections_per_image, parse_envelopes, process_events
+from faultline.session import checkpoint_root, materialize
 from faultline.streaming.upsert import DEFAULT_BUCKETS, upsert_batch
 
 TOPIC = "raw-dataset-events"  # fixed value: topic name of the envelope stream
@@ -44,6 +44,8 @@ def start_event_stream(spark: SparkSession, source: DataFrame, detections: DataF
     source order (Kafka offsets, or file then line for files).
     """
     checkpoint = checkpoint or os.path.join(checkpoint_root(spark), "event_stream")
+    # the static side is aggregated once per stream start, not once per micro-batch
+    per_image = materialize(detections_per_image(detections), "detections-per-image")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if "_seq" not in batch.columns:
@@ -52,7 +54,7 @@ def start_event_stream(spark: SparkSession, source: DataFrame, detections: DataF
         events, bad = parse_envelopes(batch, "value")
         (bad.select("value").write.mode("overwrite")
          .json(os.path.join(table_path, "_quarantine", f"b={batch_id}")))
-        proc = process_events(events, detections).select(*PROCESSED_COLUMNS, "had_null_reading", "_seq")
+        proc = process_events(events, per_image=per_image).select(*PROCESSED_COLUMNS, "had_null_reading", "_seq")
         upsert_batch(proc, batch_id, table_path, key="event_id", order_col="_seq", n_buckets=n_buckets)
 
     w = source.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
