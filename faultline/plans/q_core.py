@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from faultline.fixtures import role_tables, role_view
 from faultline.operators import clean
@@ -11,7 +10,6 @@ from faultline.plans import oracle_ctes as C
 from faultline.plans.inputs import combined, labelled, sanitized_maintenance
 from faultline.plans.registry import register
 
-R6 = 6  # output precision of float results compared with the oracle
 
 
 @register("j1_machine_lookup", views=["telemetry", "machines"], sql="""
