@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from faultline.functions.names import resolve_column
 from faultline.operators.clean import add_failed_flag, error_column
 from faultline.operators.features import apply_scaler, fit_categories, fit_scaler, scaler_params
-from faultline.session import materialize
+from faultline.session import materialize, materialize_observed
 
 # Fixed values that must equal the reference behaviour.
 DEFAULT_SENSORS = ("temperature_c", "vibration_level_mm_per_s", "load_percentage", "operating_hours", "age")
@@ -347,14 +347,15 @@ def knn_candidates_pruned(targets: DataFrame, donors: DataFrame, *, n_feat: int,
 GRID_MAX_PAIRS = 2 * 10 ** 8  # below this many target x donor pairs the plain grid is cheaper
 
 
-def _pick_search(method: str, n_targets: int, donors: DataFrame):
+def _pick_search(method: str, n_targets: int, donors: DataFrame, n_donors: int | None = None):
     """``grid`` (all pairs, fewest jobs), ``pruned`` (slab pruning) or ``auto`` by size.
 
-    Returns the search function with the donor count bound where it was needed.
+    Returns the search function with the (upper-bound) sizes bound for cell sizing.
     """
     if method == "pruned":
         return knn_candidates_pruned
-    n_donors = donors.count()
+    if n_donors is None:
+        n_donors = donors.count()
     if method == "grid" or n_targets * n_donors <= GRID_MAX_PAIRS:
         return lambda *a, **kw: knn_candidates(*a, n_targets=n_targets, n_donors=n_donors, **kw)
     return knn_candidates_pruned
@@ -435,15 +436,18 @@ def knn_impute(df: DataFrame, *, columns=DEFAULT_SENSORS, categorical=DEFAULT_CA
     for i in range(len(sensors)):
         any_present = any_present | F.col(f"_r{i}").isNotNull()
 
-    enc = materialize(enc, "knn-impute-input")
+    # target and donor rows are counted while the input is written (upper bounds of the
+    # deduplicated counts, enough to size the cells and choose the plan)
+    enc, sizes = materialize_observed(enc, "knn-impute-input", nt=F.sum(any_missing.cast("long")),
+                                      nd=F.sum(any_present.cast("long")))
     targets_all = enc.filter(any_missing).select("_id", *fcols)
     targets = targets_all.groupBy(*fcols).agg(F.min("_id").alias("_tid"))
     donors = _dedup_donors(enc.filter(any_present).select(F.col("_id").alias("_did"), *fcols,
                                                           *[f"_r{i}" for i in range(len(sensors))]), fcols, k)
-    nt = targets.count()
+    nt = sizes["nt"] or 0
     if nt == 0:
         return df.drop("_rowid") if rid == "_rowid" else df
-    search = _pick_search(method, nt, donors)
+    search = _pick_search(method, nt, donors, sizes["nd"] or 0)
     cand = search(targets, donors, n_feat=n, k=k, nan_aware=True,
                   impute_idx=list(range(len(sensors))), block_rows=block_rows)
     est = cand.groupBy("_tid").agg(*[
@@ -498,16 +502,19 @@ def knn_classify_component(df: DataFrame, *, feature_cols=COMPONENT_FEATURES, la
     # fill NULL features with the unscaled imputation rule over all rows
     enc = knn_impute(enc, columns=fcols, categorical=(), k=k, id_col="_id", scale=False, block_rows=block_rows,
                      method=method)
-    enc = materialize(apply_scaler(enc, scaler_params(fit_scaler(enc, fcols))), "knn-vote-input")
-    targets_all = enc.filter(F.col("_lab").isNull() & F.col("_err")).select("_id", *fcols)
+    is_target = F.col("_lab").isNull() & F.col("_err")
+    enc, sizes = materialize_observed(apply_scaler(enc, scaler_params(fit_scaler(enc, fcols))), "knn-vote-input",
+                                      nt=F.sum(is_target.cast("long")),
+                                      nd=F.sum(F.col("_lab").isNotNull().cast("long")))
+    targets_all = enc.filter(is_target).select("_id", *fcols)
     targets = targets_all.groupBy(*fcols).agg(F.min("_id").alias("_tid"))
     donors = _dedup_donors(enc.filter(F.col("_lab").isNotNull())
                            .select(F.col("_id").alias("_did"), *fcols, "_lab"), fcols, k)
-    nt = targets.count()
+    nt = sizes["nt"] or 0
     if nt == 0:  # no donors -> no candidates -> labels stay unknown, same as skipping
         res = add_failed_flag(df)
         return res.drop("_rowid") if rid == "_rowid" else res
-    search = _pick_search(method, nt, donors)
+    search = _pick_search(method, nt, donors, sizes["nd"] or 0)
     cand = search(targets, donors, n_feat=n, k=k, nan_aware=False, block_rows=block_rows)
     votes = cand.groupBy("_tid", "_lab").agg(F.count(F.lit(1)).alias("_v"))
     # most votes, then the smallest class name (codes follow the sorted class names)
