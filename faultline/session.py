@@ -111,17 +111,6 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def materialize_observed(df, name: str = "stage", **metrics):
-    """:func:`materialize` that also returns aggregate ``metrics`` (name -> Column)
-    computed while writing (``DataFrame.observe``), so no extra pass is needed."""
-    import uuid
-
-    from pyspark.sql import Observation
-    obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
-    out = materialize(df.observe(obs, *[c.alias(k) for k, c in metrics.items()]), name)
-    return out, obs.get
-
-
 def materialize(df, name: str = "stage"):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
