@@ -104,3 +104,17 @@ def test_balanced_sample_heavy_rows(spark, monkeypatch):
     rare = s.filter("label = 1").collect()
     assert len(rare) == 30 and sorted(r._copy for r in rare) == list(range(1, 31))
     assert s.filter("label = 0").count() in range(20, 40)
+
+
+def test_upsert_batch_is_idempotent(spark, tmpdir_path):
+    from faultline.streaming.upsert import upsert_batch
+    table = os.path.join(tmpdir_path, "t")
+    assert read_table(spark, table) is None
+    b0 = spark.createDataFrame([("a", 1, 1.0), ("b", 1, 2.0)], "event_id string, _seq int, v double")
+    b1 = spark.createDataFrame([("a", 2, 5.0), ("c", 2, 7.0), ("a", 3, 6.0)], "event_id string, _seq int, v double")
+    upsert_batch(b0, 0, table, order_col="_seq", n_buckets=4)
+    upsert_batch(b1, 1, table, order_col="_seq", n_buckets=4)
+    first = sorted((r.event_id, r.v) for r in read_table(spark, table).collect())
+    upsert_batch(b1, 1, table, order_col="_seq", n_buckets=4)  # re-delivery of the same batch
+    again = sorted((r.event_id, r.v) for r in read_table(spark, table).collect())
+    assert first == again == [("a", 6.0), ("b", 2.0), ("c", 7.0)]
