@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from faultline.operators.events import latest_per_key
 
 DEFAULT_BUCKETS = 64
+WRITERS_PER_BUCKET = 8
 
 
 def _committed_ids(table_path: str) -> list[int]:
@@ -88,7 +89,10 @@ def upsert_batch(batch: DataFrame, batch_id: int, table_path: str, *, key: str =
     latest = latest_per_key(merged, key, order_col)
     out = os.path.join(table_path, "data", f"v={batch_id}")
     if touched:
-        (latest.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(out))
+        # each bucket is written by up to WRITERS_PER_BUCKET tasks (split by key hash), so a
+        # bucket holding a hot share of the keys is not written by a single task
+        spread = F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(WRITERS_PER_BUCKET))
+        (latest.repartition("_bucket", spread).write.mode("overwrite").partitionBy("_bucket").parquet(out))
     manifest = dict(prev)
     for t in touched:
         manifest[t] = batch_id
