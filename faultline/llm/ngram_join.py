@@ -16,8 +16,9 @@
    ``|query & union| / |query|`` is computed first, and only a group that
    reaches the threshold is opened and compared member by member.
 
-Tokens found in many components come last in the common order, so a passage
-that many documents share doesn't make candidates. Nothing is capped.
+Tokens found in many components come last in the common order, the most common
+ones at its very end, so a passage that many documents share hardly makes
+candidates. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -35,9 +36,9 @@ from faultline.session import broadcast_if_small
 
 WORDS = 5
 NUM, DEN = 75, 100  # similarity 0.75 as a fraction: links compare integers, no rounding
-GROUP = 256  # most members of a group
-HOT_GROUPS = 32  # a token in more components than this comes last in the order
-HOT_TABLE = 1_000_000  # most tokens of that kind sent to the executors (8 MB)
+GROUP = 512  # about the most members of a group
+HOT_GROUPS = 8  # a token in more components than this comes later in the order, the more the later
+HOT_TABLE = 1_000_000  # most tokens of that kind sent to the executors (9 MB)
 BROADCAST_IDS = 2_000_000  # most ids (16 MB) of a broadcast semi-join
 
 _MULT = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -200,9 +201,9 @@ def _group_links(v: DataFrame, key: str) -> DataFrame:
 
 
 def _prefixes(hot):
-    """(token, node, component, size) of each set's prefix in the order (hot last, then hash)."""
+    """(token, node, component, size) of each set's prefix in the order (how common, then hash)."""
     def run(batches):
-        late = hot.value if hot is not None else None
+        late, level = hot.value if hot is not None else (None, None)
         for b in batches:
             toks, reps = [], []
             for blob in b.column(2).to_pylist():
@@ -211,8 +212,7 @@ def _prefixes(hot):
                 if late is not None and len(late):
                     i = np.searchsorted(late, s)
                     i[i == len(late)] = len(late) - 1
-                    is_late = late[i] == s
-                    s = np.concatenate([s[~is_late], s[is_late]])
+                    s = s[np.argsort(np.where(late[i] == s, level[i], 0), kind="stable")]
                 toks.append(s[:p])
                 reps.append(min(p, len(s)))
             if not toks:
@@ -247,10 +247,10 @@ def _open_groups(key, queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFr
 
 def _with_components(v: DataFrame, links: DataFrame) -> DataFrame:
     comp = components(links)
-    full = v.join(comp, v.node == comp.node, "left").select(
-        v.node, "n", "tok", F.coalesce(comp.component, v.node).alias("comp"))
-    sizes = full.groupBy("comp").agg(F.count(F.lit(1)).alias("members"))
-    return full.join(sizes, "comp").select("node", "n", "tok", "comp", "members")
+    named = (v.select("node").join(comp, "node", "left")
+             .select("node", F.coalesce("component", "node").alias("comp")))
+    sizes = named.groupBy("comp").agg(F.count(F.lit(1)).alias("members"))
+    return v.join(named.join(sizes, "comp"), "node").select("node", "n", "tok", "comp", "members")
 
 
 def _cross_links(v: DataFrame) -> DataFrame:
@@ -266,8 +266,11 @@ def _cross_links(v: DataFrame) -> DataFrame:
     limit = HOT_GROUPS
     while per_token.where(f"groups > {limit}").count() > HOT_TABLE:
         limit *= 2  # only the order of tokens depends on it, never which links are found
-    late = per_token.where(f"groups > {limit}").toPandas()["t"].to_numpy(np.int64).astype(np.uint64)
-    hot = spark.sparkContext.broadcast(np.sort(late))
+    late = per_token.where(f"groups > {limit}").toPandas()
+    tokens, groups = late["t"].to_numpy(np.int64).astype(np.uint64), late["groups"].to_numpy(np.float64)
+    by_hash = np.argsort(tokens)
+    # Half octaves of how common a token is; below the limit all are alike.
+    hot = spark.sparkContext.broadcast((tokens[by_hash], (2 * np.log2(groups[by_hash])).astype(np.uint8)))
     post = v.mapInArrow(_prefixes(hot), _PREFIX_SQL)
     cells = groups_of(post)
     live = cells.groupBy("t").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("t")
@@ -315,8 +318,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
               .groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
     chosen = stage(chosen, "chosen")
     picked = known.join(broadcast_if_small(chosen, BROADCAST_IDS), "doc_id", "left_semi")
-    v = stage(picked.select("text").mapInArrow(_token_rows, "node bigint, n bigint, tok binary, k0 bigint, k1 bigint")
-              .dropDuplicates(["node"]), "tokens")
+    v = picked.select("text").mapInArrow(_token_rows, "node bigint, n bigint, tok binary, k0 bigint, k1 bigint")
+    # Ids are normally unique; only repeated ones can give a set twice, and only then are the sets shuffled.
+    if sets.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count():
+        v = v.dropDuplicates(["node"])
+    v = stage(v, "tokens")
     near0 = stage(_group_links(v, "k0"), "near")
     own = near0.where("node <> leader").select("node")
     near1 = stage(_group_links(v.join(own, "node", "left_anti"), "k1"), "near")
