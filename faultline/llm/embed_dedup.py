@@ -25,15 +25,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import prepare, same_or_new, stage
+from faultline.llm.common import mix64, prepare, same_or_new, stage
 from faultline.llm.components import components
 
 SIMILARITY = 0.9
 SAMPLE = 32_768  # most vectors that the centroids are fitted on
 MAX_CELLS = 4096  # the centroid table is at most this times the dimension
-CHUNK = 1024  # home vectors of a task
+CELL = 2048  # vectors of a cell, on average
+CHUNK = 2048  # home vectors of a task
 LOT = 8192  # visitors of a task
-REACH_Z = 5.0
+REACH_Z = 3.0
 ROUNDS = 12
 
 
@@ -65,20 +66,64 @@ def visits(x: np.ndarray, cells: np.ndarray, reach: float) -> tuple[np.ndarray,
     return home, lead <= reach * gap[home] + 1e-9
 
 
-def _assign(cells, reach):
+def _vectors(col) -> np.ndarray:
+    """Unit rows from the packed values of a column."""
+    x = np.frombuffer(b"".join(col), np.float64).reshape(len(col), -1)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _pack(frames):
+    for pdf in frames:
+        yield pd.DataFrame({"rep": pdf["rep"], "copies": pdf["copies"],
+                            "x": [np.asarray(e, np.float64).tobytes() for e in pdf["embedding"]]})
+
+
+def _load(cells, reach):
+    """Home vectors and visitors of each cell, counted per batch."""
     def run(frames):
+        for pdf in frames:
+            if len(pdf):
+                home, mask = visits(_vectors(pdf["x"]), cells.value, reach)
+                k = len(cells.value)
+                yield pd.DataFrame({"cell": np.arange(k), "homes": np.bincount(home, minlength=k), "guests": mask.sum(axis=0)})
+    return run
+
+
+def _spread(rep: np.ndarray, n: np.ndarray, salt: int) -> np.ndarray:
+    return (mix64(rep.astype(np.uint64) ^ np.uint64(salt)) % n.astype(np.uint64)).astype(np.int64)
+
+
+def _place(cells, reach, load, as_home: bool):
+    """Rows (cell, chunk of the cell, lot of visitors): a home vector once per lot, a visitor once per chunk."""
+    def run(frames):
+        homes, guests = load.value
+        chunks, lots = np.maximum(1, -(-homes // CHUNK)), np.maximum(1, -(-guests // LOT))
         for pdf in frames:
             if not len(pdf):
                 continue
-            x = np.array(pdf["x"].tolist(), np.float64)
-            home, mask = visits(x, cells.value, reach)
-            i, j = np.nonzero(mask)
-            yield pd.DataFrame({"rep": pdf["rep"].to_numpy()[i], "copies": pdf["copies"].to_numpy()[i],
-                                "x": pdf["x"].to_numpy()[i], "home": home[i].astype(np.int32),
-                                "cell": j.astype(np.int32), "own": home[i] == j})
+            rep = pdf["rep"].to_numpy()
+            home, mask = visits(_vectors(pdf["x"]), cells.value, reach)
+            own = _spread(rep, chunks[home], 1)
+            if as_home:
+                i = np.arange(len(rep))
+                times, cell = lots[home], home
+            else:
+                i, cell = np.nonzero(mask & (homes > 0))
+                # Within a cell, a chunk meets its own vectors and those of later chunks.
+                times = np.where(home[i] == cell, own[i] + 1, chunks[cell])
+            at = np.repeat(np.arange(len(i)), times)
+            turn = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+            i, cell = i[at], cell[at]
+            lot = turn if as_home else _spread(rep[i], lots[cell], 2)
+            yield pd.DataFrame({"cell": cell, "at": own[i] if as_home else turn, "lot": lot, "rep": rep[i],
+                                "copies": pdf["copies"].to_numpy()[i], "x": pdf["x"].to_numpy()[i],
+                                "home": home[i], "chunk": own[i]})
     return run
 
 
+_PLACED = "cell bigint, at bigint, lot bigint, rep bigint, copies bigint, x binary, home bigint, chunk bigint"
+
+
 def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """Smallest index reachable, for links a-b over 0..n-1."""
     root = np.arange(n)
@@ -100,7 +145,7 @@ def _compare(cells, reach, similarity):
         cols = ["rep", "n", "root"]
         if not len(homes) or not len(guests):
             return pd.DataFrame({c: pd.Series([], dtype="int64") for c in cols})
-        h = np.array(homes["x"].tolist(), np.float64)
+        h = _vectors(homes["x"])
         hid, hw = homes["rep"].to_numpy(), homes["copies"].to_numpy()
         cell, chunk = int(key[0]), int(key[1])
         ids = np.concatenate([hid, guests["rep"].to_numpy()])
@@ -108,7 +153,7 @@ def _compare(cells, reach, similarity):
         pairs_a, pairs_b = [], []
         for s in range(0, len(guests), 1024):
             g = guests.iloc[s:s + 1024]
-            x = np.array(g["x"].tolist(), np.float64)
+            x = _vectors(g["x"])
             i, j = np.nonzero(x @ h.T >= similarity)
             gid, ghome, gchunk = g["rep"].to_numpy(), g["home"].to_numpy(), g["chunk"].to_numpy()
             ok = gid[i] != hid[j]
@@ -160,17 +205,16 @@ def cosine_components(vectors: DataFrame, similarity: float = SIMILARITY, z: flo
     good = rows.where("embedding is not null")
     same = stage(good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
                  .select("rep", "copies", F.size("embedding").alias("dim"), "embedding"), "distinct")
-    unit = same.select("rep", "copies", "dim", F.expr(
-        "transform(embedding, e -> e / sqrt(aggregate(embedding, 0D, (s, y) -> s + y * y)))").alias("x"))
     counts = {r["dim"]: r["count"] for r in same.groupBy("dim").count().collect()}
     found = None
     for dim, n in sorted(counts.items()):
-        own = unit.where(F.col("dim") == dim)
-        k = cells or max(1, min(MAX_CELLS, int(math.sqrt(n))))
+        own = same.where(F.col("dim") == dim).select("rep", "copies", "embedding").mapInPandas(
+            _pack, "rep bigint, copies bigint, x binary")
+        k = cells or max(1, min(MAX_CELLS, n // CELL))
         share = min(1.0, sample / n)
         fit = (own.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 20)) < int(share * (1 << 20)))
                if share < 1 else own).select("rep", "x").toPandas().sort_values("rep")
-        table = fit_cells(np.array(fit["x"].tolist(), np.float64), k) if len(fit) else np.eye(1, dim)
+        table = fit_cells(_vectors(fit["x"]), k) if len(fit) else np.eye(1, dim)
         part = _links(own, spark.sparkContext.broadcast(table), reach_of(similarity, dim, z), similarity)
         found = part if found is None else found.union(part)
     if found is None:
@@ -190,22 +234,11 @@ def cosine_components(vectors: DataFrame, similarity: float = SIMILARITY, z: flo
 
 def _links(own: DataFrame, cells, reach: float, similarity: float) -> DataFrame:
     """(rep, n, root): per task and vector the links found and the root of their forest."""
-    placed = own.select("rep", "copies", "x").mapInPandas(
-        _assign(cells, reach), "rep bigint, copies bigint, x array<double>, home int, cell int, own boolean")
-    placed = stage(placed, "cells")
-    load = placed.groupBy("cell").agg(F.sum(F.col("own").cast("int")).alias("homes"), F.count(F.lit(1)).alias("guests"))
-    sized = (placed.join(load, "cell").withColumn("chunks", F.greatest(F.lit(1), F.ceil(F.col("homes") / CHUNK)))
-             .withColumn("lots", F.ceil(F.col("guests") / LOT)).where("homes > 0"))
-    # chunk is the vector's chunk within its home cell; it means nothing for a vector from another cell.
-    sized = (sized.withColumn("chunk", F.when(F.col("own"), F.pmod(F.xxhash64("rep"), F.col("chunks"))).otherwise(-1))
-             .withColumn("lot", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("lots"))))
-    homes = sized.where("own").select(
-        "cell", F.col("chunk").alias("at"), F.explode(F.expr("sequence(0L, cast(lots - 1 as bigint))")).alias("lot"),
-        "rep", "copies", "x")
-    guests = sized.select(
-        "cell", F.explode(F.expr("sequence(0L, cast(if(own, chunk, chunks - 1) as bigint))")).alias("at"),
-        F.col("lot").cast("bigint").alias("lot"), "rep", "copies", "x", "home", F.col("chunk").cast("bigint").alias("chunk"))
-    # New column identities: both sides of the cogroup come from the same table.
-    homes = homes.select(*[F.col(c).cast("bigint").alias(c) if c == "at" else F.col(c).alias(c) for c in homes.columns])
+    load = (own.mapInPandas(_load(cells, reach), "cell bigint, homes bigint, guests bigint")
+            .groupBy("cell").agg(F.sum("homes").alias("homes"), F.sum("guests").alias("guests"))
+            .toPandas().sort_values("cell"))  # one row per cell
+    size = own.sparkSession.sparkContext.broadcast((load["homes"].to_numpy(), load["guests"].to_numpy()))
+    homes = own.mapInPandas(_place(cells, reach, size, True), _PLACED)
+    guests = own.mapInPandas(_place(cells, reach, size, False), _PLACED)
     return (homes.groupBy("cell", "at", "lot").cogroup(guests.groupBy("cell", "at", "lot"))
             .applyInPandas(_compare(cells, reach, similarity), "rep bigint, n bigint, root bigint"))
