@@ -1,0 +1,283 @@
+"""Text operators against plain Python, exact round trips and held-out accuracy."""
+
+import hashlib
+import html
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from faultline.llm import brown_lm, byte_bpe, chat_format, decontam, html_extract, langid, secrets, toxicity
+from faultline.llm.common import held_out, read_table, word_hashes, words_of
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, ids int, c0 int, words int"
+
+
+def docs(spark, texts, lang=None):
+    return spark.createDataFrame([(i, t, lang, "src0", len(t or ""), "s", 1, 2, 3) for i, t in enumerate(texts)], DOCS)
+
+
+ODD = ["", None, "   ", "É\x00 漢字 😀", "x" * 70000, "a b " * 30000, "same text", "same text"]
+
+
+def test_words_and_hashes():
+    for t in (b"", b" a\tB\x0bc\x0cd\re\nf ", " x y É".encode(), b"\x1f \x1c"):
+        assert len(word_hashes(t)) == len(words_of(t))
+    h = word_hashes(b"aa AA ab aa ba")
+    assert h[0] == h[1] == h[3] and len(set(h.tolist())) == 3
+
+
+def naive_contamination(text, items):
+    split = lambda s: [w for w in re.split(r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", "".join(
+        chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s or "")) if w]
+    w, hit, found = split(text), set(), set()
+    for item, t in items:
+        b = split(t)
+        n = min(13, len(b))
+        for i in range(len(b) - n + 1 if n else 0):
+            for k in range(len(w) - n + 1):
+                if w[k:k + n] == b[i:i + n]:
+                    hit.update(range(k, k + n))
+                    found.add(str(item))
+    return len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w)
+
+
+def test_decontamination(spark):
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choice("abé1") for _ in range(rnd.randint(1, 3)))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate((1, 5, 13, 14, 30, 30))] + [(9, None), (10, ""), (11, "?!")]
+    items += [(21, items[4][1]), (4, items[4][1])]
+    texts = [None, "", "...", items[0][1], "x, " + items[4][1].upper() + "! y"]
+    for _ in range(30):
+        t = [word() for _ in range(rnd.randint(0, 60))]
+        k = rnd.randint(0, len(t))
+        src = rnd.choice(items[:6])[1].split()
+        cut = rnd.randint(0, max(0, len(src) - 13))
+        texts.append("-".join([*t[:k], *src[cut:cut + rnd.randint(8, 30)], *t[k:]]))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {r.doc_id: r for r in decontam.contamination(docs(spark, texts), bench).collect()}
+    for i, t in enumerate(texts):
+        want = naive_contamination(t, items)
+        r = got[i]
+        assert (r.n_words, r.n_hit, [str(x) for x in r["items"]], r.contaminated) == want, t
+        if r.spans:
+            assert sum(len(decontam.normalised(t[s.start:s.end].encode())) for s in r.spans) == r.n_hit
+    lots = decontam.automata([(i, (t or "").encode()) for i, t in items], limit=200)
+    assert len(lots) > 2 and sum(map(len, lots)) == len({w for _, t in items for w in decontam.windows_of((t or "").encode())})
+    kept = decontam.drop_contaminated(docs(spark, texts), bench)
+    assert kept.columns == docs(spark, texts).columns
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in got if not got[i].contaminated]
+    assert decontam.contamination(docs(spark, []), bench).count() == 0
+    assert decontam.contamination(docs(spark, ["a"]), bench.limit(0)).first().n_hit == 0
+
+
+def test_bpe_equals_tiktoken(spark, sf):
+    import public_tokenizers
+    import tiktoken
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                            mergeable_ranks=byte_bpe.read_ranks(byte_bpe.vocabulary_path()))
+    rnd = random.Random(2)
+    texts = ODD + ["".join(rnd.choice("ab \n'stréЖ漢😀\x00<|>") for _ in range(rnd.randint(0, 300))) for _ in range(200)]
+    texts += [r.text for r in read_table(spark, sf, "documents").collect()]
+    got = {r.doc_id: r for r in byte_bpe.encode(docs(spark, texts), decoded=True).collect()}
+    for i, t in enumerate(texts):
+        assert got[i].ids == enc.encode_ordinary(t or "") and bytes(got[i].decoded).decode() == (t or "")
+    back = byte_bpe.decode(byte_bpe.encode(docs(spark, texts[:20])))
+    assert [bytes(r.decoded).decode() for r in back.orderBy("doc_id").collect()] == [t or "" for t in texts[:20]]
+    d = byte_bpe.digest(byte_bpe.encode(docs(spark, ["hello world", None]), decoded=True)).orderBy("doc_id").collect()
+    ids = enc.encode_ordinary("hello world")
+    assert d[0].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() and d[1].n_tokens == 0
+    coder = byte_bpe.coder()
+    pieces = [t.encode() for t in texts if t and len(t.encode()) < 65]
+    assert coder.merge_many(pieces) == [coder.merge(p) for p in pieces]
+
+
+def test_chat_format_round_trip(spark):
+    rnd = random.Random(4)
+    said = ["", None, "\\", "<", "</turn>\n", "<turn>user\n", "\\n\\<", "é😀", "plain"]
+    rows = [(c, t, rnd.choice(["user", "assistant", "system", None, "a\nb", "x\\n<"]), "".join(str(x or "") for x in rnd.choices(said, k=4)))
+            for c in [*range(60), None] for t in range(rnd.randint(1, 9))]
+    rows += [(500, t, "assistant", "word " * 50) for t in range(2500)] + [(501, 1, "user", None), (501, 1, "user", None), (501, None, None, "z")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id bigint, turn bigint, role string, text string, loss string")
+    got = {r.conv_id: r for r in chat_format.read_back(chat_format.format_conversations(chat_format.with_probe(df))).collect()}
+    rows += [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+    for c in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == c), key=lambda r: tuple((x is not None, x or 0 if k == 1 else (x or "").encode()) for k, x in enumerate(r) if k))
+        loss = "".join(r[3] or "" for r in own if r[2] == "assistant")
+        turns = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in own)
+        assert (got[c].n_turns, got[c].turns_sha256, got[c].loss_chars, got[c].loss_sha256) == (
+            len(own), hashlib.sha256(turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    with pytest.raises(ValueError):
+        chat_format.read_turns(b"<turn>user\nhi")
+    assert chat_format.format_conversations(df.limit(0)).count() == 0
+
+
+def naive_segmentations(word, prob):
+    ways = np.zeros((len(word) + 1, next(iter(prob.values())).shape[0]))
+    ways[0] = 1
+    for j in range(1, len(word) + 1):
+        for i in range(j):
+            if word[i:j] in prob:
+                ways[j] += ways[i] * prob[word[i:j]]
+    return np.log(ways[-1])
+
+
+def test_forward_sums_all_segmentations():
+    pieces = [b" ", b"a", b"b", b"ab", b" a", b"ba", b"aab", b"b "]
+    prob = np.random.default_rng(0).uniform(0.01, 0.2, (len(pieces), 3))
+    p = langid.Pieces(pieces)
+    words = [b"a", b"abab", b"aabba", b"bbbb", b"ab" * 9]
+    got = langid.log_prob(words, p, prob)
+    for w, g in zip(words, got):
+        want = sum(naive_segmentations(b, dict(zip(pieces, prob))) for b in langid.blocks(w))
+        assert np.allclose(g, want)
+    e = langid.expected(words, np.ones(5), np.zeros(5, int), p, prob)
+    length = np.array([len(x) for x in pieces])
+    assert np.isclose((e[:, 0] * length).sum(), sum(len(w) + 1 for w in words))  # every byte is in one piece
+
+
+def test_language_id(spark, sf):
+    d = read_table(spark, sf, "documents")
+    model = langid.fit(langid.training_rows(d))
+    got = langid.predict(d, model).join(d.select("doc_id", "lang"), "doc_id").where(held_out(F.col("doc_id"), 3, 1))
+    assert got.agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("int"))).first()[0] > 0.97
+    odd = {r.doc_id: r for r in langid.predict(docs(spark, [*ODD, "123 !!", "die und der nicht"]), model).collect()}
+    assert all(odd[i].lang_pred == "und" and odd[i].score == 0 for i in (0, 1, 2, 8))
+    assert odd[6].score == odd[7].score and odd[9].lang_pred == "de" and 0 <= odd[4].score <= 1
+    kept = langid.keep_known(docs(spark, ["the and of that", "12", None]), model)
+    assert [r.doc_id for r in kept.collect()] == [0] and kept.columns == docs(spark, []).columns
+    none = langid.fit(docs(spark, ["x"], None))
+    assert langid.predict(docs(spark, ["x"]), none).first().lang_pred == "und"
+
+
+def test_brown_counts_and_gain(spark, sf):
+    d = read_table(spark, sf, "documents")
+    rows = {r.doc_id: r for r in brown_lm.score_corpus(d).collect()}
+    texts = {r.doc_id: r.text for r in d.collect()}
+    import math
+    import zlib
+    split = lambda t: words_of(t.encode()) + [None]
+    from collections import Counter
+    c = Counter(w for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10 for w in split(t))
+    n, v = sum(c.values()), len(c)
+    for i, t in texts.items():
+        w, r = split(t), rows[i]
+        base = sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum(c[x] > 0 for x in w), n)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.held_out == (zlib.crc32(str(i).encode()) % 10 == 0)
+    held = [r for r in rows.values() if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_brown_probabilities_sum_to_one(spark):
+    texts = ["a b a c", "b a b", "c c a", None, "d"]
+    model = brown_lm.fit(docs(spark, texts), word_types=2, classes=2)
+    types = brown_lm.Types(model["frequent"])
+    total, counts = 0.0, {"a": 4, "b": 3, "c": 3, "d": 1}
+    start = model["classes"][types.start]
+    seen = {}
+    for w, c in counts.items():
+        h, e = brown_lm.tokens(w.encode())
+        k = model["classes"][types.of(h, e)[0][0]]
+        total += (c + 0.1) * 10 ** model["step"][start, k]
+        seen[k] = 1
+    total += (5 + 0.1) * 10 ** model["step"][start, model["classes"][types.end]]
+    for k in range(len(model["step"]) - 2):  # each class keeps 0.1 for unknown words, and so does the end's
+        total += 0.1 * 10 ** model["step"][start, k]
+    total += 0.1 * 10 ** model["step"][start, model["classes"][types.end]]
+    assert np.isclose(total, 1.0)
+    got = brown_lm.score(docs(spark, ODD).withColumn("held_out", F.lit(True)), model).orderBy("doc_id").collect()
+    assert len(got) == len(ODD) and got[0].n_tokens == 1 and got[6].score == got[7].score
+    assert brown_lm.score(docs(spark, []), brown_lm.fit(docs(spark, []))).count() == 0
+    assert np.isfinite(brown_lm.score(docs(spark, ["a"]), brown_lm.fit(docs(spark, []))).first().score)
+
+
+def test_toxicity(spark):
+    d, lab = (read_table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
+    got = toxicity.score_corpus(d, lab).join(lab, "doc_id").where("held_out")
+    r = got.agg(F.sum(F.col("predicted") * F.col("toxic")), F.sum("predicted"), F.sum("toxic")).first()
+    assert r[0] / max(1, r[1]) > 0.7 and r[0] / r[2] > 0.6
+    lex = toxicity.Lexicon({"idiot": 3.0})
+    f = lambda t: toxicity.features(t, lex)[0]
+    assert f("you are an idiot") > f("an idiot") > f("he said idiot things") > f("not an idiot") > f("fine day") == 0
+    assert f("not. an idiot") == f("an idiot")  # a clause ends the negation
+    model = {"insults": {"idiot": 3.0}, "coef": np.r_[np.ones(7), -4.0]}
+    odd = {r.doc_id: r for r in toxicity.score(docs(spark, [*ODD, "you idiot"]), model).collect()}
+    assert odd[0].score == odd[1].score == odd[2].score < 0.3 < odd[8].score and odd[8].predicted == 1
+    assert toxicity.score(docs(spark, []), model).count() == 0
+    assert toxicity.fit(docs(spark, ["a"]), lab.limit(0))["insults"] == {}
+
+
+def test_secrets(spark, sf):
+    d = read_table(spark, "/root/testdata/sf0.01", "documents")
+    findings = secrets.findings_from(d)
+    rows = findings.withColumn("k", F.pmod(F.xxhash64("candidate", "before"), F.lit(3)))
+    model = secrets.fit(rows.where("k <> 0").drop("k"))
+    test = rows.where("k = 0").collect()
+    x = np.array([secrets.features(r.candidate, r.before, r.after, r.path, model["table"], secrets.dictionary()) for r in test])
+    right = (secrets.probability(x, model) >= 0.5) == np.array([r.label == 1 for r in test])
+    assert right.mean() > 0.95
+    key = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda"
+    texts = [*ODD, f'the token = "{key}" ends', f"commit {key} done", "call 4845168114407329 or mail x.34@mail7.example.com",
+             'password = "something-something"', f'a api_key: {key}; token="{key[::-1]}"']
+    got = secrets.scan(docs(spark, texts), model).where("confirmed").collect()
+    assert sorted((r.doc_id, r.end - r.start) for r in got) == [(8, 40), (12, 40), (12, 40)]
+    clean = {r.doc_id: r for r in secrets.redact(docs(spark, texts), model).collect()}
+    assert clean[8].text == 'the token = "[secret]" ends' and clean[8].n_chars == len(clean[8].text)
+    assert all(clean[i].text == t for i, t in enumerate(texts) if i not in (8, 12)) and key not in clean[12].text
+    assert secrets.redact(docs(spark, texts), model).columns == docs(spark, []).columns
+    assert secrets.scan(docs(spark, []), model).count() == 0
+    assert secrets.fit(findings.limit(0))["trees"] == []
+
+
+PAGE = """<html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><header><h1>Site</h1></header>
+<nav><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></nav><div class="cookie-notice"><p>We use cookies here.</p></div>
+%s<h1>Title &amp; more</h1><p>First   paragraph with <a href=y>a link</a>, long enough to be read &#233;t&eacute;.<br>next line<p>Second
+one that says a lot of things about nothing.<aside>Related: things</aside><form><label>Mail</label><input></form>%s
+<div class="comments"><p>I think that this is bad and say so at length.</p></div><footer><p>&copy; x"""
+
+
+def test_html(spark, sf):
+    pages = read_table(spark, sf, "pages")
+    model = html_extract.fit(pages)
+    want = "Title & more\n\nFirst paragraph with a link, long enough to be read été. next line\n\nSecond one that says a lot of things about nothing."
+    for open_, close in (("<article>", "</article>"), ("<main>", "</main>"), ('<div id="content"><div class="post">', "</div></div>")):
+        assert html_extract.extract(PAGE % (open_, close), model)[0] == want
+    for h in (None, "", "<", "<div", "<p></p>", "</p></div>", "<!-- x", "<script>x", "&#0; &bogus; &am"):
+        html_extract.extract(h, model)
+    deep = "<article>%s<p>deep text in a chain of elements</p>"
+    assert "deep text" in html_extract.extract(deep % ("<div>" * 4), model)[0]
+    html_extract.extract(deep % ("<div>" * 5000), model)
+    df = spark.createDataFrame([(1, "u", PAGE % ("<article>", "</article>"), "x"), (2, None, None, "x"), (2, None, None, "x")],
+                               "page_id bigint, url string, html string, text string")
+    got = html_extract.extract_pages(df, model).orderBy("page_id").collect()
+    assert [(r.page_id, r.n_chars) for r in got] == [(1, len(want)), (2, 0), (2, 0)]
+    assert html_extract.extract_pages(df.limit(0), html_extract.fit(df.limit(0))).count() == 0
+    for r in pages.collect():  # the given pages mark their articles
+        body = r.html.split("<article>")[1].split("</article>")[0]
+        plain = " ".join(html.unescape(re.sub("<[^>]*>", " ", body)).split())
+        assert " ".join(html_extract.extract(r.html, model)[0].split()) == plain
+
+
+def test_marginals_equal_enumeration():
+    p = html_extract.parse("<div><article><p>one two<ul><li>x</article><nav>y</nav></div>")
+    model = html_extract.model_of({"tag=p": (30, 2), "tag=li": (3, 9), "pair=011": (9, 0), "pair=000": (9, 0)})
+    got = html_extract.marginals(p, model)
+    import itertools
+    from math import exp
+    total, one = 0.0, {id(n): 0.0 for n in p.nodes}
+    for ys in itertools.product((0, 1), repeat=len(p.nodes)):
+        y = {id(n): v for n, v in zip(p.nodes, ys)}
+        s = 0.0
+        for n in p.nodes:
+            own = sum(model["node"].get(f, 0.0) for f in html_extract._evidence(n))
+            s += own * y[id(n)] if n.parent is not None else (own - 8.0) * y[id(n)]
+            if n.parent is not None:
+                s += model["pair"][html_extract.kind_of(n)][y[id(n.parent)]][y[id(n)]]
+        total += exp(s)
+        for k, v in y.items():
+            one[k] += v * exp(s)
+    for n in p.nodes:
+        assert np.isclose(got[id(n)], one[id(n)] / total)
