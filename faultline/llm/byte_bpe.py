@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import prepare, same_or_new
+from faultline.llm.common import held, prepare, same_or_new
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 KEPT_PIECES = 500_000  # pieces in the per-worker table (about 100 MB); it is emptied when full
@@ -257,16 +257,11 @@ class ByteBpe:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-_CODERS: dict = {}
-
-
-def coder(path: str | None = None, pattern: str | None = None, ranks: dict | None = None) -> ByteBpe:
+def coder(path: str | None = None, pattern: str | None = None) -> ByteBpe:
     """Encoder of a vocabulary file, built once per worker."""
-    key = (path, pattern)
-    if key not in _CODERS:
-        import public_tokenizers
-        _CODERS[key] = ByteBpe(ranks or read_ranks(path or vocabulary_path()), pattern or public_tokenizers.PATTERN)
-    return _CODERS[key]
+    import public_tokenizers
+    return held("byte_bpe", (path, pattern), lambda: ByteBpe(
+        read_ranks(path or vocabulary_path()), pattern or public_tokenizers.PATTERN))
 
 
 def _encode(at: int, path, pattern, decoded: bool):

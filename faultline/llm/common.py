@@ -31,6 +31,20 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+_HELD: dict = {}
+
+
+def held(kind: str, key, build):
+    """What a worker builds once and keeps between batches: one thing at a time.
+
+    Python workers are reused, so the tables of an earlier operator would otherwise stay in memory.
+    """
+    if _HELD.get("key") != (kind, key):
+        _HELD.clear()
+        _HELD.update(value=build(), key=(kind, key))
+    return _HELD["value"]
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Written table in the shared folder: cuts the lineage, is computed once."""
     return materialize(df, name)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import prepare, same_or_new
+from faultline.llm.common import held, prepare, same_or_new
 
 WINDOW = 13
 MAX_AUTOMATON_CHARS = 16_000_000
@@ -61,20 +61,16 @@ def automata(items: list[tuple[int | None, bytes]], size: int = WINDOW, limit: i
     return lots
 
 
-_BUILT: dict = {}
-
-
-def _automaton(shared, lot: int):
-    key = (shared.id if hasattr(shared, "id") else id(shared), lot)
-    if key not in _BUILT:
-        _BUILT.clear()
+def _build(lots) -> list:
+    out = []
+    for lot in lots:
         a = ahocorasick.Automaton()
-        for w, own in shared.value[lot]:
+        for w, own in lot:
             # latin-1 gives one character per byte, so positions are byte positions
             a.add_word(w.decode("latin-1"), (w.count(b" ") - 1, len(w), tuple(own)))
         a.make_automaton()
-        _BUILT[key] = a
-    return _BUILT[key]
+        out.append(a)
+    return out
 
 
 def scan(a, words: list[bytes]) -> tuple[list[tuple[int, int]], set]:
@@ -116,15 +112,16 @@ _SCHEMA = pa.schema([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", p
 _SQL = "n_words bigint, n_hit bigint, items array<bigint>, spans array<struct<start:bigint,end:bigint>>"
 
 
-def _scan_batches(shared, lots: int, at: int):
+def _scan_batches(shared, key: str, at: int):
     def run(batches):
+        built = held("automata", key, lambda: _build(shared.value))
         for b in batches:
             rows = {f.name: [] for f in _SCHEMA}
             for text in b.column(at).to_pylist():
                 words = normalised(text)
                 ranges, items = [], set()
-                for lot in range(lots):
-                    r, i = scan(_automaton(shared, lot), words)
+                for a in built:
+                    r, i = scan(a, words)
                     ranges += r
                     items |= i
                 hit = merged(ranges)
@@ -159,10 +156,10 @@ def _marked(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFr
         benchmark, [("item_id", "bigint"), ("text", "binary")]).where("text is not null").distinct().collect()]
     lots = automata(sorted(items, key=lambda r: (r[0] is None, r[0] or 0, r[1])), size)
     shared = spark.sparkContext.broadcast(lots)
-    shared.id = hashlib.sha256(repr(lots).encode()).hexdigest()
+    key = hashlib.sha256(repr(lots).encode()).hexdigest()
     at = docs.columns.index("text")
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"), _SQL])
-    return docs.mapInArrow(_scan_batches(shared, len(lots), at), schema).withColumn(
+    return docs.mapInArrow(_scan_batches(shared, key, at), schema).withColumn(
         "contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
 
 
