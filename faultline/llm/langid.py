@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.byte_bpe import read_ranks, vocabulary_path
-from faultline.llm.common import held_out, prepare, same_or_new, stage, words_of
+from faultline.llm.common import held, held_out, prepare, same_or_new, stage, words_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONGEST_PIECE = 12  # bytes; longer pieces of the vocabulary aren't used
@@ -27,7 +27,7 @@ TRAIN_DOCS = 1000  # expected number of labelled texts per language
 MAX_LANGUAGES = 400
 ROUNDS = 3
 SMOOTH = 0.01  # added to every expected count
-KEPT_WORDS = 300_000  # words in the per-worker table; it is emptied when full
+KEPT_WORDS = 600_000  # words in the per-worker table (about 120 MB); it is emptied when full
 
 
 class Pieces:
@@ -41,20 +41,27 @@ class Pieces:
                 self.table.setdefault(p[:k], -1)
             self.table[p] = i
 
-    def edges(self, words: list[bytes]):
-        """Arrays (word, start, end, piece) of every piece occurrence, by end position."""
+    def edges(self, words: list[bytes]) -> np.ndarray:
+        """Rows (word, start, end, piece) of every piece occurrence, by end position, then word.
+
+        One integer per occurrence while they are gathered: end, word, start (6 bits: a word is at
+        most a block) and piece, so that sorting the integers sorts the rows.
+        """
         get, out = self.table.get, []
+        put = out.append
         for w, word in enumerate(words):
             n = len(word)
             for i in range(n):
+                at = w << 26 | i << 20
                 for j in range(i + 1, n + 1):
                     k = get(word[i:j])
                     if k is None:
                         break
                     if k >= 0:
-                        out.append((w, i, j, k))
-        e = np.array(out, np.int64).reshape(-1, 4)
-        return e[np.lexsort((e[:, 0], e[:, 2]))]
+                        put(j << 44 | at | k)
+        e = np.array(out, np.int64)
+        e.sort()
+        return np.stack([e >> 26 & 0x3FFFF, e >> 20 & 0x3F, e >> 44, e & 0xFFFFF], axis=1)
 
 
 def load_pieces(path: str | None = None) -> list[bytes]:
@@ -133,15 +140,8 @@ def expected(words: list[bytes], weight: np.ndarray, lang: np.ndarray, pieces: P
     return total
 
 
-_READY: dict = {}
-
-
 def _pieces(shared) -> Pieces:
-    key = len(shared.value), hash(tuple(shared.value[-50:]))
-    if key not in _READY:
-        _READY.clear()
-        _READY[key] = Pieces(shared.value)
-    return _READY[key]
+    return held("pieces", (len(shared.value), hash(tuple(shared.value[-50:]))), lambda: Pieces(shared.value))
 
 
 def _word_counts(batches):
@@ -233,15 +233,9 @@ class _Scorer:
         return out / out.sum(axis=1, keepdims=True)
 
 
-_SCORERS: dict = {}
-
-
 def _predict(shared, prob, prior, langs, text_at: int, key: str):
     def run(batches):
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = _Scorer(_pieces(shared), prob.value, prior)
-        score = _SCORERS[key]
+        score = held("language", key, lambda: _Scorer(Pieces(shared.value), prob.value, prior))
         for b in batches:
             post = score(b.column(text_at).to_pylist())
             best = post.argmax(axis=1)
