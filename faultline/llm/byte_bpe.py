@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from faultline.llm.common import held, prepare, same_or_new
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-KEPT_PIECES = 500_000  # pieces in the per-worker table (about 100 MB); it is emptied when full
+KEPT_PIECES = 200_000  # pieces in the per-worker table (about 50 MB); it is emptied when full
 SHORT = 64  # bytes of a piece whose tree is a row of a matrix; longer ones have a list of their own
 FOREST = 1 << 14  # most trees of a matrix
 _NONE = 1 << 60
@@ -49,26 +49,22 @@ class ByteBpe:
         self.pattern = regex.compile(pattern)
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.single = [ranks[bytes([b])] for b in range(256)]
-        self.pairs: dict[tuple[int, int], int] = {}
-        for t, r in ranks.items():
-            for i in range(1, len(t)):
-                a, b = ranks.get(t[:i]), ranks.get(t[i:])
-                if a is not None and b is not None:
-                    self.pairs[a, b] = r
-        self.bigrams = {(t[0], t[1]): r for t, r in ranks.items() if len(t) == 2}
+        # A pair of tokens can merge if its bytes are a token too: key left << 32 | right, rank of the whole.
+        whole = [(ranks[t[:i]] << 32 | ranks[t[i:]], r) for t, r in ranks.items()
+                 for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+        key, rank = np.array(whole, np.int64).reshape(-1, 2).T
+        del whole
         self.kept: dict[str, tuple] = {}
-        # The same tables for numpy: all byte pairs at once, and a sorted key per pair of tokens.
         self.single_np = np.array(self.single, np.int64)
         self.bigrams_np = np.full(1 << 16, _NONE, np.int64)
-        for (a, b), r in self.bigrams.items():
-            self.bigrams_np[a << 8 | b] = r
-        key = np.array([a << 32 | b for a, b in self.pairs], np.int64)
-        rank = np.array(list(self.pairs.values()), np.int64)
+        for t, r in ranks.items():
+            if len(t) == 2:
+                self.bigrams_np[t[0] << 8 | t[1]] = r
         # Open addressing, placed in rounds: a key sits at most self.probes slots after its own.
-        bits = max(4, (4 * len(key)).bit_length())
+        bits = max(4, (2 * len(key)).bit_length())
         self.shift = np.uint64(64 - bits)
-        self.slot_key = np.full((1 << bits) + 64, -1, np.int64)
-        self.slot_rank = np.full((1 << bits) + 64, _NONE, np.int64)
+        self.slot_key = np.full((1 << bits) + 256, -1, np.int64)
+        self.slot_rank = np.full((1 << bits) + 256, _NONE, np.int64)
         home, self.probes = self._home(key), 0
         while len(key):
             at = home + self.probes
@@ -183,11 +179,10 @@ class ByteBpe:
         token = [self.single[b] for b in piece]
         if n < 2:
             return token
-        pairs, none = self.pairs, _NONE
+        ranks, name, none = self.ranks.get, self.bytes_of, _NONE
         shift = (n - 1).bit_length()
         width = 1 << shift
-        level = [none if r is None else r << shift | i
-                 for i, r in enumerate(map(self.bigrams.get, zip(piece, piece[1:])))]
+        level = [none if (r := ranks(piece[i:i + 2])) is None else r << shift | i for i in range(n - 1)]
         level += [none] * (width - n + 1)
         levels = [level]
         while len(level) > 1:
@@ -209,14 +204,14 @@ class ByteBpe:
             tree[width + right] = tree[width + pos] = none
             if end < n:
                 before[end] = pos
-                r = pairs.get((rank, token[end]))
+                r = ranks(name[rank] + name[token[end]])
                 if r is not None:
                     tree[width + pos] = r << shift | pos
             a = b = (width + pos) >> 1
             c = (width + right) >> 1
             prev = before[pos]
             if prev >= 0:
-                r = pairs.get((token[prev], rank))
+                r = ranks(name[token[prev]] + name[rank])
                 tree[width + prev] = none if r is None else r << shift | prev
                 a = (width + prev) >> 1
             # The three paths to the root join on the way; a shared node is computed once a level.

@@ -27,7 +27,7 @@ TRAIN_DOCS = 1000  # expected number of labelled texts per language
 MAX_LANGUAGES = 400
 ROUNDS = 3
 SMOOTH = 0.01  # added to every expected count
-KEPT_WORDS = 600_000  # words in the per-worker table (about 120 MB); it is emptied when full
+KEPT_WORDS = 400_000  # words in the per-worker table (about 80 MB); it is emptied when full
 
 
 class Pieces:
