@@ -26,7 +26,7 @@ _TOKENS = {
 _EVENT_TABLE = """
 SELECT CAST(date_trunc('day', ts) AS {{TS}}) AS datetime, user_id AS machine_id,
        concat('{prefix}', CAST(1 + event_id % {mod} AS {{S}})) AS {column}, event_id AS seq
-FROM events WHERE event_type = '{etype}' AND {filt}
+FROM events WHERE event_type = '{etype}'
 """
 
 ROLE_VIEWS: dict[str, str] = {
@@ -38,16 +38,16 @@ FROM events WHERE event_type IN ('view', 'click')
 GROUP BY CAST(date_trunc('day', ts) AS {TS}), user_id
 """,
     "machines": """
-SELECT c_custkey AS machine_id, concat('model', CAST(1 + c_nationkey % 4 AS {S})) AS model,
+SELECT c_custkey + CASE WHEN c_custkey % 17 = 3 THEN 100000000 ELSE 0 END AS machine_id, concat('model', CAST(1 + c_nationkey % 4 AS {S})) AS model,
        c_nationkey AS age
-FROM customer WHERE c_custkey % 17 <> 3
+FROM customer
 """,
     "failures": _EVENT_TABLE.format(prefix="comp", mod=4, column="failure",
-                                    etype="purchase", filt="event_id % 3 = 0"),
+                                    etype="purchase"),
     "errors": _EVENT_TABLE.format(prefix="error", mod=5, column="errorid",
-                                  etype="error", filt="event_id % 3 <> 1"),
+                                  etype="error"),
     "maint": _EVENT_TABLE.format(prefix="comp", mod=4, column="comp",
-                                 etype="signup", filt="event_id % 3 = 1"),
+                                 etype="signup"),
     "maintenance": """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
        CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE l_extendedprice / 100 - 20 END AS operating_hours,
@@ -62,14 +62,14 @@ SELECT concat('evt_', CAST(event_id - CASE WHEN event_id % 10 = 1 THEN 1 ELSE 0
        CASE WHEN event_id % 19 = 0 THEN NULL ELSE value END AS temperature,
        CAST({J} AS double) AS pressure, CAST(user_id AS double) AS sensor_value,
        CASE WHEN event_id % 5 = 0 THEN NULL
-            ELSE concat('img_', CAST(event_id % 60 AS {S})) END AS image_path
+            ELSE concat('img_', CAST(event_id - event_id % 3 AS {S})) END AS image_path
 FROM events
 """,
-    # detected objects: the small parts (about 10% of part, so it grows with the
-    # scale factor); images img_50..img_59 get no detection
+    # detected objects: every part, four to an image; three events share an image and
+    # many images have no detection, so lists stay short at any scale factor
     "detections": """
-SELECT concat('img_', CAST(p_partkey % 50 AS {S})) AS image_path, p_type AS class_name
-FROM part WHERE p_size <= 5
+SELECT concat('img_', CAST((p_partkey - p_partkey % 4) * 3 AS {S})) AS image_path, p_type AS class_name
+FROM part
 """,
     "scores": """
 SELECT event_id AS id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label,

@@ -14,14 +14,15 @@ def _c(c) -> Column:
 
 
 def clip_keep_null(c, lo: float, hi: float) -> Column:
-    """Clip to [lo, hi]; NULL stays NULL (``greatest/least`` would turn NULL into a bound)."""
+    """Clip to [lo, hi]; NULL stays NULL (``greatest/least`` would turn NULL into a bound), NaN is missing too."""
     c = _c(c)
-    return F.when(c < lo, F.lit(lo)).when(c > hi, F.lit(hi)).otherwise(c)
+    return F.when(F.isnan(c), F.lit(None)).when(c < lo, F.lit(lo)).when(c > hi, F.lit(hi)).otherwise(c)
 
 
 def negative_to_null(c) -> Column:
+    """Below zero -> NULL; NaN (which compares above everything) is missing too."""
     c = _c(c)
-    return F.when(c < 0, F.lit(None)).otherwise(c)
+    return F.when((c < 0) | F.isnan(c), F.lit(None)).otherwise(c)
 
 
 def above_to_null(c, limit: float) -> Column:
@@ -42,6 +43,6 @@ def half_even(c, scale: int = 2) -> Column:
 
 def lenient_number(c, default: float = 0.0) -> Column:
     """Parse the numeric prefix of a string; empty / non-numeric -> ``default``."""
-    s = F.trim(_c(c).cast("string"))
+    s = F.regexp_replace(_c(c).cast("string"), r"^\s+|\s+$", "")
     prefix = F.regexp_extract(s, NUMERIC_PREFIX, 0)
     return F.coalesce(prefix.try_cast("double"), F.lit(float(default)))

@@ -29,9 +29,15 @@ ROUNDED_COLUMNS = (
 ROUND_DIGITS = 2
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Drop rows equal in every column (hash aggregate with map-side pre-aggregation)."""
-    return df.dropDuplicates()
+def drop_exact_duplicates(df: DataFrame, ignore: str | None = None) -> DataFrame:
+    """Drop rows equal in every column (hash aggregate with map-side pre-aggregation).
+
+    ``ignore`` names a row number: rows that differ in it only are equal, the smallest stays.
+    """
+    if ignore is None or ignore not in df.columns:
+        return df.dropDuplicates()
+    others = [c for c in df.columns if c != ignore]
+    return df.groupBy(*others).agg(F.min(ignore).alias(ignore)).select(*df.columns)
 
 
 def parse_datetime(df: DataFrame, col: str = "datetime", fmt: str | None = None,

@@ -45,7 +45,7 @@ def lenient_reading(c: Column) -> Column:
     missing / empty -> 0; numeric prefix ("12abc" -> 12); no number -> NULL
     (the producer's NaN, which JSON encodes as null).
     """
-    s = F.trim(c.cast("string"))
+    s = F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")  # blanks, tabs and line feeds
     num = F.regexp_extract(s, NUMERIC_PREFIX, 0)
     return (F.when(c.isNull() | (s == ""), F.lit(0.0))
             .otherwise(F.when(num == "", F.lit(None)).otherwise(num.try_cast("double"))))

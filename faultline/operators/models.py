@@ -53,7 +53,8 @@ def train_event_forest(train: DataFrame, *, label: str = "is_anomaly", features=
 
 def _stat(ts: Column, j: int, how: str) -> Column:
     xs = F.transform(ts, lambda v: v[j])
-    n = F.size(xs)
+    # a missing reading takes no part; without any, the statistic is missing
+    n = F.nullif(F.size(F.filter(xs, lambda x: x.isNotNull())), F.lit(0))
     s = F.aggregate(xs, F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
     if how == "mean":
         return s / n

@@ -14,7 +14,7 @@ def clean_table(df: DataFrame, *, drop_duplicates: bool = True, impute: bool = T
                 engineer_target: bool = False, id_col: str = "seq", block_rows: int = 4096) -> DataFrame:
     """load-dedup -> sanitize (P1, P3-P5) -> numeric KNN (M4) -> [target KNN (P6, M5, P7)] -> round."""
     if drop_duplicates:
-        df = clean.drop_exact_duplicates(df)
+        df = clean.drop_exact_duplicates(df, ignore=id_col)
     df = clean.sanitize_physical(df)
     if impute or engineer_target:
         # the KNN stages read their input several times (fits, counts, join back)
@@ -63,10 +63,12 @@ def run_batch_pipeline(spark, raw_folder: str, out_dir: str, *, fmt: str = "parq
         save_params(params, f"{out_dir}/numerical_feature_scaler")
         paths.update(combined=f"{out_dir}/combined", cleaned=f"{out_dir}/cleaned",
                      model_dataset=f"{out_dir}/model_dataset")
-    for name in [k for k in prepared if "maintenance" in k]:  # the second (non-PdM) sensor table
+    sensors = [k for k in prepared if "maintenance" in k]  # the second (non-PdM) sensor tables
+    for name in sensors:
+        kept = "cleaned_maintenance" if len(sensors) == 1 else f"cleaned_{name}"
         maint = clean_table(prepared[name], engineer_target=False, id_col="__none__", block_rows=block_rows)
-        write_table(maint, f"{out_dir}/cleaned_maintenance", fmt)
-        paths["cleaned_maintenance"] = f"{out_dir}/cleaned_maintenance"
+        write_table(maint, f"{out_dir}/{kept}", fmt)
+        paths[kept] = f"{out_dir}/{kept}"
     return paths
 
 
@@ -95,7 +97,7 @@ def train_and_evaluate(spark, labelled_table: DataFrame, model_path: str, *, len
     from faultline.operators.sequences import failure_labels, sequences
 
     samples = sequences(failure_labels(labelled_table, key=key), key=key, length=length).checkpoint()
-    train, test = hash_split(samples, "seq")
+    train, test = hash_split(samples, key)  # windows of a machine overlap: all on one side
     models = train_failure_models(balanced_sample(train, label="label", key="seq"))
     scored = score(models, test)
     report = evaluation_report(scored, "label", "score").first()

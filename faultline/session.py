@@ -64,11 +64,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the launcher names a shared folder; it is read from the
     session and never replaced. Only when it is unset (local tests) a scratch
-    folder is created here.
+    folder is created here; on a cluster a machine-local one would lose data, so that raises.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="faultline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
@@ -90,24 +93,21 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``faultline`` importable in every Python worker (pandas UDFs refer to it).
 
-    The package is zipped once per application into the shared checkpoint
-    folder and added with ``addPyFile``, which distributes it to all executors.
+    The package is zipped once per application on the driver and added with ``addPyFile``,
+    which sends it to all executors whatever file system the shared folder is on.
     """
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(ensure_checkpoint_dir(spark), f"faultline-{app}.zip")
-    if "://" not in target or target.startswith("file:"):
-        path = target.replace("file:", "", 1) if target.startswith("file:") else target
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-            for root, _, files in os.walk(pkg):
-                for f in files:
-                    if f.endswith(".py"):
-                        full = os.path.join(root, f)
-                        z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-        spark.sparkContext.addPyFile(path)
+    path = os.path.join(tempfile.mkdtemp(prefix="faultline-zip-"), f"faultline-{app}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(path)
     _SHIPPED.add(app)
 
 

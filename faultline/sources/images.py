@@ -21,7 +21,8 @@ MIN_STD = 1.0
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
     """Image files under ``path`` (by extension), invalid ones kept with height -1."""
-    glob = "*.{" + ",".join(e.lstrip(".") for e in IMAGE_EXTENSIONS) + "}"
+    # either case of every letter: .png and .PNG are the same kind of file
+    glob = "*.{" + ",".join("".join(f"[{c}{c.upper()}]" for c in e.lstrip(".")) for e in IMAGE_EXTENSIONS) + "}"
     df = (spark.read.format("image").option("dropInvalid", False).option("pathGlobFilter", glob).load(path))
     return df.select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"),
                      F.col("image.width").alias("width"), F.col("image.nChannels").alias("channels"),

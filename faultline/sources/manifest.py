@@ -14,12 +14,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faultline.functions.names import normalize_table_name
+from faultline.functions.names import TABLE_NAME_DROP_FRAGMENTS, normalize_table_name
+from faultline.sources.readers import LOADERS
 
 # Fixed values that must equal the reference behaviour.
 METADATA_WORDS = ("readme", "license", "notes", "description")
 IMAGE_EXTENSIONS = (".png", ".jpg", ".jpeg", ".bmp", ".tiff", ".webp")
-TABULAR_EXTENSIONS = (".csv", ".tsv", ".txt", ".xlsx", ".xls", ".json", ".parquet", ".feather", ".pkl")
 COMPONENT_TABLES = ("telemetry", "machines", "failures", "errors", "maint")
 ZIP_MAGIC = (b"PK\x03\x04", b"PK\x05\x06", b"PK\x07\x08")
 
@@ -63,7 +63,7 @@ def action_expr(stem_lower, ext, head):
     is_zip = head.isin(*[bytearray(m) for m in ZIP_MAGIC])
     return (F.when(meta, "skip_metadata").when(is_zip, "zip")
             .when(ext.isin(*IMAGE_EXTENSIONS), "image")
-            .when(ext.isin(*TABULAR_EXTENSIONS), "tabular").otherwise("unsupported"))
+            .when(ext.isin(*LOADERS), "tabular").otherwise("unsupported"))
 
 
 def file_manifest(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,7 +92,7 @@ def file_manifest(spark: SparkSession, folder: str) -> DataFrame:
 def normalize_table_name_expr(stem):
     """S10 on a column: lower, drop the fixed fragments, trim."""
     s = F.lower(stem)
-    for frag in ("_ingested", "pdm_", "microsoft_azure_pmd_raw_v1_"):
+    for frag in TABLE_NAME_DROP_FRAGMENTS:
         s = F.replace(s, F.lit(frag), F.lit(""))
     return F.trim(s)
 

@@ -8,15 +8,45 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faultline.functions.numeric import nan_to_null
+
 SNIFF_DELIMITERS = (",", "\t", ";", "|")  # fixed: candidates of the text-file sniffer
 SNIFF_LINES = 20
+# Texts that a tabular text file uses for a missing value.
+MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                 "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def missing_to_null(df: DataFrame, texts: tuple[str, ...] = ()) -> DataFrame:
+    """NaN in float columns, and ``texts`` in string columns, become NULL once, at the scan."""
+    def clean(f):
+        c = F.col(f"`{f.name}`")
+        kind = f.dataType.simpleString()
+        if kind in ("double", "float"):
+            return nan_to_null(c).alias(f.name)
+        if kind == "string" and texts:
+            return F.when(F.trim(c).isin(*texts), F.lit(None)).otherwise(c).alias(f.name)
+        return c
+    return df.select(*[clean(f) for f in df.schema])
+
+
+def _numbers_behind_texts(df: DataFrame) -> DataFrame:
+    """Columns that are text only because of missing-value texts get the type of their other values."""
+    names = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+    if not names:
+        return df
+    counts = df.agg(*[F.count(F.col(f"`{n}`")).alias(f"n{i}") for i, n in enumerate(names)],
+                    *[F.count(F.col(f"`{n}`").try_cast("double")).alias(f"d{i}") for i, n in enumerate(names)]).first()
+    numbers = {n for i, n in enumerate(names) if counts[f"n{i}"] and counts[f"n{i}"] == counts[f"d{i}"]}
+    return df.select(*[F.col(f"`{c}`").cast("double").alias(c) if c in numbers else F.col(f"`{c}`") for c in df.columns])
 
 
 def read_csv(spark: SparkSession, path: str, schema=None, sep: str = ",") -> DataFrame:
     """Header row; an explicit schema, else inferred types."""
     r = spark.read.option("header", True).option("sep", sep)
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    return r.csv(path)
+    df = missing_to_null(r.csv(path), MISSING_TEXTS)
+    return df if schema is not None else _numbers_behind_texts(missing_to_null(df))
 
 
 def sniff_delimiter(spark: SparkSession, path: str, n: int = SNIFF_LINES) -> str:
@@ -43,11 +73,11 @@ def read_json(spark: SparkSession, path: str, schema=None) -> DataFrame:
     r = spark.read.option("multiLine", True)
     if schema is not None:
         r = r.schema(schema)
-    return r.json(path)
+    return missing_to_null(r.json(path))
 
 
 def read_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    return spark.read.parquet(path)
+    return missing_to_null(spark.read.parquet(path))
 
 
 def _arrow_to_spark_schema(schema):
@@ -79,7 +109,7 @@ def read_feather(spark: SparkSession, path: str, schema=None) -> DataFrame:
                 for i in range(reader.num_record_batches):
                     yield reader.get_batch(i)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(decode, schema)
+    return missing_to_null(spark.read.format("binaryFile").load(path).select("content").mapInArrow(decode, schema))
 
 
 Loader = Callable[..., DataFrame]

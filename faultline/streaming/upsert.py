@@ -2,16 +2,18 @@
 
 Layout under ``table_path``::
 
-    data/v=<batch>/_bucket=<b>/part-*.parquet   rows of bucket b as of that batch
-    _manifests/b=<batch>/part-*.json           (bucket, version) for every bucket
+    data/v=<commit>/_bucket=<b>/part-*.parquet   rows of bucket b as of that commit
+    _manifests/b=<commit>/part-*.json           (bucket, version, batch, n_buckets) for every bucket
 
 Keys are hashed into ``n_buckets`` buckets. A batch rewrites only the buckets
 its keys fall into: it reads those buckets from the last committed version,
 keeps the last write per key (``max_by`` over the order column: a partial
 aggregate), writes them under its own version and then writes its manifest.
-The manifest is the commit: readers take the newest manifest. A replayed batch
-(same id after a failure) merges against the version before it and overwrites
-its own output, so re-delivery gives the same table.
+The manifest is the commit: readers take the newest manifest. Commits have an
+increasing number of their own, independent of the stream's batch ids: a batch that is
+delivered again - after a failure, or by a new stream that starts over - merges
+against the newest commit, where rows it already holds change nothing and new
+ones are added. The bucket count is stored with the table and stays what it was.
 """
 
 from __future__ import annotations
@@ -49,20 +51,20 @@ def _committed_ids(table_path: str) -> list[int]:
     return sorted(ids)
 
 
-def _committed_manifest(spark: SparkSession, table_path: str, before: int | None = None):
-    """(batch id, {bucket: version}) of the newest commit, optionally older than ``before``."""
-    ids = [i for i in _committed_ids(table_path) if before is None or i < before]
+def _committed_manifest(spark: SparkSession, table_path: str):
+    """(commit, {bucket: version}, bucket count) of the newest commit."""
+    ids = _committed_ids(table_path)
     if not ids:
-        return None, {}
+        return None, {}, None
     last = ids[-1]
-    rows = (spark.read.schema("bucket int, version long")
+    rows = (spark.read.schema("bucket int, version long, n_buckets int")
             .json(os.path.join(table_path, "_manifests", f"b={last}")).collect())  # <= n_buckets rows
-    return last, {r["bucket"]: r["version"] for r in rows}
+    return last, {r["bucket"]: r["version"] for r in rows}, max((r["n_buckets"] or 0 for r in rows), default=0) or None
 
 
 def read_table(spark: SparkSession, table_path: str, schema: str | None = None) -> DataFrame | None:
     """The current snapshot (None before the first commit)."""
-    _, buckets = _committed_manifest(spark, table_path)
+    _, buckets, _ = _committed_manifest(spark, table_path)
     if not buckets:
         return None
     paths = [os.path.join(table_path, "data", f"v={v}", f"_bucket={b}") for b, v in sorted(buckets.items())]
@@ -74,10 +76,13 @@ def upsert_batch(batch: DataFrame, batch_id: int, table_path: str, *, key: str =
                  order_col: str = "_seq", n_buckets: int = DEFAULT_BUCKETS) -> None:
     """Merge one micro-batch into the table (last write wins per ``key`` by ``order_col``).
 
-    ``order_col`` must grow across batches (for example batch id and offset).
+    ``order_col`` must grow across batches (for example batch id and offset). ``n_buckets``
+    counts for a new table only.
     """
     spark = batch.sparkSession
-    prev_id, prev = _committed_manifest(spark, table_path, before=batch_id)
+    last, prev, stored = _committed_manifest(spark, table_path)
+    commit = 0 if last is None else last + 1
+    n_buckets = stored or n_buckets
     b = batch.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(n_buckets)).cast("int"))
     touched = sorted(r[0] for r in b.select("_bucket").distinct().collect())  # <= n_buckets values
     merged = b
@@ -87,7 +92,7 @@ def upsert_batch(batch: DataFrame, batch_id: int, table_path: str, *, key: str =
                                                                           F.lit(n_buckets)).cast("int"))
         merged = old.select(*b.columns).unionByName(b)
     latest = latest_per_key(merged, key, order_col)
-    out = os.path.join(table_path, "data", f"v={batch_id}")
+    out = os.path.join(table_path, "data", f"v={commit}")
     if touched:
         # each bucket is written by up to WRITERS_PER_BUCKET tasks (split by key hash), so a
         # bucket holding a hot share of the keys is not written by a single task
@@ -95,7 +100,7 @@ def upsert_batch(batch: DataFrame, batch_id: int, table_path: str, *, key: str =
         (latest.repartition("_bucket", spread).write.mode("overwrite").partitionBy("_bucket").parquet(out))
     manifest = dict(prev)
     for t in touched:
-        manifest[t] = batch_id
-    rows = [(int(k), int(v)) for k, v in sorted(manifest.items())]
-    (spark.createDataFrame(rows, "bucket int, version long").coalesce(1)
-     .write.mode("overwrite").json(os.path.join(table_path, "_manifests", f"b={batch_id}")))
+        manifest[t] = commit
+    rows = [(int(k), int(v), int(batch_id), int(n_buckets)) for k, v in sorted(manifest.items())]
+    (spark.createDataFrame(rows, "bucket int, version long, batch long, n_buckets int").coalesce(1)
+     .write.mode("overwrite").json(os.path.join(table_path, "_manifests", f"b={commit}")))
