@@ -7,7 +7,8 @@
    numpy buffers (6 bytes each), not as rows.
 3. The nodes left are dealt into groups of similar sets by the minimum of a
    hash over the set; members of a group that reach the threshold with a
-   leader of the group are linked at once.
+   leader of the group are linked at once. The leaders are dealt again, by the
+   minima of several other hashes.
 4. Token-group matrix: nodes of one component, in chunks of bounded size, are a
    group whose row is the union of its members' tokens. A query meets the
    groups that share a prefix token with it (prefix filter: exact for every
@@ -43,7 +44,9 @@ BROADCAST_IDS = 2_000_000  # most ids (16 MB) of a broadcast semi-join
 
 _MULT = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
-_SALTS = [np.uint64(0), np.uint64(0x8EBC6AF09C88C6E3)]
+# The first salt's minimum deals all nodes into groups, the others the leaders of those groups.
+_SALTS = [np.uint64(0), *mix64(np.arange(1, 6, dtype=np.uint64) * _MULT[0])]
+_KEYS = [f"k{i}" for i in range(len(_SALTS))]
 
 
 def shingle_set(text: bytes | None, k: int = WORDS) -> np.ndarray:
@@ -158,7 +161,7 @@ def _token_rows(batches):
             [pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([s.tobytes() for s in sets], pa.binary()),
              *[pa.array([int(mix64(s ^ x).min().astype(np.int64)) for s in sets], pa.int64()) for x in _SALTS]],
-            names=["node", "n", "tok", "k0", "k1"])
+            names=["node", "n", "tok", *_KEYS])
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -179,25 +182,45 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _leaders(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Within one bounded group: each node joins the first leader it links to, or leads itself."""
+    """Within one bounded group: each node and the leader of its component of the group.
+
+    A node that links to no leader leads itself; one that links to several joins their components.
+    """
     pdf = pdf.sort_values("node")
     leaders: list[tuple[int, np.ndarray]] = []
+    up: list[int] = []  # leader -> an earlier leader of its component
     to = []
+
+    def top(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
     for node, tok in zip(pdf["node"], pdf["tok"]):
         t = np.frombuffer(tok, np.uint64)
-        hit = next((x for x, s in leaders if linked(t, s)), None)
-        if hit is None:
+        hits: set[int] = set()
+        for i, (_, s) in enumerate(leaders):
+            if top(i) not in hits and linked(t, s):
+                hits.add(top(i))
+        if not hits:
             leaders.append((node, t))
-        to.append(node if hit is None else hit)
-    return pd.DataFrame({"node": pdf["node"].to_numpy(), "leader": to})
+            up.append(len(up))
+            hits = {len(up) - 1}
+        first = min(hits)
+        for i in hits:
+            up[i] = first
+        to.append(first)
+    return pd.DataFrame({"node": pdf["node"].to_numpy(), "leader": [leaders[top(i)][0] for i in to]})
 
 
-def _group_links(v: DataFrame, key: str) -> DataFrame:
-    """(node, leader) over groups of equal ``key``, large groups split into chunks of about GROUP."""
-    sizes = v.groupBy(key).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    g = (v.select("node", "tok", key).join(sizes, key)
-         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP))))
-    return g.select(key, "chunk", "node", "tok").groupBy(key, "chunk").applyInPandas(_leaders, "node bigint, leader bigint")
+def _group_links(v: DataFrame, keys: list[str]) -> DataFrame:
+    """(node, leader) over groups of equal ``keys``, large groups split into chunks of about GROUP."""
+    sizes = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    g = (v.select("node", "tok", *keys).join(sizes, keys)
+         .withColumn("chunk", F.pmod(F.xxhash64("node", *keys), F.ceil(F.col("members") / GROUP))))
+    return (g.select(*keys, "chunk", "node", "tok").groupBy(*keys, "chunk")
+            .applyInPandas(_leaders, "node bigint, leader bigint"))
 
 
 def _prefixes(hot):
@@ -318,14 +341,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
               .groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
     chosen = stage(chosen, "chosen")
     picked = known.join(broadcast_if_small(chosen, BROADCAST_IDS), "doc_id", "left_semi")
-    v = picked.select("text").mapInArrow(_token_rows, "node bigint, n bigint, tok binary, k0 bigint, k1 bigint")
+    v = picked.select("text").mapInArrow(_token_rows, "node bigint, n bigint, tok binary, " + ", ".join(f"{k} bigint" for k in _KEYS))
     # Ids are normally unique; only repeated ones can give a set twice, and only then are the sets shuffled.
     if sets.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count():
         v = v.dropDuplicates(["node"])
     v = stage(v, "tokens")
-    near0 = stage(_group_links(v, "k0"), "near")
+    near0 = stage(_group_links(v, _KEYS[:1]), "near")
     own = near0.where("node <> leader").select("node")
-    near1 = stage(_group_links(v.join(own, "node", "left_anti"), "k1"), "near")
+    # The leaders meet under several keys, so that copies of one text are one component before queries are made.
+    again = v.join(own, "node", "left_anti").select("node", "tok", F.posexplode(F.array(*_KEYS[1:])).alias("salt", "key"))
+    near1 = stage(_group_links(again, ["salt", "key"]), "near")
     links = near0.union(near1).select(F.col("node").alias("a"), F.col("leader").alias("b")).where("a <> b")
     grouped = stage(_with_components(v.select("node", "n", "tok"), links), "groups")
     cross = stage(_cross_links(grouped), "cross")
