@@ -9,8 +9,9 @@
    hash over the set; members of a group that reach the threshold with a
    leader of the group are linked at once. The leaders are dealt again, by the
    minima of several other hashes.
-4. Token-group matrix: nodes of one component, in chunks of bounded size, are a
-   group whose row is the union of its members' tokens. A query meets the
+4. Token-group matrix: nodes of one component, or single nodes with the same most
+   common prefix token, in chunks of bounded size, are a group whose row is the
+   union of its members' tokens. A query meets the
    groups that share a prefix token with it (prefix filter: exact for every
    pair at the threshold, because two such sets share a token among the first
    ``n - ceil(t n) + 1`` of any common order). The bound
@@ -223,48 +224,78 @@ def _group_links(v: DataFrame, keys: list[str]) -> DataFrame:
             .applyInPandas(_leaders, "node bigint, leader bigint"))
 
 
+def _in_order(s: np.ndarray, late: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, bool]:
+    """Prefix of a set in the order (how common, then hash), and whether it ends with a common token."""
+    p = min(len(s), len(s) - -(-NUM * len(s) // DEN) + 1)
+    if not len(late[0]):
+        return s[:p], False
+    tokens, level = late
+    i = np.searchsorted(tokens, s)
+    i[i == len(tokens)] = len(tokens) - 1
+    how = np.where(tokens[i] == s, level[i], 0)
+    order = np.argsort(how, kind="stable")[:p]
+    return s[order], bool(how[order[-1]])
+
+
+def _bases(hot):
+    """(node, base): a single set with a common token in its prefix belongs to the most common one, others to their component."""
+    def run(batches):
+        for b in batches:
+            base = b.column(3).to_pylist()
+            for i, (blob, members) in enumerate(zip(b.column(2).to_pylist(), b.column(4).to_pylist())):
+                if members == 1:
+                    prefix, common = _in_order(np.frombuffer(blob, np.uint64), hot.value)
+                    if common:
+                        base[i] = int(prefix[-1].astype(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(base, pa.int64())], names=["node", "base"])
+    return run
+
+
 def _prefixes(hot):
-    """(token, node, component, size) of each set's prefix in the order (how common, then hash)."""
+    """The columns of a set but its tokens, once for each token ``t`` of its prefix (without an order: of the set)."""
     def run(batches):
-        late, level = hot.value if hot is not None else (None, None)
         for b in batches:
-            toks, reps = [], []
-            for blob in b.column(2).to_pylist():
-                s = np.frombuffer(blob, np.uint64)
-                p = len(s) - -(-NUM * len(s) // DEN) + 1
-                if late is not None and len(late):
-                    i = np.searchsorted(late, s)
-                    i[i == len(late)] = len(late) - 1
-                    s = s[np.argsort(np.where(late[i] == s, level[i], 0), kind="stable")]
-                toks.append(s[:p])
-                reps.append(min(p, len(s)))
+            toks = [np.frombuffer(x, np.uint64) for x in b.column(2).to_pylist()]
+            if hot is not None:
+                toks = [_in_order(s, hot.value)[0] for s in toks]
             if not toks:
                 continue
-            r = np.repeat(np.arange(len(reps)), reps)
-            t = np.concatenate(toks).astype(np.int64)
-            take = pa.array(r)
-            yield pa.RecordBatch.from_arrays([pa.array(t), b.column(0).take(take), b.column(3).take(take),
-                                              b.column(1).take(take), b.column(4).take(take)],
-                                             names=["t", "node", "comp", "n", "members"])
+            take = pa.array(np.repeat(np.arange(len(toks)), [len(t) for t in toks]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(toks).astype(np.int64)), *(c.take(take) for i, c in enumerate(b.columns) if i != 2)],
+                names=["t", *(n for i, n in enumerate(b.schema.names) if i != 2)])
     return run
 
 
-_PREFIX_SQL = "t bigint, node bigint, comp bigint, n bigint, members bigint"
+_PREFIX_SQL = "t bigint, node bigint, n bigint, comp bigint, members bigint"
 
 
 def _open_groups(key, queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-    """One group of the matrix: bound every query by the token union, open the group if it qualifies."""
+    """One group of the matrix: bound every query by the token union, open the group if it qualifies.
+
+    The union's tokens stand with the members that hold them, so an opened group gives all
+    overlaps of a query at once. A query gets one link to each component it links to.
+    """
     out = []
     if len(queries) and len(members):
-        sets = [(x, np.frombuffer(t, np.uint64)) for x, t in zip(members["node"], members["tok"])]
-        union = distinct(np.concatenate([s for _, s in sets]))
-        for x, t in zip(queries["node"], queries["tok"]):
+        sets = [np.frombuffer(t, np.uint64) for t in members["tok"]]
+        names, comps = members["node"].to_numpy(), members["comp"].to_numpy()
+        size = np.array([len(s) for s in sets])
+        tok = np.concatenate(sets)
+        order = np.argsort(tok, kind="stable")
+        tok, owner = tok[order], np.repeat(np.arange(len(sets)), size)[order]
+        for x, comp, t in zip(queries["node"], queries["comp"], queries["tok"]):
             q = np.frombuffer(t, np.uint64)
-            if DEN * overlap(q, union) < NUM * len(q):
+            low, high = np.searchsorted(tok, q, "left"), np.searchsorted(tok, q, "right")
+            many = high - low
+            if DEN * np.count_nonzero(many) < NUM * len(q):
                 continue
-            hit = next((y for y, s in sets if linked(q, s)), None)
-            if hit is not None:
-                out.append((x, hit))
+            at = np.arange(many.sum()) + np.repeat(low - np.r_[0, np.cumsum(many)[:-1]], many)
+            both = np.bincount(owner[at], minlength=len(sets))
+            hit = np.flatnonzero((DEN * both >= NUM * (len(q) + size - both)) & (comps != comp))
+            if len(hit):
+                _, first = np.unique(comps[hit], return_index=True)
+                out += [(x, y) for y in names[hit[first]].tolist()]
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
@@ -280,11 +311,8 @@ def _cross_links(v: DataFrame) -> DataFrame:
     """Links between different components of ``v(node, n, tok, comp, members)``: none is missed."""
     spark = v.sparkSession
 
-    def groups_of(post):
-        return post.groupBy("t", "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"),
-                                             F.max("members").alias("members"))
-
-    cells = groups_of(v.mapInArrow(_prefixes(None), _PREFIX_SQL))
+    # Counted over whole sets: a token that no prefix by hash holds may enter one once others are moved to the end.
+    cells = v.mapInArrow(_prefixes(None), _PREFIX_SQL).select("t", "comp").distinct()
     per_token = stage(cells.groupBy("t").agg(F.count(F.lit(1)).alias("groups")).where(f"groups > {HOT_GROUPS}"), "hot")
     limit = HOT_GROUPS
     while per_token.where(f"groups > {limit}").count() > HOT_TABLE:
@@ -294,29 +322,33 @@ def _cross_links(v: DataFrame) -> DataFrame:
     by_hash = np.argsort(tokens)
     # Half octaves of how common a token is; below the limit all are alike.
     hot = spark.sparkContext.broadcast((tokens[by_hash], (2 * np.log2(groups[by_hash])).astype(np.uint8)))
-    post = v.mapInArrow(_prefixes(hot), _PREFIX_SQL)
-    cells = groups_of(post)
-    live = cells.groupBy("t").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("t")
+    # Groups of the matrix: bases cut by a hash into chunks of about GROUP members.
+    base = stage(v.mapInArrow(_bases(hot), "node bigint, base bigint"), "bases")
+    place = (base.join(base.groupBy("base").agg(F.count(F.lit(1)).alias("held")), "base")
+             .select("node", "held", F.xxhash64("base", F.pmod(F.xxhash64("node"), F.ceil(F.col("held") / GROUP))).alias("grp")))
+    v = stage(v.join(place, "node").select("node", "n", "tok", "comp", "members", "held", "grp"), "placed")
+    post = v.mapInArrow(_prefixes(hot), _PREFIX_SQL + ", held bigint, grp bigint")
+    cells = post.groupBy("t", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("held").alias("held"),
+                                         F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    live = cells.groupBy("t").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1")).where("c0 <> c1").select("t")
     q = post.join(live, "t", "left_semi").alias("q")
     c = cells.join(live, "t", "left_semi").alias("c")
+    # Of two groups with a token in common, the smaller one's members ask the larger; members of one group ask it.
     cand = stage(
         q.join(c, F.col("q.t") == F.col("c.t"))
-        .where("q.comp <> c.comp and struct(q.members, q.comp) < struct(c.members, c.comp)")
+        .where("q.grp = c.grp or struct(q.held, q.grp) < struct(c.held, c.grp)")
+        .where("c.c0 <> q.comp or c.c1 <> q.comp")
         .where(f"{NUM} * q.n <= {DEN} * c.high and {NUM} * c.low <= {DEN} * q.n")
-        .select("q.node", F.col("c.comp").alias("comp")).distinct(), "candidates")
-    wanted = cand.groupBy("comp").agg(F.count(F.lit(1)).alias("queries"))
-    members = (v.join(wanted, "comp").withColumn("chunks", F.ceil(F.col("members") / GROUP))
-               .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+        .select("q.node", F.col("c.grp").alias("grp")).distinct(), "candidates")
+    wanted = cand.groupBy("grp").agg(F.count(F.lit(1)).alias("queries"))
+    members = (v.join(wanted, "grp")
                .withColumn("lot", F.explode(F.expr("sequence(0L, cast(floor((queries - 1) / 4096) as bigint))"))))
-    sizes = v.select("comp", "members").distinct()
-    queries = (cand.join(wanted, "comp").join(sizes, "comp")
-               .withColumn("lot", F.pmod(F.xxhash64("node"), F.ceil(F.col("queries") / 4096)))
-               .withColumn("chunk", F.explode(F.expr(f"sequence(0L, cast(ceil(members / {GROUP}) - 1 as bigint))")))
-               .join(v.select("node", "tok"), "node"))
-    keys = ["comp", "chunk", "lot"]
+    queries = (cand.join(wanted, "grp").withColumn("lot", F.pmod(F.xxhash64("node"), F.ceil(F.col("queries") / 4096)))
+               .join(v.select("node", "comp", "tok"), "node"))
 
     def keyed(d):
-        return d.select(*[F.col(k).cast("bigint").alias(k) for k in keys], "node", "tok").groupBy(*keys)
+        return (d.select(*[F.col(k).cast("bigint").alias(k) for k in ("grp", "lot", "node", "comp")],
+                         F.col("tok").alias("tok")).groupBy("grp", "lot"))
 
     return keyed(queries).cogroup(keyed(members)).applyInPandas(_open_groups, "a bigint, b bigint")
 
