@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,13 +36,36 @@ def prepare(spark: SparkSession) -> None:
 _HELD: dict = {}
 
 
+def let_go() -> None:
+    """Drop the tables of an earlier operator and give freed memory back to the system."""
+    _HELD.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system: a reused worker would keep it while others need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def lean(run):
+    """``run`` over batches for ``mapInArrow``: starts without earlier tables, ends with freed memory given back."""
+    def own(batches):
+        let_go()
+        yield from run(batches)
+        give_back()
+    return own
+
+
 def held(kind: str, key, build):
     """What a worker builds once and keeps between batches: one thing at a time.
 
     Python workers are reused, so the tables of an earlier operator would otherwise stay in memory.
     """
     if _HELD.get("key") != (kind, key):
-        _HELD.clear()
+        let_go()
         _HELD.update(value=build(), key=(kind, key))
     return _HELD["value"]
 

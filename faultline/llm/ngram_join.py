@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import distinct, h64, mix64, partitions_of, prepare, same_or_new, stage, word_hashes
+from faultline.llm.common import distinct, give_back, h64, lean, mix64, partitions_of, prepare, same_or_new, stage, word_hashes
 from faultline.llm.components import components
 from faultline.session import broadcast_if_small
 
@@ -123,18 +123,25 @@ def _shared_counts(key, pdf: pd.DataFrame) -> pd.DataFrame:
     """One token partition: per batch, how many tokens of each node occur in another node too."""
     nodes = [np.frombuffer(x, np.int64) for x in pdf["nodes"]]
     off = np.cumsum([0] + [len(x) for x in nodes])
-    tok = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["tok"]])
-    own = np.concatenate([np.frombuffer(x, np.uint16).astype(np.int64) + o for x, o in zip(pdf["idx"], off)])
+    # Token and owner in one integer, sorted in place: an order and its copies would take four times the memory.
+    both = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["tok"]]).astype(np.uint64)
+    both <<= np.uint64(32)
+    at = 0
+    for x, o in zip(pdf["idx"], off):
+        x = np.frombuffer(x, np.uint16)
+        both[at:at + len(x)] |= x + np.uint64(o)
+        at += len(x)
     # The same node met in two batches is one document set, not two.
     _, ident = np.unique(np.concatenate(nodes), return_inverse=True)
-    order = np.argsort(tok, kind="stable")
-    tok, own = tok[order], own[order]
-    new = np.r_[True, tok[1:] != tok[:-1]]
-    run = np.cumsum(new) - 1
-    first = np.flatnonzero(new)
-    who = ident[own]
-    low, high = np.minimum.reduceat(who, first), np.maximum.reduceat(who, first)
-    shared = (low != high)[run]
+    both.sort()
+    own = both.astype(np.uint32)
+    both >>= np.uint64(32)
+    first = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
+    del both
+    who = ident.astype(np.uint32)[own]
+    shared = np.minimum.reduceat(who, first) != np.maximum.reduceat(who, first)
+    del who
+    shared = np.repeat(shared, np.diff(np.r_[first, len(own)]))
     cnt = np.bincount(own[shared], minlength=off[-1]).astype(np.uint32)
     out = []
     for i, (b, sizes) in enumerate(zip(pdf["b"], pdf["sizes"])):
@@ -142,6 +149,8 @@ def _shared_counts(key, pdf: pd.DataFrame) -> pd.DataFrame:
         k = c > 0
         if k.any():
             out.append((b, nodes[i][k].tobytes(), c[k].tobytes(), np.frombuffer(sizes, np.uint32)[k].tobytes()))
+    del own, shared, first
+    give_back()
     return pd.DataFrame(out, columns=["b", "nodes", "cnt", "sizes"])
 
 
@@ -312,7 +321,7 @@ def _cross_links(v: DataFrame) -> DataFrame:
     spark = v.sparkSession
 
     # Counted over whole sets: a token that no prefix by hash holds may enter one once others are moved to the end.
-    cells = v.mapInArrow(_prefixes(None), _PREFIX_SQL).select("t", "comp").distinct()
+    cells = v.mapInArrow(lean(_prefixes(None)), _PREFIX_SQL).select("t", "comp").distinct()
     per_token = stage(cells.groupBy("t").agg(F.count(F.lit(1)).alias("groups")).where(f"groups > {HOT_GROUPS}"), "hot")
     limit = HOT_GROUPS
     while per_token.where(f"groups > {limit}").count() > HOT_TABLE:
@@ -323,11 +332,11 @@ def _cross_links(v: DataFrame) -> DataFrame:
     # Half octaves of how common a token is; below the limit all are alike.
     hot = spark.sparkContext.broadcast((tokens[by_hash], (2 * np.log2(groups[by_hash])).astype(np.uint8)))
     # Groups of the matrix: bases cut by a hash into chunks of about GROUP members.
-    base = stage(v.mapInArrow(_bases(hot), "node bigint, base bigint"), "bases")
+    base = stage(v.mapInArrow(lean(_bases(hot)), "node bigint, base bigint"), "bases")
     place = (base.join(base.groupBy("base").agg(F.count(F.lit(1)).alias("held")), "base")
              .select("node", "held", F.xxhash64("base", F.pmod(F.xxhash64("node"), F.ceil(F.col("held") / GROUP))).alias("grp")))
     v = stage(v.join(place, "node").select("node", "n", "tok", "comp", "members", "held", "grp"), "placed")
-    post = v.mapInArrow(_prefixes(hot), _PREFIX_SQL + ", held bigint, grp bigint")
+    post = v.mapInArrow(lean(_prefixes(hot)), _PREFIX_SQL + ", held bigint, grp bigint")
     cells = post.groupBy("t", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("held").alias("held"),
                                          F.min("comp").alias("c0"), F.max("comp").alias("c1"))
     live = cells.groupBy("t").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1")).where("c0 <> c1").select("t")
@@ -363,17 +372,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     docs = same_or_new(docs, [("doc_id", "bigint"), ("text", "binary")])
-    sets = stage(docs.mapInArrow(_sets, "doc_id bigint, n_shingles bigint, node bigint"), "sets")
+    sets = stage(docs.mapInArrow(lean(_sets), "doc_id bigint, n_shingles bigint, node bigint"), "sets")
     known = docs.where("doc_id is not null and text is not null")
     parts = partitions_of(docs) * 2
-    packed = known.select("text").mapInArrow(_packed(parts), _PACKED_SQL)
+    packed = known.select("text").mapInArrow(lean(_packed(parts)), _PACKED_SQL)
     counts = packed.groupBy("p").applyInPandas(_shared_counts, "b bigint, nodes binary, cnt binary, sizes binary")
     viable = stage(counts.groupBy("b").applyInPandas(_viable, "node bigint").distinct(), "viable")
     chosen = (sets.where("node is not null and doc_id is not null").join(viable, "node", "left_semi")
               .groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
     chosen = stage(chosen, "chosen")
     picked = known.join(broadcast_if_small(chosen, BROADCAST_IDS), "doc_id", "left_semi")
-    v = picked.select("text").mapInArrow(_token_rows, "node bigint, n bigint, tok binary, " + ", ".join(f"{k} bigint" for k in _KEYS))
+    v = picked.select("text").mapInArrow(lean(_token_rows), "node bigint, n bigint, tok binary, " + ", ".join(f"{k} bigint" for k in _KEYS))
     # Ids are normally unique; only repeated ones can give a set twice, and only then are the sets shuffled.
     if sets.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count():
         v = v.dropDuplicates(["node"])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.byte_bpe import read_ranks, vocabulary_path
-from faultline.llm.common import h64, prepare, same_or_new
+from faultline.llm.common import h64, lean, prepare, same_or_new
 from faultline.session import scratch_path
 
 TRAIN_DOCS = 2000  # expected number of documents that labelled findings are drawn from
@@ -281,7 +281,7 @@ def scan(docs: DataFrame, model: dict) -> DataFrame:
     """
     prepare(docs.sparkSession)
     d = same_or_new(docs, [("doc_id", "bigint"), ("text", "string"), ("source", "string")])
-    return d.mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(model)), _FOUND)
+    return d.mapInArrow(lean(_scan(docs.sparkSession.sparkContext.broadcast(model))), _FOUND)
 
 
 def _redact(shared, text_at, path_at, chars_at):
@@ -319,5 +319,5 @@ def redact(docs: DataFrame, model: dict) -> DataFrame:
     low = [n.lower() for n in names]
     tagged = docs.toDF(*[f"c{i}" for i in range(len(names))])
     at = [low.index(n) if n in low else None for n in ("text", "source", "n_chars")]
-    out = tagged.mapInArrow(_redact(docs.sparkSession.sparkContext.broadcast(model), *at), tagged.schema)
+    out = tagged.mapInArrow(lean(_redact(docs.sparkSession.sparkContext.broadcast(model), *at)), tagged.schema)
     return out.toDF(*names)
