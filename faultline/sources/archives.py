@@ -12,6 +12,7 @@ import io
 import logging
 import os
 import zipfile
+import zlib
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -37,23 +38,30 @@ def _member_action(name: str) -> str:
     return "unsupported"
 
 
+def _member_row(z: zipfile.ZipFile, info: zipfile.ZipInfo, path: str) -> tuple:
+    """One member; a member that can't be read (bad checksum, encrypted, broken data) is an error row of its own."""
+    name = os.path.basename(info.filename)
+    stem, ext = os.path.splitext(name)
+    action, data, error = _member_action(name), None, None
+    if action in ("tabular", "image"):
+        try:
+            data = z.read(info)
+        except (zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError, EOFError) as e:
+            action, error = "error", str(e)
+    return path, info.filename, name, stem, ext.lower(), action, data, error
+
+
 def _explode_archives(it):
+    columns = ["archive", "member", "name", "stem", "ext", "action", "content", "error"]
     for pdf in it:
-        rows = []
         for path, content in zip(pdf["path"], pdf["content"]):
             try:
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for info in z.infolist():
-                        if info.is_dir():
-                            continue
-                        name = os.path.basename(info.filename)
-                        stem, ext = os.path.splitext(name)
-                        action = _member_action(name)
-                        data = z.read(info) if action in ("tabular", "image") else None
-                        rows.append((path, info.filename, name, stem, ext.lower(), action, data, None))
+                    for info in z.infolist():  # a row at a time: one member's bytes are held, not all
+                        if not info.is_dir():
+                            yield pd.DataFrame([_member_row(z, info, path)], columns=columns)
             except zipfile.BadZipFile as e:
-                rows.append((path, None, None, None, None, "error", None, str(e)))
-        yield pd.DataFrame(rows, columns=["archive", "member", "name", "stem", "ext", "action", "content", "error"])
+                yield pd.DataFrame([(path, None, None, None, None, "error", None, str(e))], columns=columns)
 
 
 def archive_members(spark: SparkSession, path: str) -> DataFrame:

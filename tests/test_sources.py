@@ -112,3 +112,16 @@ def test_sinks_and_params(spark, tmpdir_path):
     params = fit_scaler(spark.createDataFrame([(1.0,), (3.0,)], "a double"), ["a"])
     save_params(params, f"{tmpdir_path}/scaler")
     assert load_scaler_params(spark, f"{tmpdir_path}/scaler") == {"a": (2.0, 1.0)}
+
+
+def test_bad_member_leaves_the_others(spark, tmp_path):
+    from faultline.sources.archives import archive_members
+    path = tmp_path / "bad.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for n in ("a.csv", "b.csv", "c.csv"):
+            z.writestr(n, f"k\n{n}-value\n")
+    raw = path.read_bytes()
+    path.write_bytes(raw.replace(b"b.csv-value", b"b.csv-VALUE"))  # checksum of one member no longer fits
+    got = {r["member"]: r for r in archive_members(spark, str(path)).collect()}
+    assert {m: r["action"] for m, r in got.items()} == {"a.csv": "tabular", "b.csv": "error", "c.csv": "tabular"}
+    assert got["b.csv"]["error"] and bytes(got["c.csv"]["content"]) == b"k\nc.csv-value\n"
