@@ -30,11 +30,20 @@ WINDOW = 48  # characters looked at on either side of a candidate
 MARK = "[secret]"
 
 _KEY = r"(?:token|secret|passw(?:or)?d|passwd|pwd|api_?key|access_?key|private_?key|credentials?|auth(?:orization)?|bearer)"
-_ASSIGNED = re.compile(_KEY + r"[\w.-]{0,20}[\"']?\s{0,3}(?::=|=>|[=:])\s{0,3}[\"'`]?([^\s\"'`,;<>]{8,})", re.I)
+#: A secret's name up to its value, which starts at the end of the match.
+_ASSIGNED = re.compile(_KEY + r"[\w.-]{0,20}[\"']?\s{0,3}(?::=|=>|[=:])\s{0,3}[\"'`]?(?=[^\s\"'`,;<>]{8})", re.I)
+#: Such a value ends where the next parameter of a URL query or form starts.
+_VALUE = re.compile(r"(?:[^\s\"'`,;<>&]|&(?![\w.%\[\]-]+=))+")
 _RUN = re.compile(r"[A-Za-z0-9+/_=.\-]{16,}")
 #: Prefixes by which issuers mark their keys (fixed values).
-_ISSUED = re.compile(r"AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}"
-                     r"|AIza[0-9A-Za-z_-]{35}|[sr]k_live_[0-9A-Za-z]{16,}|eyJ[\w-]{10,}\.[\w-]{10,}\.[\w-]*")
+_PREFIXED = (r"AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+             r"|AIza[0-9A-Za-z_-]{35}|[sr]k_live_[0-9A-Za-z]{16,}")
+_ISSUED = re.compile(_PREFIXED + r"|eyJ[\w-]{10,}\.[\w-]{10,}\.[\w-]*")
+_PREFIXED_ANYWHERE = re.compile(_PREFIXED)
+#: One of these is in every such key.
+_PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "AIza", "k_live_")
+_JWT_PART = re.compile(r"[\w-]*")
+_KEY_REST = re.compile(r"[A-Za-z0-9_-]*")
 _PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----", re.S)
 _SECRET_WORD = re.compile(_KEY, re.I)
 _PLAIN_WORD = re.compile(r"\b(?:sha\d*|md5|hash|checksum|commit|digest|uuid|guid|id|example|placeholder|test|card|mail|email|ip|version)\b", re.I)
@@ -44,21 +53,98 @@ FEATURES = ["length", "digits", "upper", "lower", "other", "hex", "entropy", "tr
             "secret_word", "plain_word", "assigned", "quoted", "at_sign", "dots", "repeats", "path"]
 
 
+def _issued(text: str) -> list[tuple[int, int]]:
+    """Issued keys wherever they stand, each with the key characters after it."""
+    found = []
+    if any(x in text for x in _PREFIXES):
+        found = [m.span() for m in _PREFIXED_ANYWHERE.finditer(text)]
+    at = text.find("eyJ")
+    while at >= 0:  # the first "eyJ" of a part decides for all of the part
+        end = _JWT_PART.match(text, at).end()
+        m = _ISSUED.match(text, at) if text[end:end + 1] == "." else None
+        if m:
+            found.append(m.span())
+            end = m.end()
+        at = text.find("eyJ", end)
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(found):
+        if not out or s >= out[-1][1]:
+            out.append((s, max(e, _KEY_REST.match(text, e).end())))
+    return out
+
+
+def _assigned(text: str) -> list[tuple[int, int]]:
+    """Values given to a secret's name; one that holds a further name and value comes after that one."""
+    out, end = [], 0
+    for m in _ASSIGNED.finditer(text):
+        if m.end() >= end:
+            got = _VALUE.match(text, m.end())
+            end = got.end() if got else m.end()
+        out.append((m.end(), end))
+    return out[::-1]
+
+
+def _is_base64(s: str) -> bool:
+    """Whether the '/' in a run are digits of base64: mixed characters and no word or digest between two of them."""
+    parts = s.rstrip("=").split("/")
+    if not re.fullmatch(r"[A-Za-z0-9+/]+={0,2}", s) or "" in parts[:-1]:
+        return False
+    mixed = lambda x: x.lower() != x != x.upper()
+    return mixed(s) and all(p.lower() not in dictionary() and (len(p) < 16 or mixed(p)) for p in parts)
+
+
+def _runs(text: str) -> list[tuple[int, int]]:
+    """Runs of key characters, cut at '=' other than padding and at '/' other than in base64."""
+    out = []
+    for m in _RUN.finditer(text):
+        for part in re.finditer(r"[^=]+(?:=+$)?", m.group()):
+            s, at = part.group(), m.start() + part.start()
+            if "/" not in s or _is_base64(s):
+                out.append((at, at + len(s)))
+            else:
+                out += [(at + p.start(), at + p.end()) for p in re.finditer(r"[^/]+", s)]
+    return out
+
+
 def candidates(text: str | None) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of every candidate, in text order, none inside another."""
+    """(start, end, kind) of every candidate, in text order, none inside another.
+
+    Key blocks come first, then issued keys wherever they stand, assigned values and plain runs;
+    what an earlier kind leaves of a later one is a candidate if it is long enough.
+    """
     if not text:
         return []
-    found = [(m.start(), m.end(), "key block") for m in _PEM.finditer(text)] if "-----BEGIN" in text else []
-    found += [(m.start(1), m.end(1), "assigned") for m in _ASSIGNED.finditer(text)]
-    for m in _RUN.finditer(text):
-        s = m.group().rstrip(".=-") if m.group()[-1] in ".-" else m.group()
-        if any(c.isdigit() for c in s) and len(s) >= 16:
-            found.append((m.start(), m.start() + len(s), "issued" if _ISSUED.match(s) else "run"))
-    out: list[tuple[int, int, str]] = []
-    for s, e, k in sorted(found, key=lambda x: (x[0], -x[1])):
-        if not out or s >= out[-1][1]:
-            out.append((s, e, k))
-    return out
+    taken: list[tuple[int, int, str]] = []
+
+    def add(kind, spans, least):
+        free, k = [], 0
+        for s, e in sorted(spans):
+            while k < len(taken) and taken[k][1] <= s:
+                k += 1
+            i, at = k, s
+            while i < len(taken) and taken[i][0] < e:
+                free.append((at, taken[i][0]))
+                at = max(at, taken[i][1])
+                i += 1
+            free.append((at, e))
+        for s, e in free:
+            if kind == "run" and e > s and text[e - 1] in ".-":
+                e = s + len(text[s:e].rstrip(".=-"))
+            if e - s >= least and (kind != "run" or any(c.isdigit() for c in text[s:e])):
+                taken.append((s, e, kind))
+        taken.sort()
+
+    if "-----BEGIN" in text:
+        add("key block", [m.span() for m in _PEM.finditer(text)], 1)
+    add("issued", _issued(text), 15)
+    inner = None
+    spans = []
+    for s, e in _assigned(text):  # from the right: an outer value ends where the inner one starts
+        spans.append((s, min(e, inner) if inner is not None else e))
+        inner = s
+    add("assigned", spans, 8)
+    add("run", _runs(text), 16)
+    return taken
 
 
 _DICTIONARY: dict = {}
@@ -137,6 +223,11 @@ def _made_up(seed: str, n: int, alphabet: str) -> str:
 _BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 
+#: Prefix, alphabet and size of made-up issued keys.
+_MADE_UP_ISSUED = (("AKIA", _BASE64[:26] + "0123456789", 16), ("ghp_", _BASE64[:62], 36),
+                   ("xoxb-", "0123456789", 24), ("sk_live_", _BASE64[:62], 24))
+
+
 def labelled(text: str, path: str | None) -> list[tuple[str, str, str, str | None, float]]:
     """Labelled findings (candidate, before, after, path, label) that one document gives.
 
@@ -144,6 +235,7 @@ def labelled(text: str, path: str | None) -> list[tuple[str, str, str, str | Non
     of words, or with an issuer's prefix - a secret; any other run - none. Contrasts share
     one of the two: a made-up key in the same place, a plain word as the value, and a
     made-up digest without a secret's name. The forest must weigh value and place together.
+    A made-up key with an issuer's prefix is a secret in any place.
     """
     words, out = dictionary(), []
     for s, e, kind in candidates(text):
@@ -164,6 +256,10 @@ def labelled(text: str, path: str | None) -> list[tuple[str, str, str, str | Non
         out.append(((word * 4)[:max(8, size // 2)], before, after, path, 0.0))
         out.append((f"{word}-{plain[k // 3 % len(plain)]}", before, after, path, 0.0))
         out.append((_made_up(seed + "d", 40, "0123456789abcdef"), f"{word} {('commit', 'sha256', 'checksum')[k % 3]} ", f" {word}", path, 0.0))
+        out.append((_made_up(seed + "e", 40, "0123456789abcdef"), f"{word} {('commit', 'sha256', 'checksum')[k % 3]}=", f" {word}", path, 0.0))
+        prefix, alphabet, size = _MADE_UP_ISSUED[k // 11 % len(_MADE_UP_ISSUED)]
+        place = (f"{word} ", f"https://{word}.com/", f"{word}=", f"{word} {word}", f"{word}?{name}=", f'{word}: "')[k // 13 % 6]
+        out.append((prefix + _made_up(seed + "i", size, alphabet), place, f" {word}", path, 1.0))
         out.append((_made_up(seed + "n", 16, "0123456789"), f"{word} ", f" {word}", path, 0.0))
     return out
 
