@@ -4,12 +4,12 @@ P(word | previous) = P(class | previous class) * P(word | class), both smoothed.
 
 1. Word counts of the training texts, over the whole corpus: packed hash and
    count buffers, summed per hash partition and written once.
-2. Word types: the most frequent words are types of their own, every other word
-   belongs to the type of its ending, so each word has a type whatever the corpus
-   size. Type bigrams are counted over all training texts; the table is
-   at most ``(WORD_TYPES + ENDINGS + 2) ** 2`` cells.
-3. Exchange clustering: every type in turn moves to the class that raises the
-   class-bigram likelihood most, until no move helps or ``ROUNDS`` are over.
+2. Word types: every word that occurs ``FLOOR`` times is a type of its own, so the list grows with the
+   corpus; a rarer word belongs to the type of its ending. The texts are written once as type numbers.
+3. Clustering: the ``WORD_TYPES`` most frequent words and the endings are exchanged one at a time, to
+   the class that raises the class-bigram likelihood most, until no move helps. Every other type then
+   moves by its own class-bigram counts, summed per type by a shuffle, round after round until the likelihood
+   rises by less than ``LEAST_RISE`` of the total.
 4. Scoring: class terms and the counts of frequent words are known where a text is
    read. The other words travel as packed buffers to the partition that holds their counts; the
    sums come back per text.
@@ -27,12 +27,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import byte_values, held_out, mix64, partitions_of, prepare, same_or_new, stage, word_spans
+from faultline.llm.common import byte_values, held_out, lean, mix64, partitions_of, prepare, same_or_new, stage, word_spans
 
-WORD_TYPES = 3000
+WORD_TYPES = 3000  # words that are exchanged one at a time
+FLOOR = 20  # occurrences from which a word is a type of its own
 ENDINGS = 1000
 CLASSES = 48
-ROUNDS = 4
+LEAST_RISE = 1e-5
+TYPES_A_GROUP = 20_000  # class counts of so many types are summed in one group
+TOKENS_AT_ONCE = 1 << 19
+CELLS_AT_ONCE = 1 << 23  # class counts up to this size are tallied without a sort
 ADD = 0.1  # added to counts, in the base and in the class emissions
 BACKOFF = 20.0  # weight of the class unigram in the class transitions
 
@@ -115,10 +119,11 @@ def _level(n: np.ndarray) -> np.ndarray:
 def _above(level: int):
     def run(batches):
         for b in batches:
-            for h, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                h, n = np.frombuffer(h, np.uint64), np.frombuffer(n, np.int64)
+            for h, e, n in zip(*(c.to_pylist() for c in b.columns)):
+                h, e, n = np.frombuffer(h, np.uint64), np.frombuffer(e, np.uint16), np.frombuffer(n, np.int64)
                 k = _level(n) >= level
-                yield pa.RecordBatch.from_arrays([pa.array(h[k].astype(np.int64)), pa.array(n[k])], names=["h", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[k].astype(np.int64)), pa.array(e[k].astype(np.int32)), pa.array(n[k])],
+                                                 names=["h", "e", "n"])
     return run
 
 
@@ -142,24 +147,46 @@ class Types:
         return np.where(known, i, len(self.frequent) + e), known, i
 
 
-def _bigrams(frequent):
-    """Type bigrams of a task's texts, one row per first type: packed second types and counts."""
+def _sequences(frequent):
+    """Type numbers of each batch of texts, one text after another with its start and end."""
     def run(batches):
         types = Types(frequent.value)
-        keys, nums = np.empty(0, np.int64), np.empty(0, np.int64)
         for b in batches:
-            part = []
-            for t in b.column(0).to_pylist():
-                h, e = tokens(t)
-                w = np.r_[types.start, types.of(h, e)[0], types.end]
-                part.append(w[:-1] * types.count + w[1:])
+            part = [np.r_[types.start, types.of(*tokens(t))[0], types.end].astype(np.uint32) for t in b.column(0).to_pylist()]
             if part:
-                u, n = np.unique(np.concatenate(part), return_counts=True)
-                allk, alln = np.concatenate([keys, u]), np.concatenate([nums, n])
-                keys, inv = np.unique(allk, return_inverse=True)
-                nums = np.bincount(inv, weights=alln).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(part).tobytes()], pa.binary())], names=["s"])
+    return run
+
+
+def _pairs_of(batches, end: int):
+    """First and second types of the bigrams, about ``TOKENS_AT_ONCE`` of them together."""
+    held, size = [], 0
+    for b in batches:
+        for blob in b.column(0).to_pylist():
+            s = np.frombuffer(blob, np.uint32).astype(np.int64)
+            own = s[:-1] != end  # no bigram from one text to the next
+            held.append((s[:-1][own], s[1:][own]))
+            size += len(s)
+            if size >= TOKENS_AT_ONCE:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
+def _bigrams(shared):
+    """Core type bigrams of a task's texts, one row per first type: packed second types and counts."""
+    def run(batches):
+        core = shared.value
+        count = int(core.max()) + 1
+        keys, nums = np.empty(0, np.int64), np.empty(0, np.int64)
+        for a, c in _pairs_of(batches, len(core) - 1):
+            u, n = np.unique(core[a] * count + core[c], return_counts=True)
+            allk, alln = np.concatenate([keys, u]), np.concatenate([nums, n])
+            keys, inv = np.unique(allk, return_inverse=True)
+            nums = np.bincount(inv, weights=alln).astype(np.int64)
         if len(keys):
-            a, c = keys // types.count, (keys % types.count).astype(np.uint16)
+            a, c = keys // count, (keys % count).astype(np.uint16)
             cut = np.r_[0, np.flatnonzero(np.diff(a)) + 1, len(a)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a[cut[:-1]].astype(np.int32)),
@@ -179,12 +206,24 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
 
 
+def _join_gain(table: np.ndarray, r: np.ndarray, l: np.ndarray, itself: float) -> np.ndarray:
+    """The gain of joining each class c: its row gets r, its column l, its own cell both and the pairs of the type with itself."""
+    i, j = np.flatnonzero(r), np.flatnonzero(l)  # other cells stay as they are
+    cols, rows = table[:, i], table[j]
+    gain = (_xlogx(cols + r[i]) - _xlogx(cols)).sum(axis=1) + (_xlogx(rows + l[j][:, None]) - _xlogx(rows)).sum(axis=0)
+    d = np.diag(table)
+    gain += _xlogx(d + r + l + itself) - _xlogx(d + r) - _xlogx(d + l) + _xlogx(d)
+    out, into = table.sum(axis=1), table.sum(axis=0)
+    a, b = r.sum() + itself, l.sum() + itself
+    return gain - (_xlogx(out + a) - _xlogx(out) + _xlogx(into + b) - _xlogx(into))
+
+
 def exchange(pairs: dict[int, tuple[np.ndarray, np.ndarray]], types: int, fixed: tuple[int, int],
-             classes: int = CLASSES, rounds: int = ROUNDS) -> np.ndarray:
+             classes: int = CLASSES) -> np.ndarray:
     """Class of each type. Start and end have classes of their own (the last two).
 
     Moves one type at a time, most frequent first, to the class with the largest
-    ``sum N(c,d) log N(c,d) - 2 sum N(c) log N(c)``.
+    ``sum N(c,d) log N(c,d) - 2 sum N(c) log N(c)``, until no move helps.
     """
     right = [(np.empty(0, np.int64), np.empty(0))] * types
     rows = [[] for _ in range(types)]
@@ -205,7 +244,8 @@ def exchange(pairs: dict[int, tuple[np.ndarray, np.ndarray]], types: int, fixed:
     table = np.zeros((k, k))
     for a, (c, n) in enumerate(right):
         np.add.at(table, (cls[a], cls[c]), n)
-    for _ in range(rounds):
+    moved = 1
+    while moved:
         moved = 0
         for w in order:
             old = cls[w]
@@ -218,13 +258,7 @@ def exchange(pairs: dict[int, tuple[np.ndarray, np.ndarray]], types: int, fixed:
             table[old] -= r
             table[:, old] -= l
             table[old, old] -= itself
-            # The gain of joining class c: its row gets r, its column l, its own cell both and the pairs w-w.
-            gain = (_xlogx(table + r) - _xlogx(table)).sum(axis=1) + (_xlogx(table + l[:, None]) - _xlogx(table)).sum(axis=0)
-            d = np.diag(table)
-            gain += _xlogx(d + r + l + itself) - _xlogx(d + r) - _xlogx(d + l) + _xlogx(d)
-            out, into = table.sum(axis=1), table.sum(axis=0)
-            a, b = r.sum() + itself, l.sum() + itself
-            gain -= _xlogx(out + a) - _xlogx(out) + _xlogx(into + b) - _xlogx(into)
+            gain = _join_gain(table, r, l, itself)
             best = int(np.argmax(gain[:classes]))
             if gain[best] <= gain[old] + 1e-9:
                 best = old
@@ -233,12 +267,121 @@ def exchange(pairs: dict[int, tuple[np.ndarray, np.ndarray]], types: int, fixed:
             table[best] += r
             table[:, best] += l
             table[best, best] += itself
-        if not moved:
-            break
     return cls
 
 
-def fit(docs: DataFrame, word_types: int = WORD_TYPES, classes: int = CLASSES) -> dict:
+def _class_counts(shared, parts: int, k: int):
+    """Per type, dealt by type: bigrams with each class to its right and left, and with itself; the class table in group -1."""
+    def run(batches):
+        cls = shared.value.astype(np.int64)
+        types, width, table = len(cls) - 2, 2 * k + 1, np.zeros(k * k, np.int64)
+        for a, b in _pairs_of(batches, len(cls) - 1):
+            table += np.bincount(cls[a] * k + cls[b], minlength=k * k)
+            keys = np.concatenate([a * width + cls[b], b * width + k + cls[a], a[a == b] * width + 2 * k])
+            keys = keys[keys < types * width]  # start and end stay
+            if types * width <= CELLS_AT_ONCE:
+                n = np.bincount(keys)
+                keys = np.flatnonzero(n)
+                n = n[keys]
+            else:
+                keys, n = np.unique(keys, return_counts=True)
+            part = (keys // width) % parts
+            order = np.argsort(part, kind="stable")
+            part, keys, n = part[order], keys[order], n[order].astype(np.int32)
+            cut = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)] if len(part) else np.zeros(1, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part[cut[:-1]].astype(np.int32)),
+                 pa.array([keys[s:t].tobytes() for s, t in zip(cut[:-1], cut[1:])], pa.binary()),
+                 pa.array([n[s:t].tobytes() for s, t in zip(cut[:-1], cut[1:])], pa.binary())], names=["p", "c", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([None], pa.binary()), pa.array([table.tobytes()], pa.binary())],
+                                         names=["p", "c", "n"])
+    return run
+
+
+def _sum_classes(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    if key[0] < 0:
+        table = np.sum([np.frombuffer(x, np.int64) for x in pdf["n"]], axis=0)
+        return pd.DataFrame({"p": [-1], "c": [None], "n": [table.tobytes()]})
+    keys = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["c"]])
+    n = np.concatenate([np.frombuffer(x, np.int32) for x in pdf["n"]])
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order].astype(np.int64)
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return pd.DataFrame({"p": [key[0]], "c": [keys[first].tobytes()], "n": [np.add.reduceat(n, first).tobytes()]})
+
+
+def _move(shared, classes: int):
+    """The best class of each type by its own counts, with the moves before it in its group; exchanged types stay."""
+    def run(batches):
+        cls, start, core = shared.value
+        k = classes + 2
+        width = 2 * k + 1
+        for batch in batches:
+            for c, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                keys, n = np.frombuffer(c, np.int64), np.frombuffer(n, np.int64).astype(float)
+                w = keys // width
+                cut = np.r_[0, np.flatnonzero(np.diff(w)) + 1, len(w)]
+                types, best, table = [], [], start.copy()
+                for s, t in zip(cut[:-1], cut[1:]):
+                    if core[w[s]]:
+                        continue
+                    own, old = np.zeros(width), int(cls[w[s]])
+                    own[keys[s:t] % width] = n[s:t]
+                    r, l, itself = own[:k], own[k:2 * k], own[2 * k]
+                    r[old] -= itself
+                    l[old] -= itself
+                    table[old] -= r
+                    table[:, old] -= l
+                    table[old, old] -= itself
+                    np.maximum(table, 0.0, out=table)  # counts by the round's start may be taken from a moved neighbour
+                    gain = _join_gain(table, r, l, itself)
+                    to = int(np.argmax(gain[:classes]))
+                    if gain[to] > gain[old] + 1e-9:
+                        types.append(w[s])
+                        best.append(to)
+                    else:
+                        to = old
+                    table[to] += r
+                    table[:, to] += l
+                    table[to, to] += itself
+                yield pa.RecordBatch.from_arrays([pa.array(types, pa.int64()), pa.array(best, pa.int32())], names=["w", "cls"])
+    return run
+
+
+def _likelihood(table: np.ndarray) -> float:
+    return float(_xlogx(table).sum() - _xlogx(table.sum(axis=1)).sum() - _xlogx(table.sum(axis=0)).sum())
+
+
+def assign(sequences: DataFrame, cls: np.ndarray, core: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all types and their bigram table: types out of ``core`` move by their own counts, the groups of a round side by side.
+
+    The classes x classes table is broadcast; a round that doesn't raise the likelihood is not kept.
+    """
+    spark, k = sequences.sparkSession, classes + 2
+    parts = max(partitions_of(sequences) * 2, len(cls) // TYPES_A_GROUP + 1)
+    kept, before = None, -math.inf
+    while True:
+        shared = spark.sparkContext.broadcast(cls.astype(np.uint8 if k < 256 else np.uint16))
+        sums = stage(sequences.mapInArrow(lean(_class_counts(shared, parts, k)), "p int, c binary, n binary").groupBy("p")
+                     .applyInPandas(_sum_classes, "p int, c binary, n binary"), "classes")
+        got = sums.where("p = -1").select("n").first()
+        table = (np.frombuffer(got["n"], np.int64).reshape(k, k) if got else np.zeros((k, k))).astype(float)
+        now = _likelihood(table)
+        if kept is not None and now <= before:
+            return kept
+        kept = cls, table
+        if now - before < LEAST_RISE * abs(now) or not len(core):
+            return kept
+        before = now
+        moved = (sums.where("p >= 0").select("c", "n")
+                 .mapInArrow(lean(_move(spark.sparkContext.broadcast((cls, table, core)), classes)), "w bigint, cls int").toPandas())
+        if not len(moved):
+            return kept
+        cls = cls.copy()
+        cls[moved["w"].to_numpy(int)] = moved["cls"].to_numpy(int)
+
+
+def fit(docs: DataFrame, word_types: int = WORD_TYPES, classes: int = CLASSES, floor: int = FLOOR) -> dict:
     """Model from ``docs(text)``: all rows are counted. NULL texts are empty: just an end."""
     spark = docs.sparkSession
     prepare(spark)
@@ -255,21 +398,28 @@ def fit(docs: DataFrame, word_types: int = WORD_TYPES, classes: int = CLASSES) -
         if r["words"] > room:
             break
         level, room = r["level"], room - r["words"]
-    top = counts.select("h", "n").mapInArrow(_above(level), "h bigint, n bigint").toPandas()
+    least = min(level, int(_level(np.array([float(floor)]))[0]))
+    top = counts.select("h", "e", "n").mapInArrow(_above(least), "h bigint, e int, n bigint").toPandas()
     h = top["h"].to_numpy(np.int64).astype(np.uint64)
     order = np.argsort(h)
     frequent, n_frequent = h[order], top["n"].to_numpy(np.int64)[order]
     types = Types(frequent)
     shared = spark.sparkContext.broadcast(frequent)
-    rows = (d.mapInArrow(_bigrams(shared), "a int, c binary, n binary").groupBy("a")
+    sequences = stage(d.mapInArrow(lean(_sequences(shared)), "s binary"), "sequences")
+    # Core types: exchanged words, endings, start and end. Until it has a class of its own, a word counts by its ending.
+    exchanged = _level(n_frequent) >= level
+    n_core = int(exchanged.sum())
+    core = np.empty(types.count, np.int64)
+    core[:len(frequent)] = np.where(exchanged, np.cumsum(exchanged) - 1, n_core + top["e"].to_numpy(np.int64)[order])
+    core[len(frequent):] = n_core + np.arange(ENDINGS + 2)
+    rows = (sequences.mapInArrow(lean(_bigrams(spark.sparkContext.broadcast(core))), "a int, c binary, n binary").groupBy("a")
             .applyInPandas(_sum_row, "a int, c binary, n binary").toPandas())
     pairs = {a: (np.frombuffer(c, np.uint16), np.frombuffer(n, np.int64))
              for a, c, n in zip(rows["a"], rows["c"], rows["n"])}
-    cls = exchange(pairs, types.count, (types.start, types.end), classes)
+    n_types = n_core + ENDINGS + 2
+    cls = exchange(pairs, n_types, (n_types - 2, n_types - 1), classes)[core]
     k = classes + 2
-    table = np.zeros((k, k))
-    for a, (c, n) in pairs.items():
-        np.add.at(table, (cls[a], cls[c.astype(np.int64)]), n)
+    cls, table = assign(sequences, cls, np.r_[exchanged, np.zeros(ENDINGS + 2, bool)], classes)
     into = table.sum(axis=0)
     # Classes that can follow: all but the start. Unseen transitions fall back to the class unigram.
     unigram = into + 1.0

@@ -194,6 +194,25 @@ def test_brown_probabilities_sum_to_one(spark):
     assert np.isfinite(brown_lm.score(docs(spark, ["a"]), brown_lm.fit(docs(spark, []))).first().score)
 
 
+def test_brown_words_above_the_floor_have_own_classes(spark):
+    rng = np.random.default_rng(3)
+    left, right = [f"l{i}zing" for i in range(30)], [f"r{i}zing" for i in range(30)]  # one ending, two places
+    pick = lambda known, words: known if rng.random() < 0.5 else rng.choice(words)
+    texts = [" ".join(f"the {pick('cat', left)} to {pick('dog', right)}" for _ in range(40)) for _ in range(100)]
+    model = brown_lm.fit(docs(spark, texts), word_types=4, classes=4)
+    types = brown_lm.Types(model["frequent"])
+    assert len(model["frequent"]) == 64  # all above the floor, not just word_types
+    at = lambda w: model["classes"][types.of(*brown_lm.tokens(w.encode()))[0][0]]
+    assert {at(w) for w in left} == {at("cat")} != {at("dog")} == {at(w) for w in right}
+    want = np.zeros((6, 6))
+    for t in texts:
+        c = [4, *(at(w) for w in t.split()), 5]
+        np.add.at(want, (c[:-1], c[1:]), 1)
+    seq = spark.createDataFrame([(bytearray(np.concatenate([np.r_[types.start, types.of(*brown_lm.tokens(t.encode()))[0], types.end]
+                                                            for t in texts]).astype(np.uint32).tobytes()),)], "s binary")
+    assert (brown_lm.assign(seq, model["classes"], np.ones(types.count, bool), 4)[1] == want).all()
+
+
 def test_toxicity(spark):
     d, lab = (read_table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
     got = toxicity.score_corpus(d, lab).join(lab, "doc_id").where("held_out")
