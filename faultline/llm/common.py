@@ -16,6 +16,9 @@ from faultline.session import ensure_checkpoint_dir, materialize, ship_package
 #: Spark's default of 10,000 rows.
 ARROW_ROWS = 1000
 
+#: Bytes handed to Python at once, unless one row alone is longer.
+ARROW_BYTES = 4 << 20
+
 LETTERS_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 h64 = xxhash.xxh3_64_intdigest
@@ -31,6 +34,7 @@ def prepare(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 _HELD: dict = {}
@@ -156,6 +160,19 @@ def word_spans(text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return raw, start, end, mix64((total[end] - total[start]) * inverse[start])
 
 
+def flat_text(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a string or binary column one after another, and the n + 1 offsets; NULL counts as empty."""
+    col = col.cast(pa.binary()).fill_null(b"").cast(pa.large_binary())
+    off = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
+    data = np.frombuffer(col.buffers()[2] or b"", np.uint8)[off[0]:off[-1]]
+    return data, off - off[0]
+
+
+def is_space(raw: np.ndarray) -> np.ndarray:
+    """Which bytes are white space (``[\\x20\\x09-\\x0D]``)."""
+    return np.take(_SPACE, raw)
+
+
 def byte_values(raw: np.ndarray) -> np.ndarray:
     """A 64-bit value per byte, the same for both cases of A-Z."""
     return _VALUE[raw]
@@ -175,8 +192,8 @@ def partitions_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def same_or_new(df: DataFrame, wanted: list[tuple[str, str]]) -> DataFrame:
-    """Only the wanted columns, typed; a column that is missing becomes NULL.
+def same_or_new(df: DataFrame, wanted: list[tuple[str, str]], more: list[Column] = ()) -> DataFrame:
+    """Only the wanted columns, typed (and ``more``); a column that is missing becomes NULL.
 
     Extra columns, also ones that clash with an operator's own names, never
     reach the operator.
@@ -184,7 +201,7 @@ def same_or_new(df: DataFrame, wanted: list[tuple[str, str]]) -> DataFrame:
     have = {c.lower(): c for c in df.columns}
     return df.select(*[
         (F.col(f"`{have[n]}`") if n in have else F.lit(None)).cast(t).alias(n) for n, t in wanted
-    ])
+    ], *more)
 
 
 DOCUMENT_COLUMNS = [("doc_id", "bigint"), ("text", "string"), ("lang", "string"),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from faultline.llm import (
-    brown_lm, byte_bpe, chat_format, decontam, embed_dedup, html_extract, langid, ngram_join, secrets, toxicity,
+    brown_lm, byte_bpe, chat_format, decontam, embed_dedup, filter_audit, fim, html_extract, langid, mixing, ngram_join,
+    secrets, toxicity,
 )
 from faultline.llm.common import held_out, prepare, read_table
 
@@ -57,6 +58,19 @@ def op10_embedding_dedup(spark, sf_dir):
     return embed_dedup.cosine_components(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_fill_in_middle(spark, sf_dir):
+    return fim.digest(fim.restore(fim.fill_in_middle(read_table(spark, sf_dir, "documents"))))
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(filter_audit.failure_cells(read_table(spark, sf_dir, "documents"),
+                                                         read_table(spark, sf_dir, "labels")))
+
+
+def op13_source_mix(spark, sf_dir):
+    return mixing.mixture(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -64,7 +78,8 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_toxicity, op3_brown_lm, op4_decontamination, op5_secret_scan, op6_language_id,
-    op7_byte_bpe, op8_html_extraction, op9_chat_format, op10_embedding_dedup, pipeline)}
+    op7_byte_bpe, op8_html_extraction, op9_chat_format, op10_embedding_dedup, op11_fill_in_middle,
+    op12_filter_audit, op13_source_mix, pipeline)}
 
 
 def all_queries():
