@@ -1,41 +1,23 @@
-"""Exact k-nearest-neighbour join (J5) and the operators built on it:
-numeric imputation (M4) and failure-component classification (M5).
+"""Operators on the exact nearest-neighbour join (``knn_cells.knn_join``, J5): numeric imputation (M4)
+and failure-component classification (M5).
 
-Plan
-----
-Nothing is sampled or capped, and no pair table is materialised:
-
-* identical target vectors are solved once (``groupBy`` on the vector, the
-  answer is joined back null-safely); of identical donor vectors only the
-  ``k`` with the smallest ids can ever be chosen, so only those are kept
-  (``row_number <= k``, limited map-side). Both reductions are exact.
-* targets are hashed into ``bt`` blocks and donors into ``bd`` blocks, sized
-  from their counts so one (target block, donor block) cell holds about
-  ``block_rows`` rows of each side. Targets are copied to every donor block,
-  donors to every target block, and each cell is solved by
-  ``cogroup(...).applyInPandas`` with numpy: distances for a chunk of targets
-  at a time, and only the ``k`` best donors per target leave the task.
-* the ``k * bd`` candidates per target are ranked with ``row_number`` over
-  ``(distance, donor id)`` and aggregated (mean value, or majority vote).
-
-Distances are rounded to 9 digits before ranking and ties go to the smaller
-donor id, so the result does not depend on partitioning or engine.
-The work is the exact brute force O(targets x donors), spread over
-``bt * bd`` independent tasks, each with bounded memory.
+Rows with equal features are one target, and its answer goes back to all of them by a null-safe
+join on the features, so a repeated id never multiplies rows. Ids only break ties between donors at the same rounded
+distance (the smaller one counts); several id columns are ranked in their order. Nothing is sampled or
+capped, and no pair table is materialised.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faultline.functions.names import resolve_column
 from faultline.operators.clean import add_failed_flag, error_column
 from faultline.operators.features import apply_scaler, fit_categories, fit_scaler, scaler_params
+from faultline.operators.knn_cells import CELL_ROWS, knn_join
+from faultline.operators.ordered import global_rank
 from faultline.session import materialize
 
 # Fixed values that must equal the reference behaviour.
@@ -44,341 +26,6 @@ DEFAULT_CATEGORICAL = ("model",)
 COMPONENT_FEATURES = ("volt", "rotate", "pressure", "vibration", "temperature_c", "vibration_level_mm_per_s",
                       "load_percentage", "operating_hours", "model", "age")
 N_NEIGHBORS = 5
-DIST_DIGITS = 9
-
-_CAND_SCHEMA = "_tid long, _task int, _did long, _dq double, _val double, _lab int"
-
-
-# ---------------------------------------------------------------- numpy cell solver
-
-def _distances(tx: np.ndarray, dx: np.ndarray, nan_aware: bool) -> np.ndarray:
-    """(t x d) distances. ``nan_aware``: sqrt(n / present * sum over co-present (a-b)^2).
-
-    Coordinates are added in index order with in-place buffers; a pair missing a
-    coordinate contributes an exact 0 (values are zero-filled and masked).
-    """
-    n = tx.shape[1]
-    shape = (tx.shape[0], dx.shape[0])
-    acc = np.zeros(shape)
-    buf = np.empty(shape)
-    if not nan_aware:
-        for j in range(n):
-            np.subtract(tx[:, j, None], dx[None, :, j], out=buf)
-            buf *= buf
-            acc += buf
-        return np.sqrt(acc, out=acc)
-    tm, dm = ~np.isnan(tx), ~np.isnan(dx)
-    t0, d0 = np.where(tm, tx, 0.0), np.where(dm, dx, 0.0)
-    cnt = np.zeros(shape)
-    mask = np.empty(shape)
-    for j in range(n):
-        np.subtract(t0[:, j, None], d0[None, :, j], out=buf)
-        if tm[:, j].all() and dm[:, j].all():
-            cnt += 1.0
-        else:
-            np.multiply(tm[:, j, None], dm[None, :, j], out=mask)
-            buf *= mask
-            cnt += mask
-        buf *= buf
-        acc += buf
-    with np.errstate(invalid="ignore", divide="ignore"):
-        acc *= n
-        acc /= cnt
-        dist = np.sqrt(acc, out=acc)
-    dist[cnt == 0] = np.nan
-    return dist
-
-
-def _topk(dq: np.ndarray, k: int):
-    """Row-wise k smallest finite values, ties by column index (= donor id order)."""
-    if dq.size == 0:
-        return (np.empty(0, int),) * 2 + (np.empty(0),)
-    kk = min(k, dq.shape[1])
-    kth = np.partition(dq, kk - 1, axis=1)[:, kk - 1:kk]
-    r, c = np.nonzero((dq <= kth) & np.isfinite(dq))
-    v = dq[r, c]
-    order = np.lexsort((c, v, r))
-    r, c, v = r[order], c[order], v[order]
-    pos = np.arange(len(r)) - np.searchsorted(r, r, side="left")
-    keep = pos < k
-    return r[keep], c[keep], v[keep]
-
-
-CHUNK_ELEMENTS = 262_144  # distances computed at once (2 MB buffers stay in cache)
-
-_EMPTY = pd.DataFrame({"_tid": np.empty(0, np.int64), "_task": np.empty(0, np.int32),
-                       "_did": np.empty(0, np.int64), "_dq": np.empty(0), "_val": np.empty(0),
-                       "_lab": np.empty(0, np.int32)})
-
-
-def _cell_solver(n_feat: int, k: int, nan_aware: bool, impute_idx: list[int] | None, chunk: int = 256):
-    fcols = [f"_f{j}" for j in range(n_feat)]
-    gcols = [f"_g{j}" for j in range(n_feat)]
-
-    def solve(tp: pd.DataFrame, dp: pd.DataFrame) -> pd.DataFrame:
-        if tp.empty or dp.empty:
-            return _EMPTY.copy()
-        dp = dp.sort_values("_did", kind="stable")
-        tx = tp[fcols].to_numpy(dtype=float, na_value=np.nan)
-        dx = dp[gcols].to_numpy(dtype=float, na_value=np.nan)
-        tids = tp["_tid"].to_numpy()
-        dids = dp["_did"].to_numpy()
-        if impute_idx is not None:
-            raws = [dp[f"_r{i}"].to_numpy(dtype=float, na_value=np.nan) for i in range(len(impute_idx))]
-        else:
-            labs = dp["_lab"].to_numpy(dtype=np.int32)
-        cols = {"_tid": [], "_task": [], "_did": [], "_dq": [], "_val": [], "_lab": []}
-        step = max(chunk, min(8192, CHUNK_ELEMENTS // max(1, len(dx))))  # ~CHUNK_ELEMENTS distances at once
-        for s in range(0, len(tx), step):
-            t = tx[s:s + step]
-            dq = np.round(_distances(t, dx, nan_aware), DIST_DIGITS)
-            dq[np.isnan(dq)] = np.inf
-            if impute_idx is None:
-                tasks = [(0, np.arange(len(t)), np.arange(len(dx)))]
-            else:
-                tasks = []
-                for ti, j in enumerate(impute_idx):
-                    rows = np.nonzero(np.isnan(t[:, j]))[0]
-                    cols_ok = np.nonzero(~np.isnan(raws[ti]))[0]
-                    if len(rows) and len(cols_ok):
-                        tasks.append((ti, rows, cols_ok))
-            for ti, rows, cols_ok in tasks:
-                sub = dq if len(rows) == len(t) and len(cols_ok) == len(dx) else dq[np.ix_(rows, cols_ok)]
-                r, c, v = _topk(sub, k)
-                if not len(r):
-                    continue
-                didx = cols_ok[c]
-                cols["_tid"].append(tids[s + rows[r]].astype(np.int64))
-                cols["_task"].append(np.full(len(r), ti, np.int32))
-                cols["_did"].append(dids[didx].astype(np.int64))
-                cols["_dq"].append(v.astype(np.float64))
-                cols["_val"].append(raws[ti][didx] if impute_idx is not None else np.full(len(r), np.nan))
-                cols["_lab"].append(np.full(len(r), -1, np.int32) if impute_idx is not None else labs[didx])
-        if not cols["_tid"]:
-            return _EMPTY.copy()
-        return pd.DataFrame({name: np.concatenate(parts) for name, parts in cols.items()})
-
-    return solve
-
-
-# ---------------------------------------------------------------- distributed join
-
-def _blocks(n: int, block_rows: int) -> int:
-    return max(1, math.ceil(n / block_rows))
-
-
-def knn_candidates(targets: DataFrame, donors: DataFrame, *, n_feat: int, k: int, nan_aware: bool,
-                   impute_idx: list[int] | None = None, block_rows: int = 4096,
-                   n_targets: int | None = None, n_donors: int | None = None) -> DataFrame:
-    """The ``k`` nearest donors of every target, ranked (rank 1 = nearest).
-
-    targets: ``_tid, _f0.._f{n-1}``; donors: ``_did, _f*`` and ``_r{i}`` (values to
-    impute, M4) or ``_lab`` (class, M5). Output: ``_tid, _task, _did, _dq, _val, _lab, _rank``.
-    """
-    nt = n_targets if n_targets is not None else targets.count()
-    nd = n_donors if n_donors is not None else donors.count()
-    bt, bd = _blocks(nt, block_rows), _blocks(nd, block_rows)
-    t_rep = (targets.withColumn("_tb", F.pmod(F.xxhash64("_tid"), F.lit(bt)))
-             .withColumn("_db", F.explode(F.sequence(F.lit(0), F.lit(bd - 1)))))
-    # donor features get their own names: both sides often derive from one frame,
-    # and the two cogroup inputs must not share column identities
-    donors = donors.select(*[F.col(c).alias("_g" + c[2:]) if c.startswith("_f") else F.col(c)
-                             for c in donors.columns])
-    d_rep = (donors.withColumn("_db", F.pmod(F.xxhash64("_did"), F.lit(bd)))
-             .withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(bt - 1)))))
-    solver = _cell_solver(n_feat, k, nan_aware, impute_idx)
-    cand = (t_rep.groupBy("_tb", "_db").cogroup(d_rep.groupBy("_tb", "_db"))
-            .applyInPandas(solver, _CAND_SCHEMA))
-    w = Window.partitionBy("_tid", "_task").orderBy("_dq", "_did")
-    return cand.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k)
-
-
-# ---------------------------------------------------------------- pruned (slab) search
-
-_MARGIN = 2 * 10.0 ** -DIST_DIGITS  # covers the 9-digit rounding of distances
-
-
-def _solve_visits(visits: DataFrame, dslab: DataFrame, solver, block_rows: int) -> DataFrame:
-    """Cogroup target visits with the donors of the visited (coordinate, slab).
-
-    Dense slabs are split into donor sub-blocks and busy slabs into target
-    sub-blocks, both sized from small per-slab count tables, so every cell
-    holds about ``block_rows`` rows per side.
-    """
-    kj = ["_j", "_s"]
-    dm = dslab.groupBy(*kj).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("_m"))
-    tm = visits.groupBy(*kj).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("_mt"))
-    v = (visits.join(dm, kj)  # visits of empty slabs drop out here
-         .join(tm, kj)
-         .withColumn("_ds", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
-         .withColumn("_ts", F.pmod(F.xxhash64("_tid"), F.col("_mt")).cast("int"))
-         .drop("_m", "_mt"))
-    d = (dslab.join(dm, kj).join(tm, kj)
-         .withColumn("_ds", F.pmod(F.xxhash64("_did"), F.col("_m")).cast("int"))
-         .withColumn("_ts", F.explode(F.sequence(F.lit(0), F.col("_mt") - 1)))
-         .drop("_m", "_mt"))
-    cell = ["_j", "_s", "_ds", "_ts"]
-    return v.groupBy(*cell).cogroup(d.groupBy(*cell)).applyInPandas(solver, _CAND_SCHEMA)
-
-
-SLAB_ROWS = 512  # donors per slab: thinner slabs -> less work per visit, a few more visits
-MAX_PATTERNS = 256  # presence patterns handled by the pruned search (more -> grid search)
-
-
-def _presence(cols: list[str]) -> Column:
-    return sum((F.when(F.col(c).isNotNull(), F.lit(1 << j)).otherwise(F.lit(0)) for j, c in enumerate(cols)),
-               F.lit(0))
-
-
-def knn_candidates_pruned(targets: DataFrame, donors: DataFrame, *, n_feat: int, k: int, nan_aware: bool,
-                          impute_idx: list[int] | None = None, block_rows: int = 4096,
-                          slab_rows: int | None = None) -> DataFrame:
-    """J5 with exact pruning; same output as :func:`knn_candidates`.
-
-    Donors are grouped by presence pattern ``q`` (which coordinates they
-    have), targets by pattern ``p``. For a (p, q) pair the distance only uses
-    coordinates in both, so the pair is pruned on ``j`` = the best-covered
-    coordinate of ``p & q`` (no common coordinate: no distance, nothing to do).
-    Donors of ``q`` are cut into equal-width slabs of ``j``. Phase 1 searches
-    each target's home slab in every donor group and gives an upper bound
-    ``ub`` (its k-th distance, per task). A donor whose ``j`` differs by more
-    than ``ub`` is farther than ``ub`` (the distance over co-present
-    coordinates is at least that gap), so phase 2 visits only the slabs within
-    ``ub``; targets without a bound (fewer than k in reach) visit all slabs.
-    """
-    fcols = [f"_f{j}" for j in range(n_feat)]
-    gcols = [f"_g{j}" for j in range(n_feat)]
-    donors = donors.select(*[F.col(c).alias("_g" + c[2:]) if c.startswith("_f") else F.col(c)
-                             for c in donors.columns]).withColumn("_q", _presence(gcols))
-    targets = targets.withColumn("_p", _presence(fcols)).filter(F.col("_p") > 0)
-    qstats = donors.groupBy("_q").agg(F.count(F.lit(1)).alias("_n"),
-                                      *[F.min(g).alias(f"lo{j}") for j, g in enumerate(gcols)],
-                                      *[F.max(g).alias(f"hi{j}") for j, g in enumerate(gcols)]).collect()
-    pats = [r[0] for r in targets.select("_p").distinct().limit(MAX_PATTERNS + 1).collect()]
-    if len(qstats) > MAX_PATTERNS or len(pats) > MAX_PATTERNS:
-        back = donors.drop("_q").select(*[F.col(c).alias("_f" + c[2:]) if c.startswith("_g") else F.col(c)
-                                          for c in donors.drop("_q").columns])
-        return knn_candidates(targets.drop("_p"), back, n_feat=n_feat, k=k, nan_aware=nan_aware,
-                              impute_idx=impute_idx, block_rows=block_rows)
-    cover = [sum(r["_n"] for r in qstats if r["_q"] >> j & 1) for j in range(n_feat)]
-    pref = sorted(range(n_feat), key=lambda j: (-cover[j], j))
-    # slab geometry per (q, j), keyed by q * n_feat + j
-    geo = {}
-    for r in qstats:
-        q = r["_q"]
-        for j in range(n_feat):
-            if q >> j & 1:
-                lo, hi = float(r[f"lo{j}"]), float(r[f"hi{j}"])
-                slabs = max(1, math.ceil(r["_n"] / (slab_rows or SLAB_ROWS)))
-                geo[q * n_feat + j] = (lo, (hi - lo) / slabs if hi > lo else 1.0, slabs)
-    # pruning coordinate of each (target pattern, donor pattern) pair; a donor group
-    # that has none of the columns a target must impute cannot serve it and is skipped
-    need_bits = sum(1 << j for j in (impute_idx or []))
-    pair_j = {}
-    for p in pats:
-        need = need_bits & ~p
-        for r in qstats:
-            if impute_idx is not None and not r["_q"] & need:
-                continue
-            common = [j for j in pref if (p & r["_q"]) >> j & 1]
-            if common:
-                pair_j[(p, r["_q"])] = common[0]
-    used_keys = sorted({q * n_feat + j for (p, q), j in pair_j.items()})
-    if not used_keys:
-        return targets.sparkSession.createDataFrame([], _CAND_SCHEMA + ", _rank int")
-
-    def gmap(idx):
-        return F.create_map(*[x for key in used_keys for x in (F.lit(key), F.lit(geo[key][idx]))])
-    lo_m, w_m, n_m = gmap(0), gmap(1), gmap(2)
-
-    def slab_of(x, key):
-        lo, w, ns = F.element_at(lo_m, key), F.element_at(w_m, key), F.element_at(n_m, key)
-        return F.least(F.greatest(F.floor((x - lo) / w), F.lit(0)), ns - 1).cast("int")
-
-    # donors: one copy per pruning coordinate some target pattern uses with their group
-    keys_of_q = {}
-    for (p, q), j in pair_j.items():
-        keys_of_q.setdefault(q, set()).add(j)
-    key_arr = F.lit(None).cast("array<int>")
-    for q, js in keys_of_q.items():
-        key_arr = F.when(F.col("_q") == q, F.array(*[F.lit(j) for j in sorted(js)])).otherwise(key_arr)
-    dslab = (donors.withColumn("_jj", F.explode(key_arr))
-             .withColumn("_j", F.col("_q") * n_feat + F.col("_jj"))
-             .withColumn("_s", slab_of(F.element_at(F.array(*[F.col(g) for g in gcols]), F.col("_jj") + 1),
-                                       F.col("_j")))
-             .drop("_jj", "_q"))
-    dslab = materialize(dslab, "knn-slabs")
-    # targets: the donor groups each can reach; phase 1 searches the home slab of every
-    # group (a 1-D slab is thin in one coordinate only, so one group's slab gives a loose bound)
-    visit_arr = F.lit(None).cast("array<int>")
-    for p in pats:
-        ks = [q * n_feat + j for (pp, q), j in pair_j.items() if pp == p]
-        if ks:
-            visit_arr = F.when(F.col("_p") == p, F.array(*[F.lit(x) for x in sorted(ks)])).otherwise(visit_arr)
-    xs = F.array(*[F.col(c) for c in fcols])
-    t = (targets.withColumn("_j", F.explode(visit_arr))
-         .withColumn("_x", F.element_at(xs, F.pmod(F.col("_j"), F.lit(n_feat)) + 1))
-         .withColumn("_home", slab_of(F.col("_x"), F.col("_j"))))
-    solver = _cell_solver(n_feat, k, nan_aware, impute_idx)
-    base = ["_tid", *fcols]
-    v1 = t.select(*base, "_j", F.col("_home").alias("_s"))
-    cand1 = materialize(_solve_visits(v1, dslab, solver, block_rows), "knn-phase1")
-    # upper bound per target: k-th distance of every task it needs (NULL = fewer than k in reach)
-    w = Window.partitionBy("_tid", "_task").orderBy("_dq", "_did")
-    kth = (cand1.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == k)
-           .groupBy("_tid").agg(F.count(F.lit(1)).alias("_nt"), F.max("_dq").alias("_ub")))
-    if impute_idx is None:
-        need = F.lit(1)
-    else:
-        need = sum((F.col(f"_f{j}").isNull().cast("int") for j in impute_idx), F.lit(0))
-    t2 = t.withColumn("_need", need).join(kth, "_tid", "left")
-    ub = F.when(F.col("_nt") == F.col("_need"), F.col("_ub") + F.lit(_MARGIN))
-    ns = F.element_at(n_m, F.col("_j"))
-    lo_i = F.when(ub.isNull(), F.lit(0)).otherwise(slab_of(F.col("_x") - ub, F.col("_j")))
-    hi_i = F.when(ub.isNull(), ns - 1).otherwise(slab_of(F.col("_x") + ub, F.col("_j")))
-    v2 = (t2.select(*base, "_j", "_home", F.explode(F.sequence(lo_i, hi_i)).alias("_s"))
-          .filter(F.col("_s") != F.col("_home")).drop("_home"))  # home slabs were phase 1
-    cand2 = _solve_visits(v2, dslab, solver, block_rows)
-    cand = cand1.unionByName(cand2)
-    wr = Window.partitionBy("_tid", "_task").orderBy("_dq", "_did")
-    return cand.withColumn("_rank", F.row_number().over(wr)).filter(F.col("_rank") <= k)
-
-
-GRID_MAX_PAIRS = 2 * 10 ** 8  # below this many target x donor pairs the plain grid is cheaper
-
-
-def _pick_search(method: str, n_targets: int, donors: DataFrame):
-    """``grid`` (all pairs, fewest jobs), ``pruned`` (slab pruning) or ``auto`` by size.
-
-    Returns the search function with the donor count bound where it was needed.
-    """
-    if method == "pruned":
-        return knn_candidates_pruned
-    n_donors = donors.count()
-    if method == "grid" or n_targets * n_donors <= GRID_MAX_PAIRS:
-        return lambda *a, **kw: knn_candidates(*a, n_targets=n_targets, n_donors=n_donors, **kw)
-    return knn_candidates_pruned
-
-
-def _dedup_donors(donors: DataFrame, fcols: list[str], k: int) -> DataFrame:
-    """Of identical donor vectors only the k smallest ids can be among the k nearest."""
-    w = Window.partitionBy(*fcols).orderBy("_did")
-    return donors.withColumn("_vr", F.row_number().over(w)).filter(F.col("_vr") <= k).drop("_vr")
-
-
-def _null_safe_on(left: str, right: str, cols: list[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return cond
-
-
-def _with_id(df: DataFrame, id_col: str | None) -> tuple[DataFrame, str]:
-    if id_col and id_col in df.columns:
-        return df, id_col
-    return materialize(df.withColumn("_rowid", F.monotonically_increasing_id()), "with-row-id"), "_rowid"
-
-
 def _encode(df: DataFrame, numeric: list[str], categorical: list[str], max_categories: int = 1000,
             fitted: dict | None = None):
     """Numeric columns + drop-first dummies (NULL category -> all zero), as doubles."""
@@ -391,82 +38,95 @@ def _encode(df: DataFrame, numeric: list[str], categorical: list[str], max_categ
                 names.append(f"{c}_{v}")
     return exprs, names
 
+_LAST_ID = 2 ** 63 - 1  # of rows without an id
+
+
+def _with_id(df: DataFrame, id_col: str | list[str] | None, name: str) -> DataFrame:
+    """The rows, written once, with a number that follows the id columns (their order where there are several)."""
+    cols = [id_col] if isinstance(id_col, str) else list(id_col or [])
+    if not cols or any(c not in df.columns for c in cols):
+        return materialize(df.withColumn(name, F.monotonically_increasing_id()), "knn-rows")
+    if len(cols) == 1 and isinstance(df.schema[cols[0]].dataType, T.IntegralType):
+        return materialize(df.withColumn(name, F.coalesce(F.col(cols[0]).cast("long"), F.lit(_LAST_ID))), "knn-rows")
+    return global_rank(df, cols, name)
+
+
+def _any(conds: list[Column]) -> Column:
+    out = F.lit(False)
+    for c in conds:
+        out = out | c
+    return out
+
+
+def _distinct_vectors(rows: DataFrame, vector: list[str]) -> DataFrame:
+    """Each different vector once, numbered, as the join wants it."""
+    one = rows.select(*[F.col(v).alias(f"_f{j}") for j, v in enumerate(vector)]).distinct()
+    return materialize(one.withColumn("_tid", F.monotonically_increasing_id()), "knn-targets")
+
+
+def _answers_to_rows(rows: DataFrame, vector: list[str], answers: DataFrame) -> DataFrame:
+    """Rows with the answer of their vector, NULL-safe (one answer per vector, so no row is multiplied)."""
+    on = F.lit(True)
+    for j, v in enumerate(vector):
+        on = on & F.col(v).eqNullSafe(F.col(f"_f{j}"))
+    return rows.join(answers, on, "left")
+
 
 # ---------------------------------------------------------------- M4
 
 def knn_impute(df: DataFrame, *, columns=DEFAULT_SENSORS, categorical=DEFAULT_CATEGORICAL,
-               k: int = N_NEIGHBORS, id_col: str | None = "seq", scale: bool = True,
-               block_rows: int = 4096, method: str = "auto") -> DataFrame:
+               k: int = N_NEIGHBORS, id_col: str | list[str] | None = "seq", scale: bool = True,
+               block_rows: int = CELL_ROWS) -> DataFrame:
     """M4: fill NULLs of ``columns`` with the mean of the k nearest rows that have a value.
 
     Distance: nan-aware Euclidean over the (standard-scaled unless ``scale=False``)
     columns plus drop-first dummies of ``categorical``; only co-present coordinates
     count, scaled by total/present. Donors of a column are the rows where it is
     present. A row with no usable distance gets the column mean. Present values are
-    left unchanged; a column with no value at all stays NULL.
+    left unchanged; a column with no value at all stays NULL. One row comes out per row that goes in.
+    ``block_rows`` is the number of donors in a cell of the search; it doesn't change the result.
     """
     sensors = [c for c in columns if c in df.columns]
     cats = [c for c in categorical if c in df.columns]
     if not sensors:
         return df
-    df, rid = _with_id(df, id_col)
-    exprs, names = _encode(df, sensors, cats)
-    n = len(names)
-    fcols = [f"_f{j}" for j in range(n)]
-    enc = df.select(F.col(rid).alias("_id"), *[e.alias(f) for e, f in zip(exprs, fcols)],
-                    *[F.col(c).cast("double").alias(f"_r{i}") for i, c in enumerate(sensors)])
-    # one pass: scaler statistics of the features and the fallback means of the targets
-    any_null = F.lit(False)
-    for i in range(len(sensors)):
-        any_null = any_null | F.col(f"_r{i}").isNull()
-    stats = enc.agg(*[F.avg(f).alias(f"_a{j}") for j, f in enumerate(fcols)],
-                    *[F.stddev_pop(f).alias(f"_s{j}") for j, f in enumerate(fcols)],
-                    *[F.avg(f"_r{i}").alias(f"_m{i}") for i in range(len(sensors))],
-                    F.sum(any_null.cast("long")).alias("_missing")).first()
+    rows = _with_id(df, id_col, "_kid")
+    missing = _any([F.col(c).isNull() for c in sensors])
+    exprs, names = _encode(rows, sensors, cats)
+    vector = [f"_v{j}" for j in range(len(names))]
+    # one pass: scaler statistics of the features, fallback means, and whether there is anything to do
+    stats = rows.agg(*[F.avg(e).alias(f"_a{j}") for j, e in enumerate(exprs)],
+                     *[F.stddev_pop(e).alias(f"_s{j}") for j, e in enumerate(exprs)],
+                     F.sum(missing.cast("long")).alias("_missing")).first()
     if not stats["_missing"]:  # nothing to impute (the reference skips the step too)
-        return df.drop("_rowid") if rid == "_rowid" else df
-    means = stats
+        return rows.select(*[F.col(f"`{c}`") for c in df.columns])
+    enc = rows.select("*", *[e.alias(v) for e, v in zip(exprs, vector)])
     if scale:
-        enc = apply_scaler(enc, {f: (stats[f"_a{j}"], stats[f"_s{j}"]) for j, f in enumerate(fcols)})
-    any_missing = F.lit(False)
-    for i in range(len(sensors)):
-        any_missing = any_missing | F.col(f"_r{i}").isNull()
-    any_present = F.lit(False)
-    for i in range(len(sensors)):
-        any_present = any_present | F.col(f"_r{i}").isNotNull()
-
-    enc = materialize(enc, "knn-impute-input")
-    targets_all = enc.filter(any_missing).select("_id", *fcols)
-    targets = targets_all.groupBy(*fcols).agg(F.min("_id").alias("_tid"))
-    donors = _dedup_donors(enc.filter(any_present).select(F.col("_id").alias("_did"), *fcols,
-                                                          *[f"_r{i}" for i in range(len(sensors))]), fcols, k)
-    nt = targets.count()
-    if nt == 0:
-        return df.drop("_rowid") if rid == "_rowid" else df
-    search = _pick_search(method, nt, donors)
-    cand = search(targets, donors, n_feat=n, k=k, nan_aware=True,
-                  impute_idx=list(range(len(sensors))), block_rows=block_rows)
+        enc = apply_scaler(enc, {v: (stats[f"_a{j}"], stats[f"_s{j}"]) for j, v in enumerate(vector)})
+    targets = _distinct_vectors(enc.where(missing), vector)
+    donors = enc.where(_any([F.col(c).isNotNull() for c in sensors])).select(
+        F.col("_kid").alias("_did"), *[F.col(v).alias(f"_f{j}") for j, v in enumerate(vector)],
+        *[F.col(c).cast("double").alias(f"_r{i}") for i, c in enumerate(sensors)])
+    cand = knn_join(targets, donors, n_feat=len(names), k=k, nan_aware=True, impute_idx=list(range(len(sensors))),
+                    cell_rows=block_rows)
     est = cand.groupBy("_tid").agg(*[
         F.avg(F.when(F.col("_task") == i, F.col("_val"))).alias(f"_e{i}") for i in range(len(sensors))])
-    solved = targets.join(est, "_tid", "left")
-    back = (targets_all.alias("a").join(solved.alias("b"), _null_safe_on("a", "b", fcols))
-            .select(F.col("a._id").alias("_bid"), *[F.col(f"b._e{i}") for i in range(len(sensors))]))
-    out = df.join(back, df[rid] == back["_bid"], "left")
-    fixed = []
+    solved = materialize(targets.join(est, "_tid").drop("_tid"), "knn-estimates")
+    out = _answers_to_rows(enc.where(missing), vector, solved)
+    fixed = {}
     for i, c in enumerate(sensors):
-        fallback = F.lit(means[f"_m{i}"]).cast("double")
-        fixed.append(F.when(F.col(c).isNull() & F.col("_bid").isNotNull(),
-                            F.coalesce(F.col(f"_e{i}"), fallback)).otherwise(F.col(c)).alias(c))
-    sens = set(sensors)
-    res = out.select(*[fixed[sensors.index(c)] if c in sens else F.col(c) for c in df.columns])
-    return res.drop("_rowid") if rid == "_rowid" else res
+        fallback = F.lit(stats[f"_a{i}"]).cast("double")
+        fixed[c] = F.coalesce(F.col(f"`{c}`").cast("double"), F.col(f"_e{i}"), fallback).alias(c)
+    kept = rows.where(~missing).select(*[F.col(f"`{c}`").cast("double").alias(c) if c in fixed else F.col(f"`{c}`")
+                                         for c in df.columns])
+    return kept.unionByName(out.select(*[fixed.get(c, F.col(f"`{c}`")) for c in df.columns]))
 
 
 # ---------------------------------------------------------------- M5
 
 def knn_classify_component(df: DataFrame, *, feature_cols=COMPONENT_FEATURES, label: str = "comp_failure",
-                           k: int = N_NEIGHBORS, id_col: str | None = "seq",
-                           block_rows: int = 4096, method: str = "auto") -> DataFrame:
+                           k: int = N_NEIGHBORS, id_col: str | list[str] | None = "seq",
+                           block_rows: int = CELL_ROWS) -> DataFrame:
     """M5: predict the failure component of unresolved errors from the known ones.
 
     Targets: label NULL and an error logged (P8); donors: label known. Features:
@@ -478,47 +138,38 @@ def knn_classify_component(df: DataFrame, *, feature_cols=COMPONENT_FEATURES, la
     if label not in df.columns:
         return df
     err = error_column(df)
-    feats = [c for c in feature_cols if resolve_column(df, c)]
-    feats = [resolve_column(df, c) for c in feats]
+    feats = [resolve_column(df, c) for c in feature_cols]
+    feats = [c for c in feats if c]
     if err is None or not feats:
         return add_failed_flag(df)
-    df, rid = _with_id(df, id_col)
+    rows = _with_id(df, id_col, "_mid")
     cats = [c for c in feats if c == "model"]
     nums = [c for c in feats if c not in cats]
-    fitted = fit_categories(df, cats + [label])  # one pass for the dummies and the class list
-    exprs, names = _encode(df, nums, cats, fitted=fitted)
-    n = len(names)
-    fcols = [f"_f{j}" for j in range(n)]
+    fitted = fit_categories(rows, cats + [label])  # one pass for the dummies and the class list
+    exprs, names = _encode(rows, nums, cats, fitted=fitted)
+    vector = [f"_x{j}" for j in range(len(names))]
     classes = fitted[label]  # sorted, size-guarded
-    cls_arr = F.array(*[F.lit(c) for c in classes]) if classes else F.array().cast("array<string>")
-    enc = df.select(F.col(rid).alias("_id"), *[e.alias(f) for e, f in zip(exprs, fcols)],
-                    (F.array_position(cls_arr, F.col(label)) - 1).cast("int").alias("_lab"),
-                    F.col(err).isNotNull().alias("_err"))
-    enc = enc.withColumn("_lab", F.when(F.col("_lab") >= 0, F.col("_lab")))
-    # fill NULL features with the unscaled imputation rule over all rows
-    enc = knn_impute(enc, columns=fcols, categorical=(), k=k, id_col="_id", scale=False, block_rows=block_rows,
-                     method=method)
-    enc = materialize(apply_scaler(enc, scaler_params(fit_scaler(enc, fcols))), "knn-vote-input")
-    targets_all = enc.filter(F.col("_lab").isNull() & F.col("_err")).select("_id", *fcols)
-    targets = targets_all.groupBy(*fcols).agg(F.min("_id").alias("_tid"))
-    donors = _dedup_donors(enc.filter(F.col("_lab").isNotNull())
-                           .select(F.col("_id").alias("_did"), *fcols, "_lab"), fcols, k)
-    nt = targets.count()
-    if nt == 0:  # no donors -> no candidates -> labels stay unknown, same as skipping
-        res = add_failed_flag(df)
-        return res.drop("_rowid") if rid == "_rowid" else res
-    search = _pick_search(method, nt, donors)
-    cand = search(targets, donors, n_feat=n, k=k, nan_aware=False, block_rows=block_rows)
-    votes = cand.groupBy("_tid", "_lab").agg(F.count(F.lit(1)).alias("_v"))
+    asked = F.col(label).isNull() & F.col(err).isNotNull()
+    todo = rows.agg(F.sum(asked.cast("long")), F.sum(F.col(label).isNotNull().cast("long"))).first()
+    if not todo[0] or not todo[1]:  # nobody to ask for, or nobody to ask: labels stay
+        return add_failed_flag(rows.select(*[F.col(f"`{c}`") for c in df.columns]))
+    cls_arr = F.array(*[F.lit(c) for c in classes])
+    enc = rows.select("*", *[e.alias(v) for e, v in zip(exprs, vector)],
+                      (F.array_position(cls_arr, F.col(label)) - 1).cast("int").alias("_lab"))
+    if rows.select(_any([e.isNull() for e in exprs]).alias("x")).where("x").take(1):
+        enc = materialize(knn_impute(enc, columns=vector, categorical=(), k=k, id_col="_mid", scale=False,
+                                      block_rows=block_rows), "knn-vote-input")
+    enc = apply_scaler(enc, scaler_params(fit_scaler(enc, vector)))
+    targets = _distinct_vectors(enc.where(asked), vector)
+    donors = enc.where(F.col(label).isNotNull()).select(
+        F.col("_mid").alias("_did"), *[F.col(v).alias(f"_f{j}") for j, v in enumerate(vector)], "_lab")
+    cand = knn_join(targets, donors, n_feat=len(names), k=k, nan_aware=False, cell_rows=block_rows)
+    votes = cand.groupBy("_tid", F.col("_lab").alias("_code")).agg(F.count(F.lit(1)).alias("_v"))
     # most votes, then the smallest class name (codes follow the sorted class names)
     pred = votes.groupBy("_tid").agg(
-        F.min_by("_lab", F.struct((-F.col("_v")).alias("nv"), F.col("_lab").alias("lab"))).alias("_code"))
-    pred = pred.select("_tid", F.element_at(cls_arr, F.col("_code") + 1).alias("_pred"))
-    solved = targets.join(pred, "_tid")
-    back = (targets_all.alias("a").join(solved.alias("b"), _null_safe_on("a", "b", fcols))
-            .select(F.col("a._id").alias("_pid"), F.col("b._pred")))
-    out = df.join(back, df[rid] == back["_pid"], "left")
-    res = out.select(*[F.coalesce(F.col(label), F.col("_pred")).alias(label) if c == label else F.col(c)
-                       for c in df.columns])
-    res = add_failed_flag(res)
-    return res.drop("_rowid") if rid == "_rowid" else res
+        F.min_by("_code", F.struct((-F.col("_v")).alias("nv"), F.col("_code").alias("lab"))).alias("_code"))
+    solved = materialize(targets.join(pred, "_tid").select(
+        *[f"_f{j}" for j in range(len(names))], F.element_at(cls_arr, F.col("_code") + 1).alias("_pred")), "knn-votes")
+    out = _answers_to_rows(enc.where(asked), vector, solved)
+    out = out.select(*[F.col("_pred").alias(label) if c == label else F.col(f"`{c}`") for c in df.columns])
+    return add_failed_flag(rows.where(~asked).select(*[F.col(f"`{c}`") for c in df.columns]).unionByName(out))

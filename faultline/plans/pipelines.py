@@ -6,24 +6,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from faultline.operators import clean
-from faultline.operators.knn import knn_classify_component, knn_impute
+from faultline.operators.knn import CELL_ROWS, knn_classify_component, knn_impute
 from faultline.session import materialize
 
 
 def clean_table(df: DataFrame, *, drop_duplicates: bool = True, impute: bool = True,
-                engineer_target: bool = False, id_col: str = "seq", block_rows: int = 4096) -> DataFrame:
+                engineer_target: bool = False, id_col: str = "seq", block_rows: int = CELL_ROWS) -> DataFrame:
     """load-dedup -> sanitize (P1, P3-P5) -> numeric KNN (M4) -> [target KNN (P6, M5, P7)] -> round."""
     if drop_duplicates:
         df = clean.drop_exact_duplicates(df, ignore=id_col)
     df = clean.sanitize_physical(df)
-    if impute or engineer_target:
-        # the KNN stages read their input several times (fits, counts, join back)
-        df = materialize(df, "clean-input")
     if impute:
         df = knn_impute(df, id_col=id_col, block_rows=block_rows)
     if engineer_target:
-        if impute:
-            df = materialize(df, "imputed")
         df = clean.merge_failure_component(df)
         df = knn_classify_component(df, id_col=id_col, block_rows=block_rows)
     return clean.round_precision(df)
@@ -37,7 +32,7 @@ def _read_stage(spark, path: str, fmt: str):
     return parse_datetime(spark.read.option("header", True).option("inferSchema", True).format(fmt).load(path))
 
 
-def run_batch_pipeline(spark, raw_folder: str, out_dir: str, *, fmt: str = "parquet", block_rows: int = 4096):
+def run_batch_pipeline(spark, raw_folder: str, out_dir: str, *, fmt: str = "parquet", block_rows: int = CELL_ROWS):
     """Ingest -> combine -> clean (with target engineering) -> engineer -> write.
 
     Returns the written paths. Each stage's output is written to ``out_dir``,

@@ -41,7 +41,7 @@ M4_CTES = C.COMBINED + [
           sql="SELECT seq, machine_id, round(age, 6) AS age FROM imputed")
 def m4_knn_impute_telemetry(spark, sf):
     df = clean.sanitize_physical(combined(spark, sf))
-    return round_floats(knn_impute(df, id_col="seq", block_rows=1024).select(
+    return round_floats(knn_impute(df, id_col="seq").select(
         "seq", "machine_id", F.col("age").cast("double").alias("age")))
 
 
@@ -69,17 +69,40 @@ FROM lab5 LEFT JOIN pred5 ON seq = tid
 """)
 def m5_knn_component(spark, sf):
     df = clean.sanitize_physical(combined(spark, sf))
-    df = knn_impute(df, id_col="seq", block_rows=1024)
+    df = knn_impute(df, id_col="seq")
     df = clean.merge_failure_component(df)
-    out = knn_classify_component(df, id_col="seq", block_rows=1024)
+    out = knn_classify_component(df, id_col="seq")
     return out.select("seq", "machine_id", "comp_failure", "failed")
 
 
-@register("m4_knn_impute_maintenance")
+# M4 on the maintenance table: all pairs on the coordinates both have, the five best by (distance, place of the key).
+# Distance and place are one number, so that the smallest five are an aggregate and no pair is written.
+SENSORS4 = ["temperature_c", "vibration_level_mm_per_s", "load_percentage", "operating_hours"]
+KEY4 = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
+_SHARED = " + ".join(f"CASE WHEN t.z{j} IS NULL OR d.z{j} IS NULL THEN 0 ELSE 1 END" for j in range(4))
+_GAPS = " + ".join(f"coalesce((t.z{j} - d.z{j}) * (t.z{j} - d.z{j}), 0e0)" for j in range(4))
+M4_MAINTENANCE = C.SANITIZED_MAINTENANCE + [
+    ("zm", f"SELECT row_number() OVER (ORDER BY {KEY4}) AS did, *, " + ", ".join(
+        _z(c, f"z{j}") for j, c in enumerate(SENSORS4)) + " FROM sanitized"),
+    ("tm", "SELECT z0, z1, z2, z3, min(did) AS tid FROM zm WHERE z0 IS NULL OR z1 IS NULL OR z2 IS NULL OR z3 IS NULL "
+           "GROUP BY z0, z1, z2, z3"),
+    ("pm", f"SELECT t.tid, t.z0 AS t0, t.z1 AS t1, t.z2 AS t2, t.z3 AS t3, d.z0, d.z1, d.z2, d.z3, "
+           f"CAST(round(sqrt(4e0 * ({_GAPS}) / nullif({_SHARED}, 0)) * 1e9) AS BIGINT) * 1048576 + d.did AS k "
+           "FROM tm t JOIN zm d ON TRUE"),
+    ("nm", "SELECT tid, " + ", ".join(f"min(k, 5) FILTER (t{j} IS NULL AND z{j} IS NOT NULL) AS n{j}" for j in range(4))
+           + " FROM pm WHERE k IS NOT NULL GROUP BY tid"),
+    *[(f"em{j}", f"SELECT tid, avg({c}) AS e FROM (SELECT tid, unnest(n{j}) % 1048576 AS did FROM nm) JOIN zm USING (did) "
+                 "GROUP BY tid") for j, c in enumerate(SENSORS4)],
+]
+
+
+@register("m4_knn_impute_maintenance", views=["maintenance"], ctes=M4_MAINTENANCE,
+          sql=f"SELECT {KEY4}, " + ", ".join(
+              f"round(CASE WHEN zm.{c} IS NOT NULL THEN zm.{c} ELSE coalesce(em{j}.e, avg(zm.{c}) OVER ()) END, 6) AS {c}"
+              for j, c in enumerate(SENSORS4))
+          + " FROM zm LEFT JOIN tm ON " + " AND ".join(f"zm.z{j} IS NOT DISTINCT FROM tm.z{j}" for j in range(4))
+          + "".join(f" LEFT JOIN em{j} ON em{j}.tid = tm.tid" for j in range(4)))
 def m4_knn_impute_maintenance(spark, sf):
-    """Whole maintenance table; exact brute force is too slow for an SQL oracle on the
-    whole table, so this is checked against numpy brute force on a fixture in pytest."""
-    m = role_view(spark, sf, "maintenance")
-    m = m.withColumn("row_id", F.xxhash64("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    df = clean.sanitize_physical(m)
-    return knn_impute(df, id_col="row_id", block_rows=4096).drop("row_id")
+    """Whole maintenance table, ties by its four key columns."""
+    df = clean.sanitize_physical(role_view(spark, sf, "maintenance"))
+    return round_floats(knn_impute(df, id_col=KEY4.split(", ")))

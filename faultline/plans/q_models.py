@@ -52,7 +52,7 @@ SELECT l.datetime, l.machine_id, round_even(l.volt, 2) AS volt, round_even(l.rot
 FROM lab5 l LEFT JOIN pred5 p ON l.seq = p.tid
 """)
 def e1_clean_telemetry(spark, sf):
-    out = clean_table(combined(spark, sf), engineer_target=True, block_rows=1024)
+    out = clean_table(combined(spark, sf), engineer_target=True)
     return round_floats(out.withColumn("age", F.col("age").cast("double")))
 
 

@@ -79,7 +79,10 @@ def test_component_vote_ties_and_brute_force(spark):
         assert k3[t + 1] == best
 
 
-def test_pruned_equals_grid_on_random_data_with_gaps(spark):
+ONE_CELL = 1 << 20  # all donors of a pattern in one cell: plain search
+
+
+def test_cells_equal_plain_search_on_random_data_with_gaps(spark):
     rng = np.random.default_rng(11)
     n = 900
     x = rng.normal(size=(n, 3)) * [1.0, 5.0, 0.2]
@@ -87,15 +90,15 @@ def test_pruned_equals_grid_on_random_data_with_gaps(spark):
     x[:40, 0] = 2.0  # a hot value
     rows = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
     df = spark.createDataFrame(rows, "seq long, temperature_c double, load_percentage double, operating_hours double")
-    a = knn_impute(df, block_rows=64, method="pruned").orderBy("seq").toPandas()
-    b = knn_impute(df, block_rows=64, method="grid").orderBy("seq").toPandas()
+    a = knn_impute(df, block_rows=8).orderBy("seq").toPandas()
+    b = knn_impute(df, block_rows=ONE_CELL).orderBy("seq").toPandas()
     np.testing.assert_allclose(a.drop(columns="seq").to_numpy(float), b.drop(columns="seq").to_numpy(float))
     want = brute_impute(df.toPandas(), ["temperature_c", "load_percentage", "operating_hours"],
                         np.arange(n))
     np.testing.assert_allclose(a.drop(columns="seq").to_numpy(float), want, rtol=1e-9, atol=1e-9)
 
 
-def test_pruned_vote_equals_grid(spark):
+def test_vote_over_cells_equals_plain_search(spark):
     rng = np.random.default_rng(5)
     n = 700
     rows = []
@@ -106,7 +109,40 @@ def test_pruned_vote_equals_grid(spark):
         rows.append((i, float(v[0]), float(v[1] * 3), float(v[2]), lab, err))
     df = spark.createDataFrame(rows, "seq long, volt double, rotate double, pressure double, "
                                      "comp_failure string, errorid string")
-    a = knn_classify_component(df, block_rows=64, method="pruned").orderBy("seq").collect()
-    b = knn_classify_component(df, block_rows=64, method="grid").orderBy("seq").collect()
+    a = knn_classify_component(df, block_rows=8).orderBy("seq").collect()
+    b = knn_classify_component(df, block_rows=ONE_CELL).orderBy("seq").collect()
     assert a == b
     assert sum(r.comp_failure is None for r in a) == sum(1 for r in rows if r[4] is None and r[5] is None)
+
+
+def test_repeated_and_missing_ids_keep_every_row(spark):
+    df = spark.createDataFrame([(7, None, 5.0), (7, 2.0, 5.0), (7, None, 5.0)], "seq long, temperature_c double, load_percentage double")
+    got = knn_impute(df, k=1).collect()
+    assert len(got) == 3 and [r.temperature_c for r in got] == [2.0] * 3
+    no_id = df.withColumn("seq", F.lit(None).cast("long"))
+    assert sorted(r.temperature_c for r in knn_impute(no_id, k=1).collect()) == [2.0] * 3
+    keyed = spark.createDataFrame([(1, "b", None, 1.0), (1, "a", 4.0, 1.0), (0, "z", 8.0, 1.0)],
+                                  "k1 int, k2 string, temperature_c double, load_percentage double")
+    assert knn_impute(keyed, k=1, id_col=["k1", "k2"]).where("k2 = 'b'").first().temperature_c == 8.0  # the first key wins the tie
+    votes = spark.createDataFrame([(1, 0.0, "c1", None), (1, 0.0, None, "e"), (1, 0.0, None, "e"), (1, 5.0, "c2", None)],
+                                  "seq long, volt double, comp_failure string, errorid string")
+    assert sorted(r.comp_failure for r in knn_classify_component(votes, k=1).collect()) == ["c1", "c1", "c1", "c2"]
+
+
+def test_columns_never_present_together_over_several_levels(spark, monkeypatch):
+    """No donor has both lacking columns, so bounds come from two groups; trees are several levels deep."""
+    from faultline.operators import knn_cells
+    monkeypatch.setattr(knn_cells, "LEVEL_BITS", 2)
+    monkeypatch.setattr(knn_cells, "UNEVEN", 2)
+    rng = np.random.default_rng(3)
+    n = 500
+    age, hours = rng.integers(0, 60, n).astype(float), rng.normal(size=n) * 40
+    kind = rng.integers(0, 3, n)  # temperature only, load only, neither
+    rows = [(i, float(age[i]), float(hours[i]), float(rng.normal()) if kind[i] == 0 else None,
+             float(rng.normal()) if kind[i] == 1 else None) for i in range(n)]
+    df = spark.createDataFrame(rows, "seq long, age double, operating_hours double, temperature_c double, load_percentage double")
+    cols = ["temperature_c", "load_percentage", "operating_hours", "age"]
+    pdf = df.toPandas()
+    want = brute_impute(pdf, cols, pdf["seq"].to_numpy())
+    got = knn_impute(df, columns=cols, categorical=(), block_rows=4).toPandas().set_index("seq").loc[pdf["seq"]]
+    np.testing.assert_allclose(got[cols].to_numpy(float), want, rtol=1e-9, atol=1e-9)
