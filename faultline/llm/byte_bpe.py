@@ -14,7 +14,7 @@ Merged pieces are kept in a bounded per-worker table, since words repeat.
 from __future__ import annotations
 
 import base64
-from itertools import chain
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +22,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import held, prepare, same_or_new
+from faultline.llm.common import held, lean, prepare, same_or_new
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-KEPT_PIECES = 200_000  # pieces in the per-worker table (about 50 MB); it is emptied when full
+LOT_PIECES = 50_000  # pieces encoded at once
+KEPT_PIECES = 200_000  # pieces in the per-worker table (about 50 MB); it is emptied when full, tested every lot
 SHORT = 64  # bytes of a piece whose tree is a row of a matrix; longer ones have a list of their own
 FOREST = 1 << 14  # most trees of a matrix
 _NONE = 1 << 60
@@ -229,16 +230,12 @@ class ByteBpe:
                 c >>= 1
         return [t for t in token if t >= 0]
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of whole texts, without special tokens; NULL counts as empty."""
+    def _ids_of(self, pieces: list[str]) -> list[tuple[int, ...]]:
+        """Ids of pieces; those met before are looked up."""
         kept = self.kept
         if len(kept) > KEPT_PIECES:
             kept.clear()
-        cut = [self.pattern.findall(t) if t else [] for t in texts]
-        new = set()
-        for pieces in cut:
-            new.update(pieces)
-        new = [p for p in new if p not in kept]
+        new = [p for p in set(pieces) if p not in kept]
         raw = [p.encode("utf-8") for p in new]
         hard = [i for i, b in enumerate(raw) if b not in self.ranks]
         for i, ids in zip(hard, self.merge_many([raw[i] for i in hard])):
@@ -246,7 +243,27 @@ class ByteBpe:
         for p, b in zip(new, raw):
             if p not in kept:
                 kept[p] = (self.ranks[b],)
-        return [list(chain.from_iterable(map(kept.__getitem__, pieces))) for pieces in cut]
+        return [kept[p] for p in pieces]
+
+    def encode_flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts one after another, and the n + 1 offsets; NULL counts as empty.
+
+        Pieces are handled ``LOT_PIECES`` at a time, across texts and within a long one, so memory beyond the texts
+        and their ids doesn't grow with them.
+        """
+        found = chain.from_iterable(zip(repeat(i), self.pattern.finditer(t)) for i, t in enumerate(texts) if t)
+        count, parts = np.zeros(len(texts) + 1, np.int64), []
+        while lot := [(i, m[0]) for i, m in islice(found, LOT_PIECES)]:
+            ids = self._ids_of([p for _, p in lot])
+            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            parts.append(np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())))
+            np.add.at(count, np.fromiter((i + 1 for i, _ in lot), np.int64, len(lot)), size)
+        return np.concatenate(parts) if parts else np.empty(0, np.int32), np.cumsum(count)
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        """Ids of whole texts, without special tokens; NULL counts as empty."""
+        flat, off = self.encode_flat(texts)
+        return [flat[a:b].tolist() for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -263,13 +280,11 @@ def _encode(at: int, path, pattern, decoded: bool):
     def run(batches):
         bpe = coder(path, pattern)
         for b in batches:
-            ids = bpe.encode(b.column(at).to_pylist())
-            offsets = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(x) for x in ids], out=offsets[1:])
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
-            new = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+            flat, off = bpe.encode_flat(b.column(at).to_pylist())
+            new = [pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat))]
             if decoded:
-                new.append(pa.array([bpe.decode(x) for x in ids], pa.binary()))
+                new.append(pa.array([bpe.decode(flat[x:y].tolist()) for x, y in zip(off[:-1].tolist(), off[1:].tolist())],
+                                    pa.binary()))
             yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(b.columns) if i != at), *new],
                                              names=[*(n for i, n in enumerate(b.schema.names) if i != at),
                                                     *["ids", "decoded"][:len(new)]])
@@ -285,7 +300,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     """
     prepare(docs.sparkSession)
     d = same_or_new(docs, [("doc_id", "bigint"), ("text", "string")])
-    return d.mapInArrow(_encode(1, path, pattern, decoded),
+    return d.mapInArrow(lean(_encode(1, path, pattern, decoded)),
                         "doc_id bigint, ids array<int>" + ", decoded binary" * decoded)
 
 
@@ -301,7 +316,7 @@ def _decode(path, pattern):
 def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``(doc_id, ids)`` -> ``(doc_id, decoded binary)``; NULL ids give NULL, an unknown id fails."""
     prepare(encoded.sparkSession)
-    return encoded.select("doc_id", "ids").mapInArrow(_decode(path, pattern), "doc_id bigint, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(lean(_decode(path, pattern)), "doc_id bigint, decoded binary")
 
 
 def digest(encoded: DataFrame) -> DataFrame:

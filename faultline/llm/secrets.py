@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.byte_bpe import read_ranks, vocabulary_path
-from faultline.llm.common import h64, lean, prepare, same_or_new
+from faultline.llm.common import held, lean, prepare, same_or_new
 from faultline.session import scratch_path
 
 TRAIN_DOCS = 2000  # expected number of documents that labelled findings are drawn from
@@ -44,13 +44,32 @@ _PREFIXED_ANYWHERE = re.compile(_PREFIXED)
 _PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "AIza", "k_live_")
 _JWT_PART = re.compile(r"[\w-]*")
 _KEY_REST = re.compile(r"[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----", re.S)
+_PEM_BEGIN = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
+_PEM_END = re.compile(r"-----END [A-Z ]*PRIVATE KEY-----")
+#: What a path says about its file: made for tests or readers, or made to hold settings.
+_EXAMPLE_PATH = re.compile(r"(?:^|[/._-])(?:tests?|examples?|samples?|docs?|mocks?|fixtures?|demos?|spec)(?:[/._-]|$)", re.I)
+_CONFIG_PATH = re.compile(r"(?:^|[/.])(?:env|conf|config|cfg|ini|ya?ml|toml|properties|tfvars|pem|key|netrc|npmrc|pypirc|credentials)(?:\.\w+)?$", re.I)
 _SECRET_WORD = re.compile(_KEY, re.I)
 _PLAIN_WORD = re.compile(r"\b(?:sha\d*|md5|hash|checksum|commit|digest|uuid|guid|id|example|placeholder|test|card|mail|email|ip|version)\b", re.I)
 _WORD = re.compile(r"[A-Za-z]{4,}")
 
 FEATURES = ["length", "digits", "upper", "lower", "other", "hex", "entropy", "transitions", "dictionary", "issued",
-            "secret_word", "plain_word", "assigned", "quoted", "at_sign", "dots", "repeats", "path"]
+            "secret_word", "plain_word", "assigned", "quoted", "at_sign", "dots", "repeats", "path_depth", "path_example", "path_config"]
+
+
+def _key_blocks(text: str) -> list[tuple[int, int]]:
+    """Key blocks from a first line to the next last line; first lines that no last line follows cost no search."""
+    ends = [m.span() for m in _PEM_END.finditer(text)]
+    out, at, k = [], 0, 0
+    for m in _PEM_BEGIN.finditer(text):
+        while k < len(ends) and ends[k][0] < m.end():
+            k += 1
+        if k == len(ends):
+            break
+        if m.start() >= at:
+            at = ends[k][1]
+            out.append((m.start(), at))
+    return out
 
 
 def _issued(text: str) -> list[tuple[int, int]]:
@@ -135,7 +154,7 @@ def candidates(text: str | None) -> list[tuple[int, int, str]]:
         taken.sort()
 
     if "-----BEGIN" in text:
-        add("key block", [m.span() for m in _PEM.finditer(text)], 1)
+        add("key block", _key_blocks(text), 1)
     add("issued", _issued(text), 15)
     inner = None
     spans = []
@@ -147,15 +166,12 @@ def candidates(text: str | None) -> list[tuple[int, int, str]]:
     return taken
 
 
-_DICTIONARY: dict = {}
-
-
 def dictionary(path: str | None = None) -> frozenset:
-    """Words of at least four letters in a public vocabulary, lower-cased."""
-    if path not in _DICTIONARY:
+    """Words of at least four letters in a public vocabulary, lower-cased; a worker holds them while it scans."""
+    def build():
         words = (t.strip().lower() for t in read_ranks(path or vocabulary_path()))
-        _DICTIONARY[path] = frozenset(w.decode() for w in words if len(w) >= 4 and w.isalpha() and w.isascii())
-    return _DICTIONARY[path]
+        return frozenset(w.decode() for w in words if len(w) >= 4 and w.isalpha() and w.isascii())
+    return held("dictionary", path, build)
 
 
 def coverage(s: str, words: frozenset) -> float:
@@ -197,14 +213,14 @@ def features(cand: str, before: str, after: str, path: str | None, table: np.nda
     hexes = sum(k for c, k in count.items() if c in "0123456789abcdefABCDEF")
     codes = [_char(c) for c in cand.lower()]
     near = before[-24:]
-    return [float(min(n, 400)), digits / n, upper / n, lower / n, (n - digits - upper - lower) / n, hexes / n,
+    return [float(n), digits / n, upper / n, lower / n, (n - digits - upper - lower) / n, hexes / n,
             -sum(k / n * math.log2(k / n) for k in count.values()),
-            float(table[codes[:-1], codes[1:]].mean()) if n > 1 else 0.0, coverage(cand[:400], words),
+            float(table[codes[:-1], codes[1:]].mean()) if n > 1 else 0.0, coverage(cand, words),
             float(bool(_ISSUED.match(cand)) or cand.startswith("-----BEGIN")),
             float(bool(_SECRET_WORD.search(near))), float(bool(_PLAIN_WORD.search(near))),
             float(before.rstrip(" \"'`\t")[-1:] in ("=", ":", ">") and bool(before)), float(before[-1:] in "\"'`" and bool(before) and after[:1] in "\"'`" and bool(after)),
             float("@" in cand or after[:1] == "@"), cand.count(".") / n, 1.0 - len(count) / n,
-            float(h64((path or "").encode()) % 16)]
+            float((path or "").count("/")), float(bool(_EXAMPLE_PATH.search(path or ""))), float(bool(_CONFIG_PATH.search(path or "")))]
 
 
 def _row(text: str, s: int, e: int, path, table, words) -> list[float]:
@@ -243,7 +259,7 @@ def labelled(text: str, path: str | None) -> list[tuple[str, str, str, str | Non
         f = features(cand, before, after, path, np.zeros((28, 28)), words)
         sound = f[6] >= 3.0 and f[8] < 0.5
         out.append((cand, before, after, path, float((kind in ("issued", "key block")) or (kind == "assigned" and sound))))
-    plain = _WORD.findall(text[:4000])
+    plain = _WORD.findall(text)
     if plain:
         seed = hashlib.sha256(text.encode()).hexdigest()
         k = int(seed[:8], 16)
@@ -255,6 +271,7 @@ def labelled(text: str, path: str | None) -> list[tuple[str, str, str, str | Non
         out.append((key, before, after, path, 1.0))
         out.append(((word * 4)[:max(8, size // 2)], before, after, path, 0.0))
         out.append((f"{word}-{plain[k // 3 % len(plain)]}", before, after, path, 0.0))
+        out.append((f"https://{plain[k // 3 % len(plain)]}.com/{word}?{name}=", before, after, path, 0.0))  # an address, up to its value
         out.append((_made_up(seed + "d", 40, "0123456789abcdef"), f"{word} {('commit', 'sha256', 'checksum')[k % 3]} ", f" {word}", path, 0.0))
         out.append((_made_up(seed + "e", 40, "0123456789abcdef"), f"{word} {('commit', 'sha256', 'checksum')[k % 3]}=", f" {word}", path, 0.0))
         prefix, alphabet, size = _MADE_UP_ISSUED[k // 11 % len(_MADE_UP_ISSUED)]

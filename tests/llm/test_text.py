@@ -323,3 +323,26 @@ def test_marginals_equal_enumeration():
             one[k] += v * exp(s)
     for n in p.nodes:
         assert np.isclose(got[id(n)], one[id(n)] / total)
+
+
+def test_key_blocks_are_found_in_linear_time_and_long_candidates_count_whole():
+    import time
+    open_ = "-----BEGIN RSA PRIVATE KEY-----\nabc\n"
+    closed = open_ + "-----END RSA PRIVATE KEY-----"
+    text = "x " + open_ + closed + " y " + closed
+    assert [text[s:e] for s, e in secrets._key_blocks(text)] == [open_ + closed, closed]
+    t = time.perf_counter()
+    assert secrets._key_blocks(open_ * 60_000) == [] and time.perf_counter() - t < 5
+    words = frozenset(["word"])
+    assert secrets.coverage("word" * 500 + "0" * 2000, words) == 0.5
+    f = secrets.features("q" * 900, "", "", "app/tests/.env", np.zeros((28, 28)), words)
+    got = dict(zip(secrets.FEATURES, f))
+    assert (got["length"], got["path_depth"], got["path_example"], got["path_config"]) == (900, 2, 1, 1)
+
+
+def test_byte_bpe_in_small_lots_equals_one_lot(monkeypatch):
+    texts = ["one two  three", None, "", "é" * 50 + " x" * 40, "a\nb"]
+    bpe = byte_bpe.coder()
+    whole = bpe.encode(texts)
+    monkeypatch.setattr(byte_bpe, "LOT_PIECES", 3)
+    assert bpe.encode(texts) == whole and whole[1] == whole[2] == []
