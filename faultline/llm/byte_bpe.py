@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from faultline.llm.common import held, lean, prepare, same_or_new
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-LOT_PIECES = 50_000  # pieces encoded at once
-KEPT_PIECES = 200_000  # pieces in the per-worker table (about 50 MB); it is emptied when full, tested every lot
+LOT_PIECES = 20_000  # pieces encoded at once
+KEPT_PIECES = 80_000  # pieces in the per-worker table (about 20 MB); it is emptied when full, tested every lot
 SHORT = 64  # bytes of a piece whose tree is a row of a matrix; longer ones have a list of their own
 FOREST = 1 << 14  # most trees of a matrix
 _NONE = 1 << 60

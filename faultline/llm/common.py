@@ -55,11 +55,14 @@ def give_back() -> None:
 
 
 def lean(run):
-    """``run`` over batches for ``mapInArrow``: starts without earlier tables, ends with freed memory given back."""
+    """``run`` over batches for ``mapInArrow``: starts without earlier tables and leaves none behind.
+
+    Idle workers take turns, so tables left in one would stay in memory while another builds its own.
+    """
     def own(batches):
         let_go()
         yield from run(batches)
-        give_back()
+        let_go()
     return own
 
 
