@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.names import resolve_column
+from faultline.operators.ordered import global_rank
 
 # Fixed values that must equal the reference behaviour.
 TREND_WORDS = ("sensor", "setting")
@@ -22,9 +23,10 @@ def trend_columns(df: DataFrame) -> list[str]:
 
 
 def sensor_trend(df: DataFrame, time_col: str | None = None) -> DataFrame:
-    """P15 as a projection (time column first when given)."""
+    """The trend columns, in the order of the time column (which comes first) when one is given."""
     cols = trend_columns(df)
-    return df.select(*([time_col] if time_col else []), *cols)
+    out = df.select(*([time_col] if time_col else []), *[c for c in cols if c != time_col])
+    return out.orderBy(time_col) if time_col else out
 
 
 def assessment(df: DataFrame) -> DataFrame:
@@ -49,6 +51,11 @@ def chronological(df: DataFrame, time_col: str = "datetime", tie_cols=("machine_
     return df.orderBy(time_col, *[c for c in tie_cols if c in df.columns])
 
 
+def chronological_rank(df: DataFrame, time_col: str = "datetime", tie_cols=("machine_id",), out: str = "rank") -> DataFrame:
+    """O1 with the place of every row, from 1: the order survives storage and can be compared."""
+    return global_rank(df, [time_col, *[c for c in tie_cols if c in df.columns]], out)
+
+
 def head(df: DataFrame, n: int = 5, order_cols=("datetime", "machine_id")) -> DataFrame:
     """O2: the first ``n`` rows in a stated order (top-n: each task keeps n, then one merge)."""
     return df.orderBy(*[c for c in order_cols if c in df.columns]).limit(n)

@@ -147,7 +147,7 @@ def roll_columns(columns, window: int = ROLL_WINDOW, lag: int = LAG) -> list[str
 
 def rolling_and_lag(df: DataFrame, columns, *, key: str = "machine_id",
                     order_cols=("datetime", "seq"), window: int = ROLL_WINDOW, lag: int = LAG,
-                    skew_safe: bool = True, bucket: Column | None = None) -> DataFrame:
+                    skew_safe: bool = True, segment_rows: int | None = None) -> DataFrame:
     """W1-W3 per machine in time order.
 
     mean over the last ``window`` rows (at least one present value), sample std
@@ -166,7 +166,7 @@ def rolling_and_lag(df: DataFrame, columns, *, key: str = "machine_id",
         return frame.select("*", *new)
 
     return keyed_row_windows(df, key=key, order_cols=order_cols, halo=max(window - 1, lag),
-                             compute=compute, bucket=bucket, skew_safe=skew_safe)
+                             compute=compute, segment_rows=segment_rows, skew_safe=skew_safe)
 
 
 def engineer_features(df: DataFrame, *, key: str = "machine_id", order_cols=("datetime", "seq"),

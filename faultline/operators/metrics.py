@@ -1,9 +1,8 @@
 """Evaluation metrics over (label, score) tables.
 
 Everything is derived from one aggregate: positives and negatives per distinct
-score. Cumulative counts in descending score order come from a two-level
-prefix sum (score buckets from approximate quantiles, a bounded per-bucket
-total table, and a window inside each bucket), so no step puts all scores in
+score. Cumulative counts in descending score order are running totals over a
+range-partitioned order, so no step puts all scores in
 one partition. Each curve point then carries what the trapezoid area, F1 and
 the precision/recall at a threshold need, and those are plain aggregates.
 
@@ -14,11 +13,10 @@ positives), plus the end point (precision 1, recall 0) that has no threshold.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from faultline.operators.ordered import running_totals
 from faultline.session import broadcast_if_small
 
 F1_EPS = 1e-10  # fixed value: added to p + r in the F1 denominator
@@ -50,27 +48,11 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> D
                  F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("long").alias("neg")))
 
 
-def _descending_prefix(counts: DataFrame, rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """Add tps/fps = counts summed over all thresholds >= this one."""
-    n = counts.count()
-    nb = max(1, min(10_000, math.ceil(n / rows_per_bucket)))
-    if nb == 1:
-        b = counts.withColumn("_b", F.lit(0))
-    else:
-        qs = [i / nb for i in range(1, nb)]
-        bounds = counts.agg(F.percentile_approx("threshold", qs, 10_000).alias("q")).first()["q"]
-        arr = F.array(*[F.lit(float(x)) for x in bounds])
-        b = counts.withColumn("_b", F.size(F.filter(arr, lambda x: x > F.col("threshold"))))
-    tot = b.groupBy("_b").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # <= 10k rows
-    off = tot.select("_b", F.coalesce(F.sum("_bp").over(wb), F.lit(0)).alias("_op"),
-                     F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_on"),
-                     F.sum("_bp").over(Window.partitionBy()).alias("P"))
-    w = Window.partitionBy("_b").orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return (b.join(F.broadcast(off), "_b")  # one row per bucket, at most 10k
-            .select("threshold", "pos", "neg", "P",
-                    (F.sum("pos").over(w) + F.col("_op")).alias("tps"),
-                    (F.sum("neg").over(w) + F.col("_on")).alias("fps")))
+def _descending_prefix(counts: DataFrame) -> DataFrame:
+    """Add tps/fps = counts summed over all thresholds >= this one, and P = all positives."""
+    run = running_totals(counts, [F.col("threshold").desc()], ["pos", "neg"])
+    return run.select("threshold", "pos", "neg", F.col("all_pos").alias("P"),
+                      (F.col("before_pos") + F.col("pos")).alias("tps"), (F.col("before_neg") + F.col("neg")).alias("fps"))
 
 
 def _points(df: DataFrame, label: str, score: str) -> DataFrame:

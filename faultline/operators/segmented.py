@@ -3,43 +3,36 @@
 ``Window.partitionBy(machine_id)`` sends every row of a machine to one task;
 if one machine holds a third of the data that task holds a third of the data.
 Rolling, lag and sequence features only look ``halo`` rows back, so the rows
-of a key can be cut into (key, time bucket) segments and each segment only
-needs the last ``halo`` rows that precede it. Those rows may lie in several
-earlier buckets when buckets are sparse; which ones is decided exactly from a
-small per-bucket count table:
+can be cut into segments, and each segment only needs the last ``halo`` rows before it:
 
-1. ``counts``: rows per (key, bucket) -- a partial aggregate, tiny shuffle.
-2. running offset of each bucket within its key (window over ``counts``).
-3. for each bucket, the following buckets that start fewer than ``halo``
-   rows after its end, and the number of rows in between (``gap``).
-4. ``tails``: the last ``halo`` rows of each bucket (``row_number <= halo``;
-   Spark applies the limit map-side before the shuffle).
-5. tail rows are copied into every bucket that needs them; segments are then
-   windowed on ``partitionBy(key, bucket).orderBy(source bucket, order)``, and
-   the copies are dropped.
+1. rows get their place in the order (key, order columns) by a range shuffle and one write
+   (``ordered.global_rank``), so the input is computed once;
+2. a segment is ``rows`` consecutive places, whatever keys, dates or gaps they hold: sparse stretches share a segment
+   and a dense one is cut into many;
+3. the last ``halo`` places of a segment are copied into the next one (a segment is at least ``HALO_SHARE``
+   times as long as its halo, so copies add a sixteenth at most); windows run over
+   ``partitionBy(key, segment)`` and the copies are dropped.
 
 The result is identical to the plain per-key window for any data layout.
-The full data passes one exchange, partitioned by (key, bucket).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_NULL_BUCKET = -(2 ** 62)  # rows with NULL order value sort first, as in the window
+from faultline.operators.ordered import global_rank
 
+SEGMENT_ROWS = 4096  # rows of a segment at least
+HALO_SHARE = 16
 
-def time_bucket(col: str, days: int = 7) -> Column:
-    """Bucket of a timestamp/date column in whole days (time-zone independent)."""
-    day = F.datediff(F.col(col).cast("date"), F.lit("1970-01-01").cast("date"))
-    return F.coalesce(F.floor(day / F.lit(days)), F.lit(_NULL_BUCKET))
 
-
-def numeric_bucket(col: str, width: float) -> Column:
-    return F.coalesce(F.floor(F.col(col) / F.lit(width)), F.lit(_NULL_BUCKET))
+def ranked_segments(df: DataFrame, key: str, order_cols: list, rows: int) -> DataFrame:
+    """``df`` with ``_at``, the row's place in (key, order columns), and ``_seg``, its segment of ``rows`` places."""
+    ranked = global_rank(df, [F.col(key), *order_cols], "_at")
+    return ranked.withColumn("_seg", F.expr(f"(_at - 1) div {int(rows)}"))
 
 
 def keyed_row_windows(
@@ -49,54 +42,25 @@ def keyed_row_windows(
     order_cols: list[str],
     halo: int,
     compute: Callable[[DataFrame, Window], DataFrame],
-    bucket: Column | None = None,
+    segment_rows: int | None = None,
     skew_safe: bool = True,
 ) -> DataFrame:
     """Apply ``compute(frame, window)`` where ``window`` orders the rows of one key.
 
     ``compute`` must only use frames reaching at most ``halo`` rows back
     (``rowsBetween(-halo, 0)``, ``lag(n <= halo)``). ``order_cols`` must give
-    a total order within a key (add a tie-break column). ``bucket`` must be
-    non-decreasing in ``order_cols`` (default: 7-day buckets of the first one).
-    ``skew_safe=False`` gives the plain ``partitionBy(key)`` plan.
+    a total order within a key (add a tie-break column). ``segment_rows`` (default: ``SEGMENT_ROWS`` or 16 halos)
+    doesn't change the result. ``skew_safe=False`` gives the plain ``partitionBy(key)`` plan.
     """
     if halo < 0:
         raise ValueError("halo must be >= 0")
     if not skew_safe:
         w = Window.partitionBy(key).orderBy(*order_cols)
         return compute(df, w)
-    cols = df.columns
-    b = bucket if bucket is not None else time_bucket(order_cols[0])
-    d = df.withColumn("_b", b)
-    kb = [key, "_b"]
-
-    counts = d.groupBy(*kb).agg(F.count(F.lit(1)).alias("_n"))
-    wk = Window.partitionBy(key).orderBy("_b")
-    counts = (counts
-              .withColumn("_off", F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
-                                             F.lit(0)))
-              .withColumn("_end", F.col("_off") + F.col("_n")))
-
-    if halo == 0:
-        halo_rows = None
-    else:
-        nxt = counts.withColumn(
-            "_next", F.collect_list(F.struct(F.col("_b").alias("b"), F.col("_off").alias("off")))
-            .over(wk.rowsBetween(1, halo)))
-        nxt = (nxt.select(key, "_b", "_end", F.explode("_next").alias("t"))
-               .select(key, "_b", F.col("t.b").alias("_to"), (F.col("t.off") - F.col("_end")).alias("_gap"))
-               .filter(F.col("_gap") < halo))
-        wdesc = Window.partitionBy(*kb).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols])
-        tails = d.withColumn("_rd", F.row_number().over(wdesc)).filter(F.col("_rd") <= halo)
-        t, n = tails.alias("t"), nxt.alias("n")
-        cond = (F.col(f"t.{key}").eqNullSafe(F.col(f"n.{key}"))) & (F.col("t._b") == F.col("n._b"))
-        halo_rows = (t.join(n, cond)
-                     .filter(F.col("t._rd") <= F.lit(halo) - F.col("n._gap"))
-                     .select(*[F.col(f"t.{c}") for c in cols],
-                             F.col("n._to").alias("_b"), F.col("t._b").alias("_src"),
-                             F.lit(True).alias("_halo")))
-    own = d.withColumn("_src", F.col("_b")).withColumn("_halo", F.lit(False))
-    u = own if halo_rows is None else own.unionByName(halo_rows)
-    w = Window.partitionBy(*kb).orderBy("_src", *order_cols)
-    out = compute(u, w)
-    return out.filter(~F.col("_halo")).drop("_b", "_src", "_halo")
+    rows = max(segment_rows or max(SEGMENT_ROWS, HALO_SHARE * halo), halo, 1)
+    d = ranked_segments(df, key, order_cols, rows)
+    last = (F.col("_at") - 1) % rows >= rows - halo
+    into = F.when(last, F.array("_seg", F.col("_seg") + 1)).otherwise(F.array("_seg"))
+    u = d.withColumn("_to", F.explode(into))
+    w = Window.partitionBy(key, "_to").orderBy("_at")
+    return compute(u, w).where("_to = _seg").drop("_at", "_seg", "_to")

@@ -40,13 +40,17 @@ def run_batch_pipeline(spark, raw_folder: str, out_dir: str, *, fmt: str = "parq
     """
     from faultline.operators.combine import combine
     from faultline.operators.features import engineer_features
-    from faultline.plans.ingest import ingest_folder, prepare_tables
+    from faultline.plans.ingest import image_stage, ingest_folder, prepare_tables
     from faultline.sources.sinks import save_params, write_ingested, write_table
 
-    tables, _ = ingest_folder(spark, raw_folder)
+    tables, manifest = ingest_folder(spark, raw_folder)
     write_ingested(tables, f"{out_dir}/ingested", fmt)
     prepared = prepare_tables(tables)
     paths = {}
+    quality, plan, counts = image_stage(spark, raw_folder, manifest)
+    for name, df in (("image_quality", quality), ("image_plan", plan), ("image_counts", counts)):
+        write_table(df, f"{out_dir}/{name}", "parquet")
+        paths[name] = f"{out_dir}/{name}"
     combined = combine(prepared)
     if combined is not None:
         write_table(combined, f"{out_dir}/combined", fmt)
@@ -60,7 +64,7 @@ def run_batch_pipeline(spark, raw_folder: str, out_dir: str, *, fmt: str = "parq
                      model_dataset=f"{out_dir}/model_dataset")
     sensors = [k for k in prepared if "maintenance" in k]  # the second (non-PdM) sensor tables
     for name in sensors:
-        kept = "cleaned_maintenance" if len(sensors) == 1 else f"cleaned_{name}"
+        kept = f"cleaned_{name}"
         maint = clean_table(prepared[name], engineer_target=False, id_col="__none__", block_rows=block_rows)
         write_table(maint, f"{out_dir}/{kept}", fmt)
         paths[kept] = f"{out_dir}/{kept}"

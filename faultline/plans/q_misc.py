@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from faultline.fixtures import role_view
 from faultline.functions.nulls import sanitize_nested, zero_fill
-from faultline.operators.assess import assessment, chronological, head, sensor_trend, top1
+from faultline.operators.assess import assessment, chronological, chronological_rank, head, sensor_trend, top1
 from faultline.operators.models import relu
 from faultline.plans import oracle_ctes as C
 from faultline.plans.inputs import combined
@@ -68,6 +68,14 @@ def o1_chronological(spark, sf):
     return chronological(combined(spark, sf).select("datetime", "machine_id", "seq"))
 
 
+@register("o1_chronological_rank", views=C.COMBINED_VIEWS, ctes=C.COMBINED, sql="""
+SELECT datetime, machine_id, seq, row_number() OVER (ORDER BY datetime, machine_id, seq) AS "rank" FROM combined
+""")
+def o1_chronological_rank(spark, sf):
+    df = combined(spark, sf).select("datetime", "machine_id", "seq")
+    return chronological_rank(df, tie_cols=("machine_id", "seq"))
+
+
 @register("o2_head", views=C.COMBINED_VIEWS, ctes=C.COMBINED, sql="""
 SELECT datetime, machine_id, seq, volt FROM combined ORDER BY datetime, machine_id, seq LIMIT 5
 """)

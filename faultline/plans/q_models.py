@@ -44,6 +44,17 @@ def w4_sequences(spark, sf):
     return sequences(labelled(spark, sf), length=SEQ_LEN).select("machine_id", "datetime", "seq", "ts", "num")
 
 
+@register("w4_sequences_strided", views=C.COMBINED_VIEWS, ctes=C.LABELLED, sql=f"""
+SELECT machine_id, datetime, seq, ts FROM (
+  SELECT *, list([volt, rotate, pressure, vibration]) OVER (PARTITION BY machine_id ORDER BY datetime, seq
+              ROWS BETWEEN {SEQ_LEN - 1} PRECEDING AND CURRENT ROW) AS ts,
+         row_number() OVER (PARTITION BY machine_id ORDER BY datetime, seq) AS n
+  FROM labelled) WHERE len(ts) = {SEQ_LEN} AND (n - {SEQ_LEN}) % 3 = 0
+""")
+def w4_sequences_strided(spark, sf):
+    return sequences(labelled(spark, sf), length=SEQ_LEN, stride=3).select("machine_id", "datetime", "seq", "ts")
+
+
 @register("e1_clean_telemetry", views=C.COMBINED_VIEWS, ctes=M5_CTES, sql="""
 SELECT l.datetime, l.machine_id, round_even(l.volt, 2) AS volt, round_even(l.rotate, 2) AS rotate,
        round_even(l.pressure, 2) AS pressure, round_even(l.vibration, 2) AS vibration, l.seq, l.model,

@@ -17,46 +17,72 @@ from faultline.sources.manifest import IMAGE_EXTENSIONS
 # Fixed values that must equal the reference behaviour.
 TARGET_SIZE = (256, 256)
 MIN_STD = 1.0
+IMAGE_BATCH_BYTES = 16 << 20  # decoded images handed to Python at once, unless one alone is larger
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Image files under ``path`` (by extension), invalid ones kept with height -1."""
-    # either case of every letter: .png and .PNG are the same kind of file
-    glob = "*.{" + ",".join("".join(f"[{c}{c.upper()}]" for c in e.lstrip(".")) for e in IMAGE_EXTENSIONS) + "}"
-    df = (spark.read.format("image").option("dropInvalid", False).option("pathGlobFilter", glob).load(path))
+#: Formats that the reference reads and Spark's image source can't decode.
+UNDECODABLE = (".webp",)
+IMAGE_SCHEMA = "path string, height int, width int, channels int, data binary"
+
+
+def read_images(spark: SparkSession, path: str | None, by_name: bool = True) -> DataFrame:
+    """Image files under ``path`` (by extension unless not ``by_name``), invalid ones kept with height -1.
+
+    Without a path, no images.
+    """
+    if path is None:
+        return spark.createDataFrame([], IMAGE_SCHEMA)
+    reader = spark.read.format("image").option("dropInvalid", False)
+    if by_name:  # either case of every letter: .png and .PNG are the same kind of file
+        reader = reader.option("pathGlobFilter", "*.{" + ",".join(
+            "".join(f"[{c}{c.upper()}]" for c in e.lstrip(".")) for e in IMAGE_EXTENSIONS) + "}")
+    df = reader.load(path)
     return df.select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"),
                      F.col("image.width").alias("width"), F.col("image.nChannels").alias("channels"),
                      F.col("image.data").alias("data"))
 
 
+def _deviation(channel: np.ndarray) -> float:
+    """Standard deviation of 8-bit values from their counts: exact, and no array of floats the size of the image."""
+    n = np.bincount(channel, minlength=256)
+    v = np.arange(256)
+    mean = (n * v).sum() / n.sum()
+    return float(np.sqrt((n * (v - mean) ** 2).sum() / n.sum()))
+
+
 def _quality(it, min_std: float):
     for pdf in it:
         out = []
-        for h, w, c, data in zip(pdf["height"], pdf["width"], pdf["channels"], pdf["data"]):
+        for path, h, w, c, data in zip(pdf["path"], pdf["height"], pdf["width"], pdf["channels"], pdf["data"]):
             if h is None or h <= 0 or w <= 0 or data is None or len(data) != h * w * c:
-                out.append(("corrupt", None))
+                out.append(("undecodable" if (path or "").lower().endswith(UNDECODABLE) else "corrupt", None))
                 continue
-            px = np.frombuffer(data, dtype=np.uint8).reshape(h, w, c).astype(np.float64)
-            rgb = px[:, :, :3] if c >= 3 else np.repeat(px[:, :, :1], 3, axis=2)
-            std = float(rgb.reshape(-1, 3).std(axis=0).mean())
+            px = np.frombuffer(data, dtype=np.uint8).reshape(-1, c)[:, :3]
+            std = float(np.mean([_deviation(px[:, i]) for i in range(px.shape[1] if c >= 3 else 1)]))
             out.append(("blank" if std < min_std else "kept", std))
         yield pd.DataFrame({"path": pdf["path"], "height": pdf["height"], "width": pdf["width"],
                             "outcome": [o for o, _ in out], "mean_std": [s for _, s in out]})
 
 
 def image_quality(images: DataFrame, min_std: float = MIN_STD) -> DataFrame:
-    """Outcome per image: corrupt (unreadable), blank (mean RGB std < min_std) or kept."""
+    """Outcome per image: corrupt (unreadable), blank (mean RGB std < min_std), undecodable (a format
+    without a decoder here: neither removed nor judged) or kept.
+
+    Images go to Python in batches of bounded size, so a task holds few decoded images whatever their sizes.
+    """
+    images.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(IMAGE_BATCH_BYTES))
     return images.mapInPandas(lambda it: _quality(it, min_std),
                               "path string, height int, width int, outcome string, mean_std double")
 
 
 def outcome_counts(quality: DataFrame) -> DataFrame:
-    """One row: total, kept, removed_corrupt, removed_blank."""
+    """One row: total, kept, removed_corrupt, removed_blank, undecodable."""
     o = F.col("outcome")
     return quality.agg(F.count(F.lit(1)).alias("total"),
                        F.sum((o == "kept").cast("long")).alias("kept"),
                        F.sum((o == "corrupt").cast("long")).alias("removed_corrupt"),
-                       F.sum((o == "blank").cast("long")).alias("removed_blank")).na.fill(0)
+                       F.sum((o == "blank").cast("long")).alias("removed_blank"),
+                       F.sum((o == "undecodable").cast("long")).alias("undecodable")).na.fill(0)
 
 
 def letterbox_plan(df: DataFrame, size=TARGET_SIZE, width: str = "width", height: str = "height",

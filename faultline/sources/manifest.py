@@ -1,16 +1,18 @@
 """File manifest (S1) and table names.
 
-The folder listing is metadata (names and sizes) and is taken on the driver
-through ``pyarrow.fs`` (local, HDFS or object stores alike); the content test
-(is it a zip archive?) reads only the first bytes of each file and runs in the
-executors.
+Both the listing and the content test (is it a zip archive?) are Spark reads, so any file system that
+Spark reads from works. The listing is the ``binaryFile`` source without its content column, which opens no file. For the
+test, executors read the first line of every file and stop: each file is a
+partition of its own and the task takes one row from it.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from contextlib import contextmanager
 
-import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,45 +24,83 @@ METADATA_WORDS = ("readme", "license", "notes", "description")
 IMAGE_EXTENSIONS = (".png", ".jpg", ".jpeg", ".bmp", ".tiff", ".webp")
 COMPONENT_TABLES = ("telemetry", "machines", "failures", "errors", "maint")
 ZIP_MAGIC = (b"PK\x03\x04", b"PK\x05\x06", b"PK\x07\x08")
+HEAD_LINE = 1 << 16  # bytes of a first line that are read at most
 
 
-def _fs(path: str):
-    from pyarrow import fs
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), os.path.abspath(path))
+def _depth(path: str) -> int:
+    """Folders above a file, scheme and authority aside."""
+    return len([p for p in re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", path).split("/") if p])
 
 
-def list_folder(path: str) -> list[tuple[str, int]]:
-    """Top-level files of ``path`` in name order (no descent). Missing folder raises."""
-    from pyarrow import fs as pafs
-    filesystem, root = _fs(path)
-    info = filesystem.get_file_info(root)
-    if info.type == pafs.FileType.NotFound:
-        raise FileNotFoundError(f"folder '{path}' does not exist")
-    entries = filesystem.get_file_info(pafs.FileSelector(root, recursive=False))
-    files = [(e.path, e.size) for e in entries if e.type == pafs.FileType.File]
-    return sorted(files, key=lambda x: os.path.basename(x[0]))
+def list_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Top-level files of ``folder``: path, length (no descent). Missing folder raises.
 
-
-def _magic_batches(it):
-    from pyarrow import fs as pafs
-    local = pafs.LocalFileSystem()
-    for pdf in it:
-        heads = []
-        for p in pdf["path"]:
-            try:
-                filesystem, q = (pafs.FileSystem.from_uri(p) if "://" in p else (local, p))
-                with filesystem.open_input_stream(q) as f:
-                    heads.append(f.read(4))
-            except OSError:
-                heads.append(b"")
-        yield pdf.assign(head=heads)
-
-
-def action_expr(stem_lower, ext, head):
+    Empty files, and names that start with ``_`` or ``.``, are skipped by Spark's readers and so not listed.
+    """
+    root = folder if re.match(r"^[A-Za-z][\w+.-]*:", folder) else os.path.abspath(folder)
+    try:
+        # without the recursive listing, a sub-folder named like a partition (k=1) would hide the files beside it
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "length")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(f"folder '{folder}' does not exist") from e
+        raise
+    parts = F.regexp_replace("path", r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "")
+    depth = F.size(F.filter(F.split(parts, "/"), lambda p: p != ""))
+    return files.where(depth == _depth(root) + 1)
+
+
+@contextmanager
+def _settings(spark: SparkSession, **values: str):
+    """Session settings for the reads inside the block."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def _first_row(batches):
+    for b in batches:
+        if b.num_rows:
+            yield b.slice(0, 1)
+            return
+
+
+def zip_paths(spark: SparkSession, files: DataFrame) -> set[str]:
+    """Paths whose first bytes are those of a zip archive (read in the executors, one row a file)."""
+    paths = [r["path"] for r in files.select("path").collect()]  # names only
+    if not paths:
+        return set()
+    largest = str(2 ** 62)  # one partition a file, whole
+    with _settings(spark, spark__sql__files__maxPartitionBytes=largest, spark__sql__files__openCostInBytes=largest,
+                   spark__sql__execution__arrow__maxRecordsPerBatch="1"):
+        lines = spark.read.option("mapreduce.input.linerecordreader.line.maxlength", HEAD_LINE).text(paths)
+        head = F.substring(F.col("value").cast("binary"), 1, 4)
+        heads = lines.select(F.col("_metadata.file_path").alias("path"), head.alias("head"))
+        found = heads.mapInArrow(_first_row, "path string, head binary").where(
+            F.col("head").isin(*[bytearray(m) for m in ZIP_MAGIC])).select("path").collect()
+    same = {_plain(p): p for p in paths}
+    return {same[_plain(r["path"])] for r in found}
+
+
+def _plain(path: str) -> str:
+    """A path without the differences in how Spark writes it (``file:/a`` and ``file:///a``, escapes)."""
+    from urllib.parse import unquote
+    return re.sub(r"^([A-Za-z][\w+.-]*):/+", r"\1:/", unquote(path))
+
+
+def action_expr(stem_lower, ext, is_zip):
     meta = F.lit(False)
     for w in METADATA_WORDS:
         meta = meta | stem_lower.contains(w)
-    is_zip = head.isin(*[bytearray(m) for m in ZIP_MAGIC])
     return (F.when(meta, "skip_metadata").when(is_zip, "zip")
             .when(ext.isin(*IMAGE_EXTENSIONS), "image")
             .when(ext.isin(*LOADERS), "tabular").otherwise("unsupported"))
@@ -73,20 +113,17 @@ def file_manifest(spark: SparkSession, folder: str) -> DataFrame:
     ``zip`` (by content), ``image``, ``tabular`` or ``unsupported``; ``table`` is
     the normalised stem (S10); ``duplicate_stem`` flags stems seen twice.
     """
-    files = list_folder(folder)
-    pdf = pd.DataFrame({"path": [p for p, _ in files], "length": [int(s) for _, s in files]})
-    base = spark.createDataFrame(pdf, "path string, length long") if files else \
-        spark.createDataFrame([], "path string, length long")
-    heads = base.mapInPandas(_magic_batches, "path string, length long, head binary")
+    files = list_folder(spark, folder)
+    zips = zip_paths(spark, files)
     name = F.element_at(F.split("path", "/"), -1)
     ext = F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
     stem = F.regexp_replace(name, r"\.[^.]*$", "")
-    m = heads.select("path", name.alias("name"), stem.alias("stem"), ext.alias("ext"), "length", "head")
-    m = m.withColumn("action", action_expr(F.lower(F.col("stem")), F.col("ext"), F.col("head")))
+    m = files.select("path", name.alias("name"), stem.alias("stem"), ext.alias("ext"), "length")
+    is_zip = F.col("path").isin(*zips) if zips else F.lit(False)
+    m = m.withColumn("action", action_expr(F.lower(F.col("stem")), F.col("ext"), is_zip))
     m = m.withColumn("table", normalize_table_name_expr(F.col("stem")))
     from pyspark.sql import Window
-    dup = F.count(F.lit(1)).over(Window.partitionBy("stem")) > 1
-    return m.withColumn("duplicate_stem", dup).drop("head")
+    return m.withColumn("duplicate_stem", F.count(F.lit(1)).over(Window.partitionBy("stem")) > 1)
 
 
 def normalize_table_name_expr(stem):

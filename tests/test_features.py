@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from faultline.operators import features as FE
-from faultline.operators.segmented import keyed_row_windows, time_bucket
+from faultline.operators.segmented import keyed_row_windows
 from faultline.operators.sequences import failure_labels, sequences
 
 
@@ -39,12 +39,12 @@ def test_rolling_lag_match_pandas_and_plain_window(spark):
     df = _frame(spark)
     cols = ["volt", "age"]
     want = _pandas_reference(df.toPandas(), cols)
-    for bucket_days in (1, 3, 30):
-        got = (FE.rolling_and_lag(df.repartition(3), cols, bucket=time_bucket("datetime", bucket_days))
+    for segment_rows in (1, 3, 30):
+        got = (FE.rolling_and_lag(df.repartition(3), cols, segment_rows=segment_rows)
                .orderBy("seq").toPandas())
         for c in FE.roll_columns(cols):
             np.testing.assert_allclose(got[c].astype(float), want[c].astype(float), rtol=1e-9, atol=1e-12,
-                                       err_msg=f"{c} bucket={bucket_days}")
+                                       err_msg=f"{c} segment={segment_rows}")
     plain = FE.rolling_and_lag(df, cols, skew_safe=False).orderBy("seq").toPandas()
     np.testing.assert_allclose(plain["volt_roll_std_3"].astype(float), want["volt_roll_std_3"].astype(float))
 
@@ -61,7 +61,7 @@ def test_halo_spans_several_sparse_buckets(spark):
     def compute(frame, w):
         return frame.select("*", F.collect_list("v").over(w.rowsBetween(-5, 0)).alias("hist"))
     got = keyed_row_windows(df, key="machine_id", order_cols=["datetime", "seq"], halo=5, compute=compute,
-                            bucket=time_bucket("datetime", 7)).orderBy("seq").collect()
+                            segment_rows=5).orderBy("seq").collect()
     assert [r.hist for r in got][-1] == [6.0, 7.0, 8.0, 9.0, 10.0, 11.0]
     assert [len(r.hist) for r in got] == [1, 2, 3, 4, 5, 6, 6, 6, 6, 6, 6, 6]
 
@@ -88,7 +88,7 @@ def test_failure_labels(spark):
     d0 = dt.datetime(2024, 1, 1)
     rows = [(d0 + dt.timedelta(days=i), 1, i, 1 if i in (4, 20) else 0) for i in range(25)]
     df = spark.createDataFrame(rows, "datetime timestamp_ntz, machine_id long, seq long, failed int")
-    out = {r.seq: (r.ttf, r.label) for r in failure_labels(df, bucket_days=3).collect()}
+    out = {r.seq: (r.ttf, r.label) for r in failure_labels(df, segment_rows=3).collect()}
     assert out[4] == (0.0, 1) and out[3] == (24.0, 1) and out[1] == (72.0, 1) and out[0] == (168.0, 0)
     assert out[21] == (168.0, 0) and out[17] == (72.0, 1)
 
@@ -110,7 +110,7 @@ def test_hot_machine_is_split_across_tasks(spark):
                 for m in range(1, 25) for d in range(100)]
         df = spark.createDataFrame(hot + cold, "machine_id long, datetime timestamp_ntz, seq long, volt double")
         def parts(skew_safe):
-            rows = (FE.rolling_and_lag(df, ["volt"], skew_safe=skew_safe)
+            rows = (FE.rolling_and_lag(df, ["volt"], skew_safe=skew_safe, segment_rows=128)
                     .withColumn("pid", F.spark_partition_id()).collect())  # whole result, then count here
             return ({r.pid for r in rows if r.machine_id == 0},
                     sorted((r.seq, r.volt_roll_mean_3, r.volt_lag_1) for r in rows))
@@ -120,3 +120,31 @@ def test_hot_machine_is_split_across_tasks(spark):
         assert a == b
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_segments_add_few_rows_and_split_a_dense_week(spark):
+    """Daily rows at length 64 are copied a sixteenth at most; a week of very many rows lies in many segments."""
+    from faultline.operators.segmented import HALO_SHARE, ranked_segments
+    seen = []
+
+    def compute(frame, w):
+        seen.append(frame)
+        return frame.select("*", F.count("v").over(w.rowsBetween(-63, 0)).alias("n"))
+    daily = spark.range(40_000).select((F.col("id") % 20).alias("machine_id"), "id", F.lit(1.0).alias("v"),
+                                       F.expr("date_add(date'2000-01-01', cast(id div 20 as int))").alias("day"))
+    out = keyed_row_windows(daily, key="machine_id", order_cols=["day", "id"], halo=63, compute=compute)
+    assert seen[0].count() <= 40_000 * (1 + 1 / HALO_SHARE) + 63
+    assert out.count() == 40_000 and out.where("n < 64").count() == 20 * 63
+    week = spark.range(1_000_000).select(F.lit(1).alias("machine_id"), F.expr("timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0,id * 0.6)")
+                                         .alias("t"), "id")
+    sizes = [r["count"] for r in ranked_segments(week, "machine_id", ["t", "id"], 4096).groupBy("_seg").count().collect()]
+    assert len(sizes) == 245 and max(sizes) == 4096
+
+
+def test_sequence_stride_counts_from_the_first_window_of_each_machine(spark):
+    rows = [(m, dt.datetime(2024, 1, 1) + dt.timedelta(days=i), m * 100 + i, float(i)) for m in (1, 2) for i in range(11)]
+    df = spark.createDataFrame(rows, "machine_id long, datetime timestamp_ntz, seq long, volt double")
+    for safe in (True, False):
+        got = sequences(df, length=4, stride=3, skew_safe=safe).orderBy("seq").collect()
+        assert [r.seq % 100 for r in got] == [3, 6, 9] * 2
+        assert [x[0] for x in got[1].ts] == [3.0, 4.0, 5.0, 6.0]

@@ -28,7 +28,7 @@ def test_batch_pipeline_from_raw_csv(spark, tmpdir_path):
     assert cleaned.filter("age IS NULL").count() == 0
     model = spark.read.parquet(out["model_dataset"])
     assert model.count() == 265 and "volt_roll_std_3" in model.columns and "machine_id" not in model.columns
-    maint = spark.read.parquet(out["cleaned_maintenance"])
+    maint = spark.read.parquet(out["cleaned_machine_maintenance_dataset"])
     assert maint.count() <= 300 and maint.filter("load_percentage > 100 OR temperature_c > 150").count() == 0
     assert maint.filter("temperature_c IS NULL OR operating_hours IS NULL").count() == 0
     assert os.path.exists(os.path.join(tmpdir_path, "out", "ingested", "machine_maintenance_dataset_ingested"))

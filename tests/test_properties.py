@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from faultline.functions.nulls import sanitize_nested, zero_fill
 from faultline.operators.features import rolling_and_lag
-from faultline.operators.segmented import time_bucket
 from faultline.operators.sequences import failure_labels
 
 rows_strategy = st.lists(
@@ -22,7 +21,7 @@ rows_strategy = st.lists(
 def test_windows_equal_plain_window(spark, rows, days):
     data = [(m, dt.datetime(2024, 1, 1) + dt.timedelta(days=d), i, v, int(f)) for i, (m, d, v, f) in enumerate(rows)]
     df = spark.createDataFrame(data, "machine_id long, datetime timestamp_ntz, seq long, volt double, failed int")
-    a = rolling_and_lag(df, ["volt"], bucket=time_bucket("datetime", days)).orderBy("seq").collect()
+    a = rolling_and_lag(df, ["volt"], segment_rows=days).orderBy("seq").collect()
     b = rolling_and_lag(df, ["volt"], skew_safe=False).orderBy("seq").collect()
     for x, y in zip(a, b):
         for c in ("volt_roll_mean_3", "volt_roll_std_3", "volt_lag_1"):
@@ -30,7 +29,7 @@ def test_windows_equal_plain_window(spark, rows, days):
                 assert x[c] is None and y[c] is None
             else:
                 assert math.isclose(x[c], y[c], rel_tol=1e-9, abs_tol=1e-12)
-    la = {r.seq: (r.ttf, r.label) for r in failure_labels(df, bucket_days=days).collect()}
+    la = {r.seq: (r.ttf, r.label) for r in failure_labels(df, segment_rows=days).collect()}
     # plain reference: next failure at or after the row within the machine
     for s_, (m, d, _, _) in enumerate(rows):
         nxt = [d2 for (m2, d2, _, f2) in rows if m2 == m and f2 and d2 >= d]
