@@ -118,19 +118,26 @@ def detections_per_image(detections: DataFrame, image_col: str = "image_path",
     return grouped.select(image_col, expand.alias("detected_objects"), "detection_count")
 
 
+def detection_counts(detections: DataFrame, image_col: str = "image_path") -> DataFrame:
+    """A12 without the lists: how many detections each image has."""
+    return detections.groupBy(image_col).agg(F.count(F.lit(1)).cast("int").alias("detection_count"))
+
+
 def attach_detections(events: DataFrame, detections: DataFrame | None = None, image_col: str = "image_path",
                       per_image: DataFrame | None = None) -> DataFrame:
     """Events LEFT JOIN per-image detections; no image or no detection -> [] and 0.
 
     ``per_image`` (the output of :func:`detections_per_image`) can be passed
-    instead of raw detections, e.g. computed once for a whole stream.
+    instead of raw detections, e.g. computed once for a whole stream; that of
+    :func:`detection_counts` attaches the count alone, so no list is shuffled.
     """
     per = per_image if per_image is not None else detections_per_image(detections, image_col)
     out = events.join(per, image_col, "left")
     empty = F.array().cast("array<string>")
-    return out.select(*events.columns,
-                      F.when(F.col(image_col).isNull(), empty)
-                      .otherwise(F.coalesce(F.col("detected_objects"), empty)).alias("detected_objects"),
+    lists = [F.when(F.col(image_col).isNull(), empty)
+             .otherwise(F.coalesce(F.col("detected_objects"), empty)).alias("detected_objects")] \
+        if "detected_objects" in per.columns else []
+    return out.select(*events.columns, *lists,
                       F.when(F.col(image_col).isNull(), F.lit(0))
                       .otherwise(F.coalesce(F.col("detection_count"), F.lit(0))).alias("detection_count"))
 
@@ -141,7 +148,7 @@ def process_events(events: DataFrame, detections: DataFrame | None = None,
     e = events.withColumn("calculated_index", health_index())
     e = attach_detections(e, detections, per_image=per_image)
     extra = [c for c in e.columns if c not in PROCESSED_COLUMNS]
-    return e.select(*PROCESSED_COLUMNS, *extra)
+    return e.select(*[c for c in PROCESSED_COLUMNS if c in e.columns], *extra)
 
 
 PROCESSED_COLUMNS = ["event_id", "timestamp", "temperature", "pressure", "sensor_value", "calculated_index",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from faultline.plans import q_core, q_features, q_knn, q_metrics, q_events, q_models, q_misc  # noqa: F401  (register queries)
+from faultline.plans import q_core, q_features, q_knn, q_metrics, q_events, q_models, q_shape, q_misc  # noqa: F401  (register queries)
 from faultline.plans.registry import ORACLES, QUERIES
 from faultline.session import ensure_checkpoint_dir, ship_package
 

@@ -29,15 +29,20 @@ FROM envelopes e LEFT JOIN det d ON e.image_path = d.image_path"""),
 ]
 
 
-def processed(spark, sf, latest=True):
-    """envelopes -> readings (missing -> 0) -> health index + detections -> [latest per id]."""
+def processed(spark, sf, latest=True, objects=True):
+    """envelopes -> readings (missing -> 0) -> [latest per id] -> health index + detections.
+
+    The last write per id is taken before anything is joined, and the lists of objects only where they are asked for.
+    """
     env = role_view(spark, sf, "envelopes")
     ev = env.select("event_id", "seq", F.date_format("event_time", EV.ISO_MILLIS).alias("timestamp"),
                     F.coalesce("temperature", F.lit(0.0)).alias("temperature"),
                     F.coalesce("pressure", F.lit(0.0)).alias("pressure"),
                     F.coalesce("sensor_value", F.lit(0.0)).alias("sensor_value"), "image_path")
-    out = EV.process_events(ev, role_view(spark, sf, "detections"))
-    return EV.latest_per_key(out, "event_id", "seq") if latest else out
+    if latest:
+        ev = EV.latest_per_key(ev, "event_id", "seq")
+    found = role_view(spark, sf, "detections")
+    return EV.process_events(ev, per_image=EV.detections_per_image(found) if objects else EV.detection_counts(found))
 
 
 @register("s13_envelope_json", views=["envelopes"], sql="""
@@ -56,7 +61,7 @@ def s13_envelope_json(spark, sf):
 @register("p11_health_index", views=ENV_VIEWS, ctes=_PROC,
           sql="SELECT event_id, seq, round(calculated_index, 6) AS calculated_index FROM proc")
 def p11_health_index(spark, sf):
-    return round_floats(processed(spark, sf, latest=False).select("event_id", "seq", "calculated_index"))
+    return round_floats(processed(spark, sf, latest=False, objects=False).select("event_id", "seq", "calculated_index"))
 
 
 @register("a12_detections_per_image", views=["detections"], ctes=_PROC[:1], sql="SELECT * FROM det")
@@ -84,14 +89,14 @@ SELECT temperature, pressure, sensor_value, round(calculated_index, 6) AS calcul
 FROM latest
 """)
 def s15_event_features(spark, sf):
-    return round_floats(EV.event_features(processed(spark, sf)))
+    return round_floats(EV.event_features(processed(spark, sf, objects=False)))
 
 
 @register("p12_anomaly_label", views=ENV_VIEWS, ctes=_PROC, sql="""
 SELECT event_id, CAST(coalesce(temperature > 40 OR detection_count > 0, false) AS INTEGER) AS is_anomaly FROM latest
 """)
 def p12_anomaly_label(spark, sf):
-    return processed(spark, sf).select("event_id", EV.anomaly_label().alias("is_anomaly"))
+    return processed(spark, sf, objects=False).select("event_id", EV.anomaly_label().alias("is_anomaly"))
 
 
 _H = "CAST(('0x' || substr(md5(event_id || '|42'), 1, 7)) AS BIGINT)"
@@ -100,7 +105,7 @@ _H = "CAST(('0x' || substr(md5(event_id || '|42'), 1, 7)) AS BIGINT)"
 @register("m6_hash_split", views=ENV_VIEWS, ctes=_PROC,
           sql=f"SELECT event_id, CASE WHEN {_H} % 10 < 8 THEN 'train' ELSE 'test' END AS part FROM latest")
 def m6_hash_split(spark, sf):
-    train, test = EV.hash_split(processed(spark, sf), "event_id")
+    train, test = EV.hash_split(processed(spark, sf, objects=False), "event_id")
     return (train.select("event_id", F.lit("train").alias("part"))
             .unionByName(test.select("event_id", F.lit("test").alias("part"))))
 
@@ -113,6 +118,6 @@ def m6_hash_split(spark, sf):
     ("cp", "SELECT event_id, label, CAST(floor(e) + CASE WHEN u < e - floor(e) THEN 1 ELSE 0 END AS INTEGER) AS c FROM ex"),
 ], sql="SELECT event_id, label, c.i AS copy FROM cp, LATERAL (SELECT unnest(range(1, cp.c + 1)) AS i) c")
 def m8_balanced_sample(spark, sf):
-    lab = processed(spark, sf).select("event_id", EV.anomaly_label().alias("label"))
+    lab = processed(spark, sf, objects=False).select("event_id", EV.anomaly_label().alias("label"))
     return EV.balanced_sample(lab, label="label", key="event_id").select(
         "event_id", "label", F.col("_copy").alias("copy"))

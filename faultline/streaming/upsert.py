@@ -1,106 +1,38 @@
-"""Keyed upsert table without a table format.
+"""Keyed sink of a stream on plain Parquet.
 
-Layout under ``table_path``::
-
-    data/v=<commit>/_bucket=<b>/part-*.parquet   rows of bucket b as of that commit
-    _manifests/b=<commit>/part-*.json           (bucket, version, batch, n_buckets) for every bucket
-
-Keys are hashed into ``n_buckets`` buckets. A batch rewrites only the buckets
-its keys fall into: it reads those buckets from the last committed version,
-keeps the last write per key (``max_by`` over the order column: a partial
-aggregate), writes them under its own version and then writes its manifest.
-The manifest is the commit: readers take the newest manifest. Commits have an
-increasing number of their own, independent of the stream's batch ids: a batch that is
-delivered again - after a failure, or by a new stream that starts over - merges
-against the newest commit, where rows it already holds change nothing and new
-ones are added. The bucket count is stored with the table and stays what it was.
+A micro-batch is written to a folder of its own, ``<table>/stream=<s>/batch=<b>``, with its last write per key; a batch
+that is delivered again overwrites its folder, so a replay changes nothing. Readers keep the last write per key
+over all folders (``max_by`` on the order column, combined map-side). The order must be the
+source's own (an offset, a file's time and place), so that it means the same in every stream: a new stream over the same
+source writes under another name and its copies of old events are simply the same writes.
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from faultline.operators.events import latest_per_key
 
-DEFAULT_BUCKETS = 64
-WRITERS_PER_BUCKET = 8
-
-
-def _committed_ids(table_path: str) -> list[int]:
-    """Batch ids with a complete manifest (folder ``b=<id>`` holding ``_SUCCESS``).
-
-    Only names are listed (``pyarrow.fs``: local, HDFS or object stores), so
-    finding the latest commit does not read old manifests.
-    """
-    from pyarrow import fs as pafs
-    root = os.path.join(table_path, "_manifests")
-    filesystem, path = (pafs.FileSystem.from_uri(root) if "://" in root
-                        else (pafs.LocalFileSystem(), os.path.abspath(root)))
-    if filesystem.get_file_info(path).type == pafs.FileType.NotFound:
-        return []
-    ids = []
-    for info in filesystem.get_file_info(pafs.FileSelector(path, recursive=False)):
-        name = os.path.basename(info.path)
-        if info.type == pafs.FileType.Directory and name.startswith("b="):
-            done = filesystem.get_file_info(f"{info.path}/_SUCCESS")
-            if done.type == pafs.FileType.File:
-                ids.append(int(name[2:]))
-    return sorted(ids)
-
-
-def _committed_manifest(spark: SparkSession, table_path: str):
-    """(commit, {bucket: version}, bucket count) of the newest commit."""
-    ids = _committed_ids(table_path)
-    if not ids:
-        return None, {}, None
-    last = ids[-1]
-    rows = (spark.read.schema("bucket int, version long, n_buckets int")
-            .json(os.path.join(table_path, "_manifests", f"b={last}")).collect())  # <= n_buckets rows
-    return last, {r["bucket"]: r["version"] for r in rows}, max((r["n_buckets"] or 0 for r in rows), default=0) or None
-
-
-def read_table(spark: SparkSession, table_path: str, schema: str | None = None) -> DataFrame | None:
-    """The current snapshot (None before the first commit)."""
-    _, buckets, _ = _committed_manifest(spark, table_path)
-    if not buckets:
-        return None
-    paths = [os.path.join(table_path, "data", f"v={v}", f"_bucket={b}") for b, v in sorted(buckets.items())]
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(*paths)
+ORDER_COLUMN = "_seq"
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, table_path: str, *, key: str = "event_id",
-                 order_col: str = "_seq", n_buckets: int = DEFAULT_BUCKETS) -> None:
-    """Merge one micro-batch into the table (last write wins per ``key`` by ``order_col``).
-
-    ``order_col`` must grow across batches (for example batch id and offset). ``n_buckets``
-    counts for a new table only.
-    """
-    spark = batch.sparkSession
-    last, prev, stored = _committed_manifest(spark, table_path)
-    commit = 0 if last is None else last + 1
-    n_buckets = stored or n_buckets
-    b = batch.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(n_buckets)).cast("int"))
-    touched = sorted(r[0] for r in b.select("_bucket").distinct().collect())  # <= n_buckets values
-    merged = b
-    old_paths = [os.path.join(table_path, "data", f"v={prev[t]}", f"_bucket={t}") for t in touched if t in prev]
-    if old_paths:
-        old = spark.read.parquet(*old_paths).withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)),
-                                                                          F.lit(n_buckets)).cast("int"))
-        merged = old.select(*b.columns).unionByName(b)
-    latest = latest_per_key(merged, key, order_col)
-    out = os.path.join(table_path, "data", f"v={commit}")
-    if touched:
-        # each bucket is written by up to WRITERS_PER_BUCKET tasks (split by key hash), so a
-        # bucket holding a hot share of the keys is not written by a single task
-        spread = F.pmod(F.xxhash64(F.col(key), F.lit(1)), F.lit(WRITERS_PER_BUCKET))
-        (latest.repartition("_bucket", spread).write.mode("overwrite").partitionBy("_bucket").parquet(out))
-    manifest = dict(prev)
-    for t in touched:
-        manifest[t] = commit
-    rows = [(int(k), int(v), int(batch_id), int(n_buckets)) for k, v in sorted(manifest.items())]
-    (spark.createDataFrame(rows, "bucket int, version long, batch long, n_buckets int").coalesce(1)
-     .write.mode("overwrite").json(os.path.join(table_path, "_manifests", f"b={commit}")))
+                 order_col: str = ORDER_COLUMN, stream: str = "main") -> None:
+    """Write one micro-batch; the last write per ``key`` by ``order_col`` counts."""
+    out = os.path.join(table_path, "writes", f"stream={stream}", f"batch={int(batch_id)}")
+    latest_per_key(batch, key, order_col).write.mode("overwrite").parquet(out)
+
+
+def read_table(spark: SparkSession, table_path: str, *, key: str = "event_id",
+               order_col: str = ORDER_COLUMN) -> DataFrame | None:
+    """The current rows, one per key (None before the first batch)."""
+    try:
+        writes = spark.read.parquet(os.path.join(table_path, "writes"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+    return latest_per_key(writes.drop("stream", "batch"), key, order_col)

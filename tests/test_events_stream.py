@@ -76,10 +76,10 @@ def test_stream_upsert_replay(spark, tmpdir_path):
     os.makedirs(src)
     det = spark.createDataFrame([("img_1", "cat")], "image_path string, class_name string")
     _write_batch(src, "b0.json", [_env(1, 10.0, "img_1"), _env(2, 20.0), _env(1, 11.0, "img_1"), "not json"])
-    q = start_event_stream(spark, file_envelopes(spark, src, 1), det, table, checkpoint=ckpt, n_buckets=4)
+    q = start_event_stream(spark, file_envelopes(spark, src, 1), det, table, checkpoint=ckpt)
     q.awaitTermination()
     _write_batch(src, "b1.json", [_env(2, 25.0), _env(3, None)])
-    q = start_event_stream(spark, file_envelopes(spark, src, 1), det, table, checkpoint=ckpt, n_buckets=4)
+    q = start_event_stream(spark, file_envelopes(spark, src, 1), det, table, checkpoint=ckpt)
     q.awaitTermination()
     snap = {r.event_id: r for r in read_table(spark, table).collect()}
     assert set(snap) == {"evt_1", "evt_2", "evt_3"}
@@ -88,7 +88,7 @@ def test_stream_upsert_replay(spark, tmpdir_path):
     assert snap["evt_3"].temperature == 0.0 and snap["evt_3"].had_null_reading
     # replay everything from the start into a fresh checkpoint: same table
     q = start_event_stream(spark, file_envelopes(spark, src, 1), det, os.path.join(tmpdir_path, "t2"),
-                           checkpoint=os.path.join(tmpdir_path, "ck2"), n_buckets=4)
+                           checkpoint=os.path.join(tmpdir_path, "ck2"))
     q.awaitTermination()
     again = {r.event_id: (r.temperature, r.detection_count) for r in
              read_table(spark, os.path.join(tmpdir_path, "t2")).collect()}
@@ -112,9 +112,9 @@ def test_upsert_batch_is_idempotent(spark, tmpdir_path):
     assert read_table(spark, table) is None
     b0 = spark.createDataFrame([("a", 1, 1.0), ("b", 1, 2.0)], "event_id string, _seq int, v double")
     b1 = spark.createDataFrame([("a", 2, 5.0), ("c", 2, 7.0), ("a", 3, 6.0)], "event_id string, _seq int, v double")
-    upsert_batch(b0, 0, table, order_col="_seq", n_buckets=4)
-    upsert_batch(b1, 1, table, order_col="_seq", n_buckets=4)
+    upsert_batch(b0, 0, table, order_col="_seq")
+    upsert_batch(b1, 1, table, order_col="_seq")
     first = sorted((r.event_id, r.v) for r in read_table(spark, table).collect())
-    upsert_batch(b1, 1, table, order_col="_seq", n_buckets=4)  # re-delivery of the same batch
+    upsert_batch(b1, 1, table, order_col="_seq")  # re-delivery of the same batch
     again = sorted((r.event_id, r.v) for r in read_table(spark, table).collect())
     assert first == again == [("a", 6.0), ("b", 2.0), ("c", 7.0)]

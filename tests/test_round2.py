@@ -28,13 +28,13 @@ def rows(spark, data):
     return spark.createDataFrame(data, "event_id string, value int, _seq long")
 
 
-def test_replay_into_the_same_table_and_other_bucket_count(spark, tmp_path):
+def test_replay_by_another_stream_into_the_same_table(spark, tmp_path):
     path = str(tmp_path / "t")
     for i in range(3):
-        upsert_batch(rows(spark, [(f"k{j}", 10 * i + j, 100 * i + j) for j in range(i, i + 4)]), i, path, n_buckets=4)
+        upsert_batch(rows(spark, [(f"k{j}", 10 * i + j, 100 * i + j) for j in range(i, i + 4)]), i, path)
     before = sorted(map(tuple, read_table(spark, path).select("event_id", "value").collect()))
     everything = [(f"k{j}", 10 * i + j, 100 * i + j) for i in range(3) for j in range(i, i + 4)]
-    upsert_batch(rows(spark, [*everything, ("new", 7, 1)]), 0, path, n_buckets=8)  # a new stream starts at batch 0
+    upsert_batch(rows(spark, [*everything, ("new", 7, 1)]), 0, path, stream="again")  # a new stream starts at batch 0
     after = sorted(map(tuple, read_table(spark, path).select("event_id", "value").collect()))
     assert after == sorted([*before, ("new", 7)])
 
