@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.functions.numeric import nan_to_null
+from faultline.sources.json_arrays import array_as_lines
 
 SNIFF_DELIMITERS = (",", "\t", ";", "|")  # fixed: candidates of the text-file sniffer
 SNIFF_LINES = 20
@@ -27,6 +28,7 @@ _WHOLE = r"^[+-]?[0-9]{1,18}$"
 _NUMBER = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?|[iI]nf(inity)?)$"
 _TRUTH = ("True", "TRUE", "true", "False", "FALSE", "false")
 _CORRUPT = "_corrupt_record"
+SPLIT_BYTES = 64 << 20  # a JSON array above this size is cut into elements first
 
 
 def missing_to_null(df: DataFrame, texts: tuple[str, ...] = ()) -> DataFrame:
@@ -194,9 +196,27 @@ def read_txt(spark: SparkSession, path: str, schema=None, order_col: str | None
 
 # ---------------------------------------------------------------- other formats
 
-def read_json(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """A JSON array of records or one document per file."""
-    r = spark.read.option("multiLine", True)
+def _large_arrays(spark: SparkSession, path, bytes_: int) -> bool:
+    """Whether a file at ``path`` is too large for one task and holds an array."""
+    files = spark.read.format("binaryFile").load(path)
+    large = [r["path"] for r in files.where(F.col("length") > bytes_).select("path").collect()]  # names only
+    if not large:
+        return False
+    first = spark.read.text(large).select(F.ltrim("value").alias("v")).where("v <> ''").first()
+    return first is not None and first["v"][:1] == "["
+
+
+def read_json(spark: SparkSession, path: str, schema=None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """A JSON array of records or one document per file.
+
+    Arrays in files of more than ``split_bytes`` are read by many tasks (``json_arrays``); the rows are the same (line breaks inside a
+    value that has no one type, which Spark keeps as text, become blanks).
+    """
+    r = spark.read
+    if _large_arrays(spark, path, split_bytes):
+        path = array_as_lines(spark, path)
+    else:
+        r = r.option("multiLine", True)
     if schema is not None:
         r = r.schema(schema)
     return missing_to_null(r.json(path))

@@ -165,3 +165,38 @@ def test_combine_from_an_ingested_folder(spark, tmp_path):
     assert [(r.volt, r.model, r.failure) for r in got] == [(1.5, "model3", None), (2.5, "model3", "comp2")]
     assert got[0].asDict().get("seq") is None
     assert tables["failures"].select(F.max("datetime")).first()[0].year == 2024
+
+
+def test_json_arrays_in_many_ranges_equal_one_task(spark, tmp_path):
+    import json
+    import random
+
+    from faultline.sources.json_arrays import array_elements
+    rnd = random.Random(9)
+    nasty = ['}', '{', '],[', '\\"}', "\\", '"', "a,b", "é]}", "\n", ""]
+    rows = [{"id": i, "s": "".join(rnd.choice(nasty) for _ in range(rnd.randint(0, 6))), "in": {"k": [{"n": rnd.randint(0, 9), "z": "}"}]},
+             **({"big": "x}" * 3000} if i % 50 == 7 else {})} for i in range(300)]
+    texts = {"flat": json.dumps(rows), "pretty": json.dumps(rows, indent=2, ensure_ascii=False) + "\n", "empty": "[ ]", "none": " \n[]\n",
+             "plain": "[1, \"a}b\", null, [2, 3], {}]"}
+    want = {"flat": rows, "pretty": rows, "empty": [], "none": [], "plain": json.loads(texts["plain"])}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("700", "5000", "10000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            for name, text in texts.items():
+                (tmp_path / f"{name}.json").write_text(text)
+                got = [json.loads(r.value) for r in array_elements(spark, str(tmp_path / f"{name}.json")).collect()]
+                assert sorted(map(json.dumps, got)) == sorted(map(json.dumps, want[name])), (name, size)
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        cut = readers.read_json(spark, str(tmp_path / "pretty.json"), split_bytes=1000)
+        one = readers.read_json(spark, str(tmp_path / "pretty.json"))
+        assert cut.schema == one.schema and sorted(map(repr, cut.collect())) == sorted(map(repr, one.collect()))
+        both = array_elements(spark, [str(tmp_path / "flat.json"), str(tmp_path / "plain.json")])
+        assert both.count() == 305
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    (tmp_path / "doc.json").write_text('{"a": 1, "b": [1, 2]}')
+    assert readers.read_json(spark, str(tmp_path / "doc.json"), split_bytes=1).first().a == 1
