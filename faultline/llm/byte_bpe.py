@@ -14,7 +14,7 @@ Merged pieces are kept in a bounded per-worker table, since words repeat.
 from __future__ import annotations
 
 import base64
-from itertools import chain, islice, repeat
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from faultline.llm.common import held, lean, prepare, same_or_new
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-LOT_PIECES = 20_000  # pieces encoded at once
-KEPT_PIECES = 80_000  # pieces in the per-worker table (about 20 MB); it is emptied when full, tested every lot
+LOT_PIECES = 100_000  # pieces encoded at once
+KEPT_PIECES = 100_000  # pieces in the per-worker table (about 27 MB); it is emptied when full, tested every lot
 SHORT = 64  # bytes of a piece whose tree is a row of a matrix; longer ones have a list of their own
 FOREST = 1 << 14  # most trees of a matrix
 _NONE = 1 << 60
@@ -245,19 +245,40 @@ class ByteBpe:
                 kept[p] = (self.ranks[b],)
         return [kept[p] for p in pieces]
 
+    def _lots(self, texts: list[str | None]):
+        """Pieces of whole texts, about ``LOT_PIECES`` at a time, with (text, pieces of it) in order."""
+        pieces, whose = [], []
+        for i, t in enumerate(texts):
+            found = self.pattern.finditer(t) if t and len(t) > LOT_PIECES else None
+            if found is None:
+                got = self.pattern.findall(t) if t else []
+                pieces += got
+                whose.append((i, len(got)))
+            else:  # a long text in several lots
+                while got := [m[0] for m in islice(found, LOT_PIECES)]:
+                    yield [*pieces, *got], [*whose, (i, len(got))]
+                    pieces, whose = [], []
+            if len(pieces) >= LOT_PIECES:
+                yield pieces, whose
+                pieces, whose = [], []
+        if pieces:
+            yield pieces, whose
+
     def encode_flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of whole texts one after another, and the n + 1 offsets; NULL counts as empty.
 
-        Pieces are handled ``LOT_PIECES`` at a time, across texts and within a long one, so memory beyond the texts
+        Pieces are handled in lots, across texts and within a long one, so memory beyond the texts
         and their ids doesn't grow with them.
         """
-        found = chain.from_iterable(zip(repeat(i), self.pattern.finditer(t)) for i, t in enumerate(texts) if t)
         count, parts = np.zeros(len(texts) + 1, np.int64), []
-        while lot := [(i, m[0]) for i, m in islice(found, LOT_PIECES)]:
-            ids = self._ids_of([p for _, p in lot])
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
-            parts.append(np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())))
-            np.add.at(count, np.fromiter((i + 1 for i, _ in lot), np.int64, len(lot)), size)
+        for pieces, whose in self._lots(texts):
+            ids = self._ids_of(pieces)
+            upto = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))])
+            parts.append(np.fromiter(chain.from_iterable(ids), np.int32, int(upto[-1])))
+            at = 0
+            for i, n in whose:
+                count[i + 1] += upto[at + n] - upto[at]
+                at += n
         return np.concatenate(parts) if parts else np.empty(0, np.int32), np.cumsum(count)
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
