@@ -4,7 +4,7 @@
    sets collapse to one node.
 2. A node can only link if enough of its shingles occur in another node too, so
    shingles are counted once over the whole corpus. They travel as packed
-   numpy buffers (6 bytes each), not as rows.
+   numpy buffers (6 bytes each), not as rows, and those that sets of one batch share are combined before they do.
 3. The nodes left are dealt into groups of similar sets by the minimum of a
    hash over the set; members of a group that reach the threshold with a
    leader of the group are linked at once. The leaders are dealt again, by the
@@ -32,16 +32,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import distinct, give_back, h64, lean, mix64, partitions_of, prepare, same_or_new, stage, word_hashes
+from faultline.llm.common import distinct, give_back, h64, lean, mix64, prepare, same_or_new, stage, word_hashes
 from faultline.llm.components import components
 from faultline.session import broadcast_if_small
 
 WORDS = 5
 NUM, DEN = 75, 100  # similarity 0.75 as a fraction: links compare integers, no rounding
+SALT_ROWS = 1000  # rows of one set that stay together in the last join
+PART_TOKENS = 4_000_000  # about the shingles of a token partition (some 100 MB while they are counted)
+FINGERPRINT = 5  # bytes of a set's identity while its tokens are counted
 GROUP = 512  # about the most members of a group
 HOT_GROUPS = 8  # a token in more components than this comes later in the order, the more the later
 HOT_TABLE = 1_000_000  # most tokens of that kind sent to the executors (9 MB)
 BROADCAST_IDS = 2_000_000  # most ids (16 MB) of a broadcast semi-join
+BROADCAST_NODES = 500_000  # most rows (about 20 MB) of a table of nodes that goes to the sets instead of the sets to it
 
 _MULT = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -79,7 +83,14 @@ def _sets(batches):
 
 
 def _packed(parts: int):
-    """Batch -> one row per token partition: 4-byte tokens, 2-byte index into the row's nodes."""
+    """Batch -> per token partition one row, and one row with the batch's nodes.
+
+    A token is 4 bytes, its owner a 2-byte place among the batch's nodes; each owner's 5-byte fingerprint comes once a
+    row, so that the same set met in two batches counts as one. A token that several sets of the batch hold
+    is known to be shared: only two of its owners travel on (enough for others to see that it is shared), and
+    what the rest would count is counted here. So a passage that very many documents hold is
+    two entries a batch, however many hold it.
+    """
     def run(batches):
         task, seq = TaskContext.get().partitionId(), 0
         for b in batches:
@@ -93,36 +104,47 @@ def _packed(parts: int):
             nodes = np.fromiter(seen, np.int64, len(seen))
             sizes = np.array([len(s) for s in seen.values()], np.uint32)
             tok = np.concatenate(list(seen.values()))
-            idx = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
-            part = ((tok >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+            own = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
+            order = np.argsort(tok, kind="stable")  # owners of a token ascend
+            tok, own = tok[order], own[order]
+            first = np.r_[True, tok[1:] != tok[:-1]]
+            last = np.r_[first[1:], True]
+            inner = ~first & ~last
+            here = np.bincount(own[inner], minlength=len(sizes)).astype(np.uint32)
+            tok, own = tok[~inner], own[~inner]
+            part = ((tok >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)  # ascends with the token
             low = (tok & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            order = np.argsort(part, kind="stable")
-            part, low, idx = part[order], low[order], idx[order]
             cut = np.flatnonzero(np.diff(part)) + 1
-            starts, ends = np.r_[0, cut], np.r_[cut, len(part)]
-            rows = {k: [] for k in ("p", "b", "tok", "idx", "nodes", "sizes")}
-            for s, e in zip(starts, ends):
-                own, local = np.unique(idx[s:e], return_inverse=True)
-                rows["p"].append(int(part[s]))
-                rows["b"].append(task << 32 | seq)
-                rows["tok"].append(low[s:e].tobytes())
-                rows["idx"].append(local.astype(np.uint16).tobytes())
-                rows["nodes"].append(nodes[own].tobytes())
-                rows["sizes"].append(sizes[own].tobytes())
+            rows = {k: [] for k in ("p", "b", "tok", "idx", "own", "fp", "sizes", "nodes")}
+            mark = nodes.view(np.uint8).reshape(-1, 8)[:, :FINGERPRINT]
+            for s, e in zip(np.r_[0, cut], np.r_[cut, len(part)]):
+                some, local = np.unique(own[s:e], return_inverse=True)
+                for k, v in (("p", int(part[s])), ("b", task << 32 | seq), ("tok", low[s:e].tobytes()),
+                             ("idx", local.astype(np.uint16).tobytes()), ("own", some.tobytes()),
+                             ("fp", mark[some].tobytes()), ("sizes", None), ("nodes", None)):
+                    rows[k].append(v)
+            for k, v in (("p", -1), ("b", task << 32 | seq), ("tok", here.tobytes()), ("idx", None), ("own", None),
+                         ("fp", None), ("sizes", sizes.tobytes()), ("nodes", nodes.tobytes())):
+                rows[k].append(v)
             seq += 1
             yield pa.RecordBatch.from_pydict(rows, schema=_PACKED)
     return run
 
 
-_PACKED = pa.schema([("p", pa.int32()), ("b", pa.int64()), ("tok", pa.binary()), ("idx", pa.binary()),
-                     ("nodes", pa.binary()), ("sizes", pa.binary())])
-_PACKED_SQL = "p int, b bigint, tok binary, idx binary, nodes binary, sizes binary"
+_PACKED = pa.schema([("p", pa.int32()), ("b", pa.int64()), *[(k, pa.binary()) for k in
+                                                             ("tok", "idx", "own", "fp", "sizes", "nodes")]])
+_PACKED_SQL = "p int, b bigint, tok binary, idx binary, own binary, fp binary, sizes binary, nodes binary"
 
 
 def _shared_counts(key, pdf: pd.DataFrame) -> pd.DataFrame:
     """One token partition: per batch, how many tokens of each node occur in another node too."""
-    nodes = [np.frombuffer(x, np.int64) for x in pdf["nodes"]]
-    off = np.cumsum([0] + [len(x) for x in nodes])
+    owns = [np.frombuffer(x, np.uint16) for x in pdf["own"]]
+    off = np.cumsum([0] + [len(x) for x in owns])
+    mark = np.zeros((off[-1], 8), np.uint8)
+    mark[:, :FINGERPRINT] = np.concatenate([np.frombuffer(x, np.uint8) for x in pdf["fp"]]).reshape(-1, FINGERPRINT)
+    # The same node met in two batches is one document set, not two.
+    _, ident = np.unique(mark.view(np.uint64).ravel(), return_inverse=True)
+    del mark
     # Token and owner in one integer, sorted in place: an order and its copies would take four times the memory.
     both = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["tok"]]).astype(np.uint64)
     both <<= np.uint64(32)
@@ -131,8 +153,6 @@ def _shared_counts(key, pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.frombuffer(x, np.uint16)
         both[at:at + len(x)] |= x + np.uint64(o)
         at += len(x)
-    # The same node met in two batches is one document set, not two.
-    _, ident = np.unique(np.concatenate(nodes), return_inverse=True)
     both.sort()
     own = both.astype(np.uint32)
     both >>= np.uint64(32)
@@ -144,23 +164,32 @@ def _shared_counts(key, pdf: pd.DataFrame) -> pd.DataFrame:
     shared = np.repeat(shared, np.diff(np.r_[first, len(own)]))
     cnt = np.bincount(own[shared], minlength=off[-1]).astype(np.uint32)
     out = []
-    for i, (b, sizes) in enumerate(zip(pdf["b"], pdf["sizes"])):
+    for i, (b, some) in enumerate(zip(pdf["b"], owns)):
         c = cnt[off[i]:off[i + 1]]
         k = c > 0
         if k.any():
-            out.append((b, nodes[i][k].tobytes(), c[k].tobytes(), np.frombuffer(sizes, np.uint32)[k].tobytes()))
+            out.append((b, some[k].tobytes(), c[k].tobytes(), None, None))
     del own, shared, first
     give_back()
-    return pd.DataFrame(out, columns=["b", "nodes", "cnt", "sizes"])
+    return pd.DataFrame(out, columns=["b", "own", "cnt", "sizes", "nodes"])
+
+
+def _counts(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    if key[0] >= 0:
+        return _shared_counts(key, pdf)
+    listed = pdf[["b", "own", "tok", "sizes", "nodes"]]  # a batch's own list: its counts stand in ``tok``
+    return listed.rename(columns={"tok": "cnt"})
 
 
 def _viable(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    nodes = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["nodes"]])
-    cnt = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["cnt"]]).astype(np.int64)
-    sizes = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["sizes"]]).astype(np.int64)
-    u, first, inv = np.unique(nodes, return_index=True, return_inverse=True)
-    total = np.bincount(inv, weights=cnt).astype(np.int64)
-    return pd.DataFrame({"node": u[DEN * total >= NUM * sizes[first]]})
+    """One batch: its nodes that have enough tokens in common with others."""
+    is_list = pdf["nodes"].notna()
+    listed = pdf[is_list].iloc[0]
+    total = np.frombuffer(listed["cnt"], np.uint32).astype(np.int64)
+    for own, cnt in zip(pdf["own"][~is_list], pdf["cnt"][~is_list]):
+        total[np.frombuffer(own, np.uint16)] += np.frombuffer(cnt, np.uint32)
+    sizes = np.frombuffer(listed["sizes"], np.uint32).astype(np.int64)
+    return pd.DataFrame({"node": np.frombuffer(listed["nodes"], np.int64)[DEN * total >= NUM * sizes]})
 
 
 def _token_rows(batches):
@@ -313,7 +342,8 @@ def _with_components(v: DataFrame, links: DataFrame) -> DataFrame:
     named = (v.select("node").join(comp, "node", "left")
              .select("node", F.coalesce("component", "node").alias("comp")))
     sizes = named.groupBy("comp").agg(F.count(F.lit(1)).alias("members"))
-    return v.join(named.join(sizes, "comp"), "node").select("node", "n", "tok", "comp", "members")
+    table = stage(named.join(sizes, "comp"), "named")
+    return v.join(broadcast_if_small(table, BROADCAST_NODES), "node").select("node", "n", "tok", "comp", "members")
 
 
 def _cross_links(v: DataFrame) -> DataFrame:
@@ -335,6 +365,7 @@ def _cross_links(v: DataFrame) -> DataFrame:
     base = stage(v.mapInArrow(lean(_bases(hot)), "node bigint, base bigint"), "bases")
     place = (base.join(base.groupBy("base").agg(F.count(F.lit(1)).alias("held")), "base")
              .select("node", "held", F.xxhash64("base", F.pmod(F.xxhash64("node"), F.ceil(F.col("held") / GROUP))).alias("grp")))
+    place = broadcast_if_small(stage(place, "places"), BROADCAST_NODES)
     v = stage(v.join(place, "node").select("node", "n", "tok", "comp", "members", "held", "grp"), "placed")
     post = v.mapInArrow(lean(_prefixes(hot)), _PREFIX_SQL + ", held bigint, grp bigint")
     cells = post.groupBy("t", "grp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("held").alias("held"),
@@ -374,13 +405,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     docs = same_or_new(docs, [("doc_id", "bigint"), ("text", "binary")])
     sets = stage(docs.mapInArrow(lean(_sets), "doc_id bigint, n_shingles bigint, node bigint"), "sets")
     known = docs.where("doc_id is not null and text is not null")
-    parts = partitions_of(docs) * 2
+    tokens = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    parts = max(1, -(-tokens // PART_TOKENS))
     packed = known.select("text").mapInArrow(lean(_packed(parts)), _PACKED_SQL)
-    counts = packed.groupBy("p").applyInPandas(_shared_counts, "b bigint, nodes binary, cnt binary, sizes binary")
+    # Rows of a token partition meet in one group; the lists of nodes (p = -1) go on by batch, past the groups.
+    counts = packed.groupBy("p", F.when(F.col("p") < 0, F.col("b")).alias("alone")).applyInPandas(
+        _counts, "b bigint, own binary, cnt binary, sizes binary, nodes binary")
     viable = stage(counts.groupBy("b").applyInPandas(_viable, "node bigint").distinct(), "viable")
-    chosen = (sets.where("node is not null and doc_id is not null").join(viable, "node", "left_semi")
-              .groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct())
-    chosen = stage(chosen, "chosen")
+    # One row per set, combined before it is shuffled: a set that a third of all rows share is no hot key from here on.
+    nodes = stage(sets.where("node is not null and doc_id is not null").groupBy("node")
+                  .agg(F.min("doc_id").alias("doc_id")), "nodes")
+    chosen = stage(nodes.join(viable, "node", "left_semi").select("doc_id").distinct(), "chosen")
     picked = known.join(broadcast_if_small(chosen, BROADCAST_IDS), "doc_id", "left_semi")
     v = picked.select("text").mapInArrow(lean(_token_rows), "node bigint, n bigint, tok binary, " + ", ".join(f"{k} bigint" for k in _KEYS))
     # Ids are normally unique; only repeated ones can give a set twice, and only then are the sets shuffled.
@@ -398,13 +433,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # Components that are already known, as stars, plus the links between them.
     stars = grouped.where("node <> comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))
     comp = components(stars.union(cross))
-    named = (sets.join(comp, "node", "left").where("doc_id is not null and node is not null")
-             .select("doc_id", "n_shingles", "node", F.coalesce("component", "node").alias("c")))
-    # Smallest id of each component: combined per node first, so a hot set shuffles one row per task.
-    low = named.groupBy("node", "c").agg(F.min("doc_id").alias("m"))
+    low = nodes.join(comp, "node", "left").select("node", F.col("doc_id").alias("m"), F.coalesce("component", "node").alias("c"))
     ids = low.groupBy("c").agg(F.min("m").alias("component_id"))
     per_node = low.join(ids, "c").select("node", "component_id")
-    return (sets.join(per_node, "node", "left")
+    return _named_rows(sets, per_node)
+
+
+def _named_rows(sets: DataFrame, per_node: DataFrame) -> DataFrame:
+    """Every row with the component of its set; sets that very many rows share are salted."""
+    many = sets.where("node is not null").groupBy("node").agg(F.count(F.lit(1)).alias("rows")).where(f"rows > {SALT_ROWS}")
+    lots = broadcast_if_small(stage(many.select("node", F.ceil(F.col("rows") / SALT_ROWS).alias("lots")), "many"), BROADCAST_IDS)
+    left = (sets.join(lots, "node", "left").withColumn("lot", F.when(F.col("lots") > 1, F.pmod(
+        F.xxhash64("doc_id", F.monotonically_increasing_id()), F.col("lots"))).otherwise(0).cast("bigint")).drop("lots"))
+    right = (per_node.join(lots, "node", "left").withColumn("lot", F.explode(F.expr("sequence(0L, coalesce(lots, 1L) - 1L)")))
+             .drop("lots"))
+    return (left.join(right, ["node", "lot"], "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("node").isNull() | F.col("doc_id").isNull(), F.col("doc_id"))
                     .otherwise(F.col("component_id")).alias("component_id")))
