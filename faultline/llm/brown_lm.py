@@ -36,7 +36,8 @@ CLASSES = 48
 LEAST_RISE = 1e-5
 TYPES_A_GROUP = 20_000  # class counts of so many types are summed in one group
 TOKENS_AT_ONCE = 1 << 19
-CELLS_AT_ONCE = 1 << 23  # class counts up to this size are tallied without a sort
+CELLS_AT_ONCE = 1 << 22  # class counts a task holds; up to this many cells they are tallied without a sort
+WORDS_HELD = 1 << 20  # distinct words that a task adds up before they are shuffled
 ADD = 0.1  # added to counts, in the base and in the class emissions
 BACKOFF = 20.0  # weight of the class unigram in the class transitions
 
@@ -55,8 +56,12 @@ def tokens(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count_batches(parts: int):
-    """Per batch and hash partition: distinct word hashes, their endings and counts."""
+    """Per task and hash partition: distinct word hashes, their endings and counts.
+
+    Counts of batches are added up before they leave the task, unless too many words are held.
+    """
     def run(batches):
+        held, size = [], 0
         for b in batches:
             got = [tokens(t) for t in b.column(0).to_pylist()]
             h = np.concatenate([x for x, _ in got]) if got else np.empty(0, np.uint64)
@@ -64,10 +69,33 @@ def _count_batches(parts: int):
                 continue
             e = np.concatenate([y for _, y in got])
             u, first, n = _runs(h)
-            yield _dealt({"h": u, "e": e[first].astype(np.uint16), "n": n.astype(np.int64)}, u, parts)
+            held.append((u, e[first].astype(np.uint16), n))
+            size += len(u)
+            if size > WORDS_HELD:
+                held = [_added(held)]
+                size = len(held[0][0])
+                if size > WORDS_HELD // 2:
+                    yield _word_batch(*held[0], parts)
+                    held, size = [], 0
+        if held:
+            yield _word_batch(*_added(held), parts)
     return run
 
 
+def _added(held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if len(held) == 1:
+        return held[0]
+    h, e, n = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(h, kind="stable")
+    h, e, n = h[order], e[order], n[order]
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    return h[first], e[first], np.add.reduceat(n, first)
+
+
+def _word_batch(h: np.ndarray, e: np.ndarray, n: np.ndarray, parts: int) -> pa.RecordBatch:
+    return _dealt({"h": h, "e": e, "n": n.astype(np.uint32)}, h, parts)
+
+
 def _runs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct values, an index of each and its count."""
     order = np.argsort(h, kind="stable")
@@ -93,7 +121,7 @@ def _dealt(arrays: dict, h: np.ndarray, parts: int, extra: dict | None = None) -
 def _sum_counts(key, pdf: pd.DataFrame) -> pd.DataFrame:
     h = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["h"]])
     e = np.concatenate([np.frombuffer(x, np.uint16) for x in pdf["e"]])
-    n = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["n"]])
+    n = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["n"]]).astype(np.int64)
     order = np.argsort(h, kind="stable")
     h, e, n = h[order], e[order], n[order]
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
@@ -270,44 +298,83 @@ def exchange(pairs: dict[int, tuple[np.ndarray, np.ndarray]], types: int, fixed:
     return cls
 
 
-def _class_counts(shared, parts: int, k: int):
-    """Per type, dealt by type: bigrams with each class to its right and left, and with itself; the class table in group -1."""
+class _Cells:
+    """Cells (type, class) of the class counts: 2 k + 1 a type, dealt to ``parts`` ranges of types.
+
+    A cell travels as 4 bytes within its range and a 2-byte count; what a count has above that is a row of its own.
+    """
+
+    def __init__(self, types: int, k: int, parts: int):
+        self.types, self.width = types, 2 * k + 1
+        first = -(-np.arange(parts + 1, dtype=np.int64) * types // parts)
+        self.bounds = first * self.width
+
+    def rows(self, keys: np.ndarray, n: np.ndarray):
+        """Sorted cells and counts -> (range, cells, counts, bits the counts are shifted by)."""
+        for shift in (0, 16, 32):
+            part = n >> shift & 0xFFFF
+            some = np.flatnonzero(part)
+            if not len(some):
+                continue
+            at = keys[some]
+            cut = np.searchsorted(at, self.bounds)
+            for p in np.flatnonzero(np.diff(cut)):
+                s, t = cut[p], cut[p + 1]
+                yield int(p), (at[s:t] - self.bounds[p]).astype(np.uint32).tobytes(), part[some[s:t]].astype(np.uint16).tobytes(), shift
+
+    def sums(self, p: int, blobs, counts, shifts) -> tuple[np.ndarray, np.ndarray]:
+        n = np.zeros(int(self.bounds[p + 1] - self.bounds[p]), np.int64)  # at most TYPES_A_GROUP types and two more
+        for c, x, s in zip(blobs, counts, shifts):
+            n[np.frombuffer(c, np.uint32)] += np.frombuffer(x, np.uint16).astype(np.int64) << int(s)
+        at = np.flatnonzero(n)
+        return at + self.bounds[p], n[at]
+
+
+def _class_counts(shared, cells: _Cells, k: int):
+    """Per type, dealt by type: bigrams with each class to its right and left, and with itself; the class table in group -1.
+
+    Counts are added up over a task (over CELLS_AT_ONCE of them where there are more cells) before they leave it.
+    """
+    def batch(rows):
+        rows = list(zip(*rows))
+        return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.binary()),
+                                           pa.array(rows[2], pa.binary()), pa.array(rows[3], pa.int32())], names=["p", "c", "n", "s"])
+
     def run(batches):
         cls = shared.value.astype(np.int64)
-        types, width, table = len(cls) - 2, 2 * k + 1, np.zeros(k * k, np.int64)
+        width, table = cells.width, np.zeros(k * k, np.int64)
+        total = cells.types * width
+        dense = np.zeros(total, np.int64) if total <= CELLS_AT_ONCE else None
+        held = (np.empty(0, np.int64), np.empty(0, np.int64))
         for a, b in _pairs_of(batches, len(cls) - 1):
             table += np.bincount(cls[a] * k + cls[b], minlength=k * k)
-            keys = np.concatenate([a * width + cls[b], b * width + k + cls[a], a[a == b] * width + 2 * k])
-            keys = keys[keys < types * width]  # start and end stay
-            if types * width <= CELLS_AT_ONCE:
-                n = np.bincount(keys)
-                keys = np.flatnonzero(n)
-                n = n[keys]
-            else:
-                keys, n = np.unique(keys, return_counts=True)
-            part = (keys // width) % parts
-            order = np.argsort(part, kind="stable")
-            part, keys, n = part[order], keys[order], n[order].astype(np.int32)
-            cut = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)] if len(part) else np.zeros(1, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[cut[:-1]].astype(np.int32)),
-                 pa.array([keys[s:t].tobytes() for s, t in zip(cut[:-1], cut[1:])], pa.binary()),
-                 pa.array([n[s:t].tobytes() for s, t in zip(cut[:-1], cut[1:])], pa.binary())], names=["p", "c", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([None], pa.binary()), pa.array([table.tobytes()], pa.binary())],
-                                         names=["p", "c", "n"])
+            for keys in (a * width + cls[b], b * width + k + cls[a], a[a == b] * width + 2 * k):
+                keys = keys[keys < total]  # start and end stay
+                if dense is not None:
+                    dense += np.bincount(keys, minlength=total)
+                    continue
+                keys, n = np.unique(np.concatenate([held[0], keys]), return_inverse=True)
+                held = keys, np.bincount(n, weights=np.concatenate([held[1], np.ones(len(n) - len(held[1]), np.int64)])).astype(np.int64)
+                if len(keys) > CELLS_AT_ONCE:
+                    yield batch(cells.rows(*held))
+                    held = (held[0][:0], held[1][:0])
+        if dense is not None:
+            at = np.flatnonzero(dense)
+            held = at, dense[at]
+        if len(held[0]):
+            yield batch(cells.rows(*held))
+        yield batch([(-1, None, table.tobytes(), 0)])
     return run
 
 
-def _sum_classes(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    if key[0] < 0:
-        table = np.sum([np.frombuffer(x, np.int64) for x in pdf["n"]], axis=0)
-        return pd.DataFrame({"p": [-1], "c": [None], "n": [table.tobytes()]})
-    keys = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["c"]])
-    n = np.concatenate([np.frombuffer(x, np.int32) for x in pdf["n"]])
-    order = np.argsort(keys, kind="stable")
-    keys, n = keys[order], n[order].astype(np.int64)
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return pd.DataFrame({"p": [key[0]], "c": [keys[first].tobytes()], "n": [np.add.reduceat(n, first).tobytes()]})
+def _sum_classes(cells: _Cells):
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        if key[0] < 0:
+            table = np.sum([np.frombuffer(x, np.int64) for x in pdf["n"]], axis=0)
+            return pd.DataFrame({"p": [-1], "c": [None], "n": [table.tobytes()]})
+        keys, n = cells.sums(int(key[0]), pdf["c"], pdf["n"], pdf["s"])
+        return pd.DataFrame({"p": [key[0]], "c": [keys.tobytes()], "n": [n.tobytes()]})
+    return run
 
 
 def _move(shared, classes: int):
@@ -359,11 +426,12 @@ def assign(sequences: DataFrame, cls: np.ndarray, core: np.ndarray, classes: int
     """
     spark, k = sequences.sparkSession, classes + 2
     parts = max(partitions_of(sequences) * 2, len(cls) // TYPES_A_GROUP + 1)
+    cells = _Cells(len(cls) - 2, k, parts)
     kept, before = None, -math.inf
     while True:
         shared = spark.sparkContext.broadcast(cls.astype(np.uint8 if k < 256 else np.uint16))
-        sums = stage(sequences.mapInArrow(lean(_class_counts(shared, parts, k)), "p int, c binary, n binary").groupBy("p")
-                     .applyInPandas(_sum_classes, "p int, c binary, n binary"), "classes")
+        sums = stage(sequences.mapInArrow(lean(_class_counts(shared, cells, k)), "p int, c binary, n binary, s int").groupBy("p")
+                     .applyInPandas(_sum_classes(cells), "p int, c binary, n binary"), "classes")
         got = sums.where("p = -1").select("n").first()
         table = (np.frombuffer(got["n"], np.int64).reshape(k, k) if got else np.zeros((k, k))).astype(float)
         now = _likelihood(table)
