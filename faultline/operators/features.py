@@ -61,9 +61,9 @@ def fit_categories(df: DataFrame, columns, max_categories: int = 1000) -> dict[s
 
 
 def categories_frame(spark, cats: dict[str, list]) -> DataFrame:
-    """Fitted categories as a table (column, category, position) for saving."""
-    rows = [(c, str(v), i) for c, vs in cats.items() for i, v in enumerate(vs)]
-    return spark.createDataFrame(rows, "column string, category string, position int")
+    """Fitted categories as a table (column, category, position, place of the column) for saving."""
+    rows = [(c, str(v), i, place) for place, (c, vs) in enumerate(cats.items()) for i, v in enumerate(vs)]
+    return spark.createDataFrame(rows, "column string, category string, position int, place int")
 
 
 def apply_one_hot(df: DataFrame, cats: dict[str, list], drop_first: bool = False) -> DataFrame:

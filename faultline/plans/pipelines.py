@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from faultline.operators import clean
 from faultline.operators.knn import CELL_ROWS, knn_classify_component, knn_impute
-from faultline.session import materialize
+from faultline.session import drop_stages, stages_written
 
 
 def clean_table(df: DataFrame, *, drop_duplicates: bool = True, impute: bool = True,
@@ -43,6 +43,7 @@ def run_batch_pipeline(spark, raw_folder: str, out_dir: str, *, fmt: str = "parq
     from faultline.plans.ingest import image_stage, ingest_folder, prepare_tables
     from faultline.sources.sinks import save_params, write_ingested, write_table
 
+    since = stages_written(spark)
     tables, manifest = ingest_folder(spark, raw_folder)
     write_ingested(tables, f"{out_dir}/ingested", fmt)
     prepared = prepare_tables(tables)
@@ -68,6 +69,7 @@ def run_batch_pipeline(spark, raw_folder: str, out_dir: str, *, fmt: str = "parq
         maint = clean_table(prepared[name], engineer_target=False, id_col="__none__", block_rows=block_rows)
         write_table(maint, f"{out_dir}/{kept}", fmt)
         paths[kept] = f"{out_dir}/{kept}"
+    drop_stages(spark, since)  # all results are written
     return paths
 
 

@@ -121,9 +121,33 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = os.path.join(checkpoint_root(spark), "stages", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def stages_written(spark: SparkSession) -> int:
+    """How many tables ``materialize`` has written and not dropped in this application."""
+    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def drop_stages(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables that ``materialize`` wrote, from number ``since`` on; returns how many there were.
+
+    For the end of a job, when its results are written: tables that still read from a stage are lost.
+    """
+    written = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    paths = written[since:]
+    del written[since:]
+    conf, Path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        p = Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
+
+
 BROADCAST_MAX_ROWS = 100_000
 
 

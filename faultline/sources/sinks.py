@@ -31,7 +31,7 @@ def write_ingested(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parqu
 
 
 def save_params(params: DataFrame, path: str) -> None:
-    """A fitted params table (scaler: column, mean, std; categories: column, category, position)."""
+    """A fitted params table (scaler: column, mean, std; categories: column, category, position, place)."""
     params.coalesce(1).write.mode("overwrite").parquet(path)
 
 
@@ -41,6 +41,8 @@ def load_scaler_params(spark: SparkSession, path: str) -> dict[str, tuple[float,
 
 def load_categories(spark: SparkSession, path: str) -> dict[str, list[str]]:
     out: dict[str, list[str]] = {}
-    for r in spark.read.parquet(path).orderBy("column", "position").collect():
+    saved = spark.read.parquet(path)
+    order = [c for c in ("place", "column", "position") if c in saved.columns]  # dummies keep the order of their columns
+    for r in saved.orderBy(*order).collect():
         out.setdefault(r["column"], []).append(r["category"])
     return out

@@ -114,6 +114,30 @@ def test_sinks_and_params(spark, tmpdir_path):
     assert load_scaler_params(spark, f"{tmpdir_path}/scaler") == {"a": (2.0, 1.0)}
 
 
+def test_categories_come_back_in_order(spark, tmp_path):
+    from faultline.operators.features import apply_one_hot, categories_frame, fit_categories
+    from faultline.sources.sinks import load_categories
+    df = spark.createDataFrame([("m2", "e"), ("m10", None), ("m1", "a"), ("m2", "e")], "model string, errorid string")
+    cats = fit_categories(df, ["model", "errorid"])
+    save_params(categories_frame(spark, cats), str(tmp_path / "cats"))
+    back = load_categories(spark, str(tmp_path / "cats"))
+    assert back == cats and back["model"] == ["m1", "m10", "m2"]
+    assert apply_one_hot(df, back).columns == apply_one_hot(df, cats).columns
+
+
+def test_stages_are_dropped(spark):
+    from pyspark.errors import AnalysisException
+
+    from faultline.session import drop_stages, materialize
+    kept = materialize(spark.range(3), "t")
+    assert kept.count() == 3 and drop_stages(spark) >= 1 and drop_stages(spark) == 0
+    try:
+        spark.read.parquet(kept.inputFiles()[0])
+        raise AssertionError("the stage is still there")
+    except AnalysisException:
+        pass
+
+
 def test_bad_member_leaves_the_others(spark, tmp_path):
     from faultline.sources.archives import archive_members
     path = tmp_path / "bad.zip"
