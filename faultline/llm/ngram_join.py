@@ -39,7 +39,7 @@ from faultline.session import broadcast_if_small
 WORDS = 5
 NUM, DEN = 75, 100  # similarity 0.75 as a fraction: links compare integers, no rounding
 SALT_ROWS = 1000  # rows of one set that stay together in the last join
-PART_TOKENS = 4_000_000  # about the shingles of a token partition (some 100 MB while they are counted)
+PART_TOKENS = 2_000_000  # about the shingles of a token partition (some 60 MB while they are counted)
 FINGERPRINT = 5  # bytes of a set's identity while its tokens are counted
 GROUP = 512  # about the most members of a group
 HOT_GROUPS = 8  # a token in more components than this comes later in the order, the more the later
@@ -256,6 +256,7 @@ def _leaders(key, pdf: pd.DataFrame) -> pd.DataFrame:
 def _group_links(v: DataFrame, keys: list[str]) -> DataFrame:
     """(node, leader) over groups of equal ``keys``, large groups split into chunks of about GROUP."""
     sizes = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    sizes = broadcast_if_small(stage(sizes, "sizes"), BROADCAST_NODES)  # so that rows of one key needn't meet to be dealt
     g = (v.select("node", "tok", *keys).join(sizes, keys)
          .withColumn("chunk", F.pmod(F.xxhash64("node", *keys), F.ceil(F.col("members") / GROUP))))
     return (g.select(*keys, "chunk", "node", "tok").groupBy(*keys, "chunk")
