@@ -35,8 +35,8 @@ ENDINGS = 1000
 CLASSES = 48
 LEAST_RISE = 1e-5
 TYPES_A_GROUP = 20_000  # class counts of so many types are summed in one group
-TOKENS_AT_ONCE = 1 << 19
-CELLS_AT_ONCE = 1 << 22  # class counts a task holds; up to this many cells they are tallied without a sort
+TOKENS_AT_ONCE = 1 << 20
+CELLS_AT_ONCE = 1 << 22  # class counts a task holds; up to this many cells they stand in one array
 WORDS_HELD = 1 << 20  # distinct words that a task adds up before they are shuffled
 ADD = 0.1  # added to counts, in the base and in the class emissions
 BACKOFF = 20.0  # weight of the class unigram in the class transitions
@@ -348,16 +348,19 @@ def _class_counts(shared, cells: _Cells, k: int):
         held = (np.empty(0, np.int64), np.empty(0, np.int64))
         for a, b in _pairs_of(batches, len(cls) - 1):
             table += np.bincount(cls[a] * k + cls[b], minlength=k * k)
-            for keys in (a * width + cls[b], b * width + k + cls[a], a[a == b] * width + 2 * k):
-                keys = keys[keys < total]  # start and end stay
-                if dense is not None:
-                    dense += np.bincount(keys, minlength=total)
-                    continue
-                keys, n = np.unique(np.concatenate([held[0], keys]), return_inverse=True)
-                held = keys, np.bincount(n, weights=np.concatenate([held[1], np.ones(len(n) - len(held[1]), np.int64)])).astype(np.int64)
-                if len(keys) > CELLS_AT_ONCE:
-                    yield batch(cells.rows(*held))
-                    held = (held[0][:0], held[1][:0])
+            keys = np.concatenate([a * width + cls[b], b * width + k + cls[a], a[a == b] * width + 2 * k])
+            keys = keys[keys < total].astype(np.uint32 if total < 1 << 32 else np.uint64)  # start and end stay
+            keys.sort()
+            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+            keys, n = keys[first].astype(np.int64), np.diff(np.r_[first, len(keys)])
+            if dense is not None:
+                dense[keys] += n
+                continue
+            keys, at = np.unique(np.concatenate([held[0], keys]), return_inverse=True)
+            held = keys, np.bincount(at, weights=np.concatenate([held[1], n])).astype(np.int64)
+            if len(keys) > CELLS_AT_ONCE:
+                yield batch(cells.rows(*held))
+                held = (held[0][:0], held[1][:0])
         if dense is not None:
             at = np.flatnonzero(dense)
             held = at, dense[at]
