@@ -4,8 +4,13 @@ Every language has a probability per piece of a fixed public vocabulary. The
 probability of a word is the sum over all its segmentations into pieces (forward
 algorithm over byte positions); a text's is the product over its words. The
 piece probabilities are fitted by expectation maximisation (forward-backward)
-on the words of a bounded number of labelled texts per language. Words repeat, so
+on the words of a bounded number of labelled texts per language, until the likelihood hardly rises. Words repeat, so
 each worker keeps the log-probabilities of words it has met in a bounded table.
+
+Words are whole, however long (a sentence without blanks is one word), and every piece of the vocabulary counts. Where
+no piece reaches across a position, every segmentation has a boundary there, so the sum is a product of two
+sums: long words are cut at such positions only, which changes nothing. What is still long is summed with a
+window as long as the longest piece, rescaled as it goes.
 """
 
 from __future__ import annotations
@@ -21,11 +26,10 @@ from faultline.llm.byte_bpe import read_ranks, vocabulary_path
 from faultline.llm.common import held, held_out, prepare, same_or_new, stage, words_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LONGEST_PIECE = 12  # bytes; longer pieces of the vocabulary aren't used
-BLOCK = 32  # a word of more bytes is scored in blocks of this many
+BLOCK = 32  # bytes up to which a sum over all segmentations is held as one row of a matrix (and can't underflow)
 TRAIN_DOCS = 1000  # expected number of labelled texts per language
 MAX_LANGUAGES = 400
-ROUNDS = 3
+LEAST_RISE = 0.005  # rounds go on while the log-likelihood rises by more than this share of itself
 SMOOTH = 0.01  # added to every expected count
 KEPT_WORDS = 400_000  # words in the per-worker table (about 80 MB); it is emptied when full
 
@@ -35,6 +39,7 @@ class Pieces:
 
     def __init__(self, pieces: list[bytes]):
         self.count = len(pieces)
+        self.longest = max(map(len, pieces), default=0)
         self.table: dict[bytes, int] = {}
         for i, p in enumerate(pieces):
             for k in range(1, len(p)):
@@ -44,8 +49,8 @@ class Pieces:
     def edges(self, words: list[bytes]) -> np.ndarray:
         """Rows (word, start, end, piece) of every piece occurrence, by end position, then word.
 
-        One integer per occurrence while they are gathered: end, word, start (6 bits: a word is at
-        most a block) and piece, so that sorting the integers sorts the rows.
+        One integer per occurrence while they are gathered: end, word, start (6 bits: a word has at
+        most BLOCK bytes) and piece, so that sorting the integers sorts the rows.
         """
         get, out = self.table.get, []
         put = out.append
@@ -63,16 +68,36 @@ class Pieces:
         e.sort()
         return np.stack([e >> 26 & 0x3FFFF, e >> 20 & 0x3F, e >> 44, e & 0xFFFFF], axis=1)
 
+    def starting(self, word: bytes, i: int) -> list[tuple[int, int]]:
+        """(end, piece) of the pieces that start at a position."""
+        out, get = [], self.table.get
+        for j in range(i + 1, len(word) + 1):
+            k = get(word[i:j])
+            if k is None:
+                break
+            if k >= 0:
+                out.append((j, k))
+        return out
+
+    def blocks(self, word: bytes) -> list[bytes]:
+        """A word with the blank before it, cut where no piece reaches across."""
+        word = b" " + word
+        if len(word) <= BLOCK:
+            return [word]
+        out, begin, reach = [], 0, 0
+        for i in range(len(word)):
+            if i and reach <= i:
+                out.append(word[begin:i])
+                begin = i
+            found = self.starting(word, i)
+            reach = max(reach, found[-1][0] if found else i + 1)
+        return [*out, word[begin:]]
+
 
 def load_pieces(path: str | None = None) -> list[bytes]:
-    """Pieces of at most LONGEST_PIECE bytes, all single bytes among them, in the order of their ranks."""
+    """All pieces, single bytes among them, in the order of their ranks."""
     ranks = read_ranks(path or vocabulary_path(VOCABULARY))
-    return [t for t, _ in sorted(ranks.items(), key=lambda x: x[1]) if len(t) <= LONGEST_PIECE]
-
-
-def blocks(word: bytes) -> list[bytes]:
-    word = b" " + word
-    return [word[i:i + BLOCK] for i in range(0, len(word), BLOCK)] if len(word) > BLOCK else [word]
+    return [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
 
 
 def _steps(e: np.ndarray):
@@ -94,50 +119,106 @@ def forward(words: list[bytes], e: np.ndarray, prob: np.ndarray) -> np.ndarray:
     return alpha
 
 
+def log_prob_long(block: bytes, pieces: Pieces, prob: np.ndarray) -> np.ndarray:
+    """Log-probability of one block of any length per language: a window of sums, rescaled when they get small."""
+    width = pieces.longest + 1
+    window, scale = np.zeros((width, prob.shape[1])), np.zeros(prob.shape[1])
+    window[0] = 1.0
+    for i in range(len(block)):
+        here = window[i % width].copy()
+        window[i % width] = 0.0
+        if here.min() < 1e-100:
+            window /= here
+            scale += np.log(here)
+            here[:] = 1.0
+        for j, k in pieces.starting(block, i):
+            window[j % width] += here * prob[k]
+    return scale + np.log(window[len(block) % width])
+
+
 def log_prob(words: list[bytes], pieces: Pieces, prob: np.ndarray, step: int = 4096) -> np.ndarray:
     """Natural log of each word's probability per language."""
     out = np.empty((len(words), prob.shape[1]))
     for s in range(0, len(words), step):
         part = words[s:s + step]
-        cut = [blocks(w) for w in part]
+        cut = [pieces.blocks(w) for w in part]
         flat = [b for c in cut for b in c]
-        alpha = forward(flat, pieces.edges(flat), prob)
-        each = np.log(alpha[np.arange(len(flat)), [len(b) for b in flat]])
+        short = [i for i, b in enumerate(flat) if len(b) <= BLOCK]
+        own = [flat[i] for i in short]
+        each = np.empty((len(flat), prob.shape[1]))
+        for a in range(0, len(own), 1 << 16):
+            some = own[a:a + (1 << 16)]
+            alpha = forward(some, pieces.edges(some), prob)
+            each[short[a:a + (1 << 16)]] = np.log(alpha[np.arange(len(some)), [len(b) for b in some]])
+        for i, b in enumerate(flat):
+            if len(b) > BLOCK:
+                each[i] = log_prob_long(b, pieces, prob)
         first = np.cumsum([0] + [len(c) for c in cut[:-1]])
         out[s:s + len(part)] = np.add.reduceat(each, first, axis=0)
     return out
 
 
-def expected(words: list[bytes], weight: np.ndarray, lang: np.ndarray, pieces: Pieces, prob: np.ndarray) -> np.ndarray:
-    """Expected piece counts (pieces x languages) of weighted words, each of one language."""
-    total = np.zeros((pieces.count, prob.shape[1]))
+def _expected_long(block: bytes, pieces: Pieces, prob: np.ndarray, weight: float, total: np.ndarray) -> float:
+    """Adds the expected pieces of one long block of one language to ``total``; its log-probability."""
+    n = len(block)
+    found = [pieces.starting(block, i) for i in range(n)]
+    log = {k: float(np.log(prob[k])) for f in found for _, k in f}
+    front, back = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+    front[0] = back[n] = 0.0
+    for i in range(n):
+        for j, k in found[i]:
+            front[j] = np.logaddexp(front[j], front[i] + log[k])
+    for i in reversed(range(n)):
+        for j, k in found[i]:
+            back[i] = np.logaddexp(back[i], back[j] + log[k])
+    for i in range(n):
+        for j, k in found[i]:
+            total[k] += weight * math.exp(front[i] + log[k] + back[j] - front[n])
+    return float(front[n])
+
+
+def _expected_short(flat: list[bytes], wt: np.ndarray, la: np.ndarray, pieces: Pieces, prob: np.ndarray,
+                    total: np.ndarray) -> float:
+    """The same for many blocks of at most BLOCK bytes, each of one language; the sum of their weighted log-probabilities."""
+    e = pieces.edges(flat)
+    own = prob[e[:, 3], la[e[:, 0]]]
+    size = np.array([len(b) for b in flat])
+    alpha = np.zeros((len(flat), int(size.max()) + 1))
+    beta = np.zeros_like(alpha)
+    alpha[:, 0] = 1.0
+    beta[np.arange(len(flat)), size] = 1.0
+    for a, b in _steps(e):
+        w, i, j = e[a:b, 0], e[a:b, 1], e[a:b, 2]
+        np.add.at(alpha, (w, j), alpha[w, i] * own[a:b])
+    back = np.argsort(-e[:, 1], kind="stable")
+    eb, ob = e[back], own[back]
+    cut = np.flatnonzero(np.diff(eb[:, 1])) + 1
+    for a, b in zip(np.r_[0, cut], np.r_[cut, len(eb)]):
+        w, i, j = eb[a:b, 0], eb[a:b, 1], eb[a:b, 2]
+        np.add.at(beta, (w, i), beta[w, j] * ob[a:b])
+    share = alpha[e[:, 0], e[:, 1]] * own * beta[e[:, 0], e[:, 2]] / beta[e[:, 0], 0]
+    np.add.at(total, (e[:, 3], la[e[:, 0]]), share * wt[e[:, 0]])
+    return float((wt * np.log(beta[:, 0])).sum())
+
+
+def expected(words: list[bytes], weight: np.ndarray, lang: np.ndarray, pieces: Pieces,
+             prob: np.ndarray) -> tuple[np.ndarray, float]:
+    """Expected piece counts (pieces x languages) of weighted words, each of one language, and their log-likelihood."""
+    total, likely = np.zeros((pieces.count, prob.shape[1])), 0.0
     for s in range(0, len(words), 4096):
         flat, wt, la = [], [], []
         for w, x, l in zip(words[s:s + 4096], weight[s:s + 4096], lang[s:s + 4096]):
-            for b in blocks(w):
+            for b in pieces.blocks(w):
+                if len(b) > BLOCK:
+                    likely += x * _expected_long(b, pieces, prob[:, l], float(x), total[:, l])
+                    continue
                 flat.append(b)
                 wt.append(x)
                 la.append(l)
-        la = np.array(la)
-        e = pieces.edges(flat)
-        own = prob[e[:, 3], la[e[:, 0]]]
-        size = np.array([len(b) for b in flat])
-        alpha = np.zeros((len(flat), int(size.max()) + 1))
-        beta = np.zeros_like(alpha)
-        alpha[:, 0] = 1.0
-        beta[np.arange(len(flat)), size] = 1.0
-        for a, b in _steps(e):
-            w, i, j = e[a:b, 0], e[a:b, 1], e[a:b, 2]
-            np.add.at(alpha, (w, j), alpha[w, i] * own[a:b])
-        back = np.argsort(-e[:, 1], kind="stable")
-        eb, ob = e[back], own[back]
-        cut = np.flatnonzero(np.diff(eb[:, 1])) + 1
-        for a, b in zip(np.r_[0, cut], np.r_[cut, len(eb)]):
-            w, i, j = eb[a:b, 0], eb[a:b, 1], eb[a:b, 2]
-            np.add.at(beta, (w, i), beta[w, j] * ob[a:b])
-        share = alpha[e[:, 0], e[:, 1]] * own * beta[e[:, 0], e[:, 2]] / beta[e[:, 0], 0]
-        np.add.at(total, (e[:, 3], la[e[:, 0]]), share * np.array(wt, float)[e[:, 0]])
-    return total
+        for a in range(0, len(flat), 1 << 16):
+            part = slice(a, a + (1 << 16))
+            likely += _expected_short(flat[part], np.array(wt[part], float), np.array(la[part]), pieces, prob, total)
+    return total, likely
 
 
 def _pieces(shared) -> Pieces:
@@ -159,14 +240,16 @@ def _word_counts(batches):
 def _expect(shared, langs: list[str], prob):
     def run(batches):
         pieces, at = _pieces(shared), {l: i for i, l in enumerate(langs)}
-        total = np.zeros((pieces.count, len(langs)))
+        total, likely = np.zeros((pieces.count, len(langs))), 0.0
         for b in batches:
             if b.num_rows:
-                total += expected(b.column(1).to_pylist(), np.array(b.column(2)),
-                                  np.array([at[x] for x in b.column(0).to_pylist()]), pieces, prob.value)
+                more, x = expected(b.column(1).to_pylist(), np.array(b.column(2)),
+                                   np.array([at[x] for x in b.column(0).to_pylist()]), pieces, prob.value)
+                total += more
+                likely += x
         k, l = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(l.astype(np.int32)),
-                                          pa.array(total[k, l])], names=["k", "l", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[k, -1].astype(np.int32)), pa.array(np.r_[l, 0].astype(np.int32)),
+                                          pa.array(np.r_[total[k, l], likely])], names=["k", "l", "n"])
     return run
 
 
@@ -194,12 +277,18 @@ def fit(docs: DataFrame, path: str | None = None, train_docs: int = TRAIN_DOCS)
                   .groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     shared = spark.sparkContext.broadcast(pieces)
     prob = np.full((len(pieces), len(langs)), 1.0 / len(pieces))
-    for _ in range(ROUNDS):
+    before = None
+    while True:
         got = (words.mapInArrow(_expect(shared, langs, spark.sparkContext.broadcast(prob)), "k int, l int, n double")
                .groupBy("k", "l").agg(F.sum("n").alias("n")).toPandas())  # at most pieces x languages rows
+        likely = float(got.loc[got["k"] < 0, "n"].sum())
+        got = got[got["k"] >= 0]
         total = np.full(prob.shape, SMOOTH)
         total[got["k"], got["l"]] += got["n"]
         prob = total / total.sum(axis=0)
+        if not likely or (before is not None and likely - before <= LEAST_RISE * abs(likely)):
+            break
+        before = likely
     prior = np.array([counts[l] for l in langs], float)
     return {"langs": langs, "pieces": pieces, "prob": prob, "prior": np.log(prior / prior.sum())}
 
@@ -250,7 +339,8 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, lang_pred, score``: one row per input row.
 
     ``und`` with score 0 for NULL texts, texts without a letter, and when there was nothing to
-    learn from. Equal texts get equal results; extra columns are ignored.
+    learn from. Equal texts get equal results, the first of languages with equal scores in alphabetical order; a
+    text is read whole, whatever its length. Extra columns are ignored.
     """
     return _labelled(same_or_new(docs, [("doc_id", "bigint"), ("text", "string")]), model).select(
         "doc_id", "lang_pred", "score")
