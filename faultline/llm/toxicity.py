@@ -3,8 +3,9 @@
 A lexicon maps words to symbols: insults (learnt, with weights), threats, targets,
 negations and words of reported speech. Four small transducers read a
 clause's symbols - negation, reported speech, target, threat - and are composed
-into one machine whose paths multiply an insult's weight: less under negation or in reported
-speech, more where the clause names a target. Clauses are scored, not words; a
+into one machine whose paths multiply the weight of an insult or a threat: less under negation or in reported
+speech, more where the clause names a target. What follows a word of saying and a comma or colon belongs to its
+clause. Clauses are scored, not words; a
 logistic model over a text's matched clauses gives the score.
 
 The lexicon and the model are fitted on a bounded sample of labelled texts.
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from faultline.llm.common import h64, held_out, prepare, same_or_new
 
 TRAIN_ROWS = 20_000  # expected number of labelled texts that are learnt from
-LEXICON = 2000  # most insult words kept, strongest evidence first
 LEAST_TEXTS = 3  # different toxic texts that an insult must occur in
 LEAST_EVIDENCE = 12.0  # log-likelihood ratio
 THRESHOLD = 0.3
@@ -33,8 +33,9 @@ WEIGHT_CAP = 5.0
 
 THREATS = frozenset("""kill hurt destroy beat burn shoot stab punch hang töten schlagen verbrennen erschießen
 tuer frapper brûler détruire matar golpear quemar destruir""".split())
-TARGETS = frozenset("""you your yours yourself he she him her they them these those du dich dir euch ihr sie
+TARGETS = frozenset("""you your yours yourself he she him her they them du dich dir euch ihr sie
 tu toi te vous ils elles lui leur tú ti usted ustedes ellos ellas""".split())
+THREAT_WEIGHT = 1.0  # of a threat word, before the machine's factors
 NEGATIONS = frozenset("""not no never none nor without nicht kein keine nie niemals ohne ne pas jamais sans aucun
 nunca jamás sin ningún""".split())
 REPORTS = frozenset("""said says saying called claimed wrote reported quoted sagte sagt schrieb behauptete
@@ -48,7 +49,7 @@ INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
 
 @dataclass(frozen=True)
 class Transducer:
-    """``step[state][symbol] = (next state, factor of an insult read here)``; ``final[state]`` factor of the clause."""
+    """``step[state][symbol] = (next state, factor of an insult or threat read here)``; ``final[state]`` factor of the clause."""
     step: tuple[tuple[tuple[int, float], ...], ...]
     final: tuple[float, ...]
 
@@ -73,17 +74,18 @@ def compose(*parts: Transducer) -> Transducer:
 
 
 #: A negation reaches three words; reported speech and a target hold to the end of the clause.
-NEGATED = transducer(4, lambda s, x: (3 if x == NEGATION else max(0, s - 1), 0.3 if s and x == INSULT else 1.0), lambda s: 1.0)
-REPORTED = transducer(2, lambda s, x: (1 if x == REPORT else s, 0.5 if s and x == INSULT else 1.0), lambda s: 1.0)
+NEGATED = transducer(4, lambda s, x: (3 if x == NEGATION else max(0, s - 1), 0.3 if s and x in (INSULT, THREAT) else 1.0), lambda s: 1.0)
+REPORTED = transducer(2, lambda s, x: (1 if x == REPORT else s, 0.5 if s and x in (INSULT, THREAT) else 1.0), lambda s: 1.0)
 TARGETED = transducer(2, lambda s, x: (1 if x == TARGET else s, 1.0), lambda s: 1.5 if s else 1.0)
-THREATENED = transducer(2, lambda s, x: (1 if x == THREAT else s, 1.0), lambda s: 1.25 if s else 1.0)
+#: A threat after another, or after an insult, in one clause weighs more.
+THREATENED = transducer(2, lambda s, x: (1 if x in (THREAT, INSULT) else s, 1.25 if s and x == THREAT else 1.0), lambda s: 1.0)
 GRAMMAR = compose(NEGATED, REPORTED, TARGETED, THREATENED)
 
 
 class Lexicon:
     def __init__(self, insults: dict[str, float]):
         self.weight = insults
-        self.symbol = {w: OTHER for w in ()}
+        self.symbol: dict[str, int] = {}
         for words, x in ((THREATS, THREAT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
             self.symbol.update(dict.fromkeys(words, x))
         self.symbol.update(dict.fromkeys(insults, INSULT))  # what was learnt comes first
@@ -93,6 +95,20 @@ class Lexicon:
 FEATURES = ["weight", "most", "clauses", "targeted", "damped", "threats", "share"]
 
 
+def clauses_of(low: str):
+    """Words of each clause; one that ends in a word of saying goes on behind its comma or colon."""
+    at, words = 0, []
+    for m in _CLAUSE.finditer(low):
+        words += _WORD.findall(low, at, m.start())
+        at = m.end()
+        if words and not (words[-1] in REPORTS and set(m[0].strip()) <= {",", ":", '"'}):
+            yield words
+            words = []
+    words += _WORD.findall(low, at)
+    if words:
+        yield words
+
+
 def features(text: str | None, lex: Lexicon) -> list[float]:
     """What the grammar matches in a whole text, clause by clause."""
     out = [0.0] * len(FEATURES)
@@ -103,20 +119,19 @@ def features(text: str | None, lex: Lexicon) -> list[float]:
     if lex.insults.isdisjoint(words) and THREATS.isdisjoint(words):
         return out
     clauses = 0
-    for clause in _CLAUSE.split(low):
-        words = _WORD.findall(clause)
-        if not words:
-            continue
+    for words in clauses_of(low):
         clauses += 1
         symbols = [lex.symbol.get(w, OTHER) for w in words]
         if INSULT not in symbols and THREAT not in symbols:
             continue
-        state, total, plain = 0, 0.0, 0.0
+        state, total, plain, threat = 0, 0.0, 0.0, 0.0
         for w, x in zip(words, symbols):
             state, factor = GRAMMAR.step[state][x]
             if x == INSULT:
                 total += lex.weight[w] * factor
                 plain += lex.weight[w]
+            elif x == THREAT:
+                threat += THREAT_WEIGHT * factor
         targeted = TARGET in symbols
         if total:
             total *= GRAMMAR.final[state]
@@ -125,7 +140,7 @@ def features(text: str | None, lex: Lexicon) -> list[float]:
             out[2] += 1
             out[3] += targeted
             out[4] += total < plain
-        out[5] += THREAT in symbols and targeted
+        out[5] += threat * GRAMMAR.final[state] if targeted else 0.0  # a threat needs someone to be threatened
     out[6] = out[2] / max(1, clauses)
     return [np.log1p(out[0]), out[1], np.log1p(out[2]), np.log1p(out[3]), np.log1p(out[4]), np.log1p(out[5]), out[6]]
 
@@ -154,8 +169,7 @@ def _weights(rows, a_cols, b_cols, n_toxic: float, n_clean: float) -> dict[str,
     evidence = 2 * (a * np.log(np.maximum(a, 1e-9) / ((a + b) * share))
                     + b * np.log(np.maximum(b, 1e-9) / np.maximum((a + b) * (1 - share), 1e-9)))
     ok = (a >= LEAST_TEXTS) & (weight > 1.5) & (evidence >= LEAST_EVIDENCE)
-    order = np.argsort(-evidence[ok], kind="stable")[:LEXICON]
-    return dict(zip(rows["word"].to_numpy()[ok][order], np.minimum(weight[ok][order], WEIGHT_CAP).tolist()))
+    return dict(zip(rows["word"].to_numpy()[ok], np.minimum(weight[ok], WEIGHT_CAP).tolist()))
 
 
 def _featured(lexicons):
@@ -207,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> dic
     per_word = (seen.groupBy("word").agg(*[
         F.sum(F.when((F.col("toxic") == t) & (F.col("fold") == f), 1).otherwise(0)).alias(f"{'ba'[t]}{f}")
         for t in (0, 1) for f in (0, 1)]).where(f"a0 + a1 >= {LEAST_TEXTS} and a0 + a1 >= 0.1 * (b0 + b1)")
-        .orderBy(F.desc(F.expr("a0 + a1")), "word").limit(20 * LEXICON).toPandas())
+        .orderBy("word").toPandas())  # words of the sample, which train_rows bounds
     marks = Counter()
     for r in train.groupBy("toxic", "fold").count().collect():
         marks[r["toxic"], r["fold"]] += r["count"]
