@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -32,7 +33,7 @@ IMPLIED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
            "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}}
 SCOPES = frozenset("table ul ol dl article section div nav aside footer header form main body html".split())
 #: Never content: no reader sees them, or they are controls.
-SILENT = frozenset("""script style noscript template head title svg canvas iframe object math button select option
+SILENT = frozenset("""script style noscript template head title svg canvas iframe object annotation annotation-xml button select option
 textarea input label form dialog""".split())
 
 #: Words of class, id and role, by what they say about an element.
@@ -80,21 +81,39 @@ class TreeParser(HTMLParser):
         self.root = self.at = Node("#root", "none", None)
         self.nodes = [self.root]
         self.items = []  # (node, text) and (node, None) at block edges, in page order
+        self.open = Counter()  # open elements by tag, so that an end without a start costs no walk
+        self.inside = [Counter()]  # the same within each open scope
+
+    def _to(self, n):
+        """Close everything down to ``n``: each element is closed once."""
+        while self.at is not n:
+            tag = self.at.tag
+            self.open[tag] -= 1
+            if tag in SCOPES:
+                self.inside.pop()
+            self.inside[-1][tag] -= 1
+            self.at = self.at.parent
 
-    def _close(self, tags, scopes):
-        n = self.at
-        while n.parent is not None and n.tag not in tags:
-            if n.tag in scopes:
-                return
-            n = n.parent
-        if n.parent is not None:
-            self.at = n.parent
+    def _enter(self, n):
+        self.open[n.tag] += 1
+        self.inside[-1][n.tag] += 1
+        if n.tag in SCOPES:
+            self.inside.append(Counter())
+        self.at = n
+
+    def _close(self, tags):
+        """End an open element of these kinds, but none around the scope that is being read."""
+        if any(self.inside[-1][t] for t in tags):
+            n = self.at
+            while n.tag not in tags:
+                n = n.parent
+            self._to(n.parent)
 
     def handle_starttag(self, tag, attrs):
         if tag in CLOSES_P:
-            self._close({"p"}, SCOPES)
+            self._close(("p",))
         if tag in IMPLIED:
-            self._close(IMPLIED[tag], SCOPES - IMPLIED[tag])
+            self._close(IMPLIED[tag])
         n = Node(tag, group_of(tag, attrs), self.at)
         self.at.kids.append(n)
         self.nodes.append(n)
@@ -103,23 +122,22 @@ class TreeParser(HTMLParser):
         elif tag in ("br", "wbr"):
             self.items.append((self.at, " " if tag == "br" else ""))
         if tag not in VOID:
-            self.at = n
+            self._enter(n)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and self.at.tag == tag:
-            self.at = self.at.parent
+            self._to(self.at.parent)
 
     def handle_endtag(self, tag):
+        if not (self.open if tag in BLOCK else self.inside[-1])[tag]:
+            return  # a stray end; an inline one doesn't close a block either
         n = self.at
-        while n.parent is not None and n.tag != tag:
-            if n.tag in SCOPES and tag not in BLOCK:
-                return  # a stray inline end doesn't close a block
+        while n.tag != tag:
             n = n.parent
-        if n.parent is not None:
-            self.at = n.parent
-            if tag in BLOCK:
-                self.items.append((n, None))
+        self._to(n.parent)
+        if tag in BLOCK:
+            self.items.append((n, None))
 
     def handle_data(self, data):
         self.items.append((self.at, data))
@@ -310,7 +328,7 @@ def fit(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> dict:
     sample = d.where(place < int(min(1.0, train_pages / n) * (1 << 30)))
     rows = (sample.select("html").mapInArrow(_tally, "f string, a bigint, b bigint")
             .groupBy("f").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-            .orderBy(F.desc(F.expr("a + b")), "f").limit(5000).collect())
+            .orderBy("f").collect())  # tags and groups of the sample, which train_pages bounds
     return model_of({r["f"]: (r["a"], r["b"]) for r in rows})
 
 
