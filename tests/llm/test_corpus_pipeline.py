@@ -42,3 +42,17 @@ def test_empty_and_odd_rows(spark, sf):
         for _, apply in corpus_pipeline.STAGES:
             at = stage(apply(spark, at, sf), "t")
         assert at.count() == (1 if rows else 0)
+
+
+def test_equal_rows_are_one_group_whatever_their_ids(spark, sf):
+    schema = read_table(spark, sf, "documents").schema
+    same, other = "one two three four five six seven", "a text of its own with more than five words"
+    long = " ".join(f"w{i % 5000}" for i in range(300_000))
+    rows = [(5, same, "en", "s", 1), (5, same, "en", "s", 1), (None, same, "en", "s", 1), (None, same, None, None, None), (4, same, "en", "t", 1),
+            (6, other, "en", "s", 1), (None, None, "en", "s", None), (None, "", "en", "s", 0), (9, long, "en", "s", 1), (None, long + " end", "en", "s", 1)]
+    got = corpus_pipeline.near_duplicates(spark, stage(spark.createDataFrame(rows, schema), "t"), sf)
+    assert got.columns == schema.names
+    kept = sorted(((r.doc_id, (r.text or "")[:9], r.source) for r in got.collect()), key=repr)
+    assert kept == sorted([(4, same[:9], "t"), (6, other[:9], "s"), (None, "", "s"), (None, "", "s"), (9, long[:9], "s")], key=repr)
+    for _, apply in corpus_pipeline.STAGES[2:]:
+        assert apply(spark, stage(spark.createDataFrame(rows, schema), "t"), sf).count() == len(rows)

@@ -131,13 +131,43 @@ def test_forward_sums_all_segmentations():
     words = [b"a", b"abab", b"aabba", b"bbbb", b"ab" * 9]
     got = langid.log_prob(words, p, prob)
     for w, g in zip(words, got):
-        want = sum(naive_segmentations(b, dict(zip(pieces, prob))) for b in langid.blocks(w))
-        assert np.allclose(g, want)
-    e = langid.expected(words, np.ones(5), np.zeros(5, int), p, prob)
+        assert np.allclose(g, naive_segmentations(b" " + w, dict(zip(pieces, prob))))
+    e, likely = langid.expected(words, np.ones(5), np.zeros(5, int), p, prob)
+    assert np.isclose(likely, got[:, 0].sum())
     length = np.array([len(x) for x in pieces])
     assert np.isclose((e[:, 0] * length).sum(), sum(len(w) + 1 for w in words))  # every byte is in one piece
 
 
+def test_whole_words_and_long_pieces():
+    """Unbroken words of hundreds of bytes, pieces above 12 bytes: the plain sum over all segmentations, in logarithms."""
+    rnd = random.Random(4)
+    alphabet = [bytes([b]) for b in "日本語テキスト".encode()] + [b" ", b"a", b"b", b"-"]
+    alphabet = sorted(set(alphabet))
+    text = "日本語テキスト"
+    longer = {rnd.choice(text).encode() + rnd.choice(text).encode() for _ in range(9)} | {"本語テキスト".encode(), b"-" * 40, b"ab" * 9, b" ab"}
+    pieces = [*alphabet, *sorted(longer)]
+    prob = np.random.default_rng(1).uniform(1e-6, 0.1, (len(pieces), 2))
+    p = langid.Pieces(pieces)
+    assert p.longest == 40
+    words = ["".join(rnd.choice(text) for _ in range(n)).encode() for n in (3, 40, 200)] + [b"-" * 700, b"ab" * 150, b"a" * 33, b"-" * 31]
+
+    def naive(word, l):
+        word = b" " + word
+        best = [0.0] + [-np.inf] * len(word)
+        for i in range(len(word)):
+            for q, x in zip(pieces, prob[:, l]):
+                if word.startswith(q, i):
+                    best[i + len(q)] = np.logaddexp(best[i + len(q)], best[i] + np.log(x))
+        return best[-1]
+    want = np.array([[naive(w, l) for l in range(2)] for w in words])
+    assert np.allclose(langid.log_prob(words, p, prob), want)
+    assert any(len(b) > langid.BLOCK for b in p.blocks(words[3])) and len(p.blocks(words[2])) > 20
+    e, likely = langid.expected(words, np.ones(len(words)), np.zeros(len(words), int), p, prob)
+    assert np.isclose(likely, want[:, 0].sum())
+    assert np.isclose((e[:, 0] * [len(x) for x in pieces]).sum(), sum(len(w) + 1 for w in words))
+    assert len(langid.load_pieces()) > 50_000 and max(map(len, langid.load_pieces())) > 12
+
+
 def test_language_id(spark, sf):
     d = read_table(spark, sf, "documents")
     model = langid.fit(langid.training_rows(d))
@@ -346,3 +376,42 @@ def test_byte_bpe_in_small_lots_equals_one_lot(monkeypatch):
     whole = bpe.encode(texts)
     monkeypatch.setattr(byte_bpe, "LOT_PIECES", 3)
     assert bpe.encode(texts) == whole and whole[1] == whole[2] == []
+
+
+def test_composed_grammar_equals_its_parts():
+    """The product machine against the four transducers run side by side, over random clauses."""
+    rnd = random.Random(6)
+    parts = (toxicity.NEGATED, toxicity.REPORTED, toxicity.TARGETED, toxicity.THREATENED)
+    for _ in range(500):
+        clause = [rnd.randrange(len(toxicity.SYMBOLS)) for _ in range(rnd.randint(0, 12))]
+        state, states, got, want = 0, [0] * 4, [], []
+        for x in clause:
+            state, f = toxicity.GRAMMAR.step[state][x]
+            got.append(f)
+            moves = [p.step[s][x] for p, s in zip(parts, states)]
+            states = [m[0] for m in moves]
+            want.append(np.prod([m[1] for m in moves]))
+        assert np.allclose(got, want)
+        assert np.isclose(toxicity.GRAMMAR.final[state], np.prod([p.final[s] for p, s in zip(parts, states)]))
+
+
+def test_threats_pass_through_the_grammar():
+    lex = toxicity.Lexicon({"idiot": 3.0})
+    threat = lambda t: toxicity.features(t, lex)[5]
+    weight = lambda t: toxicity.features(t, lex)[0]
+    plain, negated, told = (threat(t) for t in ("I will kill you", "I will not kill you", "he said he will kill you"))
+    assert plain > told > negated > 0 and threat("the fire can burn these logs") == 0
+    assert np.expm1(threat("kill and burn you")) > 2 * np.expm1(plain) and threat("I will kill. You can go") == 0
+    assert weight("he said, you are an idiot") == weight("he said you are an idiot") < weight("you are an idiot")
+    assert weight("er sagte: du idiot") < weight("du idiot") and weight("well, you idiot") == weight("you idiot")
+    assert list(toxicity.clauses_of("a, b. he said, c: d")) == [["a"], ["b"], ["he", "said", "c"], ["d"]]
+
+
+def test_html_markup_in_linear_time_and_formulas(spark, sf):
+    import time
+    t = time.perf_counter()
+    html_extract.parse("<div><b>" * 20_000 + "</i></p></article>x" * 20_000)
+    assert time.perf_counter() - t < 10
+    model = html_extract.fit(read_table(spark, sf, "pages"))
+    page = "<html><body><article><h1>A title of the page</h1><p>Let <math><mi>x</mi><annotation>\\x</annotation></math> be the number of all things.</p></article>"
+    assert html_extract.extract(page, model)[0] == "A title of the page\n\nLet x be the number of all things."
