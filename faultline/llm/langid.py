@@ -31,7 +31,7 @@ TRAIN_DOCS = 1000  # expected number of labelled texts per language
 MAX_LANGUAGES = 400
 LEAST_RISE = 0.005  # rounds go on while the log-likelihood rises by more than this share of itself
 SMOOTH = 0.01  # added to every expected count
-KEPT_WORDS = 400_000  # words in the per-worker table (about 80 MB); it is emptied when full
+KEPT_WORDS = 150_000  # words in the per-worker table (about 30 MB); it is emptied when full
 
 
 class Pieces:
