@@ -191,7 +191,7 @@ def _pairs_of(batches, end: int):
     held, size = [], 0
     for b in batches:
         for blob in b.column(0).to_pylist():
-            s = np.frombuffer(blob, np.uint32).astype(np.int64)
+            s = np.frombuffer(blob, np.uint32)
             own = s[:-1] != end  # no bigram from one text to the next
             held.append((s[:-1][own], s[1:][own]))
             size += len(s)
@@ -345,11 +345,14 @@ def _class_counts(shared, cells: _Cells, k: int):
         width, table = cells.width, np.zeros(k * k, np.int64)
         total = cells.types * width
         dense = np.zeros(total, np.int64) if total <= CELLS_AT_ONCE else None
+        kind = np.uint32 if total + 3 * width < 1 << 32 else np.uint64
         held = (np.empty(0, np.int64), np.empty(0, np.int64))
         for a, b in _pairs_of(batches, len(cls) - 1):
-            table += np.bincount(cls[a] * k + cls[b], minlength=k * k)
-            keys = np.concatenate([a * width + cls[b], b * width + k + cls[a], a[a == b] * width + 2 * k])
-            keys = keys[keys < total].astype(np.uint32 if total < 1 << 32 else np.uint64)  # start and end stay
+            left, right, same = cls[a], cls[b], a[a == b]
+            table += np.bincount(left * k + right, minlength=k * k)
+            a, b, same, left, right = (x.astype(kind, copy=False) for x in (a, b, same, left, right))
+            keys = np.concatenate([a * kind(width) + right, b * kind(width) + left + kind(k), same * kind(width) + kind(2 * k)])
+            keys = keys[keys < total]  # start and end stay
             keys.sort()
             first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
             keys, n = keys[first].astype(np.int64), np.diff(np.r_[first, len(keys)])
