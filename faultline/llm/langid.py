@@ -29,7 +29,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 BLOCK = 32  # bytes up to which a sum over all segmentations is held as one row of a matrix (and can't underflow)
 TRAIN_DOCS = 1000  # expected number of labelled texts per language
 MAX_LANGUAGES = 400
-LEAST_RISE = 0.005  # rounds go on while the log-likelihood rises by more than this share of itself
+LEAST_RISE = 0.02  # rounds go on while the log-likelihood rises by more than this share of itself
 SMOOTH = 0.01  # added to every expected count
 KEPT_WORDS = 150_000  # words in the per-worker table (about 30 MB); it is emptied when full
 
