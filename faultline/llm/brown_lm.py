@@ -17,7 +17,6 @@ P(word | previous) = P(class | previous class) * P(word | class), both smoothed.
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 import numpy as np
