@@ -39,7 +39,7 @@ from faultline.session import broadcast_if_small
 WORDS = 5
 NUM, DEN = 75, 100  # similarity 0.75 as a fraction: links compare integers, no rounding
 SALT_ROWS = 1000  # rows of one set that stay together in the last join
-PART_TOKENS = 2_000_000  # about the shingles of a token partition (some 60 MB while they are counted)
+PART_TOKENS = 750_000  # about the shingles of a token partition (some 25 MB while they are counted)
 FINGERPRINT = 5  # bytes of a set's identity while its tokens are counted
 GROUP = 512  # about the most members of a group
 HOT_GROUPS = 8  # a token in more components than this comes later in the order, the more the later
