@@ -146,3 +146,53 @@ def test_columns_never_present_together_over_several_levels(spark, monkeypatch):
     want = brute_impute(pdf, cols, pdf["seq"].to_numpy())
     got = knn_impute(df, columns=cols, categorical=(), block_rows=4).toPandas().set_index("seq").loc[pdf["seq"]]
     np.testing.assert_allclose(got[cols].to_numpy(float), want, rtol=1e-9, atol=1e-9)
+
+
+def test_donors_are_sent_in_slices_and_used_tables_go(spark, monkeypatch):
+    """Small slices and chunks give the brute-force values; no table of copies or visits stays behind, nor shuffle files."""
+    import os
+    from faultline.operators import knn_cells
+    from faultline.session import checkpoint_root
+    monkeypatch.setattr(knn_cells, "SLICE_DONORS", 1)
+    monkeypatch.setattr(knn_cells, "CHUNK_DONORS", 64)
+    monkeypatch.setattr(knn_cells, "BLOCK_BITS", 1)
+    written = []
+    write = knn_cells.materialize
+    monkeypatch.setattr(knn_cells, "materialize", lambda df, name: written.append(name) or write(df, name))
+    rng = np.random.default_rng(17)
+    n = 400
+    x = np.round(rng.normal(size=(n, 3)) * [1.0, 5.0, 0.2], 1)
+    x[rng.random((n, 3)) < 0.2] = np.nan
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "seq long, temperature_c double, load_percentage double, operating_hours double")
+    stages = os.path.join(checkpoint_root(spark), "stages")
+    before = set(os.listdir(stages)) if os.path.isdir(stages) else set()
+    got = knn_impute(df, block_rows=8).orderBy("seq").toPandas()
+    cols = ["temperature_c", "load_percentage", "operating_hours"]
+    np.testing.assert_allclose(got[cols].to_numpy(float), brute_impute(df.toPandas(), cols, np.arange(n)), rtol=1e-9, atol=1e-9)
+    assert written.count("knn-found") > 1
+    left = {p.rsplit("-", 1)[0] for p in set(os.listdir(stages)) - before}
+    assert "knn-found" in left and not left & {"knn-cells", "knn-placed", "knn-bounds", "knn-visits"}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from faultline.session import materialize
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {b for b in (str(x) for x in disk.getAllFiles().mkString("\n").split("\n")) if "shuffle_" in b}
+    before = shuffles()
+    table = materialize(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count(), "t")
+    assert not shuffles() - before and table.count() == 7
+
+
+def test_search_keeps_only_what_the_new_bound_leaves():
+    from faultline.operators.knn_local import Group, Nearest
+    x = np.arange(512.0)[:, None]
+    near = Nearest(np.full((100, 1), np.inf), 5)
+    near.search(np.linspace(0, 511, 100)[:, None], Group(x, np.arange(512) // 256, np.arange(512), [0]), 1)
+    kept = sum(len(r) for r, _, _ in near.found[0])
+    assert kept <= 100 * 12  # 100 x 256 and more when whole first cells were kept
+    r, d, v = near.take(0, np.arange(512))
+    want = np.sort(np.abs(np.linspace(0, 511, 100)[:, None] - x.T), axis=1)[:, :5]
+    np.testing.assert_allclose(v.reshape(100, 5), want, atol=1e-8)
