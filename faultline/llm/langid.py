@@ -16,6 +16,7 @@ window as long as the longest piece, rescaled as it goes.
 from __future__ import annotations
 
 import math
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,26 +46,40 @@ class Pieces:
             for k in range(1, len(p)):
                 self.table.setdefault(p[:k], -1)
             self.table[p] = i
+        # The same as a trie, for many words at once: node << 8 | next byte, sorted, and the node it leads to (root: 0).
+        node = {p: n for n, p in enumerate(self.table, 1)}
+        node[b""] = 0
+        key = np.fromiter((node[p[:-1]] << 8 | p[-1] for p in self.table), np.int64, len(self.table))
+        order = np.argsort(key)
+        self.child_key, self.child = key[order], order + 1
+        self.piece_at = np.fromiter(chain([-1], self.table.values()), np.int64, len(self.table) + 1)
 
     def edges(self, words: list[bytes]) -> np.ndarray:
         """Rows (word, start, end, piece) of every piece occurrence, by end position, then word.
 
-        One integer per occurrence while they are gathered: end, word, start (6 bits: a word has at
-        most BLOCK bytes) and piece, so that sorting the integers sorts the rows.
+        All positions of all words walk down the trie together, one byte a round. One integer per occurrence while
+        they are gathered: end, word, start (6 bits: a word has at most BLOCK bytes) and piece, so that
+        sorting the integers sorts the rows.
         """
-        get, out = self.table.get, []
-        put = out.append
-        for w, word in enumerate(words):
-            n = len(word)
-            for i in range(n):
-                at = w << 26 | i << 20
-                for j in range(i + 1, n + 1):
-                    k = get(word[i:j])
-                    if k is None:
-                        break
-                    if k >= 0:
-                        put(j << 44 | at | k)
-        e = np.array(out, np.int64)
+        raw = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        word = np.repeat(np.arange(len(words)), size)
+        begin = (np.cumsum(size) - size)[word]
+        stop = begin + size[word]
+        at = np.arange(len(raw))  # where a walk started, the byte it reads next, its node
+        now, node, out = at, np.zeros(len(raw), np.int64), []
+        while len(at) and len(self.child_key):
+            key = node << 8 | raw[now]
+            slot = np.minimum(np.searchsorted(self.child_key, key), len(self.child_key) - 1)
+            on = np.flatnonzero(self.child_key[slot] == key)
+            at, now, node = at[on], now[on] + 1, self.child[slot[on]]
+            k = self.piece_at[node]
+            full = np.flatnonzero(k >= 0)
+            i = at[full]
+            out.append((now[full] - begin[i]) << 44 | word[i] << 26 | (i - begin[i]) << 20 | k[full])
+            more = np.flatnonzero(now < stop[at])
+            at, now, node = at[more], now[more], node[more]
+        e = np.concatenate(out) if out else np.empty(0, np.int64)
         e.sort()
         return np.stack([e >> 26 & 0x3FFFF, e >> 20 & 0x3F, e >> 44, e & 0xFFFFF], axis=1)
 
