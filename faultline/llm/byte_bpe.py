@@ -51,10 +51,9 @@ class ByteBpe:
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.single = [ranks[bytes([b])] for b in range(256)]
         # A pair of tokens can merge if its bytes are a token too: key left << 32 | right, rank of the whole.
-        whole = [(ranks[t[:i]] << 32 | ranks[t[i:]], r) for t, r in ranks.items()
-                 for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        key, rank = np.array(whole, np.int64).reshape(-1, 2).T
-        del whole
+        whole = ((ranks[t[:i]] << 32 | ranks[t[i:]], r) for t, r in ranks.items()
+                 for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks)
+        key, rank = np.fromiter(chain.from_iterable(whole), np.int64).reshape(-1, 2).T.copy()
         self.kept: dict[str, tuple] = {}
         self.single_np = np.array(self.single, np.int64)
         self.bigrams_np = np.full(1 << 16, _NONE, np.int64)
@@ -235,15 +234,14 @@ class ByteBpe:
         kept = self.kept
         if len(kept) > KEPT_PIECES:
             kept.clear()
-        new = [p for p in set(pieces) if p not in kept]
-        raw = [p.encode("utf-8") for p in new]
-        hard = [i for i, b in enumerate(raw) if b not in self.ranks]
+        new = list(set(pieces).difference(kept))
+        raw = list(map(str.encode, new))
+        rank = list(map(self.ranks.get, raw))
+        hard = [i for i, r in enumerate(rank) if r is None]
+        kept.update((p, (r,)) for p, r in zip(new, rank) if r is not None)
         for i, ids in zip(hard, self.merge_many([raw[i] for i in hard])):
             kept[new[i]] = tuple(ids)
-        for p, b in zip(new, raw):
-            if p not in kept:
-                kept[p] = (self.ranks[b],)
-        return [kept[p] for p in pieces]
+        return list(map(kept.__getitem__, pieces))
 
     def _lots(self, texts: list[str | None]):
         """Pieces of whole texts, about ``LOT_PIECES`` at a time, with (text, pieces of it) in order."""

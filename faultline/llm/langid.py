@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.byte_bpe import read_ranks, vocabulary_path
-from faultline.llm.common import held, held_out, prepare, same_or_new, stage, words_of
+from faultline.llm.common import held, held_out, lean, prepare, same_or_new, stage, words_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 BLOCK = 32  # bytes up to which a sum over all segmentations is held as one row of a matrix (and can't underflow)
@@ -32,7 +32,8 @@ TRAIN_DOCS = 1000  # expected number of labelled texts per language
 MAX_LANGUAGES = 400
 LEAST_RISE = 0.02  # rounds go on while the log-likelihood rises by more than this share of itself
 SMOOTH = 0.01  # added to every expected count
-KEPT_WORDS = 150_000  # words in the per-worker table (about 30 MB); it is emptied when full
+KEPT_WORDS = 75_000  # words in the per-worker table (about 15 MB); it is emptied when full
+SPLIT_BYTES = 1 << 20  # bytes of texts split into words at once, unless one text alone is longer
 
 
 class Pieces:
@@ -294,7 +295,7 @@ def fit(docs: DataFrame, path: str | None = None, train_docs: int = TRAIN_DOCS)
     prob = np.full((len(pieces), len(langs)), 1.0 / len(pieces))
     before = None
     while True:
-        got = (words.mapInArrow(_expect(shared, langs, spark.sparkContext.broadcast(prob)), "k int, l int, n double")
+        got = (words.mapInArrow(lean(_expect(shared, langs, spark.sparkContext.broadcast(prob))), "k int, l int, n double")
                .groupBy("k", "l").agg(F.sum("n").alias("n")).toPandas())  # at most pieces x languages rows
         likely = float(got.loc[got["k"] < 0, "n"].sum())
         got = got[got["k"] >= 0]
@@ -315,7 +316,12 @@ class _Scorer:
         self.rows = np.empty((0, prob.shape[1]))
 
     def __call__(self, texts: list[bytes | None]) -> np.ndarray:
-        """Posterior of each language for each text."""
+        """Posterior of each language for each text, a few texts at a time: their words are many times their size."""
+        lot = np.cumsum([len(t or b"") for t in texts]) // SPLIT_BYTES
+        cut = [0, *(np.flatnonzero(np.diff(lot)) + 1).tolist(), len(texts)]
+        return np.concatenate([self._some(texts[a:b]) for a, b in zip(cut, cut[1:])])
+
+    def _some(self, texts: list[bytes | None]) -> np.ndarray:
         if len(self.at) > KEPT_WORDS:
             self.at, self.rows = {}, self.rows[:0]
         at = self.at
@@ -374,8 +380,8 @@ def _labelled(d: DataFrame, model: dict) -> DataFrame:
     key = hashlib.sha256(model["prob"].tobytes() + repr(model["langs"]).encode()).hexdigest()
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in tagged.schema if f.name != "text"),
                         "lang_pred string", "score double"])
-    out = tagged.mapInArrow(_predict(spark.sparkContext.broadcast(model["pieces"]), spark.sparkContext.broadcast(model["prob"]),
-                                     model["prior"], model["langs"], tagged.columns.index("text"), key), schema)
+    out = tagged.mapInArrow(lean(_predict(spark.sparkContext.broadcast(model["pieces"]), spark.sparkContext.broadcast(model["prob"]),
+                                     model["prior"], model["langs"], tagged.columns.index("text"), key)), schema)
     return (out.withColumn("lang_pred", F.when(F.col("_lettered"), F.col("lang_pred")).otherwise("und"))
             .withColumn("score", F.when(F.col("_lettered"), F.col("score")).otherwise(0.0)).drop("_lettered"))
 

@@ -415,3 +415,35 @@ def test_html_markup_in_linear_time_and_formulas(spark, sf):
     model = html_extract.fit(read_table(spark, sf, "pages"))
     page = "<html><body><article><h1>A title of the page</h1><p>Let <math><mi>x</mi><annotation>\\x</annotation></math> be the number of all things.</p></article>"
     assert html_extract.extract(page, model)[0] == "A title of the page\n\nLet x be the number of all things."
+
+
+def test_pieces_of_many_words_and_lots_of_texts():
+    p = langid.Pieces([b"a", b"b", b"c", b"ab", b"abca", b" a", b" "])
+    words = [b" abcab", b"c", b"abca", b"zab"]
+    want = sorted((j, w, i, p.table[t[i:j]]) for w, t in enumerate(words) for i in range(len(t))
+                  for j in range(i + 1, len(t) + 1) if p.table.get(t[i:j], -1) >= 0)
+    want = [(w, i, j, k) for j, w, i, k in want if all(words[w][i:x] in p.table for x in range(i + 1, j))]
+    assert [tuple(map(int, r)) for r in p.edges(words)] == want
+    assert p.edges([]).shape == (0, 4) and langid.Pieces([]).edges([b"ab"]).shape == (0, 4)
+    prob = np.full((p.count, 2), 0.1)
+    texts = [b"ab abc", None, b"", b"c a b"] * 3
+    whole = langid._Scorer(p, prob, np.zeros(2))(texts)
+    langid.SPLIT_BYTES, before = 4, langid.SPLIT_BYTES
+    try:
+        np.testing.assert_array_equal(langid._Scorer(p, prob, np.zeros(2))(texts), whole)
+        assert langid._Scorer(p, prob, np.zeros(2))([]).shape == (0, 2)
+    finally:
+        langid.SPLIT_BYTES = before
+
+
+def test_language_workers_leave_no_tables(spark):
+    """Idle workers of an earlier stage would hold them while the next operator builds its own."""
+    docs = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate([("the house", "en"), ("das haus", "de")] * 4)],
+                                 "doc_id long, text string, lang string").coalesce(1)
+    assert langid.predict(docs, langid.fit(docs)).count() == 8
+
+    def held_now(_):
+        from faultline.llm import common
+        yield common._HELD.get("key", ("",))[0]
+    kinds = spark.sparkContext.parallelize(range(16), 16).mapPartitions(held_now).collect()
+    assert not {"language", "pieces"} & set(kinds)
