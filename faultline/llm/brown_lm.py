@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.llm.common import byte_values, held_out, lean, mix64, partitions_of, prepare, same_or_new, stage, word_spans
+from faultline.llm.common import byte_values, held_out, lean, mix64, partitions_of, prepare, same_or_new, stage, word_spans, words_of_all
 
 WORD_TYPES = 3000  # words that are exchanged one at a time
 FLOOR = 20  # occurrences from which a word is a type of its own
@@ -35,7 +35,7 @@ CLASSES = 48
 LEAST_RISE = 1e-5
 TYPES_A_GROUP = 20_000  # class counts of so many types are summed in one group
 TOKENS_AT_ONCE = 1 << 20
-CELLS_AT_ONCE = 1 << 22  # class counts a task holds; up to this many cells they stand in one array
+CELLS_AT_ONCE = 1 << 22  # class counts a task holds before they are shuffled
 WORDS_HELD = 1 << 20  # distinct words that a task adds up before they are shuffled
 ADD = 0.1  # added to counts, in the base and in the class emissions
 BACKOFF = 20.0  # weight of the class unigram in the class transitions
@@ -44,14 +44,17 @@ BACKOFF = 20.0  # weight of the class unigram in the class transitions
 def tokens(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Hash and ending number of each word of a text."""
     raw, start, end, h = word_spans(text)
-    if not len(h):
-        return h, np.empty(0, np.int64)
-    v = np.zeros(len(h), np.uint64)
+    return h, endings(raw, start, end)
+
+
+def endings(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Ending numbers of words, by their last three bytes."""
+    v = np.zeros(len(start), np.uint64)
     for k in (1, 2, 3):
         at = end - k
         ok = at >= start
         v[ok] = v[ok] * np.uint64(31) + byte_values(raw[at[ok]])
-    return h, (mix64(v) % np.uint64(ENDINGS)).astype(np.int64)
+    return (mix64(v) % np.uint64(ENDINGS)).astype(np.int64)
 
 
 def _count_batches(parts: int):
@@ -62,13 +65,11 @@ def _count_batches(parts: int):
     def run(batches):
         held, size = [], 0
         for b in batches:
-            got = [tokens(t) for t in b.column(0).to_pylist()]
-            h = np.concatenate([x for x, _ in got]) if got else np.empty(0, np.uint64)
+            raw, start, end, h, _ = words_of_all(b.column(0).to_pylist())
             if not len(h):
                 continue
-            e = np.concatenate([y for _, y in got])
             u, first, n = _runs(h)
-            held.append((u, e[first].astype(np.uint16), n))
+            held.append((u, endings(raw, start[first], end[first]).astype(np.uint16), n))
             size += len(u)
             if size > WORDS_HELD:
                 held = [_added(held)]
@@ -97,16 +98,16 @@ def _word_batch(h: np.ndarray, e: np.ndarray, n: np.ndarray, parts: int) -> pa.R
 
 def _runs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct values, an index of each and its count."""
-    order = np.argsort(h, kind="stable")
+    order = np.argsort(h)
     s = h[order]
     first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
     return s[first], order[first], np.diff(np.r_[first, len(s)])
 
 
 def _dealt(arrays: dict, h: np.ndarray, parts: int, extra: dict | None = None) -> pa.RecordBatch:
-    part = ((h >> np.uint64(40)) % np.uint64(parts)).astype(np.int32)
-    order = np.argsort(part, kind="stable")
-    part = part[order]
+    part = ((h >> np.uint64(40)) % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int32)
+    order = np.argsort(part, kind="stable")  # in linear time for 16 bits
+    part = part[order].astype(np.int32)
     cut = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)]
     cols = {"p": pa.array(part[cut[:-1]])}
     for k, v in (extra or {}).items():
@@ -161,12 +162,40 @@ class Types:
         self.frequent = frequent  # sorted hashes
         self.count = len(frequent) + ENDINGS + 2
         self.start, self.end = self.count - 2, self.count - 1
+        bits = len(frequent).bit_length() + 1  # by the first bits of a hash: where to look for it
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.searchsorted(frequent, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
 
     def place(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.frequent):
+        last = len(self.frequent) - 1
+        if last < 0:
             return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-        i = np.minimum(np.searchsorted(self.frequent, h), len(self.frequent) - 1)
-        return i, self.frequent[i] == h
+        i = np.minimum(self.slots[h >> self.shift], last)
+        at = self.frequent[i]
+        known, on = at == h, np.flatnonzero(at < h)
+        while len(on):  # the few further words of a slot
+            on = on[i[on] < last]
+            i[on] += 1
+            at, want = self.frequent[i[on]], h[on]
+            known[on] = at == want
+            on = on[at < want]
+        return i, known
+
+    def of_words(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``of``, the endings being looked up only where they count."""
+        i, known = self.place(h)
+        rare, t = np.flatnonzero(~known), i.copy()
+        t[rare] = len(self.frequent) + endings(raw, start[rare], end[rare])
+        return t, known, i
+
+    def framed(self, t: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The types of texts of n words each, every text with its start and end; and the place of each start."""
+        at = np.cumsum(n + 2) - (n + 2)
+        out, word = np.empty(len(t) + 2 * len(n), np.int64), np.ones(len(t) + 2 * len(n), bool)
+        out[at], out[at + n + 1] = self.start, self.end
+        word[at] = word[at + n + 1] = False
+        out[word] = t
+        return out, at
 
     def of(self, h: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Types, with whether each word is frequent and its place among the frequent ones."""
@@ -179,9 +208,10 @@ def _sequences(frequent):
     def run(batches):
         types = Types(frequent.value)
         for b in batches:
-            part = [np.r_[types.start, types.of(*tokens(t))[0], types.end].astype(np.uint32) for t in b.column(0).to_pylist()]
-            if part:
-                yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(part).tobytes()], pa.binary())], names=["s"])
+            if b.num_rows:
+                *words, n = words_of_all(b.column(0).to_pylist())
+                s = types.framed(types.of_words(*words)[0], n)[0]
+                yield pa.RecordBatch.from_arrays([pa.array([s.astype(np.uint32).tobytes()], pa.binary())], names=["s"])
     return run
 
 
@@ -201,24 +231,74 @@ def _pairs_of(batches, end: int):
         yield tuple(map(np.concatenate, zip(*held)))
 
 
+class _Tally:
+    """Counts of keys below ``keys``: sorted runs of key and count in one 64-bit number, merged when they have doubled."""
+
+    def __init__(self, keys: int):
+        self.kind = np.uint32 if keys <= 1 << 32 else np.uint64
+        self.bits = np.uint64(64 - max(1, (keys - 1).bit_length()))
+        self.clear()
+
+    def clear(self):
+        self.runs, self.size, self.merged, self.seen = [], 0, 0, 0
+
+    def room(self, n: int) -> bool:
+        """Whether n more keys can be counted without a count that outgrows its bits."""
+        return self.seen + n < 1 << int(self.bits)
+
+    def add(self, keys: np.ndarray):
+        """Counts keys of type ``kind``, which are sorted in place."""
+        if not len(keys):
+            return
+        keys.sort()
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        n = np.diff(np.r_[first, len(keys)]).astype(np.uint64)
+        self.runs.append(keys[first].astype(np.uint64) << self.bits | n)
+        self.size, self.seen = self.size + len(first), self.seen + len(keys)
+        if self.size > 2 * max(self.merged, TOKENS_AT_ONCE):
+            self.merge()
+
+    def merge(self):
+        x = np.concatenate(self.runs)
+        self.runs = []
+        x.sort()
+        key = x >> self.bits
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        x &= (np.uint64(1) << self.bits) - np.uint64(1)
+        self.runs = [key[first] << self.bits | np.add.reduceat(x, first)]
+        self.size = self.merged = len(first)
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys and their counts."""
+        if not self.runs:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        if len(self.runs) > 1:
+            self.merge()
+        x = self.runs[0]
+        return (x >> self.bits).astype(np.int64), (x & ((np.uint64(1) << self.bits) - np.uint64(1))).astype(np.int64)
+
+
 def _bigrams(shared):
     """Core type bigrams of a task's texts, one row per first type: packed second types and counts."""
+    def batch(keys, nums, count):
+        a, c = keys // count, (keys % count).astype(np.uint16)
+        cut = np.r_[0, np.flatnonzero(np.diff(a)) + 1, len(a)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a[cut[:-1]].astype(np.int32)),
+             pa.array([c[s:t].tobytes() for s, t in zip(cut[:-1], cut[1:])], pa.binary()),
+             pa.array([nums[s:t].tobytes() for s, t in zip(cut[:-1], cut[1:])], pa.binary())], names=["a", "c", "n"])
+
     def run(batches):
-        core = shared.value
-        count = int(core.max()) + 1
-        keys, nums = np.empty(0, np.int64), np.empty(0, np.int64)
-        for a, c in _pairs_of(batches, len(core) - 1):
-            u, n = np.unique(core[a] * count + core[c], return_counts=True)
-            allk, alln = np.concatenate([keys, u]), np.concatenate([nums, n])
-            keys, inv = np.unique(allk, return_inverse=True)
-            nums = np.bincount(inv, weights=alln).astype(np.int64)
-        if len(keys):
-            a, c = keys // count, (keys % count).astype(np.uint16)
-            cut = np.r_[0, np.flatnonzero(np.diff(a)) + 1, len(a)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a[cut[:-1]].astype(np.int32)),
-                 pa.array([c[s:t].tobytes() for s, t in zip(cut[:-1], cut[1:])], pa.binary()),
-                 pa.array([nums[s:t].tobytes() for s, t in zip(cut[:-1], cut[1:])], pa.binary())], names=["a", "c", "n"])
+        end, count = len(shared.value) - 1, int(shared.value.max()) + 1
+        tally = _Tally(count * count)
+        core = shared.value.astype(tally.kind)
+        for a, c in _pairs_of(batches, end):
+            if not tally.room(len(a)):
+                yield batch(*tally.counts(), count)
+                tally.clear()
+            tally.add(core[a] * tally.kind(count) + core[c])
+        if tally.runs:
+            yield batch(*tally.counts(), count)
     return run
 
 
@@ -230,19 +310,48 @@ def _sum_row(key, pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
-    return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
+    out = np.maximum(x, 1e-300)  # 0 log 0 is 0
+    np.log(out, out=out)
+    out *= x
+    return out
+
 
+class _ClassTable:
+    """Bigrams between classes: their cells and x log x of each, kept up as types come and go.
 
-def _join_gain(table: np.ndarray, r: np.ndarray, l: np.ndarray, itself: float) -> np.ndarray:
-    """The gain of joining each class c: its row gets r, its column l, its own cell both and the pairs of the type with itself."""
-    i, j = np.flatnonzero(r), np.flatnonzero(l)  # other cells stay as they are
-    cols, rows = table[:, i], table[j]
-    gain = (_xlogx(cols + r[i]) - _xlogx(cols)).sum(axis=1) + (_xlogx(rows + l[j][:, None]) - _xlogx(rows)).sum(axis=0)
-    d = np.diag(table)
-    gain += _xlogx(d + r + l + itself) - _xlogx(d + r) - _xlogx(d + l) + _xlogx(d)
-    out, into = table.sum(axis=1), table.sum(axis=0)
-    a, b = r.sum() + itself, l.sum() + itself
-    return gain - (_xlogx(out + a) - _xlogx(out) + _xlogx(into + b) - _xlogx(into))
+    The table stands twice, by column and by row, so what a type meets is read in rows.
+    """
+
+    def __init__(self, table: np.ndarray):
+        self.k = len(table)
+        self.cells = np.stack([table.T, table]).astype(float)
+        self.logs = _xlogx(self.cells)
+
+    def add(self, c: int, own: np.ndarray, itself: float):
+        """Class c's row gets own[0], its column own[1], its own cell both and the pairs of the type with itself; none falls below 0."""
+        lines = self.cells[:, c] + own[::-1]
+        lines[:, c] = lines[0, c] + own[0, c] + itself
+        np.maximum(lines, 0.0, out=lines)
+        logs = _xlogx(lines)
+        self.cells[:, c], self.cells[:, :, c] = lines, lines[::-1]
+        self.logs[:, c], self.logs[:, :, c] = logs, logs[::-1]
+
+    def join_gain(self, own: np.ndarray, itself: float) -> np.ndarray:
+        """The gain in likelihood of adding a type to each class."""
+        k = self.k
+        cells, logs = self.cells.reshape(2 * k, k), self.logs.reshape(2 * k, k)
+        at = own.ravel().nonzero()[0]  # other cells stay as they are
+        new = np.empty((len(at) + 7, k))
+        np.take(cells, at, axis=0, out=new[7:], mode="clip")
+        new[7:] += own.ravel()[at, None]
+        sums = np.add.reduce(cells, axis=1).reshape(2, k)  # into each class, and out of it
+        new[0:2] = sums
+        np.add(cells.diagonal(), own, out=new[3:5])
+        np.add(new[3], own[1] + itself, out=new[2])
+        np.add(sums, (np.add.reduce(own, axis=1) + itself)[::-1, None], out=new[5:7])
+        f = _xlogx(new)
+        f[3:7] *= -1
+        return np.add.reduce(f, axis=0) + logs.diagonal() - np.add.reduce(logs.take(at, axis=0), axis=0)
 
 
 def exchange(pairs: dict[int, tuple[np.ndarray, np.ndarray]], types: int, fixed: tuple[int, int],
@@ -271,6 +380,7 @@ def exchange(pairs: dict[int, tuple[np.ndarray, np.ndarray]], types: int, fixed:
     table = np.zeros((k, k))
     for a, (c, n) in enumerate(right):
         np.add.at(table, (cls[a], cls[c]), n)
+    table = _ClassTable(table)
     moved = 1
     while moved:
         moved = 0
@@ -278,22 +388,16 @@ def exchange(pairs: dict[int, tuple[np.ndarray, np.ndarray]], types: int, fixed:
             old = cls[w]
             (rc, rn), (lc, ln) = right[w], left[w]
             itself = rn[rc == w].sum()
-            r = np.bincount(cls[rc], weights=rn, minlength=k)
-            l = np.bincount(cls[lc], weights=ln, minlength=k)
-            r[old] -= itself
-            l[old] -= itself
-            table[old] -= r
-            table[:, old] -= l
-            table[old, old] -= itself
-            gain = _join_gain(table, r, l, itself)
+            own = np.stack([np.bincount(cls[rc], weights=rn, minlength=k), np.bincount(cls[lc], weights=ln, minlength=k)])
+            own[:, old] -= itself
+            table.add(old, -own, -itself)
+            gain = table.join_gain(own, itself)
             best = int(np.argmax(gain[:classes]))
             if gain[best] <= gain[old] + 1e-9:
                 best = old
             moved += best != old
             cls[w] = best
-            table[best] += r
-            table[:, best] += l
-            table[best, best] += itself
+            table.add(best, own, itself)
     return cls
 
 
@@ -343,31 +447,24 @@ def _class_counts(shared, cells: _Cells, k: int):
         cls = shared.value.astype(np.int64)
         width, table = cells.width, np.zeros(k * k, np.int64)
         total = cells.types * width
-        dense = np.zeros(total, np.int64) if total <= CELLS_AT_ONCE else None
-        kind = np.uint32 if total + 3 * width < 1 << 32 else np.uint64
-        held = (np.empty(0, np.int64), np.empty(0, np.int64))
+        tally = _Tally(total + 3 * width)
+        kind = tally.kind
         for a, b in _pairs_of(batches, len(cls) - 1):
             left, right, same = cls[a], cls[b], a[a == b]
             table += np.bincount(left * k + right, minlength=k * k)
             a, b, same, left, right = (x.astype(kind, copy=False) for x in (a, b, same, left, right))
             keys = np.concatenate([a * kind(width) + right, b * kind(width) + left + kind(k), same * kind(width) + kind(2 * k)])
-            keys = keys[keys < total]  # start and end stay
-            keys.sort()
-            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
-            keys, n = keys[first].astype(np.int64), np.diff(np.r_[first, len(keys)])
-            if dense is not None:
-                dense[keys] += n
-                continue
-            keys, at = np.unique(np.concatenate([held[0], keys]), return_inverse=True)
-            held = keys, np.bincount(at, weights=np.concatenate([held[1], n])).astype(np.int64)
-            if len(keys) > CELLS_AT_ONCE:
-                yield batch(cells.rows(*held))
-                held = (held[0][:0], held[1][:0])
-        if dense is not None:
-            at = np.flatnonzero(dense)
-            held = at, dense[at]
-        if len(held[0]):
-            yield batch(cells.rows(*held))
+            if not tally.room(len(keys)):
+                yield batch(cells.rows(*tally.counts()))
+                tally.clear()
+            tally.add(keys[keys < total])  # start and end stay
+            if tally.size > CELLS_AT_ONCE:
+                tally.merge()
+                if tally.size > CELLS_AT_ONCE:
+                    yield batch(cells.rows(*tally.counts()))
+                    tally.clear()
+        if tally.runs:
+            yield batch(cells.rows(*tally.counts()))
         yield batch([(-1, None, table.tobytes(), 0)])
     return run
 
@@ -391,31 +488,25 @@ def _move(shared, classes: int):
         for batch in batches:
             for c, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 keys, n = np.frombuffer(c, np.int64), np.frombuffer(n, np.int64).astype(float)
-                w = keys // width
-                cut = np.r_[0, np.flatnonzero(np.diff(w)) + 1, len(w)]
-                types, best, table = [], [], start.copy()
-                for s, t in zip(cut[:-1], cut[1:]):
-                    if core[w[s]]:
-                        continue
-                    own, old = np.zeros(width), int(cls[w[s]])
-                    own[keys[s:t] % width] = n[s:t]
-                    r, l, itself = own[:k], own[k:2 * k], own[2 * k]
-                    r[old] -= itself
-                    l[old] -= itself
-                    table[old] -= r
-                    table[:, old] -= l
-                    table[old, old] -= itself
-                    np.maximum(table, 0.0, out=table)  # counts by the round's start may be taken from a moved neighbour
-                    gain = _join_gain(table, r, l, itself)
+                w, at = np.divmod(keys, width)
+                cut = np.flatnonzero(np.r_[True, w[1:] != w[:-1], True]) if len(w) else np.zeros(1, np.int64)
+                own_types = w[cut[:-1]]
+                types, best, table = [], [], _ClassTable(start)
+                for i in np.flatnonzero(~core[own_types]).tolist():
+                    s, t = cut[i], cut[i + 1]
+                    own, old = np.zeros(width), int(cls[own_types[i]])
+                    own[at[s:t]] = n[s:t]
+                    own, itself = own[:-1].reshape(2, k), own[-1]
+                    own[:, old] -= itself
+                    table.add(old, -own, -itself)  # counts by the round's start may be taken from a moved neighbour
+                    gain = table.join_gain(own, itself)
                     to = int(np.argmax(gain[:classes]))
                     if gain[to] > gain[old] + 1e-9:
-                        types.append(w[s])
+                        types.append(own_types[i])
                         best.append(to)
                     else:
                         to = old
-                    table[to] += r
-                    table[:, to] += l
-                    table[to, to] += itself
+                    table.add(to, own, itself)
                 yield pa.RecordBatch.from_arrays([pa.array(types, pa.int64()), pa.array(best, pa.int32())], names=["w", "cls"])
     return run
 
@@ -536,7 +627,7 @@ def _route(shared):
     """Per batch: one row with what is known of its texts, and the other words dealt by hash."""
     def run(batches):
         m = shared.value
-        types, parts = Types(m["frequent"]), m["parts"]
+        types, parts, step, k = Types(m["frequent"]), m["parts"], m["step"].ravel(), len(m["step"])
         log_frequent, log_end = np.log10(m["n_frequent"] + ADD), math.log10(m["ends"] + ADD)
         task, seq = TaskContext.get().partitionId(), 0
         for b in batches:
@@ -546,25 +637,28 @@ def _route(shared):
             docs["id"] = b.column(0).fill_null(0)
             docs["null"] = b.column(0).is_null()
             docs["held"] = b.column(1)
-            hs, idx = [], []
-            for k, text in enumerate(b.column(2).to_pylist()):
-                h, e = tokens(text)
-                t, known, i = types.of(h, e)
-                c = m["classes"][np.r_[types.start, t, types.end]]
-                docs["n"][k] = len(h) + 1
-                docs["known"][k] = known.sum() + (m["ends"] > 0)
-                docs["base"][k] = log_frequent[i[known]].sum() + log_end
-                docs["cls"][k] = m["step"][c[:-1], c[1:]].sum()
-                hs.append(h[~known])
-                idx.append(np.full(len(hs[-1]), k, np.uint16))
+            *words, n = words_of_all(b.column(2).to_pylist())
+            h, (t, known, _) = words[-1], types.of_words(*words)
+            s, at = types.framed(t, n)
+            c = m["classes"][s]
+            steps = step[c[:-1] * k + c[1:]]
+            steps[at[1:] - 1] = 0.0  # from the end of a text to the next one's start
+            docs["cls"] = np.add.reduceat(steps, at)
+            own = s < len(log_frequent)
+            logs = np.zeros(len(s))
+            logs[own] = log_frequent[s[own]]
+            docs["base"] = np.add.reduceat(logs, at) + log_end
+            docs["known"] = np.add.reduceat(own, at, dtype=np.int64) + (m["ends"] > 0)
+            docs["n"] = n + 1
             key = task << 32 | seq
             seq += 1
             own = int(mix64(np.array([key], np.uint64))[0] % np.uint64(parts))
             yield pa.RecordBatch.from_pydict({"p": [own], "b": [key], "h": [None], "i": [None], "doc": [docs.tobytes()]},
                                              schema=_ROUTE_SCHEMA)
-            h = np.concatenate(hs)
-            if len(h):
-                out = _dealt({"h": h, "i": np.concatenate(idx)}, h, parts, {"b": key})
+            rare = np.flatnonzero(~known)
+            if len(rare):
+                idx = np.repeat(np.arange(len(n), dtype=np.uint16), n)
+                out = _dealt({"h": h[rare], "i": idx[rare]}, h[rare], parts, {"b": key})
                 yield pa.RecordBatch.from_arrays(
                     [*out.columns, pa.nulls(out.num_rows, pa.binary())], names=[*out.schema.names, "doc"]).select(
                         ["p", "b", "h", "i", "doc"])

@@ -163,6 +163,29 @@ def word_spans(text: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return raw, start, end, mix64((total[end] - total[start]) * inverse[start])
 
 
+_HASHED_AT_ONCE = 1 << 15  # bytes; their 64-bit values stay in the processor's cache
+_BLANK = bytes(_SPACE.tolist())
+
+
+def words_of_all(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' bytes one after another, start, end and hash of each word (as in ``word_spans``), and the words of each text."""
+    texts = [t or b"" for t in texts]
+    whole = b" ".join([b"", *texts, b""])
+    raw, blank = np.frombuffer(whole, np.uint8), np.frombuffer(whole.translate(_BLANK), bool)
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    start, end = edge[::2], edge[1::2]
+    h = np.empty(len(start), np.uint64)
+    cut = distinct(np.r_[np.searchsorted(start, np.arange(0, len(raw), _HASHED_AT_ONCE)), len(start)])
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        first = start[a]
+        own = raw[first:end[b - 1] + 1]
+        power, inverse = _powers(len(own))
+        total = np.add.reduceat(np.take(_VALUE, own) * power, edge[2 * a:2 * b] - first)[::2]
+        h[a:b] = mix64(total * inverse[start[a:b] - first])
+    ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    return raw, start, end, h, np.diff(np.searchsorted(start, ends), prepend=0)
+
+
 def flat_text(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string or binary column one after another, and the n + 1 offsets; NULL counts as empty."""
     col = col.cast(pa.binary()).fill_null(b"").cast(pa.large_binary())

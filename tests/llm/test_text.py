@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faultline.llm import brown_lm, byte_bpe, chat_format, decontam, html_extract, langid, secrets, toxicity
-from faultline.llm.common import held_out, read_table, word_hashes, words_of
+from faultline.llm.common import held_out, read_table, word_hashes, words_of, words_of_all
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, ids int, c0 int, words int"
 
@@ -243,6 +243,58 @@ def test_brown_words_above_the_floor_have_own_classes(spark):
     assert (brown_lm.assign(seq, model["classes"], np.ones(types.count, bool), 4)[1] == want).all()
 
 
+def test_brown_texts_together_as_one_by_one():
+    texts = [t.encode() if t else None for t in ODD] + [b"", b" x ", b"y" * 70_000 + b" End", b"a b\tC " * 20_000, None]
+    raw, start, end, h, n = words_of_all(texts)
+    want = [brown_lm.tokens(t) for t in texts]
+    assert n.tolist() == [len(x) for x, _ in want]
+    assert (h == np.concatenate([x for x, _ in want])).all()
+    assert (brown_lm.endings(raw, start, end) == np.concatenate([e for _, e in want])).all()
+    for frequent in (np.empty(0, np.uint64), np.unique(h)[::2], np.unique(h), np.array([0, 1, 2, 3, 2**64 - 1], np.uint64)):
+        types = brown_lm.Types(frequent)
+        every = np.r_[h, frequent, np.array([0, 4, 2**64 - 1], np.uint64)]
+        place, known = types.place(every)
+        assert (known == np.isin(every, frequent)).all() and (frequent[place[known]] == every[known]).all()
+        one = [np.r_[types.start, types.of(*x)[0], types.end] for x in want]
+        together, at = types.framed(types.of_words(raw, start, end, h)[0], n)
+        assert (together == np.concatenate(one)).all() and (together[at] == types.start).all()
+
+
+def test_brown_gain_and_counts_by_brute_force(monkeypatch):
+    rng = np.random.default_rng(5)
+    k = 6
+    start = rng.integers(0, 9, (k, k)).astype(float)
+    own, itself = rng.integers(0, 3, (2, k)).astype(float), 2.0
+
+    def joined(c):
+        t = start.copy()
+        t[c] += own[0]
+        t[:, c] += own[1]
+        t[c, c] += itself
+        return t
+
+    table = brown_lm._ClassTable(start)
+    f = lambda t: brown_lm._xlogx(np.atleast_1d(t)).sum()
+    into, out, b, a = start.sum(axis=0), start.sum(axis=1), own[1].sum() + itself, own[0].sum() + itself
+    want = [f(joined(c)) - f(start) - (f(into[c] + b) - f(into[c]) + f(out[c] + a) - f(out[c])) for c in range(k)]
+    assert np.allclose(table.join_gain(own, itself), want)
+    table.add(2, own, itself)
+    assert (table.cells == [joined(2).T, joined(2)]).all() and np.allclose(table.logs, brown_lm._xlogx(table.cells))
+    table.add(2, -own, -itself)
+    assert (table.cells == [start.T, start]).all()
+
+    monkeypatch.setattr(brown_lm, "TOKENS_AT_ONCE", 50)  # many merges
+    for keys in (300, 1 << 40):
+        tally = brown_lm._Tally(keys)
+        got = rng.integers(0, 300, 5_000)
+        for part in np.array_split(got, 37):
+            assert tally.room(len(part))
+            tally.add(part.astype(tally.kind))
+        u, c = np.unique(got, return_counts=True)
+        assert all((x == y).all() for x, y in zip(tally.counts(), (u, c)))
+        assert not tally.room(1 << int(tally.bits))
+
+
 def test_toxicity(spark):
     d, lab = (read_table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
     got = toxicity.score_corpus(d, lab).join(lab, "doc_id").where("held_out")
