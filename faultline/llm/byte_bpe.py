@@ -14,10 +14,11 @@ Merged pieces are kept in a bounded per-worker table, since words repeat.
 from __future__ import annotations
 
 import base64
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,10 +26,11 @@ from pyspark.sql import functions as F
 from faultline.llm.common import held, lean, prepare, same_or_new
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-LOT_PIECES = 100_000  # pieces encoded at once
-KEPT_PIECES = 100_000  # pieces in the per-worker table (about 27 MB); it is emptied when full, tested every lot
+LOT_PIECES = 50_000  # pieces encoded at once
+KEPT_PIECES = 100_000  # pieces in the per-worker table (about 16 MB); it is emptied when full, tested every lot
 SHORT = 64  # bytes of a piece whose tree is a row of a matrix; longer ones have a list of their own
-FOREST = 1 << 14  # most trees of a matrix
+FOREST_BYTES = 1 << 17  # bytes of pieces, filled up to powers of two, whose trees are one matrix
+SLICE_BYTES = 1 << 20  # bytes of texts encoded and handed back at once, unless one text alone is longer
 _NONE = 1 << 60
 
 
@@ -54,7 +56,7 @@ class ByteBpe:
         whole = ((ranks[t[:i]] << 32 | ranks[t[i:]], r) for t, r in ranks.items()
                  for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks)
         key, rank = np.fromiter(chain.from_iterable(whole), np.int64).reshape(-1, 2).T.copy()
-        self.kept: dict[str, tuple] = {}
+        self._forget()
         self.single_np = np.array(self.single, np.int64)
         self.bigrams_np = np.full(1 << 16, _NONE, np.int64)
         for t, r in ranks.items():
@@ -99,21 +101,33 @@ class ByteBpe:
 
     def merge_many(self, pieces: list[bytes]) -> list[list[int]]:
         """``merge`` for many short pieces: their trees are rows of one matrix, one merge each a round."""
-        out: list = [None] * len(pieces)
+        flat, size = self._merge_flat(pieces)
+        ends = np.cumsum(size).tolist()
+        return [flat[a:b].tolist() for a, b in zip([0, *ends], ends)]
+
+    def _merge_flat(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after another, and how many each has."""
+        size, parts = np.zeros(len(pieces), np.int64), []
         by_shift: dict[int, list[int]] = {}
         for i, p in enumerate(pieces):
             if 1 < len(p) <= SHORT:
                 by_shift.setdefault((len(p) - 1).bit_length(), []).append(i)
             else:
-                out[i] = self.merge(p)
+                ids = np.array(self.merge(p), np.int32)
+                size[i] = len(ids)
+                parts.append(([i], ids))
         for shift, rows in by_shift.items():
-            for s in range(0, len(rows), FOREST):
-                part = rows[s:s + FOREST]
-                for i, ids in zip(part, self._forest([pieces[i] for i in part], shift)):
-                    out[i] = ids
-        return out
-
-    def _forest(self, pieces: list[bytes], shift: int) -> list[list[int]]:
+            step = FOREST_BYTES >> shift
+            for s in range(0, len(rows), step):
+                part = rows[s:s + step]
+                ids, size[part] = self._forest([pieces[i] for i in part], shift)
+                parts.append((part, ids))
+        begin, out = np.cumsum(size) - size, np.empty(size.sum(), np.int32)
+        for part, ids in parts:
+            out[_runs(begin[part], size[part])] = ids
+        return out, size
+
+    def _forest(self, pieces: list[bytes], shift: int) -> tuple[np.ndarray, np.ndarray]:
         n, width = len(pieces), 1 << shift
         size = np.array([len(p) for p in pieces])
         raw = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in pieces]), np.uint8).reshape(n, width)
@@ -166,8 +180,7 @@ class ByteBpe:
                     flat[t0 + node] = np.minimum(flat[child], flat[child + 1])
             row = row[flat[t0 + 1] < _NONE]
         live = token >= 0
-        ids, ends = token[live].tolist(), np.cumsum(live.sum(axis=1)).tolist()
-        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+        return token[live].astype(np.int32), live.sum(axis=1)
 
     def merge(self, piece: bytes) -> list[int]:
         """Token ids of one piece by pair merges alone.
@@ -229,19 +242,36 @@ class ByteBpe:
                 c >>= 1
         return [t for t in token if t >= 0]
 
-    def _ids_of(self, pieces: list[str]) -> list[tuple[int, ...]]:
-        """Ids of pieces; those met before are looked up."""
+    def _forget(self) -> None:
+        """Empty the table of pieces: piece -> its number; the ids of all one after another, first and count by number."""
+        self.kept: dict[str, int] = {}
+        self.kept_ids = np.empty(0, np.int32)
+        self.kept_first, self.kept_size = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after another, and how many each has; those met before are looked up."""
+        if len(self.kept) > KEPT_PIECES:
+            self._forget()
         kept = self.kept
-        if len(kept) > KEPT_PIECES:
-            kept.clear()
         new = list(set(pieces).difference(kept))
-        raw = list(map(str.encode, new))
-        rank = list(map(self.ranks.get, raw))
-        hard = [i for i, r in enumerate(rank) if r is None]
-        kept.update((p, (r,)) for p, r in zip(new, rank) if r is not None)
-        for i, ids in zip(hard, self.merge_many([raw[i] for i in hard])):
-            kept[new[i]] = tuple(ids)
-        return list(map(kept.__getitem__, pieces))
+        if new:
+            raw = list(map(str.encode, new))
+            rank = np.fromiter(map(self.ranks.get, raw, repeat(-1)), np.int64, len(raw))
+            hard = np.flatnonzero(rank < 0)
+            ids, count = self._merge_flat([raw[i] for i in hard.tolist()])
+            size = np.ones(len(new), np.int64)
+            size[hard] = count
+            first = np.cumsum(size) - size
+            own = np.empty(size.sum(), np.int32)
+            own[first] = rank
+            own[_runs(first[hard], count)] = ids
+            kept.update(zip(new, range(len(kept), len(kept) + len(new))))
+            self.kept_first = np.concatenate([self.kept_first, first + len(self.kept_ids)])
+            self.kept_size = np.concatenate([self.kept_size, size])
+            self.kept_ids = np.concatenate([self.kept_ids, own])
+        at = np.fromiter(map(kept.__getitem__, pieces), np.int64, len(pieces))
+        size = self.kept_size[at]
+        return self.kept_ids[_runs(self.kept_first[at], size)], size
 
     def _lots(self, texts: list[str | None]):
         """Pieces of whole texts, about ``LOT_PIECES`` at a time, with (text, pieces of it) in order."""
@@ -270,9 +300,9 @@ class ByteBpe:
         """
         count, parts = np.zeros(len(texts) + 1, np.int64), []
         for pieces, whose in self._lots(texts):
-            ids = self._ids_of(pieces)
-            upto = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))])
-            parts.append(np.fromiter(chain.from_iterable(ids), np.int32, int(upto[-1])))
+            ids, size = self._ids_of(pieces)
+            upto = np.concatenate([[0], np.cumsum(size)])
+            parts.append(ids)
             at = 0
             for i, n in whose:
                 count[i + 1] += upto[at + n] - upto[at]
@@ -295,10 +325,25 @@ def coder(path: str | None = None, pattern: str | None = None) -> ByteBpe:
         read_ranks(path or vocabulary_path()), pattern or public_tokenizers.PATTERN))
 
 
+def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... (size of them) for each pair, one after another."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def _slices(batches, at: int):
+    """The same rows in order, in batches whose texts have about ``SLICE_BYTES`` at most: their ids and lists are many times their size."""
+    for b in batches:
+        size = pc.fill_null(pc.binary_length(b.column(at)), 0).to_numpy(zero_copy_only=False)
+        lot = np.cumsum(size, dtype=np.int64) // SLICE_BYTES
+        cut = [0, *(np.flatnonzero(np.diff(lot)) + 1).tolist(), b.num_rows]
+        for x, y in zip(cut, cut[1:]):
+            yield b.slice(x, y - x)
+
+
 def _encode(at: int, path, pattern, decoded: bool):
     def run(batches):
         bpe = coder(path, pattern)
-        for b in batches:
+        for b in _slices(batches, at):
             flat, off = bpe.encode_flat(b.column(at).to_pylist())
             new = [pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(flat))]
             if decoded:

@@ -19,6 +19,9 @@ ARROW_ROWS = 1000
 #: Bytes handed to Python at once, unless one row alone is longer.
 ARROW_BYTES = 4 << 20
 
+#: Rows read from Parquet at once, below Spark's default of 4,096: the texts of a read are one array of the JVM's heap.
+READ_ROWS = 256
+
 LETTERS_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 h64 = xxhash.xxh3_64_intdigest
@@ -35,6 +38,9 @@ def prepare(spark: SparkSession) -> None:
     if int(spark.conf.get(key, "10000")) > ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    if int(spark.conf.get(key, "4096")) > READ_ROWS:
+        spark.conf.set(key, str(READ_ROWS))
 
 
 _HELD: dict = {}

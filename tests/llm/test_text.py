@@ -430,6 +430,47 @@ def test_byte_bpe_in_small_lots_equals_one_lot(monkeypatch):
     assert bpe.encode(texts) == whole and whole[1] == whole[2] == []
 
 
+def test_byte_bpe_hands_back_slices(monkeypatch):
+    """Ids and lists of a batch are many times its size, so they are made and handed back for a part of its rows at a time."""
+    import pyarrow as pa
+    rnd = random.Random(8)
+    texts = [" ".join("".join(rnd.choices("abcdeéЖ漢'1", k=rnd.randint(1, 12))) for _ in range(300)) for _ in range(60)]
+    texts[3:5], texts[9], texts[20] = [None, ""], "long " * 30_000, "x" * 5000
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60)), "text": texts})
+    whole = byte_bpe.coder().encode(texts)
+    monkeypatch.setattr(byte_bpe, "SLICE_BYTES", 20_000, raising=False)
+    monkeypatch.setattr(byte_bpe, "KEPT_PIECES", 1000)
+    monkeypatch.setattr(byte_bpe, "LOT_PIECES", 700)
+    ids, at = [], []
+    for b in byte_bpe._encode(1, None, None, True)([batch.slice(0, 0), batch, batch.slice(7, 5)]):
+        at += b.column(0).to_pylist()
+        ids += b.column(1).to_pylist()
+        size = [len(x) for x in b.column(2).to_pylist()]
+        assert sum(size[1:]) < 20_000
+        assert [x.decode() for x in b.column(2).to_pylist()] == [texts[i] or "" for i in b.column(0).to_pylist()]
+    assert at == [*range(60), *range(7, 12)] and ids == [whole[i] for i in at]
+    bpe = byte_bpe.coder()
+
+    def plain(piece):
+        rank = bpe.ranks.get(piece)
+        return bpe.merge(piece) if rank is None else [rank]
+    assert whole == [[x for p in bpe.pattern.findall(t or "") for x in plain(p.encode())] for t in texts]
+
+
+def test_texts_are_read_a_few_rows_at_once(spark):
+    """A read of 4,096 texts is one array in an executor's heap, which grows with it and stays grown."""
+    from faultline.llm import common
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    try:
+        for own, want in (("4096", common.READ_ROWS), ("64", 64)):
+            spark.conf.set(key, own)
+            common.prepare(spark)
+            assert int(spark.conf.get(key)) == want <= 256
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_composed_grammar_equals_its_parts():
     """The product machine against the four transducers run side by side, over random clauses."""
     rnd = random.Random(6)
