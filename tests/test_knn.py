@@ -196,3 +196,65 @@ def test_search_keeps_only_what_the_new_bound_leaves():
     r, d, v = near.take(0, np.arange(512))
     want = np.sort(np.abs(np.linspace(0, 511, 100)[:, None] - x.T), axis=1)[:, :5]
     np.testing.assert_allclose(v.reshape(100, 5), want, atol=1e-8)
+
+
+def test_equal_donors_are_one_row_and_cells_are_one_row_each(spark, monkeypatch):
+    """Ten copies of each vector: written once with the k smallest ids; cells hold all donors, trees by batch and by row agree."""
+    from faultline.operators import knn_cells
+    monkeypatch.setattr(knn_cells, "LEVEL_BITS", 2)
+    monkeypatch.setattr(knn_cells, "UNEVEN", 2)
+    monkeypatch.setattr(knn_cells, "BLOCK_BITS", 1)
+    written = []
+    write = knn_cells.materialize
+
+    def watched(df, name):
+        out = write(df, name)
+        written.append((name, out.count()))
+        return out
+    monkeypatch.setattr(knn_cells, "materialize", watched)
+    rng = np.random.default_rng(23)
+    x = np.round(rng.normal(size=(60, 3)) * [1.0, 5.0, 0.2], 2)
+    x[:15, 0], x[10:20, 1] = np.nan, np.nan
+    x = np.tile(x, (10, 1))
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x[rng.permutation(len(x))])]
+    df = spark.createDataFrame(rows, "seq long, temperature_c double, load_percentage double, operating_hours double")
+    cols = ["temperature_c", "load_percentage", "operating_hours"]
+    pdf = df.toPandas()
+    want = brute_impute(pdf, cols, pdf["seq"].to_numpy())
+    got = knn_impute(df, block_rows=4).orderBy("seq").toPandas()
+    np.testing.assert_allclose(got[cols].to_numpy(float), want, rtol=1e-9, atol=1e-9)
+    copies = max(n for name, n in written if name == "knn-cells")
+    assert copies <= 60 * 6  # at most six (pattern, shared coordinates); five times as many when every id was a row
+    assert 0 < dict(written)["knn-packed"] < copies
+    monkeypatch.setattr(knn_cells, "TREES_BROADCAST", 0)  # as if there were too many trees to send to all tasks
+    assert knn_impute(df, block_rows=4).orderBy("seq").toPandas()[cols].equals(got[cols])
+
+
+def test_block_is_cut_into_even_cells_that_hold_all_donors():
+    import pyarrow as pa
+    from faultline.operators.knn_cells import _PATH_BITS, _split
+    from faultline.operators.knn_local import Group, Nearest
+    rng = np.random.default_rng(29)
+    n, block = 1000, (7 << _PATH_BITS) + 3
+    x = np.round(rng.normal(size=(n, 2)), 1)
+    ids = [sorted(rng.choice(10_000, int(m), replace=False).tolist()) for m in rng.integers(1, 6, n)]
+    rows = pa.table({"_gid": pa.array([7] * n, pa.int32()), "_cell": [block] * n, "_c0": [(7 << _PATH_BITS) + 1] * n, "_ids": ids,
+                     "_g0": x[:, 0], "_g1": pa.nulls(n, pa.float64()), "_g2": x[:, 1], "_r0": rng.normal(size=n)})
+    split, _ = _split(["_g0", "_g1", "_g2"], ["_r0"], ["_c0"], 100)
+    cells = split(rows).to_pandas()
+    assert len(cells) == 16 and set(cells["_n"]) <= {62, 63} and cells["_cell"].is_unique and (cells["_blk"] == block).all()
+    assert cells["_lo1"].isna().all() and cells["_lo0"].min() == x[:, 0].min() and cells["_hi2"].max() == x[:, 1].max()
+    inside = np.frombuffer(b"".join(cells["_x"])).reshape(-1, 3)
+    times = np.frombuffer(b"".join(cells["_times"]), np.int32)
+    held = np.frombuffer(b"".join(cells["_ids"]), np.int64)
+    assert sorted(held) == sorted(i for own in ids for i in own)
+    near = Nearest(np.full((50, 1), np.inf), 5)
+    t = np.c_[rng.normal(size=50), np.zeros(50), rng.normal(size=50)]
+    near.search(t, Group(inside, np.repeat(cells["_cell"].to_numpy(), cells["_n"]), np.arange(n), [0], times), 3)
+    r, d, v = near.take(0, held, times)
+    each, owner = np.concatenate(ids), np.repeat(np.arange(n), [len(own) for own in ids])
+    for i in range(50):
+        dq = np.round(np.sqrt(((t[i, [0, 2]] - x[owner]) ** 2).sum(axis=1) * 3 / 2), 9)
+        best = np.lexsort((each, dq))[:5]
+        np.testing.assert_allclose(v[r == i], dq[best])
+        assert held[d[r == i]].tolist() == each[best].tolist()
