@@ -232,7 +232,7 @@ def test_equal_donors_are_one_row_and_cells_are_one_row_each(spark, monkeypatch)
 
 def test_block_is_cut_into_even_cells_that_hold_all_donors():
     import pyarrow as pa
-    from faultline.operators.knn_cells import _PATH_BITS, _split
+    from faultline.operators.knn_cells import _PATH_BITS, TIMES, _split
     from faultline.operators.knn_local import Group, Nearest
     rng = np.random.default_rng(29)
     n, block = 1000, (7 << _PATH_BITS) + 3
@@ -244,8 +244,9 @@ def test_block_is_cut_into_even_cells_that_hold_all_donors():
     cells = split(rows).to_pandas()
     assert len(cells) == 16 and set(cells["_n"]) <= {62, 63} and cells["_cell"].is_unique and (cells["_blk"] == block).all()
     assert cells["_lo1"].isna().all() and cells["_lo0"].min() == x[:, 0].min() and cells["_hi2"].max() == x[:, 1].max()
-    inside = np.frombuffer(b"".join(cells["_x"])).reshape(-1, 3)
-    times = np.frombuffer(b"".join(cells["_times"]), np.int32)
+    assert (cells["_has"] == 5).all() and (cells["_serves"] == 1).all()
+    inside = np.insert(np.frombuffer(b"".join(cells["_x"])).reshape(-1, 2), 1, np.nan, axis=1)
+    times = np.frombuffer(b"".join(cells["_times"]), TIMES).astype(np.int64)
     held = np.frombuffer(b"".join(cells["_ids"]), np.int64)
     assert sorted(held) == sorted(i for own in ids for i in own)
     near = Nearest(np.full((50, 1), np.inf), 5)
